@@ -25,7 +25,7 @@ END = 199612
 LAG = 12
 RATIO = 0.2
 TOP_N = 5
-REGION = "07"
+REGION = "03"
 TAG_TIME = "2026-01-01"
 STEPS = 20
 MONEY_DIGITS = 2

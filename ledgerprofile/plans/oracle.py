@@ -216,6 +216,8 @@ def oracle_sql() -> dict[str, str]:
               f"FROM (SELECT hy_dm, nsrsbh, round(xxbl, {SHARE_DIGITS}) AS xxbl FROM ({share_body})))")
     q["industry_top_n"] = _with(
         f"SELECT hy_dm, nsrsbh, xxbl, CAST(rank AS INTEGER) AS rank FROM {ranked} WHERE rank <= {TOP_N}")
+    q["monthly_pivot"] = _with(
+        "SELECT * FROM (PIVOT (SELECT nsrsbh, ny, xxje FROM per) ON ny USING avg(xxje) GROUP BY nsrsbh)")
     q["growth_slope_ridge"] = _with("SELECT nsrsbh, slope FROM ridge")
     q["growth_slope_ols"] = _with("SELECT nsrsbh, slope FROM ols")
     q["monthly_autocorrelation"] = _with("SELECT nsrsbh, coefficient FROM acf")
