@@ -7,17 +7,19 @@ All industries are processed together in one plan per step; nothing is collected
 Power iteration at scale
 ------------------------
 ``v <- A v`` is a join of the edge list with ``v`` on the *target* node followed by a sum
-per *source* node.  The edge list is by far the largest input, so it is laid out once -
-hash-partitioned on its join key and checkpointed - and each step only moves ``v`` (one
-row per node) and the map-side-combined partial sums.
+per *source* node.  The edge list is by far the largest input, so it is laid out once as
+a bucketed table on its join key (written into the session's checkpoint folder), and each
+step only moves ``v`` (one row per node) and the map-side-combined partial sums; the
+bucketed scan needs no exchange on the edge side.
 
 A hub node (one buyer trading with a third of all sellers) would put all of its edges in
 one partition.  Nodes whose degree exceeds ``hot_degree`` are therefore *salted*: their
 edges are spread over ``ceil(degree / hot_degree)`` buckets (by a hash of the other end),
 and their ``v`` row is replicated once per bucket.  The result is exact; only the
-placement changes.
+placement changes.  The hub list is at most (#edges / hot_degree) rows; it is broadcast
+only after a count shows it under ``HOT_BROADCAST_ROWS``, and shuffle-joined otherwise.
 
-Each step's ``v`` is cut from its lineage with a reliable ``checkpoint()`` into the
+Each step's product is cut from its lineage with a reliable ``checkpoint()`` into the
 session's checkpoint folder, so the plan does not grow with the step count and a lost
 executor recomputes at most one step.
 
@@ -29,6 +31,9 @@ eigenspace.  ``v`` is L2-normalised per industry after every step.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +42,7 @@ from ledgerprofile.session import checkpoint_dir
 DEFAULT_STEPS = 20
 MIN_NODES_EXCLUSIVE = 5          # industries with at most this many nodes are skipped
 DEFAULT_HOT_DEGREE = 1_000_000   # edges per salt bucket of a hub node
+HOT_BROADCAST_ROWS = 1_000_000   # hub lists up to this many rows are broadcast
 
 
 # U1 -------------------------------------------------------------------------------------
@@ -80,36 +86,80 @@ def large_industries(sym_edges: DataFrame, min_nodes_exclusive: int = MIN_NODES_
 
 
 # M4 -------------------------------------------------------------------------------------
-def _layout(adj: DataFrame, hot_degree: int, partitions: int) -> tuple[DataFrame, DataFrame]:
-    """Checkpointed edge layout and per-node salt counts.
+class EdgeLayout:
+    """The edge list laid out for repeated multiplication.
+
+    ``edges`` (hy_dm, src, dst, salt, w) is a bucketed table on (hy_dm, dst, salt) with
+    ``buckets`` buckets, written once into the session's checkpoint folder: every step
+    joins it without moving it.  ``hot`` (hy_dm, node, n_salt) lists the hub nodes whose
+    edges are split over ``n_salt`` buckets; ``hot_broadcast`` says whether its checked
+    size allows a broadcast join.
+    """
+
+    def __init__(self, edges: DataFrame, hot: DataFrame, n_hot: int, hot_broadcast: bool,
+                 buckets: int, table: str):
+        self.edges = edges
+        self.hot = hot
+        self.n_hot = n_hot
+        self.hot_broadcast = hot_broadcast
+        self.buckets = buckets
+        self.table = table
+
+    def drop(self) -> None:
+        """Forget the catalog entry (the files stay in the checkpoint folder)."""
+        self.edges.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
 
-    edges: (hy_dm, src, dst, salt, w) hash-partitioned on (hy_dm, dst, salt).
-    salts: (hy_dm, node, n_salt) with n_salt = ceil(degree / hot_degree) (>= 1).
+
+def _layout(adj: DataFrame, hot_degree: int, buckets: int,
+            hot_broadcast_rows: int = HOT_BROADCAST_ROWS) -> EdgeLayout:
+    spark = adj.sparkSession
+    base = adj.select("hy_dm", "xf_nsrsbh", "gf_nsrsbh", "w").persist(StorageLevel.MEMORY_AND_DISK)
+    adj = base
+    deg = adj.groupBy("hy_dm", F.col("gf_nsrsbh").alias("node")).agg(F.count(F.lit(1)).alias("deg"))
+    hot = (deg.where(F.col("deg") > hot_degree)
+           .select("hy_dm", "node", F.ceil(F.col("deg") / F.lit(float(hot_degree))).cast("int")
+                   .alias("n_salt"))
+           .checkpoint())
+    # At most (#edges / hot_degree) hub nodes exist, and the count is checked before any
+    # broadcast; beyond the limit the hub list is shuffle-joined instead.
+    n_hot = hot.count()
+    hot_broadcast = n_hot <= hot_broadcast_rows
+    hot_side = F.broadcast(hot) if hot_broadcast else hot
+    n_salt = F.coalesce(F.col("n_salt"), F.lit(1))
+    if n_hot:
+        adj = adj.join(hot_side.withColumnRenamed("node", "gf_nsrsbh"), ["hy_dm", "gf_nsrsbh"], "left")
+    else:
+        adj = adj.withColumn("n_salt", F.lit(None).cast("int"))
+    laid = (adj
+            .select("hy_dm", F.col("xf_nsrsbh").alias("src"), F.col("gf_nsrsbh").alias("dst"),
+                    F.pmod(F.xxhash64("xf_nsrsbh"), n_salt).cast("int").alias("salt"), "w")
+            .repartition(buckets, "hy_dm", "dst", "salt"))
+    name = f"ledgerprofile_edges_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    (laid.write.mode("overwrite").bucketBy(buckets, "hy_dm", "dst", "salt")
+     .option("path", path).saveAsTable(name))
+    base.unpersist()
+    return EdgeLayout(spark.table(name), hot, n_hot, hot_broadcast, buckets, name)
+
+
+def _multiply(layout: EdgeLayout, v: DataFrame, absolute: bool = False) -> DataFrame:
+    """(hy_dm, node, u) with u_i = sum_j w_ij * v_j (sum_j |w_ij * v_j| when ``absolute``).
+
+    ``v`` is fanned out to the hub buckets and shuffled onto the edge buckets; the edges
+    themselves are read in place.
     """
-    salts = (adj.groupBy("hy_dm", F.col("gf_nsrsbh").alias("node"))
-             .agg(F.count(F.lit(1)).alias("deg"))
-             .select("hy_dm", "node",
-                     F.greatest(F.lit(1), F.ceil(F.col("deg") / F.lit(float(hot_degree))))
-                     .cast("int").alias("n_salt"))
-             .checkpoint())
-    edges = (adj.join(salts.withColumnRenamed("node", "gf_nsrsbh"), ["hy_dm", "gf_nsrsbh"])
-             .select("hy_dm", F.col("xf_nsrsbh").alias("src"), F.col("gf_nsrsbh").alias("dst"),
-                     F.pmod(F.xxhash64("xf_nsrsbh"), F.col("n_salt")).cast("int").alias("salt"),
-                     "w")
-             .repartition(partitions, "hy_dm", "dst", "salt")
-             .checkpoint())
-    return edges, salts
-
-
-def _multiply(edges: DataFrame, v: DataFrame, salts: DataFrame, partitions: int,
-              absolute: bool = False) -> DataFrame:
-    """(hy_dm, node, u) with u_i = sum_j w_ij * v_j (sum_j |w_ij * v_j| when ``absolute``)."""
-    fanned = (v.join(salts, ["hy_dm", "node"])
+    hot = F.broadcast(layout.hot) if layout.hot_broadcast else layout.hot
+    n_salt = F.coalesce(F.col("n_salt"), F.lit(1))
+    if layout.n_hot:
+        v = v.join(hot, ["hy_dm", "node"], "left")
+    else:
+        v = v.withColumn("n_salt", F.lit(None).cast("int"))
+    fanned = (v
               .select("hy_dm", F.col("node").alias("dst"),
-                      F.explode(F.sequence(F.lit(0), F.col("n_salt") - 1)).alias("salt"), "v")
-              .repartition(partitions, "hy_dm", "dst", "salt"))
+                      F.explode(F.sequence(F.lit(0), n_salt - 1)).alias("salt"), "v")
+              .repartition(layout.buckets, "hy_dm", "dst", "salt"))
     term = F.col("w") * F.col("v")
-    return (edges.join(fanned, ["hy_dm", "dst", "salt"])
+    return (layout.edges.join(fanned, ["hy_dm", "dst", "salt"])
             .groupBy("hy_dm", F.col("src").alias("node"))
             .agg(F.sum(F.abs(term) if absolute else term).alias("u")))
 
@@ -127,8 +177,14 @@ def _normalise(u: DataFrame) -> DataFrame:
 
 
 def _iterate(adj: DataFrame, steps: int, min_nodes_exclusive: int, hot_degree: int,
-             tol: float | None, partitions: int | None):
-    """Run the power iteration; returns (v, edges, salts, partitions)."""
+             tol: float | None, partitions: int | None, checkpoint_every: int = 2):
+    """Run the power iteration; returns (v, layout).
+
+    Every ``checkpoint_every`` steps the raw product ``u`` is checkpointed (lineage cut,
+    so a lost executor recomputes at most that many steps); in between, ``u`` feeds both
+    its norms and the next product inside one plan, where the shared shuffle stage is
+    computed once and reused.
+    """
     spark = adj.sparkSession
     checkpoint_dir(spark)
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -137,10 +193,14 @@ def _iterate(adj: DataFrame, steps: int, min_nodes_exclusive: int, hot_degree: i
             .groupBy("hy_dm").agg(F.count(F.lit(1)).alias("n_nodes"))
             .where(F.col("n_nodes") > min_nodes_exclusive).select("hy_dm"))
     # one row per industry code: bounded by the classification, broadcast
-    edges, salts = _layout(adj.join(F.broadcast(keep), "hy_dm"), hot_degree, parts)
-    v = salts.select("hy_dm", "node", F.lit(1.0).alias("v")).checkpoint()
+    layout = _layout(adj.join(F.broadcast(keep), "hy_dm"), hot_degree, parts)
+    v = (layout.edges.select("hy_dm", F.col("dst").alias("node")).distinct()
+         .select("hy_dm", "node", F.lit(1.0).alias("v")))
     for step in range(steps):
-        new_v = _normalise(_multiply(edges, v, salts, parts)).checkpoint()
+        u = _multiply(layout, v)
+        if (step + 1) % checkpoint_every == 0 or step == steps - 1:
+            u = u.checkpoint()
+        new_v = _normalise(u)
         converged = False
         if tol is not None and step % 2 == 1:
             moved = (new_v.join(v.withColumnRenamed("v", "v_old"), ["hy_dm", "node"])
@@ -149,7 +209,7 @@ def _iterate(adj: DataFrame, steps: int, min_nodes_exclusive: int, hot_degree: i
         v = new_v
         if converged:
             break
-    return v, edges, salts, parts
+    return v, layout
 
 
 def leading_eigenvector(adj: DataFrame, steps: int = DEFAULT_STEPS,
@@ -163,8 +223,10 @@ def leading_eigenvector(adj: DataFrame, steps: int = DEFAULT_STEPS,
     entry moved by more than ``tol`` over a double step (one small action per check).
     Industries with at most ``min_nodes_exclusive`` nodes are skipped.
     """
-    v, _, _, _ = _iterate(adj, steps, min_nodes_exclusive, hot_degree, tol, partitions)
-    return v.select("hy_dm", F.col("node").alias("nsrsbh"), "v")
+    v, layout = _iterate(adj, steps, min_nodes_exclusive, hot_degree, tol, partitions)
+    out = v.select("hy_dm", F.col("node").alias("nsrsbh"), "v").checkpoint()
+    layout.drop()
+    return out
 
 
 # M5 -------------------------------------------------------------------------------------
@@ -176,6 +238,7 @@ def eigenvector_centrality(adj: DataFrame, steps: int = DEFAULT_STEPS,
 
     Only industries with more than ``min_nodes_exclusive`` nodes; self-loops count.
     """
-    v, edges, salts, parts = _iterate(adj, steps, min_nodes_exclusive, hot_degree, tol, partitions)
-    c = _multiply(edges, v, salts, parts, absolute=True)
+    v, layout = _iterate(adj, steps, min_nodes_exclusive, hot_degree, tol, partitions)
+    c = _multiply(layout, v, absolute=True).checkpoint()
+    layout.drop()
     return c.select("hy_dm", F.col("node").alias("nsrsbh"), F.col("u").alias("centrality"))
