@@ -12,7 +12,7 @@ months); it has at most one row per month of the period.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerprofile.functions.scalars import digit_count, period_between, round_half_up
@@ -28,15 +28,29 @@ def in_period(monthly: DataFrame, start: int, end: int, value: str = "xxje") ->
     return monthly.where(period_between("ny", start, end)).select("nsrsbh", "ny", value)
 
 
-def month_axis(series: DataFrame) -> DataFrame:
-    """(ny, idx): the months present, numbered 0.. in order.  One row per month."""
-    months = series.select("ny").distinct()
-    return months.select("ny", (F.row_number().over(Window.orderBy("ny")) - 1).alias("idx"))
+def period_months(series: DataFrame) -> list[int]:
+    """The sorted months present in ``series`` (already cut to a period).
+
+    At most one value per month of the period, so the list is bounded by the period length,
+    not by the data; one small job (a pruned scan of the month column) computes it.
+    """
+    return sorted(int(r[0]) for r in series.select("ny").distinct().collect())
+
+
+def month_index(months: list[int]) -> Column:
+    """0-based position of ``ny`` in ``months`` (a literal array: no join, no shuffle)."""
+    return F.array_position(F.array(*[F.lit(int(m)) for m in months]), F.col("ny")).cast("int") - 1
 
 
 def monthly_means(series: DataFrame, value: str = "xxje") -> DataFrame:
-    """(nsrsbh, ny, x): mean of ``value`` per taxpayer-month (NULL when all are NULL)."""
-    return series.groupBy("nsrsbh", "ny").agg(F.avg(value).alias("x"))
+    """(nsrsbh, ny, x): mean of ``value`` per taxpayer-month (NULL when all are NULL).
+
+    The input is first hash-partitioned by taxpayer alone: that placement already groups
+    (taxpayer, month) for the mean *and* taxpayer for the per-taxpayer windows that
+    follow, so the whole statistic costs one shuffle.  A taxpayer holds at most one row per
+    month of the period (per industry row), so no partition can be hot.
+    """
+    return series.repartition("nsrsbh").groupBy("nsrsbh", "ny").agg(F.avg(value).alias("x"))
 
 
 # A7 -------------------------------------------------------------------------------------
@@ -49,7 +63,7 @@ def monthly_pivot(monthly: DataFrame, start: int, end: int, months: list[int] |
     """
     s = in_period(monthly, start, end, value)
     if months is None:
-        months = sorted(r[0] for r in s.select("ny").distinct().collect())
+        months = period_months(s)
     return s.groupBy("nsrsbh").pivot("ny", [int(m) for m in months]).agg(F.avg(value))
 
 
@@ -74,7 +88,7 @@ def growth_slope(monthly: DataFrame, start: int, end: int, ridge: float = DEFAUL
     The slope is rounded to 3 digits.
     """
     s = in_period(monthly, start, end, value)
-    n_months = s.select(F.count_distinct("ny")).scalar()
+    n_months = len(period_months(s))
     means = monthly_means(s, value)
     by_taxpayer = Window.partitionBy("nsrsbh")
     seq = means.select(
@@ -82,7 +96,7 @@ def growth_slope(monthly: DataFrame, start: int, end: int, ridge: float = DEFAUL
         F.count("x").over(by_taxpayer).alias("n_x"),
         F.min("x").over(by_taxpayer).alias("x_min"),
         (F.row_number().over(by_taxpayer.orderBy("ny")) - 1).cast("double").alias("i"),
-    ).where(F.col("n_x") == n_months)
+    ).where(F.col("n_x") == F.lit(n_months))
     y = round_half_up("x", GROWTH_DIGITS) / F.pow(F.lit(10.0), digit_count("x_min").cast("double"))
     fit = seq.select("nsrsbh", "i", y.alias("y")).groupBy("nsrsbh").agg(
         F.covar_pop("i", "y").alias("cov"), F.var_pop("i").alias("var_i"),
@@ -108,22 +122,22 @@ def autocorrelation(monthly: DataFrame, start: int, end: int, lag: int,
     if lag < 1:
         raise ValueError("lag must be >= 1")
     s = in_period(monthly, start, end, value)
-    axis = month_axis(s)
-    n_months = axis.select(F.count(F.lit(1))).scalar()
+    months = period_months(s)
+    n_months = len(months)
     k = int(lag)
     rows = (monthly_means(s, value)
-            .join(axis, "ny")
-            .select("nsrsbh", "idx", F.coalesce(F.col("x"), F.lit(0.0)).alias("x")))
+            .select("nsrsbh", month_index(months).alias("idx"),
+                    F.coalesce(F.col("x"), F.lit(0.0)).alias("x")))
     by_taxpayer = Window.partitionBy("nsrsbh")
     ordered = by_taxpayer.orderBy("idx")
-    mean = F.sum("x").over(by_taxpayer) / n_months
+    mean = F.sum("x").over(by_taxpayer) / F.lit(float(n_months))
     ahead = F.max("x").over(ordered.rangeBetween(k, k))          # x at idx+lag, NULL if absent
     behind = F.count("x").over(ordered.rangeBetween(-k, -k))     # 1 if idx-lag present
     t = rows.select("nsrsbh", "idx", "x", mean.alias("m"), ahead.alias("x_ahead"),
                     behind.alias("has_behind"))
     d = F.col("x") - F.col("m")
     m = F.col("m")
-    fwd_ok = F.col("idx") < (n_months - k)
+    fwd_ok = F.col("idx") < F.lit(n_months - k)
     bwd_only = (F.col("idx") >= k) & (F.col("has_behind") == 0)
     partner = F.coalesce(F.col("x_ahead") - m, -m)
     agg = t.groupBy("nsrsbh").agg(
@@ -136,9 +150,9 @@ def autocorrelation(monthly: DataFrame, start: int, end: int, lag: int,
         F.count_if(bwd_only).alias("n_bwd"),
     )
     m = F.col("m")
-    pairs = F.greatest(F.lit(0), n_months - k)
+    pairs = F.lit(max(0, n_months - k))
     both_missing = pairs - F.col("n_fwd") - F.col("n_bwd")
-    variance = F.col("ss_present") + (n_months - F.col("n_present")) * m * m
+    variance = F.col("ss_present") + (F.lit(n_months) - F.col("n_present")) * m * m
     numerator = F.col("fwd") + F.col("bwd") + both_missing * m * m
     coefficient = F.when(variance == 0, F.lit(float("nan"))).otherwise(
         round_half_up(numerator / variance, CORRELATION_DIGITS))
