@@ -26,7 +26,7 @@ executor recomputes at most one step.
 The iteration runs an even number of single steps from a uniform start, i.e. power
 iteration on A^2 - the Gram matrix A^T A of the symmetric adjacency - so bipartite graphs
 (eigenvalues +-lambda) still converge: to the projection of the uniform start on the top
-eigenspace.  ``v`` is L2-normalised per industry after every step.
+eigenspace.  ``v`` is L2-normalised per industry after every pair of steps.
 """
 
 from __future__ import annotations
@@ -111,10 +111,17 @@ class EdgeLayout:
 
 
 def _layout(adj: DataFrame, hot_degree: int, buckets: int,
+            min_nodes_exclusive: int = MIN_NODES_EXCLUSIVE,
             hot_broadcast_rows: int = HOT_BROADCAST_ROWS) -> EdgeLayout:
     spark = adj.sparkSession
+    # The adjacency is read three times below (node counts, degrees, the layout write):
+    # persist it so its upstream runs once.
     base = adj.select("hy_dm", "xf_nsrsbh", "gf_nsrsbh", "w").persist(StorageLevel.MEMORY_AND_DISK)
-    adj = base
+    keep = (base.select("hy_dm", "xf_nsrsbh").distinct()
+            .groupBy("hy_dm").agg(F.count(F.lit(1)).alias("n_nodes"))
+            .where(F.col("n_nodes") > min_nodes_exclusive).select("hy_dm"))
+    # one row per industry code: bounded by the classification, broadcast
+    adj = base.join(F.broadcast(keep), "hy_dm")
     deg = adj.groupBy("hy_dm", F.col("gf_nsrsbh").alias("node")).agg(F.count(F.lit(1)).alias("deg"))
     hot = (deg.where(F.col("deg") > hot_degree)
            .select("hy_dm", "node", F.ceil(F.col("deg") / F.lit(float(hot_degree))).cast("int")
@@ -159,7 +166,9 @@ def _multiply(layout: EdgeLayout, v: DataFrame, absolute: bool = False) -> DataF
                       F.explode(F.sequence(F.lit(0), n_salt - 1)).alias("salt"), "v")
               .repartition(layout.buckets, "hy_dm", "dst", "salt"))
     term = F.col("w") * F.col("v")
-    return (layout.edges.join(fanned, ["hy_dm", "dst", "salt"])
+    # Hash the (small) vector side per task and stream the edge bucket past it: no sort
+    # and no shuffle of the edges, and no broadcast of the edge list however small it is.
+    return (layout.edges.join(fanned.hint("shuffle_hash"), ["hy_dm", "dst", "salt"])
             .groupBy("hy_dm", F.col("src").alias("node"))
             .agg(F.sum(F.abs(term) if absolute else term).alias("u")))
 
@@ -177,32 +186,28 @@ def _normalise(u: DataFrame) -> DataFrame:
 
 
 def _iterate(adj: DataFrame, steps: int, min_nodes_exclusive: int, hot_degree: int,
-             tol: float | None, partitions: int | None, checkpoint_every: int = 2):
+             tol: float | None, partitions: int | None):
     """Run the power iteration; returns (v, layout).
 
-    Every ``checkpoint_every`` steps the raw product ``u`` is checkpointed (lineage cut,
-    so a lost executor recomputes at most that many steps); in between, ``u`` feeds both
-    its norms and the next product inside one plan, where the shared shuffle stage is
-    computed once and reused.
+    Steps go in pairs: v <- normalise(A (A v)).  Scaling does not change the direction a
+    power iteration converges to, so normalising once per pair (a step of power iteration
+    on A^2) gives the same vector as normalising every step, with half the norm jobs.  The
+    pair's product is checkpointed (lineage cut: a lost executor recomputes at most two
+    products); the normalised ``v`` is a cheap projection of it.
     """
     spark = adj.sparkSession
     checkpoint_dir(spark)
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    steps = max(2, steps + (steps % 2))
-    keep = (adj.select("hy_dm", "xf_nsrsbh").distinct()
-            .groupBy("hy_dm").agg(F.count(F.lit(1)).alias("n_nodes"))
-            .where(F.col("n_nodes") > min_nodes_exclusive).select("hy_dm"))
-    # one row per industry code: bounded by the classification, broadcast
-    layout = _layout(adj.join(F.broadcast(keep), "hy_dm"), hot_degree, parts)
+    pairs = max(1, (steps + 1) // 2)
+    layout = _layout(adj, hot_degree, parts, min_nodes_exclusive)
     v = (layout.edges.select("hy_dm", F.col("dst").alias("node")).distinct()
          .select("hy_dm", "node", F.lit(1.0).alias("v")))
-    for step in range(steps):
-        u = _multiply(layout, v)
-        if (step + 1) % checkpoint_every == 0 or step == steps - 1:
-            u = u.checkpoint()
+    for _ in range(pairs):
+        half = _multiply(layout, v).withColumnRenamed("u", "v")
+        u = _multiply(layout, half).checkpoint()
         new_v = _normalise(u)
         converged = False
-        if tol is not None and step % 2 == 1:
+        if tol is not None:
             moved = (new_v.join(v.withColumnRenamed("v", "v_old"), ["hy_dm", "node"])
                      .agg(F.max(F.abs(F.col("v") - F.col("v_old")))).first()[0])
             converged = moved is not None and moved < tol
@@ -218,9 +223,9 @@ def leading_eigenvector(adj: DataFrame, steps: int = DEFAULT_STEPS,
                         partitions: int | None = None) -> DataFrame:
     """(hy_dm, nsrsbh, v): the leading eigenvector of every large industry's adjacency.
 
-    ``steps`` single multiplications (rounded up to an even count) from v = 1, each
-    followed by per-industry L2 normalisation.  With ``tol``, iteration stops early once no
-    entry moved by more than ``tol`` over a double step (one small action per check).
+    ``steps`` single multiplications (rounded up to an even count) from v = 1, with
+    per-industry L2 normalisation after every pair.  With ``tol``, iteration stops early
+    once no entry moved by more than ``tol`` over a pair (one small action per check).
     Industries with at most ``min_nodes_exclusive`` nodes are skipped.
     """
     v, layout = _iterate(adj, steps, min_nodes_exclusive, hot_degree, tol, partitions)

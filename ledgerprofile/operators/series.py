@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerprofile.functions.scalars import digit_count, period_between, round_half_up
+from ledgerprofile.session import checkpoint_dir
 
 GROWTH_DIGITS = 3
 CORRELATION_DIGITS = 6
@@ -28,6 +29,16 @@ def in_period(monthly: DataFrame, start: int, end: int, value: str = "xxje") ->
     return monthly.where(period_between("ny", start, end)).select("nsrsbh", "ny", value)
 
 
+def materialised_period(monthly: DataFrame, start: int, end: int, value: str = "xxje") -> DataFrame:
+    """``in_period`` written once to the checkpoint folder.
+
+    The month list and the statistic both read it, so the upstream (e.g. invoices ->
+    monthly totals) runs once and the lineage is cut.
+    """
+    checkpoint_dir(monthly.sparkSession)
+    return in_period(monthly, start, end, value).checkpoint()
+
+
 def period_months(series: DataFrame) -> list[int]:
     """The sorted months present in ``series`` (already cut to a period).
 
@@ -61,9 +72,11 @@ def monthly_pivot(monthly: DataFrame, start: int, end: int, months: list[int] |
     Pass ``months`` to skip the value-discovery job; otherwise the distinct months of the
     period are collected (at most one per month of the period).
     """
-    s = in_period(monthly, start, end, value)
     if months is None:
+        s = materialised_period(monthly, start, end, value)
         months = period_months(s)
+    else:
+        s = in_period(monthly, start, end, value)
     return s.groupBy("nsrsbh").pivot("ny", [int(m) for m in months]).agg(F.avg(value))
 
 
@@ -87,7 +100,7 @@ def growth_slope(monthly: DataFrame, start: int, end: int, ridge: float = DEFAUL
     ``ridge=0`` is ordinary least squares.  Constant labels or a single month give 0.
     The slope is rounded to 3 digits.
     """
-    s = in_period(monthly, start, end, value)
+    s = materialised_period(monthly, start, end, value)
     n_months = len(period_months(s))
     means = monthly_means(s, value)
     by_taxpayer = Window.partitionBy("nsrsbh")
@@ -121,7 +134,7 @@ def autocorrelation(monthly: DataFrame, start: int, end: int, lag: int,
     """
     if lag < 1:
         raise ValueError("lag must be >= 1")
-    s = in_period(monthly, start, end, value)
+    s = materialised_period(monthly, start, end, value)
     months = period_months(s)
     n_months = len(months)
     k = int(lag)
