@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerprofile.functions.scalars import month_key, non_empty, period_between
+from ledgerprofile.session import checkpoint_dir
 
 
 def _classified(registry: DataFrame) -> DataFrame:
@@ -99,6 +100,28 @@ def industry_monthly_for_tags(sales: DataFrame, purchases: DataFrame, registry:
                     F.col("jx").cast("double").alias("jxje"), F.col("xx").cast("double").alias("xxje")))
 
 
+def monthly_tables(sales: DataFrame, purchases: DataFrame, registry: DataFrame,
+                   materialise: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(taxpayer months, industry months) under the tag jobs' names, from one A1 pass.
+
+    Both come from the same exact taxpayer-month totals; with ``materialise`` those are
+    written once to the checkpoint folder (lineage cut), so every tag job that reads either
+    table reuses them instead of re-reading the invoices.
+    """
+    exact = taxpayer_monthly(sales, purchases, registry, as_double=False)
+    if materialise:
+        checkpoint_dir(exact.sparkSession)
+        exact = exact.checkpoint()
+    taxpayers = exact.select(
+        "hy_dm", "nsrsbh", "ny", F.col("lirun").cast("double").alias("lr"),
+        F.col("jxje").cast("double").alias("jxje"), F.col("xxje").cast("double").alias("xxje"))
+    industries = (exact.groupBy("hy_dm", "ny")
+                  .agg(F.sum("xxje").alias("xx"), F.sum("jxje").alias("jx"))
+                  .select("hy_dm", "ny", (F.col("xx") - F.col("jx")).cast("double").alias("lr"),
+                          F.col("jx").cast("double").alias("jxje"), F.col("xx").cast("double").alias("xxje")))
+    return taxpayers, industries
+
+
 # A3 -------------------------------------------------------------------------------------
 def pair_monthly_sales(sales: DataFrame, registry: DataFrame) -> DataFrame:
     """Seller->buyer monthly sales: (hy_dm, xf_nsrsbh, gf_nsrsbh, ny, xxyje).

@@ -40,6 +40,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: tuple[DataFrame, DataFrame] | None = None
 
     def sales(self) -> DataFrame:
         return loaders.sales_invoices(testdata.sales_invoice_table(self.spark, self.sf_dir))
@@ -53,18 +54,25 @@ class Inputs:
     def registry_maps(self) -> DataFrame:
         return testdata.registry_maps_table(self.spark, self.sf_dir)
 
+    def _monthly(self) -> tuple[DataFrame, DataFrame]:
+        """Taxpayer and industry months from one materialised A1 pass, read back through
+        the warehouse column names (S8, S9)."""
+        if self._tables is None:
+            t, h = summary.monthly_tables(self.sales(), self.purchases(), self.registry())
+            tw = t.select(F.col("hy_dm").alias("hy_key"), F.col("nsrsbh").alias("nsr_key"),
+                          F.col("ny").alias("date_key"), "lr", "jxje", "xxje")
+            hw = h.select(F.col("hy_dm").alias("hy_key"), F.col("ny").alias("date_key"),
+                          "lr", "jxje", "xxje")
+            self._tables = (loaders.taxpayer_monthly_table(tw), loaders.industry_monthly_table(hw))
+        return self._tables
+
     def taxpayer_months(self) -> DataFrame:
-        """(hy_dm, nsrsbh, ny, lr, jxje, xxje), read back through the warehouse names."""
-        t = summary.taxpayer_monthly_for_tags(self.sales(), self.purchases(), self.registry())
-        warehouse = t.select(F.col("hy_dm").alias("hy_key"), F.col("nsrsbh").alias("nsr_key"),
-                             F.col("ny").alias("date_key"), "lr", "jxje", "xxje")
-        return loaders.taxpayer_monthly_table(warehouse)
+        """(hy_dm, nsrsbh, ny, lr, jxje, xxje)."""
+        return self._monthly()[0]
 
     def industry_months(self) -> DataFrame:
-        h = summary.industry_monthly_for_tags(self.sales(), self.purchases(), self.registry())
-        warehouse = h.select(F.col("hy_dm").alias("hy_key"), F.col("ny").alias("date_key"),
-                             "lr", "jxje", "xxje")
-        return loaders.industry_monthly_table(warehouse)
+        """(hy_dm, ny, lr, jxje, xxje)."""
+        return self._monthly()[1]
 
     def pair_months(self) -> DataFrame:
         p = summary.pair_monthly_for_tags(self.sales(), self.registry())
@@ -305,11 +313,14 @@ def q_growth_level(spark, sf_dir):
 
 
 def q_enterprise_profile(spark, sf_dir):
+    i = Inputs(spark, sf_dir)           # one monthly summary shared by every tag
+    months = i.taxpayer_months()
+    reg = loaders.foreign_trade_registry(i.registry_maps())
     return tags.enterprise_profile(
-        q_tag_foreign_trade(spark, sf_dir),
-        q_tag_fast_growth(spark, sf_dir),
-        q_tag_periodic(spark, sf_dir),
-        q_tag_industry_leader(spark, sf_dir),
+        tags.tag_foreign_trade(reg, START, END, TAG_TIME),
+        tags.tag_fast_growth(months, START, END, RATIO, tag_time=TAG_TIME),
+        tags.tag_periodic(months, START, END, LAG, RATIO, tag_time=TAG_TIME),
+        tags.tag_industry_leader(months, i.industry_months(), START, END, 1, SHARE_DIGITS, TAG_TIME),
     )
 
 
