@@ -9,19 +9,20 @@ Power iteration at scale
 ``v <- A v`` is a join of the edge list with ``v`` on the *target* node followed by a sum
 per *source* node.  The edge list is by far the largest input, so it is laid out once as
 a bucketed table on its join key (written into the session's checkpoint folder), and each
-step only moves ``v`` (one row per node) and the map-side-combined partial sums; the
-bucketed scan needs no exchange on the edge side.
+step only moves the map-side-combined partial sums (and, after a checkpoint, ``v`` - one
+row per node).  The bucketed scan needs no exchange on the edge side, and the product of
+one step is already partitioned like the buckets, so the next step joins it in place.
 
 A hub node (one buyer trading with a third of all sellers) would put all of its edges in
-one partition.  Nodes whose degree exceeds ``hot_degree`` are therefore *salted*: their
-edges are spread over ``ceil(degree / hot_degree)`` buckets (by a hash of the other end),
-and their ``v`` row is replicated once per bucket.  The result is exact; only the
-placement changes.  The hub list is at most (#edges / hot_degree) rows; it is broadcast
-only after a count shows it under ``HOT_BROADCAST_ROWS``, and shuffle-joined otherwise.
+one bucket.  Edges into nodes whose degree exceeds ``hot_degree`` are therefore kept
+apart and streamed wherever they lie against a broadcast of the hubs' vector entries.  At
+most (#edges / hot_degree) nodes can be hubs; the list is counted, and if it ever exceeds
+``HOT_BROADCAST_ROWS`` the threshold is raised to #edges / HOT_BROADCAST_ROWS, which bounds
+it.  The result is exact; only the placement changes.
 
-Each step's product is cut from its lineage with a reliable ``checkpoint()`` into the
-session's checkpoint folder, so the plan does not grow with the step count and a lost
-executor recomputes at most one step.
+The product of every pair of steps is cut from its lineage with a reliable
+``checkpoint()`` into the session's checkpoint folder, so the plan does not grow with the
+step count and a lost executor recomputes at most two products.
 
 The iteration runs an even number of single steps from a uniform start, i.e. power
 iteration on A^2 - the Gram matrix A^T A of the symmetric adjacency - so bipartite graphs
@@ -41,8 +42,8 @@ from ledgerprofile.session import checkpoint_dir
 
 DEFAULT_STEPS = 20
 MIN_NODES_EXCLUSIVE = 5          # industries with at most this many nodes are skipped
-DEFAULT_HOT_DEGREE = 1_000_000   # edges per salt bucket of a hub node
-HOT_BROADCAST_ROWS = 1_000_000   # hub lists up to this many rows are broadcast
+DEFAULT_HOT_DEGREE = 1_000_000   # nodes with more in-edges are hubs
+HOT_BROADCAST_ROWS = 100_000     # bound on the broadcast hub list
 
 
 # U1 -------------------------------------------------------------------------------------
@@ -89,19 +90,20 @@ def large_industries(sym_edges: DataFrame, min_nodes_exclusive: int = MIN_NODES_
 class EdgeLayout:
     """The edge list laid out for repeated multiplication.
 
-    ``edges`` (hy_dm, src, dst, salt, w) is a bucketed table on (hy_dm, dst, salt) with
-    ``buckets`` buckets, written once into the session's checkpoint folder: every step
-    joins it without moving it.  ``hot`` (hy_dm, node, n_salt) lists the hub nodes whose
-    edges are split over ``n_salt`` buckets; ``hot_broadcast`` says whether its checked
-    size allows a broadcast join.
+    ``edges`` (hy_dm, src, dst, w) holds the edges into ordinary nodes as a bucketed table
+    on (hy_dm, dst) with ``buckets`` buckets, written once into the session's checkpoint
+    folder: every step joins it where it lies.  ``hot_edges`` (same columns, or None) holds
+    the edges into hub nodes, listed in ``hot`` (hy_dm, node); the hub list is small by
+    construction and checked, so the hubs' vector entries are broadcast to wherever their
+    edges are.  ``nodes`` (hy_dm, node) lists every node.
     """
 
-    def __init__(self, edges: DataFrame, hot: DataFrame, n_hot: int, hot_broadcast: bool,
-                 buckets: int, table: str):
+    def __init__(self, edges: DataFrame, hot_edges: DataFrame | None, hot: DataFrame,
+                 nodes: DataFrame, buckets: int, table: str):
         self.edges = edges
+        self.hot_edges = hot_edges
         self.hot = hot
-        self.n_hot = n_hot
-        self.hot_broadcast = hot_broadcast
+        self.nodes = nodes
         self.buckets = buckets
         self.table = table
 
@@ -114,63 +116,64 @@ def _layout(adj: DataFrame, hot_degree: int, buckets: int,
             min_nodes_exclusive: int = MIN_NODES_EXCLUSIVE,
             hot_broadcast_rows: int = HOT_BROADCAST_ROWS) -> EdgeLayout:
     spark = adj.sparkSession
-    # The adjacency is read three times below (node counts, degrees, the layout write):
-    # persist it so its upstream runs once.
+    # The adjacency is read several times below (node counts, degrees, the two layout
+    # writes): persist it so its upstream runs once.
     base = adj.select("hy_dm", "xf_nsrsbh", "gf_nsrsbh", "w").persist(StorageLevel.MEMORY_AND_DISK)
     keep = (base.select("hy_dm", "xf_nsrsbh").distinct()
             .groupBy("hy_dm").agg(F.count(F.lit(1)).alias("n_nodes"))
             .where(F.col("n_nodes") > min_nodes_exclusive).select("hy_dm"))
     # one row per industry code: bounded by the classification, broadcast
-    adj = base.join(F.broadcast(keep), "hy_dm")
-    deg = adj.groupBy("hy_dm", F.col("gf_nsrsbh").alias("node")).agg(F.count(F.lit(1)).alias("deg"))
-    hot = (deg.where(F.col("deg") > hot_degree)
-           .select("hy_dm", "node", F.ceil(F.col("deg") / F.lit(float(hot_degree))).cast("int")
-                   .alias("n_salt"))
-           .checkpoint())
-    # At most (#edges / hot_degree) hub nodes exist, and the count is checked before any
-    # broadcast; beyond the limit the hub list is shuffle-joined instead.
+    edges = base.join(F.broadcast(keep), "hy_dm").select(
+        "hy_dm", F.col("xf_nsrsbh").alias("src"), F.col("gf_nsrsbh").alias("dst"), "w")
+    deg = (edges.groupBy("hy_dm", F.col("dst").alias("node"))
+           .agg(F.count(F.lit(1)).alias("deg")).checkpoint())
+    threshold = hot_degree
+    hot = deg.where(F.col("deg") > threshold).select("hy_dm", "node").checkpoint()
     n_hot = hot.count()
-    hot_broadcast = n_hot <= hot_broadcast_rows
-    hot_side = F.broadcast(hot) if hot_broadcast else hot
-    n_salt = F.coalesce(F.col("n_salt"), F.lit(1))
+    if n_hot > hot_broadcast_rows:
+        # At most #edges / threshold nodes can exceed the threshold: raising it to
+        # #edges / limit bounds the hub list by the broadcast limit, whatever the data.
+        threshold = max(hot_degree, -(-deg.agg(F.sum("deg")).first()[0] // hot_broadcast_rows))
+        hot = deg.where(F.col("deg") > threshold).select("hy_dm", "node").checkpoint()
+        n_hot = hot.count()
+    hot_edges = None
     if n_hot:
-        adj = adj.join(hot_side.withColumnRenamed("node", "gf_nsrsbh"), ["hy_dm", "gf_nsrsbh"], "left")
-    else:
-        adj = adj.withColumn("n_salt", F.lit(None).cast("int"))
-    laid = (adj
-            .select("hy_dm", F.col("xf_nsrsbh").alias("src"), F.col("gf_nsrsbh").alias("dst"),
-                    F.pmod(F.xxhash64("xf_nsrsbh"), n_salt).cast("int").alias("salt"), "w")
-            .repartition(buckets, "hy_dm", "dst", "salt"))
+        flagged = edges.join(F.broadcast(hot.select("hy_dm", F.col("node").alias("dst"),
+                                                    F.lit(True).alias("is_hot"))),
+                             ["hy_dm", "dst"], "left")
+        hot_edges = flagged.where(F.col("is_hot").isNotNull()).drop("is_hot").checkpoint()
+        edges = flagged.where(F.col("is_hot").isNull()).drop("is_hot")
     name = f"ledgerprofile_edges_{uuid.uuid4().hex}"
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
-    (laid.write.mode("overwrite").bucketBy(buckets, "hy_dm", "dst", "salt")
+    (edges.repartition(buckets, "hy_dm", "dst")
+     .write.mode("overwrite").bucketBy(buckets, "hy_dm", "dst")
      .option("path", path).saveAsTable(name))
     base.unpersist()
-    return EdgeLayout(spark.table(name), hot, n_hot, hot_broadcast, buckets, name)
+    return EdgeLayout(spark.table(name), hot_edges, hot, deg.select("hy_dm", "node"), buckets, name)
 
 
 def _multiply(layout: EdgeLayout, v: DataFrame, absolute: bool = False) -> DataFrame:
     """(hy_dm, node, u) with u_i = sum_j w_ij * v_j (sum_j |w_ij * v_j| when ``absolute``).
 
-    ``v`` is fanned out to the hub buckets and shuffled onto the edge buckets; the edges
-    themselves are read in place.
+    The ordinary edges are read in place from their buckets; ``v`` is hash-partitioned the
+    same way - already so when it is the previous product - and a per-task hash map of
+    its slice is probed by the streamed edges (no sort, no edge shuffle, no edge
+    broadcast).  Edges into hubs are streamed against the broadcast hub entries of ``v``.
+    The sums are combined map-side before the one shuffle by source node.
     """
-    hot = F.broadcast(layout.hot) if layout.hot_broadcast else layout.hot
-    n_salt = F.coalesce(F.col("n_salt"), F.lit(1))
-    if layout.n_hot:
-        v = v.join(hot, ["hy_dm", "node"], "left")
-    else:
-        v = v.withColumn("n_salt", F.lit(None).cast("int"))
-    fanned = (v
-              .select("hy_dm", F.col("node").alias("dst"),
-                      F.explode(F.sequence(F.lit(0), n_salt - 1)).alias("salt"), "v")
-              .repartition(layout.buckets, "hy_dm", "dst", "salt"))
+    vt = v.select("hy_dm", F.col("node").alias("dst"), "v")
     term = F.col("w") * F.col("v")
-    # Hash the (small) vector side per task and stream the edge bucket past it: no sort
-    # and no shuffle of the edges, and no broadcast of the edge list however small it is.
-    return (layout.edges.join(fanned.hint("shuffle_hash"), ["hy_dm", "dst", "salt"])
-            .groupBy("hy_dm", F.col("src").alias("node"))
-            .agg(F.sum(F.abs(term) if absolute else term).alias("u")))
+    term = F.abs(term) if absolute else term
+    terms = (layout.edges.join(vt.hint("shuffle_hash"), ["hy_dm", "dst"])
+             .select("hy_dm", "src", term.alias("t")))
+    if layout.hot_edges is not None:
+        # at most HOT_BROADCAST_ROWS entries (checked in _layout)
+        v_hot = vt.join(F.broadcast(layout.hot.withColumnRenamed("node", "dst")),
+                        ["hy_dm", "dst"], "left_semi")
+        hot_terms = (layout.hot_edges.join(F.broadcast(v_hot), ["hy_dm", "dst"])
+                     .select("hy_dm", "src", term.alias("t")))
+        terms = terms.unionByName(hot_terms)
+    return terms.groupBy("hy_dm", F.col("src").alias("node")).agg(F.sum("t").alias("u"))
 
 
 def _normalise(u: DataFrame) -> DataFrame:
@@ -200,10 +203,12 @@ def _iterate(adj: DataFrame, steps: int, min_nodes_exclusive: int, hot_degree: i
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = max(1, (steps + 1) // 2)
     layout = _layout(adj, hot_degree, parts, min_nodes_exclusive)
-    v = (layout.edges.select("hy_dm", F.col("dst").alias("node")).distinct()
-         .select("hy_dm", "node", F.lit(1.0).alias("v")))
+    v = layout.nodes.select("hy_dm", "node", F.lit(1.0).alias("v"))
     for _ in range(pairs):
         half = _multiply(layout, v).withColumnRenamed("u", "v")
+        if layout.hot_edges is not None:
+            # the hub entries of ``half`` are read by a second branch: materialise it once
+            half = half.checkpoint()
         u = _multiply(layout, half).checkpoint()
         new_v = _normalise(u)
         converged = False

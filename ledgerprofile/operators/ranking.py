@@ -8,7 +8,7 @@ ships at most ``n`` rows per map task.
 
 Top fraction keeps the ``k`` best rows of the whole table, where ``k`` follows from the row
 count.  Small ``k`` uses Spark's bounded top-k (``TakeOrderedAndProject``: a k-row heap per
-task).  Large ``k`` never goes through one task: the table is range-partitioned on the
+task, then one merge of tasks x k rows).  Large ``k`` never goes through one task: the table is range-partitioned on the
 ranking key (ties spread over partitions because the id is part of the key), each row gets
 its position inside its partition, per-partition counts turn into offsets (one row per
 partition), and the global position is offset + local position.  The range-partitioned
@@ -24,8 +24,9 @@ from ledgerprofile.session import checkpoint_dir
 
 from ledgerprofile.functions.scalars import positive_finite
 
-# Largest k served by the bounded top-k path; above it the distributed path runs.
-BOUNDED_TOPK_LIMIT = 10_000
+# Largest k served by the bounded top-k path; above it the distributed path runs.  The
+# bounded path merges (tasks x k) rows in one final task, so k stays small.
+BOUNDED_TOPK_LIMIT = 1_000
 LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index
 
 

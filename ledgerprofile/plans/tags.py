@@ -20,6 +20,7 @@ from ledgerprofile.functions.scalars import round_half_up, safe_share
 from ledgerprofile.functions.tagrows import TAG_COLUMNS, TagKey, to_tags
 from ledgerprofile.operators import graph, ranking, series
 from ledgerprofile.operators.summary import taxpayer_vs_industry
+from ledgerprofile.session import checkpoint_dir
 from ledgerprofile.sources.loaders import trade_pair_totals
 
 SHARE_DIGITS = 6
@@ -146,6 +147,8 @@ def growth_level(slopes: DataFrame, stable_below: float = 0.1, band: float = 0.0
     falling side mirrors it with negative levels (steepest fall = -5).  Positions come from
     a distributed global ranking; nothing is collected.
     """
+    checkpoint_dir(slopes.sparkSession)
+    slopes = slopes.checkpoint()         # both sides and their counts read it
     v = F.col(value)
     rising = slopes.where(v >= stable_below)
     falling = slopes.where(v <= -stable_below)

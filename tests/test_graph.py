@@ -91,8 +91,8 @@ def test_star_and_two_components(spark):
         assert c2[k] == pytest.approx(want2[k], rel=1e-9, abs=1e-12)
 
 
-def test_salted_hub_is_exact(spark):
-    # one hub trading with every other node: salt it into many buckets
+def test_hub_path_is_exact(spark):
+    # one hub trading with every other node: its in-edges go through the broadcast hub path
     edges = [("HUB", f"N{i:02d}", float(i + 1)) for i in range(30)] + \
             [(f"N{i:02d}", f"N{i + 1:02d}", 2.0) for i in range(29)]
     adj = _adj(spark, edges)
@@ -107,7 +107,7 @@ def test_salted_hub_is_exact(spark):
 def test_edge_layout_is_read_in_place(spark):
     adj = _adj(spark, RING6)
     layout = graph._layout(adj, 4, 8)
-    v = layout.edges.select("hy_dm", F.col("dst").alias("node")).distinct().withColumn("v", F.lit(1.0))
+    v = layout.nodes.withColumn("v", F.lit(1.0))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
@@ -117,3 +117,17 @@ def test_edge_layout_is_read_in_place(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
         layout.drop()
     assert "Bucketed: true" in plan
+
+
+def test_hub_list_is_bounded(spark):
+    edges = [(f"S{i:02d}", f"T{j}", 1.0) for i in range(12) for j in range(4)]
+    adj = _adj(spark, edges)
+    # every T node has degree 12 > 2: four hubs, but only two may be broadcast
+    layout = graph._layout(adj, 2, 8, hot_broadcast_rows=2)
+    try:
+        assert layout.hot.count() <= 2
+        v = layout.nodes.withColumn("v", F.lit(1.0))
+        got = {r.node: r.u for r in graph._multiply(layout, v).collect()}
+    finally:
+        layout.drop()
+    assert got["T0"] == 12.0 and got["S00"] == 4.0
