@@ -324,6 +324,20 @@ def q_enterprise_profile(spark, sf_dir):
     )
 
 
+def q_enterprise_profile_all(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    months = i.taxpayer_months()
+    reg = loaders.foreign_trade_registry(i.registry_maps())
+    return tags.enterprise_profile(
+        tags.tag_foreign_trade(reg, START, END, TAG_TIME),
+        tags.tag_fast_growth(months, START, END, RATIO, tag_time=TAG_TIME),
+        tags.tag_periodic(months, START, END, LAG, RATIO, tag_time=TAG_TIME),
+        tags.tag_supply_core(i.pair_months(), START, END, RATIO, steps=STEPS,
+                             digits=CENTRALITY_DIGITS, tag_time=TAG_TIME),
+        tags.tag_industry_leader(months, i.industry_months(), START, END, 1, SHARE_DIGITS, TAG_TIME),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_invoices": q_scan_invoices,
     "sales_invoices": q_sales_invoices,
@@ -372,4 +386,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tag_industry_leader": q_tag_industry_leader,
     "growth_level": q_growth_level,
     "enterprise_profile": q_enterprise_profile,
+    "enterprise_profile_all": q_enterprise_profile_all,
 }

@@ -263,4 +263,5 @@ def oracle_sql() -> dict[str, str]:
         _tags(f"{ranked} WHERE rank = 1", "6", "nsrsbh", "xxbl"),
     ])
     q["enterprise_profile"] = _with(profile)
+    q["enterprise_profile_all"] = _with_power(profile + " UNION ALL " + _tags(core, "5", "nsrsbh", "c"))
     return q

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerprofile.functions.scalars import non_empty, period_between, region_prefix
+from ledgerprofile.functions.scalars import non_empty, period_between
 
 INVOICE_COLUMNS = ["xf_nsrsbh", "gf_nsrsbh", "je", "kprq"]
 
@@ -94,7 +94,9 @@ def trade_pairs_in_period(pairs: DataFrame, start: int, end: int,
     """
     cond = period_between("ny", start, end)
     if prefix is not None:
-        cond = cond & (region_prefix("xf_nsrsbh", len(prefix)) == F.lit(prefix))
+        # same rows as region_prefix(id) == prefix, written as a prefix test so that it is
+        # pushed into the Parquet scan (StringStartsWith) and can skip row groups
+        cond = cond & F.col("xf_nsrsbh").startswith(prefix)
     return pairs.where(cond)
 
 
