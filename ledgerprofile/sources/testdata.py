@@ -83,8 +83,11 @@ def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         * (F.lit(1).cast("decimal(18,2)") - F.col("l_discount").cast("decimal(18,2)")),
         2,
     ).cast("decimal(18,2)")
+    # Line items meet orders in a shuffle join on the order key - the only workable plan
+    # when both are large, written out so that the per-invoice work after it (registry
+    # joins, month text, amounts) is spread over the join's partitions at every scale.
     return (
-        li.join(orders, li.l_orderkey == orders.o_orderkey)
+        li.join(orders.hint("shuffle_hash"), li.l_orderkey == orders.o_orderkey)
         .join(seller, F.col("l_suppkey") == F.col("seller_key"))
         .join(buyer, "buyer_key")
         .select(
