@@ -128,13 +128,13 @@ def _layout(adj: DataFrame, hot_degree: int, buckets: int,
     deg = (edges.groupBy("hy_dm", F.col("dst").alias("node"))
            .agg(F.count(F.lit(1)).alias("deg")).checkpoint())
     threshold = hot_degree
-    hot = deg.where(F.col("deg") > threshold).select("hy_dm", "node").checkpoint()
+    hot = deg.where(F.col("deg") > threshold).select("hy_dm", "node")   # a filter of a checkpoint
     n_hot = hot.count()
     if n_hot > hot_broadcast_rows:
         # At most #edges / threshold nodes can exceed the threshold: raising it to
         # #edges / limit bounds the hub list by the broadcast limit, whatever the data.
         threshold = max(hot_degree, -(-deg.agg(F.sum("deg")).first()[0] // hot_broadcast_rows))
-        hot = deg.where(F.col("deg") > threshold).select("hy_dm", "node").checkpoint()
+        hot = deg.where(F.col("deg") > threshold).select("hy_dm", "node")
         n_hot = hot.count()
     hot_edges = None
     if n_hot:
@@ -234,9 +234,8 @@ def leading_eigenvector(adj: DataFrame, steps: int = DEFAULT_STEPS,
     Industries with at most ``min_nodes_exclusive`` nodes are skipped.
     """
     v, layout = _iterate(adj, steps, min_nodes_exclusive, hot_degree, tol, partitions)
-    out = v.select("hy_dm", F.col("node").alias("nsrsbh"), "v").checkpoint()
-    layout.drop()
-    return out
+    layout.drop()           # v is a projection of a checkpoint: it no longer reads the edges
+    return v.select("hy_dm", F.col("node").alias("nsrsbh"), "v")
 
 
 # M5 -------------------------------------------------------------------------------------
