@@ -48,8 +48,12 @@ HOT_BROADCAST_ROWS = 100_000     # bound on the broadcast hub list
 
 # U1 -------------------------------------------------------------------------------------
 def symmetric_edges(pair_totals: DataFrame, amount: str = "zje") -> DataFrame:
-    """The edge list together with its reverse (a union, so a self-loop appears twice)."""
-    e = pair_totals.select("hy_dm", "xf_nsrsbh", "gf_nsrsbh", amount)
+    """The edge list together with its reverse (a union, so a self-loop appears twice).
+
+    Pairs with a NULL id on either side are dropped.
+    """
+    e = (pair_totals.where(F.col("xf_nsrsbh").isNotNull() & F.col("gf_nsrsbh").isNotNull())
+         .select("hy_dm", "xf_nsrsbh", "gf_nsrsbh", amount))
     rev = e.select("hy_dm", F.col("gf_nsrsbh").alias("xf_nsrsbh"),
                    F.col("xf_nsrsbh").alias("gf_nsrsbh"), amount)
     return e.unionByName(rev)

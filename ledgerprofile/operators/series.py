@@ -12,6 +12,8 @@ months); it has at most one row per month of the period.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +27,9 @@ HISTOGRAM_THRESHOLDS = (0.1, 0.2, 0.3, 0.4, 0.5)
 
 
 def in_period(monthly: DataFrame, start: int, end: int, value: str = "xxje") -> DataFrame:
-    """(nsrsbh, ny, value) rows of the period."""
-    return monthly.where(period_between("ny", start, end)).select("nsrsbh", "ny", value)
+    """(nsrsbh, ny, value) rows of the period with a taxpayer id (NULL ids are dropped)."""
+    return (monthly.where(period_between("ny", start, end) & F.col("nsrsbh").isNotNull())
+            .select("nsrsbh", "ny", value))
 
 
 def materialised_period(monthly: DataFrame, start: int, end: int, value: str = "xxje") -> DataFrame:
@@ -138,6 +141,9 @@ def autocorrelation(monthly: DataFrame, start: int, end: int, lag: int,
     months = period_months(s)
     n_months = len(months)
     k = int(lag)
+    if 2 * k > n_months:
+        warnings.warn(f"lag {k} exceeds half of the {n_months} months: few pairs enter the sum",
+                      stacklevel=2)
     rows = (monthly_means(s, value)
             .select("nsrsbh", month_index(months).alias("idx"),
                     F.coalesce(F.col("x"), F.lit(0.0)).alias("x")))

@@ -186,7 +186,7 @@ def taxpayer_vs_industry(taxpayer_months: DataFrame, industry_months: DataFrame,
     (hy_dm, nsrsbh, ny, xxje, jxje, hyxxje, hyjxje).  The industry side has one row per
     (industry, month), so the join never multiplies taxpayer rows.
     """
-    n = taxpayer_months.where(period_between("ny", start, end)).select(
+    n = taxpayer_months.where(period_between("ny", start, end) & F.col("nsrsbh").isNotNull()).select(
         "hy_dm", "nsrsbh", "ny", "xxje", "jxje")
     h = industry_months.where(period_between("ny", start, end)).select(
         "hy_dm", "ny", F.col("xxje").alias("hyxxje"), F.col("jxje").alias("hyjxje"))

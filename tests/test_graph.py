@@ -131,3 +131,18 @@ def test_hub_list_is_bounded(spark):
     finally:
         layout.drop()
     assert got["T0"] == 12.0 and got["S00"] == 4.0
+
+
+def test_tolerance_stops_at_the_leading_vector(spark):
+    v = {r.nsrsbh: r.v for r in graph.leading_eigenvector(_adj(spark, RING6), steps=400, tol=1e-10).collect()}
+    _, _, a, nodes = _numpy_centrality(RING6, 1)
+    vals, vecs = np.linalg.eigh(a)
+    lead = np.abs(vecs[:, np.argmax(np.abs(vals))])
+    for i, n in enumerate(nodes):
+        assert v[n] == pytest.approx(lead[i], abs=1e-8)
+
+
+def test_null_ids_dropped(spark):
+    p = spark.createDataFrame([("H1", "A", None, 1.0), ("H1", None, "B", 1.0), ("H1", "A", "B", 2.0)],
+                              "hy_dm string, xf_nsrsbh string, gf_nsrsbh string, zje double")
+    assert graph.symmetric_edges(p).count() == 2

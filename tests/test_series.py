@@ -109,3 +109,12 @@ def test_pivot_and_min_max(spark):
     assert (a["201201"], a["201202"], a["201203"]) == (1.0, None, 3.0)
     mm = {r.nsrsbh: (r.x_min, r.x_max) for r in series.series_min_max(df, 201201, 201203).collect()}
     assert mm == {"A": (1.0, 3.0), "B": (2.0, 2.0)}
+
+
+def test_null_ids_and_long_lag_warning(spark):
+    df = months_frame(spark, [(None, m, 1.0 + i) for i, m in enumerate(MONTHS[:4])]
+                      + [("A", m, float(i * i)) for i, m in enumerate(MONTHS[:4])])
+    with pytest.warns(UserWarning):
+        got = series.autocorrelation(df, MONTHS[0], MONTHS[3], 3).collect()
+    assert [r.nsrsbh for r in got] == ["A"]
+    assert [r.nsrsbh for r in series.growth_slope(df, MONTHS[0], MONTHS[3]).collect()] == ["A"]
