@@ -23,8 +23,6 @@ from ledgerprofile.operators.summary import taxpayer_vs_industry
 from ledgerprofile.session import checkpoint_dir
 from ledgerprofile.sources.loaders import trade_pair_totals
 
-SHARE_DIGITS = 6
-CENTRALITY_DIGITS = 2
 CORE_COMPANIES_PER_INDUSTRY = 5
 
 
