@@ -32,14 +32,19 @@ def in_period(monthly: DataFrame, start: int, end: int, value: str = "xxje") ->
             .select("nsrsbh", "ny", value))
 
 
-def materialised_period(monthly: DataFrame, start: int, end: int, value: str = "xxje") -> DataFrame:
-    """``in_period`` written once to the checkpoint folder.
+def materialised_period(monthly: DataFrame, start: int, end: int, value: str = "xxje",
+                        materialise: bool = True) -> DataFrame:
+    """``in_period``, written once to the checkpoint folder when ``materialise``.
 
-    The month list and the statistic both read it, so the upstream (e.g. invoices ->
-    monthly totals) runs once and the lineage is cut.
+    The month list and the statistic both read it, so an expensive upstream (e.g.
+    invoices -> monthly totals) runs once and the lineage is cut.  Pass
+    ``materialise=False`` when ``monthly`` is already a stored table or a checkpoint.
     """
+    rows = in_period(monthly, start, end, value)
+    if not materialise:
+        return rows
     checkpoint_dir(monthly.sparkSession)
-    return in_period(monthly, start, end, value).checkpoint()
+    return rows.checkpoint()
 
 
 def period_months(series: DataFrame) -> list[int]:
@@ -69,14 +74,14 @@ def monthly_means(series: DataFrame, value: str = "xxje") -> DataFrame:
 
 # A7 -------------------------------------------------------------------------------------
 def monthly_pivot(monthly: DataFrame, start: int, end: int, months: list[int] | None = None,
-                  value: str = "xxje") -> DataFrame:
+                  value: str = "xxje", materialise: bool = True) -> DataFrame:
     """One row per taxpayer, one column per month (mean of ``value``; NULL if missing).
 
     Pass ``months`` to skip the value-discovery job; otherwise the distinct months of the
     period are collected (at most one per month of the period).
     """
     if months is None:
-        s = materialised_period(monthly, start, end, value)
+        s = materialised_period(monthly, start, end, value, materialise)
         months = period_months(s)
     else:
         s = in_period(monthly, start, end, value)
@@ -92,7 +97,7 @@ def series_min_max(monthly: DataFrame, start: int, end: int, value: str = "xxje"
 
 # M2 / M3 --------------------------------------------------------------------------------
 def growth_slope(monthly: DataFrame, start: int, end: int, ridge: float = DEFAULT_RIDGE,
-                 value: str = "xxje") -> DataFrame:
+                 value: str = "xxje", materialise: bool = True) -> DataFrame:
     """(nsrsbh, slope) for taxpayers with a non-NULL mean in *every* month of the period.
 
     Label of month i = round(x_i, 3) / 10^digits(min x); feature = month index.  The slope
@@ -103,7 +108,7 @@ def growth_slope(monthly: DataFrame, start: int, end: int, ridge: float = DEFAUL
     ``ridge=0`` is ordinary least squares.  Constant labels or a single month give 0.
     The slope is rounded to 3 digits.
     """
-    s = materialised_period(monthly, start, end, value)
+    s = materialised_period(monthly, start, end, value, materialise)
     n_months = len(period_months(s))
     means = monthly_means(s, value)
     by_taxpayer = Window.partitionBy("nsrsbh")
@@ -124,7 +129,7 @@ def growth_slope(monthly: DataFrame, start: int, end: int, ridge: float = DEFAUL
 
 # M1 -------------------------------------------------------------------------------------
 def autocorrelation(monthly: DataFrame, start: int, end: int, lag: int,
-                    value: str = "xxje") -> DataFrame:
+                    value: str = "xxje", materialise: bool = True) -> DataFrame:
     """(nsrsbh, coefficient): lag-``lag`` autocorrelation of each taxpayer's monthly series.
 
     The series runs over every month present in the period, a missing month (or a NULL
@@ -137,7 +142,7 @@ def autocorrelation(monthly: DataFrame, start: int, end: int, lag: int,
     """
     if lag < 1:
         raise ValueError("lag must be >= 1")
-    s = materialised_period(monthly, start, end, value)
+    s = materialised_period(monthly, start, end, value, materialise)
     months = period_months(s)
     n_months = len(months)
     k = int(lag)

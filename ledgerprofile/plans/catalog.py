@@ -35,7 +35,11 @@ CENTRALITY_DIGITS = 2
 
 
 class Inputs:
-    """Lazily built inputs for one test-data folder."""
+    """Lazily built inputs for one test-data folder.
+
+    The monthly tables are materialised once (checkpoint), so the series operators that
+    read them are called with ``materialise=False``.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -226,23 +230,26 @@ def q_industry_top_n(spark, sf_dir):
 
 # --- series --------------------------------------------------------------------------------
 def q_monthly_pivot(spark, sf_dir):
-    return series.monthly_pivot(Inputs(spark, sf_dir).taxpayer_months(), START, END)
+    return series.monthly_pivot(Inputs(spark, sf_dir).taxpayer_months(), START, END, materialise=False)
 
 
 def q_growth_slope_ridge(spark, sf_dir):
-    return series.growth_slope(Inputs(spark, sf_dir).taxpayer_months(), START, END)
+    return series.growth_slope(Inputs(spark, sf_dir).taxpayer_months(), START, END, materialise=False)
 
 
 def q_growth_slope_ols(spark, sf_dir):
-    return series.growth_slope(Inputs(spark, sf_dir).taxpayer_months(), START, END, ridge=0.0)
+    return series.growth_slope(Inputs(spark, sf_dir).taxpayer_months(), START, END, ridge=0.0,
+                               materialise=False)
 
 
 def q_monthly_autocorrelation(spark, sf_dir, lag=LAG):
-    return series.autocorrelation(Inputs(spark, sf_dir).taxpayer_months(), START, END, lag)
+    return series.autocorrelation(Inputs(spark, sf_dir).taxpayer_months(), START, END, lag,
+                                  materialise=False)
 
 
 def q_coefficient_histogram(spark, sf_dir):
-    c = series.autocorrelation(Inputs(spark, sf_dir).taxpayer_months(), START, END, LAG)
+    c = series.autocorrelation(Inputs(spark, sf_dir).taxpayer_months(), START, END, LAG,
+                               materialise=False)
     return series.coefficient_histogram(c)
 
 
@@ -283,17 +290,17 @@ def q_tag_foreign_trade(spark, sf_dir):
 
 def q_tag_fast_growth(spark, sf_dir):
     return tags.tag_fast_growth(Inputs(spark, sf_dir).taxpayer_months(), START, END, RATIO,
-                                tag_time=TAG_TIME)
+                                tag_time=TAG_TIME, materialise=False)
 
 
 def q_tag_fast_growth_ols(spark, sf_dir):
     return tags.tag_fast_growth_ols(Inputs(spark, sf_dir).taxpayer_months(), START, END, RATIO,
-                                    tag_time=TAG_TIME)
+                                    tag_time=TAG_TIME, materialise=False)
 
 
 def q_tag_periodic(spark, sf_dir, lag=LAG):
     return tags.tag_periodic(Inputs(spark, sf_dir).taxpayer_months(), START, END, lag, RATIO,
-                             tag_time=TAG_TIME)
+                             tag_time=TAG_TIME, materialise=False)
 
 
 def q_tag_supply_core(spark, sf_dir):
@@ -308,7 +315,8 @@ def q_tag_industry_leader(spark, sf_dir):
 
 
 def q_growth_level(spark, sf_dir):
-    slopes = series.growth_slope(Inputs(spark, sf_dir).taxpayer_months(), START, END)
+    slopes = series.growth_slope(Inputs(spark, sf_dir).taxpayer_months(), START, END,
+                                 materialise=False)
     return tags.growth_level(slopes)
 
 
@@ -318,8 +326,8 @@ def q_enterprise_profile(spark, sf_dir):
     reg = loaders.foreign_trade_registry(i.registry_maps())
     return tags.enterprise_profile(
         tags.tag_foreign_trade(reg, START, END, TAG_TIME),
-        tags.tag_fast_growth(months, START, END, RATIO, tag_time=TAG_TIME),
-        tags.tag_periodic(months, START, END, LAG, RATIO, tag_time=TAG_TIME),
+        tags.tag_fast_growth(months, START, END, RATIO, tag_time=TAG_TIME, materialise=False),
+        tags.tag_periodic(months, START, END, LAG, RATIO, tag_time=TAG_TIME, materialise=False),
         tags.tag_industry_leader(months, i.industry_months(), START, END, 1, SHARE_DIGITS, TAG_TIME),
     )
 
@@ -330,8 +338,8 @@ def q_enterprise_profile_all(spark, sf_dir):
     reg = loaders.foreign_trade_registry(i.registry_maps())
     return tags.enterprise_profile(
         tags.tag_foreign_trade(reg, START, END, TAG_TIME),
-        tags.tag_fast_growth(months, START, END, RATIO, tag_time=TAG_TIME),
-        tags.tag_periodic(months, START, END, LAG, RATIO, tag_time=TAG_TIME),
+        tags.tag_fast_growth(months, START, END, RATIO, tag_time=TAG_TIME, materialise=False),
+        tags.tag_periodic(months, START, END, LAG, RATIO, tag_time=TAG_TIME, materialise=False),
         tags.tag_supply_core(i.pair_months(), START, END, RATIO, steps=STEPS,
                              digits=CENTRALITY_DIGITS, tag_time=TAG_TIME),
         tags.tag_industry_leader(months, i.industry_months(), START, END, 1, SHARE_DIGITS, TAG_TIME),

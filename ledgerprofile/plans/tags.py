@@ -36,33 +36,37 @@ def tag_foreign_trade(foreign_registry: DataFrame, start: int, end: int,
 # G2 / G3 --------------------------------------------------------------------------------
 def tag_fast_growth(taxpayer_months: DataFrame, start: int, end: int, ratio: float = 1.0,
                     ridge: float = series.DEFAULT_RIDGE, tag_time: str | None = None,
-                    bounded_limit: int = ranking.BOUNDED_TOPK_LIMIT) -> DataFrame:
+                    bounded_limit: int = ranking.BOUNDED_TOPK_LIMIT,
+                    materialise: bool = True) -> DataFrame:
     """Tag 2: growth slope of monthly sales for taxpayers active in every month.
 
     Positive slopes only; of n of them the best floor(n*ratio)+1 are kept (all when n <= 1).
-    ``ridge=0`` gives the unregularised variant.
+    ``ridge=0`` gives the unregularised variant.  ``materialise=False`` when the monthly
+    table is already stored or checkpointed.
     """
-    slopes = series.growth_slope(taxpayer_months, start, end, ridge)
+    slopes = series.growth_slope(taxpayer_months, start, end, ridge, materialise=materialise)
     best = ranking.top_fraction(slopes, "slope", "nsrsbh", ratio, "growth", bounded_limit)
     return to_tags(best, TagKey.FAST_GROWTH, "nsrsbh", "slope", end, tag_time)
 
 
 def tag_fast_growth_ols(taxpayer_months: DataFrame, start: int, end: int, ratio: float = 1.0,
-                        tag_time: str | None = None) -> DataFrame:
+                        tag_time: str | None = None, materialise: bool = True) -> DataFrame:
     """Tag 2 with an ordinary least-squares slope."""
-    return tag_fast_growth(taxpayer_months, start, end, ratio, 0.0, tag_time)
+    return tag_fast_growth(taxpayer_months, start, end, ratio, 0.0, tag_time,
+                           materialise=materialise)
 
 
 # G4 -------------------------------------------------------------------------------------
 def tag_periodic(taxpayer_months: DataFrame, start: int, end: int, lag: int, ratio: float,
                  tag_time: str | None = None,
-                 bounded_limit: int = ranking.BOUNDED_TOPK_LIMIT) -> DataFrame:
+                 bounded_limit: int = ranking.BOUNDED_TOPK_LIMIT,
+                 materialise: bool = True) -> DataFrame:
     """Tag 4: lag-``lag`` autocorrelation of monthly sales (missing months count as 0).
 
     Positive, non-NaN coefficients only; of n of them the best floor(n*ratio) are kept
     (all when n <= 2).
     """
-    coefficients = series.autocorrelation(taxpayer_months, start, end, lag)
+    coefficients = series.autocorrelation(taxpayer_months, start, end, lag, materialise=materialise)
     best = ranking.top_fraction(coefficients, "coefficient", "nsrsbh", ratio, "periodic", bounded_limit)
     return to_tags(best, TagKey.PERIODIC, "nsrsbh", "coefficient", end, tag_time)
 
