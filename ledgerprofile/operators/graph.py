@@ -20,14 +20,14 @@ most (#edges / hot_degree) nodes can be hubs; the list is counted, and if it eve
 ``HOT_BROADCAST_ROWS`` the threshold is raised to #edges / HOT_BROADCAST_ROWS, which bounds
 it.  The result is exact; only the placement changes.
 
-The product of every pair of steps is cut from its lineage with a reliable
+The product of every group of four steps is cut from its lineage with a reliable
 ``checkpoint()`` into the session's checkpoint folder, so the plan does not grow with the
-step count and a lost executor recomputes at most two products.
+step count and a lost executor recomputes at most one group.
 
 The iteration runs an even number of single steps from a uniform start, i.e. power
 iteration on A^2 - the Gram matrix A^T A of the symmetric adjacency - so bipartite graphs
 (eigenvalues +-lambda) still converge: to the projection of the uniform start on the top
-eigenspace.  ``v`` is L2-normalised per industry after every pair of steps.
+eigenspace.  ``v`` is L2-normalised per industry after every group of steps.
 """
 
 from __future__ import annotations
@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from ledgerprofile.session import checkpoint_dir
 
 DEFAULT_STEPS = 20
+DEFAULT_GROUP = 4                # products between normalisations / checkpoints
 MIN_NODES_EXCLUSIVE = 5          # industries with at most this many nodes are skipped
 DEFAULT_HOT_DEGREE = 1_000_000   # nodes with more in-edges are hubs
 HOT_BROADCAST_ROWS = 100_000     # bound on the broadcast hub list
@@ -193,27 +194,38 @@ def _normalise(u: DataFrame) -> DataFrame:
 
 
 def _iterate(adj: DataFrame, steps: int, min_nodes_exclusive: int, hot_degree: int,
-             tol: float | None, partitions: int | None):
+             tol: float | None, partitions: int | None, group: int = DEFAULT_GROUP):
     """Run the power iteration; returns (v, layout).
 
-    Steps go in pairs: v <- normalise(A (A v)).  Scaling does not change the direction a
-    power iteration converges to, so normalising once per pair (a step of power iteration
-    on A^2) gives the same vector as normalising every step, with half the norm jobs.  The
-    pair's product is checkpointed (lineage cut: a lost executor recomputes at most two
-    products); the normalised ``v`` is a cheap projection of it.
+    Products go in groups of ``group`` (even; the last group may be shorter):
+    v <- normalise(A^group v).  Scaling does not change the direction a power iteration
+    converges to, so normalising once per group gives the same vector as normalising
+    every step, with fewer norm jobs; an entry grows by at most (largest eigenvalue)^group
+    in between, far inside double range for money amounts.  Each group's product is
+    checkpointed (lineage cut: a lost executor recomputes at most one group), the
+    normalised ``v`` is a cheap projection of it, and inside a group each product is
+    joined to the buckets in place.
     """
+    if group < 2 or group % 2:
+        raise ValueError("group must be an even number >= 2")
     spark = adj.sparkSession
     checkpoint_dir(spark)
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = max(1, (steps + 1) // 2)
+    remaining = max(2, steps + (steps % 2))
     layout = _layout(adj, hot_degree, parts, min_nodes_exclusive)
     v = layout.nodes.select("hy_dm", "node", F.lit(1.0).alias("v"))
-    for _ in range(pairs):
-        half = _multiply(layout, v).withColumnRenamed("u", "v")
-        if layout.hot_edges is not None:
-            # the hub entries of ``half`` are read by a second branch: materialise it once
-            half = half.checkpoint()
-        u = _multiply(layout, half).checkpoint()
+    while remaining > 0:
+        size = min(group, remaining)
+        remaining -= size
+        u = v
+        for i in range(size):
+            u = _multiply(layout, u)
+            if i < size - 1:
+                u = u.withColumnRenamed("u", "v")
+                if layout.hot_edges is not None:
+                    # the hub entries are read by a second branch: materialise once
+                    u = u.checkpoint()
+        u = u.checkpoint()
         new_v = _normalise(u)
         converged = False
         if tol is not None:
@@ -233,8 +245,9 @@ def leading_eigenvector(adj: DataFrame, steps: int = DEFAULT_STEPS,
     """(hy_dm, nsrsbh, v): the leading eigenvector of every large industry's adjacency.
 
     ``steps`` single multiplications (rounded up to an even count) from v = 1, with
-    per-industry L2 normalisation after every pair.  With ``tol``, iteration stops early
-    once no entry moved by more than ``tol`` over a pair (one small action per check).
+    per-industry L2 normalisation after every group of four.  With ``tol``, iteration
+    stops early once no entry moved by more than ``tol`` over a group (one small action
+    per check).
     Industries with at most ``min_nodes_exclusive`` nodes are skipped.
     """
     v, layout = _iterate(adj, steps, min_nodes_exclusive, hot_degree, tol, partitions)
