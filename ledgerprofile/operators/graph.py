@@ -45,6 +45,7 @@ DEFAULT_GROUP = 4                # products between normalisations / checkpoints
 MIN_NODES_EXCLUSIVE = 5          # industries with at most this many nodes are skipped
 DEFAULT_HOT_DEGREE = 1_000_000   # nodes with more in-edges are hubs
 HOT_BROADCAST_ROWS = 100_000     # bound on the broadcast hub list
+INDUSTRY_BROADCAST_ROWS = 100_000  # industry lists up to this size are broadcast
 
 
 # U1 -------------------------------------------------------------------------------------
@@ -104,7 +105,8 @@ class EdgeLayout:
     """
 
     def __init__(self, edges: DataFrame, hot_edges: DataFrame | None, hot: DataFrame,
-                 nodes: DataFrame, buckets: int, table: str):
+                 nodes: DataFrame, buckets: int, table: str, small_industries: bool = True):
+        self.small_industries = small_industries
         self.edges = edges
         self.hot_edges = hot_edges
         self.hot = hot
@@ -126,9 +128,12 @@ def _layout(adj: DataFrame, hot_degree: int, buckets: int,
     base = adj.select("hy_dm", "xf_nsrsbh", "gf_nsrsbh", "w").persist(StorageLevel.MEMORY_AND_DISK)
     keep = (base.select("hy_dm", "xf_nsrsbh").distinct()
             .groupBy("hy_dm").agg(F.count(F.lit(1)).alias("n_nodes"))
-            .where(F.col("n_nodes") > min_nodes_exclusive).select("hy_dm"))
-    # one row per industry code: bounded by the classification, broadcast
-    edges = base.join(F.broadcast(keep), "hy_dm").select(
+            .where(F.col("n_nodes") > min_nodes_exclusive).select("hy_dm").checkpoint())
+    # One row per industry code.  Counted before any broadcast: this list and the
+    # per-industry norms (same rows) are broadcast only under the limit, and shuffle-joined
+    # (AQE may still broadcast them at run time) beyond it.
+    small_industries = keep.count() <= INDUSTRY_BROADCAST_ROWS
+    edges = base.join(F.broadcast(keep) if small_industries else keep, "hy_dm").select(
         "hy_dm", F.col("xf_nsrsbh").alias("src"), F.col("gf_nsrsbh").alias("dst"), "w")
     deg = (edges.groupBy("hy_dm", F.col("dst").alias("node"))
            .agg(F.count(F.lit(1)).alias("deg")).checkpoint())
@@ -154,7 +159,8 @@ def _layout(adj: DataFrame, hot_degree: int, buckets: int,
      .write.mode("overwrite").bucketBy(buckets, "hy_dm", "dst")
      .option("path", path).saveAsTable(name))
     base.unpersist()
-    return EdgeLayout(spark.table(name), hot_edges, hot, deg.select("hy_dm", "node"), buckets, name)
+    return EdgeLayout(spark.table(name), hot_edges, hot, deg.select("hy_dm", "node"), buckets, name,
+                      small_industries)
 
 
 def _multiply(layout: EdgeLayout, v: DataFrame, absolute: bool = False) -> DataFrame:
@@ -181,14 +187,14 @@ def _multiply(layout: EdgeLayout, v: DataFrame, absolute: bool = False) -> DataF
     return terms.groupBy("hy_dm", F.col("src").alias("node")).agg(F.sum("t").alias("u"))
 
 
-def _normalise(u: DataFrame) -> DataFrame:
+def _normalise(u: DataFrame, small_industries: bool = True) -> DataFrame:
     """v = u / ||u|| per industry (0 when the norm is 0).
 
-    The norms table has one row per industry code - bounded by the industry classification,
-    not by the data - so it is broadcast.
+    The norms table has one row per industry; it is broadcast when the industry count was
+    checked to be under ``INDUSTRY_BROADCAST_ROWS`` (see ``_layout``).
     """
     norms = u.groupBy("hy_dm").agg(F.sqrt(F.sum(F.col("u") * F.col("u"))).alias("norm"))
-    return (u.join(F.broadcast(norms), "hy_dm")
+    return (u.join(F.broadcast(norms) if small_industries else norms, "hy_dm")
             .select("hy_dm", "node",
                     F.coalesce(F.try_divide(F.col("u"), F.col("norm")), F.lit(0.0)).alias("v")))
 
@@ -226,7 +232,7 @@ def _iterate(adj: DataFrame, steps: int, min_nodes_exclusive: int, hot_degree: i
                     # the hub entries are read by a second branch: materialise once
                     u = u.checkpoint()
         u = u.checkpoint()
-        new_v = _normalise(u)
+        new_v = _normalise(u, layout.small_industries)
         converged = False
         if tol is not None:
             moved = (new_v.join(v.withColumnRenamed("v", "v_old"), ["hy_dm", "node"])
