@@ -46,7 +46,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     session conf, then - for local masters only - a new temp folder.  A cluster session
     without a shared checkpoint folder is a configuration error.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
