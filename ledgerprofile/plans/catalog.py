@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ledgerprofile.functions import scalars
 from ledgerprofile.operators import graph, series, summary
 from ledgerprofile.plans import tags
+from ledgerprofile.session import checkpoint_dir
 from ledgerprofile.sources import loaders, testdata
 
 # Fixed parameters of the compared queries.
@@ -45,12 +46,21 @@ class Inputs:
         self.spark = spark
         self.sf_dir = sf_dir
         self._tables: tuple[DataFrame, DataFrame] | None = None
+        self._invoice_lines: DataFrame | None = None
+
+    def _lines(self) -> DataFrame:
+        """All invoice lines, materialised once: both invoice sides are read from them."""
+        if self._invoice_lines is None:
+            checkpoint_dir(self.spark)
+            self._invoice_lines = testdata.invoice_lines(self.spark, self.sf_dir).checkpoint()
+        return self._invoice_lines
 
     def sales(self) -> DataFrame:
-        return loaders.sales_invoices(testdata.sales_invoice_table(self.spark, self.sf_dir))
+        return loaders.sales_invoices(self._lines())
 
     def purchases(self) -> DataFrame:
-        return loaders.purchase_invoices(testdata.purchase_invoice_table(self.spark, self.sf_dir))
+        lines = self._lines()
+        return loaders.purchase_invoices(lines.where(F.col("rf") != F.lit(testdata.RETURNED_FLAG)))
 
     def registry(self) -> DataFrame:
         return loaders.registry(testdata.registry_table(self.spark, self.sf_dir))
