@@ -62,10 +62,22 @@ def symmetric_edges(pair_totals: DataFrame, amount: str = "zje") -> DataFrame:
 
 
 # A8 -------------------------------------------------------------------------------------
-def adjacency(sym_edges: DataFrame, amount: str = "zje") -> DataFrame:
+def adjacency(sym_edges: DataFrame, amount: str = "zje", diag_eps: float = 0.0) -> DataFrame:
     """Sparse adjacency per industry: (hy_dm, xf_nsrsbh, gf_nsrsbh, w) with ``w`` the sum
-    of all amounts between the two nodes (both directions, since the input is symmetric)."""
-    return sym_edges.groupBy("hy_dm", "xf_nsrsbh", "gf_nsrsbh").agg(F.sum(amount).alias("w"))
+    of all amounts between the two nodes (both directions, since the input is symmetric).
+
+    ``diag_eps > 0`` puts that weight on the diagonal cell of every node without a
+    self-loop (an anti join against the self-loops, one extra row per such node).
+    """
+    adj = sym_edges.groupBy("hy_dm", "xf_nsrsbh", "gf_nsrsbh").agg(F.sum(amount).alias("w"))
+    if diag_eps:
+        loops = adj.where(F.col("xf_nsrsbh") == F.col("gf_nsrsbh")).select("hy_dm", "xf_nsrsbh")
+        fill = (adj.select("hy_dm", "xf_nsrsbh").distinct()
+                .join(loops, ["hy_dm", "xf_nsrsbh"], "left_anti")
+                .select("hy_dm", "xf_nsrsbh", F.col("xf_nsrsbh").alias("gf_nsrsbh"),
+                        F.lit(float(diag_eps)).alias("w")))
+        adj = adj.unionByName(fill)
+    return adj
 
 
 # A11 ------------------------------------------------------------------------------------

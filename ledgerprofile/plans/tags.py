@@ -75,10 +75,13 @@ def tag_periodic(taxpayer_months: DataFrame, start: int, end: int, lag: int, rat
 def supply_chain_centrality(pair_months: DataFrame, start: int, end: int,
                             prefix: str | None = None, steps: int = graph.DEFAULT_STEPS,
                             hot_degree: int = graph.DEFAULT_HOT_DEGREE,
-                            tol: float | None = None) -> DataFrame:
-    """(hy_dm, nsrsbh, centrality) of every node of every industry with > 5 nodes."""
+                            tol: float | None = None, diag_eps: float = 0.0) -> DataFrame:
+    """(hy_dm, nsrsbh, centrality) of every node of every industry with > 5 nodes.
+
+    ``diag_eps`` fills empty diagonal cells of the adjacency (0 by default).
+    """
     totals = trade_pair_totals(pair_months, start, end, prefix)
-    adj = graph.adjacency(graph.symmetric_edges(totals))
+    adj = graph.adjacency(graph.symmetric_edges(totals), diag_eps=diag_eps)
     return graph.eigenvector_centrality(adj, steps, hot_degree=hot_degree, tol=tol)
 
 
@@ -86,13 +89,13 @@ def tag_supply_core(pair_months: DataFrame, start: int, end: int, ratio: float |
                     prefix: str | None = None, steps: int = graph.DEFAULT_STEPS,
                     top: int = CORE_COMPANIES_PER_INDUSTRY, descending: bool = True,
                     digits: int | None = None, tag_time: str | None = None,
-                    hot_degree: int = graph.DEFAULT_HOT_DEGREE) -> DataFrame:
+                    hot_degree: int = graph.DEFAULT_HOT_DEGREE, diag_eps: float = 0.0) -> DataFrame:
     """Tag 5: the ``top`` most central companies of each industry's trade graph.
 
     ``descending=False`` keeps the least central ones instead.  ``ratio`` is accepted and
     unused.  ``digits`` rounds the centrality.
     """
-    c = supply_chain_centrality(pair_months, start, end, prefix, steps, hot_degree)
+    c = supply_chain_centrality(pair_months, start, end, prefix, steps, hot_degree, diag_eps=diag_eps)
     if digits is not None:
         c = c.withColumn("centrality", round_half_up("centrality", digits))
     best = ranking.top_n_per_group(c, "hy_dm", "centrality", "nsrsbh", top, descending)

@@ -146,3 +146,10 @@ def test_null_ids_dropped(spark):
     p = spark.createDataFrame([("H1", "A", None, 1.0), ("H1", None, "B", 1.0), ("H1", "A", "B", 2.0)],
                               "hy_dm string, xf_nsrsbh string, gf_nsrsbh string, zje double")
     assert graph.symmetric_edges(p).count() == 2
+
+
+def test_diag_eps_fills_empty_diagonal(spark):
+    sym = graph.symmetric_edges(_pairs(spark, [("A", "B", 2.0), ("C", "C", 1.0)]))
+    adj = {(r.xf_nsrsbh, r.gf_nsrsbh): r.w for r in graph.adjacency(sym, diag_eps=0.001).collect()}
+    assert adj == {("A", "B"): 2.0, ("B", "A"): 2.0, ("C", "C"): 2.0, ("A", "A"): 0.001, ("B", "B"): 0.001}
+    assert graph.adjacency(sym).count() == 3
