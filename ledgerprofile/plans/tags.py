@@ -144,13 +144,14 @@ def tag_industry_leader(taxpayer_months: DataFrame, industry_months: DataFrame,
 
 # G7 -------------------------------------------------------------------------------------
 def growth_level(slopes: DataFrame, stable_below: float = 0.1, band: float = 0.01,
-                 bands: int = 5, value: str = "slope") -> DataFrame:
+                 bands: int = 5, value: str = "slope", band_rows: int | None = None) -> DataFrame:
     """(nsrsbh, slope, level): growth level -5..5 by percentile bands of the slope.
 
     |slope| < ``stable_below`` is stable (level 0).  Above it, the top ``band`` fraction of
     the rising companies is level 5, the next band 4, ... down to 1; the rest get 0.  The
-    falling side mirrors it with negative levels (steepest fall = -5).  Positions come from
-    a distributed global ranking; nothing is collected.
+    falling side mirrors it with negative levels (steepest fall = -5).  With ``band_rows``
+    the bands are that many companies each (top 10 -> 5, next 10 -> 4, ...) instead of
+    fractions.  Positions come from a distributed global ranking; nothing is collected.
     """
     checkpoint_dir(slopes.sparkSession)
     slopes = slopes.checkpoint()         # both sides and their counts read it
@@ -161,9 +162,12 @@ def growth_level(slopes: DataFrame, stable_below: float = 0.1, band: float = 0.0
     def levelled(side: DataFrame, descending: bool, sign: int) -> DataFrame:
         order = [v.desc() if descending else v.asc(), F.col("nsrsbh").asc()]
         ranked = ranking.with_global_position(side.select("nsrsbh", value), order, "_pos")
-        n = side.select(F.count(F.lit(1))).scalar()
-        fraction = (F.col("_pos") - 1) / n
-        raw = F.lit(bands) - F.floor(fraction / F.lit(band))
+        if band_rows:
+            raw = F.lit(bands) - F.floor((F.col("_pos") - 1) / F.lit(int(band_rows)))
+        else:
+            n = side.select(F.count(F.lit(1))).scalar()
+            fraction = (F.col("_pos") - 1) / n
+            raw = F.lit(bands) - F.floor(fraction / F.lit(band))
         lvl = F.when(raw >= 1, raw).otherwise(F.lit(0)).cast("int") * F.lit(sign)
         return ranked.select("nsrsbh", value, lvl.alias("level"))
 

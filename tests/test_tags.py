@@ -85,3 +85,9 @@ def test_profile_union(spark):
     one = tags.tag_foreign_trade(reg, 1, 2, "t")
     prof = tags.enterprise_profile(one, one)
     assert prof.count() == 2 and _schema_ok(prof)
+
+
+def test_growth_level_row_bands(spark):
+    slopes = spark.createDataFrame([(f"U{i:03d}", 1.0 + i) for i in range(60)], "nsrsbh string, slope double")
+    lv = {r.nsrsbh: r.level for r in tags.growth_level(slopes, band_rows=10).collect()}
+    assert lv["U059"] == 5 and lv["U050"] == 5 and lv["U049"] == 4 and lv["U010"] == 1 and lv["U009"] == 0
