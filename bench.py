@@ -35,6 +35,24 @@ HEADLINE = [
 ]
 
 
+def _cpu_ticks() -> list[int] | None:
+    """Aggregate CPU tick counters (Linux); None elsewhere."""
+    try:
+        with open("/proc/stat") as fh:
+            return [int(x) for x in fh.readline().split()[1:]]
+    except (OSError, ValueError):
+        return None
+
+
+def _steal_pct(before: list[int] | None, after: list[int] | None) -> float | None:
+    """Share of CPU time the hypervisor took away during the run (context for timings)."""
+    if not before or not after or len(before) < 8:
+        return None
+    delta = [b - a for a, b in zip(before, after)]
+    total = sum(delta)
+    return round(100.0 * delta[7] / total, 1) if total else None
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -48,6 +66,7 @@ def main() -> None:
         warm_dir = sf_dir
     QUERIES["taxpayer_monthly"](spark, warm_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
+    ticks = _cpu_ticks()
     for name in names:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -61,6 +80,7 @@ def main() -> None:
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
+        "cpu_steal_pct": _steal_pct(ticks, _cpu_ticks()),
     }))
     spark.stop()
 
