@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference computes its tags in batch over stored invoice and aggregate tables; it has
+no streams, watermarks or stateful operators, so none are built here.  Fresh invoices are
+handled by rerunning the batch jobs over the new period (tags are appended per run).
+"""
