@@ -33,6 +33,7 @@ eigenspace.  ``v`` is L2-normalised per industry after every group of steps.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -46,6 +47,7 @@ MIN_NODES_EXCLUSIVE = 5          # industries with at most this many nodes are s
 DEFAULT_HOT_DEGREE = 1_000_000   # nodes with more in-edges are hubs
 HOT_BROADCAST_ROWS = 100_000     # bound on the broadcast hub list
 INDUSTRY_BROADCAST_ROWS = 100_000  # industry lists up to this size are broadcast
+EDGES_PER_BUCKET = 2_000_000     # edge-layout sizing (~100 MB per bucket)
 
 
 # U1 -------------------------------------------------------------------------------------
@@ -131,7 +133,31 @@ class EdgeLayout:
         self.edges.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
 
 
-def _layout(adj: DataFrame, hot_degree: int, buckets: int,
+def _bucket_count(spark, n_edges: int) -> int:
+    """Buckets for ``n_edges`` edges: about EDGES_PER_BUCKET each, at least one per core."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect
+        cores = shuffle
+    return max(min(shuffle, cores), -(-int(n_edges) // EDGES_PER_BUCKET), 1)
+
+
+@contextmanager
+def _shuffle_partitions(spark, n: int):
+    """Run the enclosed actions with ``n`` shuffle partitions, so that each product's
+    aggregate comes out partitioned exactly like the edge buckets.  Session-scoped: do not
+    share the session with concurrent jobs while an iteration runs."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def _layout(adj: DataFrame, hot_degree: int, buckets: int | None = None,
             min_nodes_exclusive: int = MIN_NODES_EXCLUSIVE,
             hot_broadcast_rows: int = HOT_BROADCAST_ROWS) -> EdgeLayout:
     spark = adj.sparkSession
@@ -149,13 +175,16 @@ def _layout(adj: DataFrame, hot_degree: int, buckets: int,
         "hy_dm", F.col("xf_nsrsbh").alias("src"), F.col("gf_nsrsbh").alias("dst"), "w")
     deg = (edges.groupBy("hy_dm", F.col("dst").alias("node"))
            .agg(F.count(F.lit(1)).alias("deg")).checkpoint())
+    n_edges = deg.agg(F.sum("deg")).first()[0] or 0
+    if buckets is None:
+        buckets = _bucket_count(spark, n_edges)
     threshold = hot_degree
     hot = deg.where(F.col("deg") > threshold).select("hy_dm", "node")   # a filter of a checkpoint
     n_hot = hot.count()
     if n_hot > hot_broadcast_rows:
         # At most #edges / threshold nodes can exceed the threshold: raising it to
         # #edges / limit bounds the hub list by the broadcast limit, whatever the data.
-        threshold = max(hot_degree, -(-deg.agg(F.sum("deg")).first()[0] // hot_broadcast_rows))
+        threshold = max(hot_degree, -(-n_edges // hot_broadcast_rows))
         hot = deg.where(F.col("deg") > threshold).select("hy_dm", "node")
         n_hot = hot.count()
     hot_edges = None
@@ -228,10 +257,17 @@ def _iterate(adj: DataFrame, steps: int, min_nodes_exclusive: int, hot_degree: i
         raise ValueError("group must be an even number >= 2")
     spark = adj.sparkSession
     checkpoint_dir(spark)
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     remaining = max(2, steps + (steps % 2))
-    layout = _layout(adj, hot_degree, parts, min_nodes_exclusive)
+    layout = _layout(adj, hot_degree, partitions, min_nodes_exclusive)
     v = layout.nodes.select("hy_dm", "node", F.lit(1.0).alias("v"))
+    with _shuffle_partitions(spark, layout.buckets):
+        v = _run_groups(layout, v, remaining, group, tol)
+    return v, layout
+
+
+def _run_groups(layout: EdgeLayout, v: DataFrame, remaining: int, group: int,
+                tol: float | None) -> DataFrame:
+    """The grouped products of ``_iterate`` (``remaining`` single steps from ``v``)."""
     while remaining > 0:
         size = min(group, remaining)
         remaining -= size
@@ -253,7 +289,7 @@ def _iterate(adj: DataFrame, steps: int, min_nodes_exclusive: int, hot_degree: i
         v = new_v
         if converged:
             break
-    return v, layout
+    return v
 
 
 def leading_eigenvector(adj: DataFrame, steps: int = DEFAULT_STEPS,
@@ -283,6 +319,7 @@ def eigenvector_centrality(adj: DataFrame, steps: int = DEFAULT_STEPS,
     Only industries with more than ``min_nodes_exclusive`` nodes; self-loops count.
     """
     v, layout = _iterate(adj, steps, min_nodes_exclusive, hot_degree, tol, partitions)
-    c = _multiply(layout, v, absolute=True).checkpoint()
+    with _shuffle_partitions(adj.sparkSession, layout.buckets):
+        c = _multiply(layout, v, absolute=True).checkpoint()
     layout.drop()
     return c.select("hy_dm", F.col("node").alias("nsrsbh"), F.col("u").alias("centrality"))

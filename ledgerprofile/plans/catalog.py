@@ -105,7 +105,6 @@ def _money(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
-
 # --- sources -------------------------------------------------------------------------------
 def q_scan_invoices(spark, sf_dir):
     inv = testdata.invoice_lines(spark, sf_dir)
