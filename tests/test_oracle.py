@@ -6,7 +6,8 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from ledgerprofile.plans.catalog import QUERIES
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -45,12 +46,12 @@ def duck(sf001):
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(QUERIES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, sf001, name):
-    df = queries()[name](spark, sf001)
+    df = QUERIES[name](spark, sf001)
     got = _rows([tuple(r) for r in df.collect()], df.columns)
     rel = duck.sql(oracle_sql()[name])
     want = _rows(rel.fetchall(), rel.columns)
