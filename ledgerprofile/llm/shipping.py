@@ -1,0 +1,29 @@
+"""Brings this package to the executors, for the operators that run Python inside tasks."""
+
+from __future__ import annotations
+
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import SparkSession
+
+_SHIPPED: dict[str, str] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Add the package to the session's Python files, once per application.
+
+    The archive is written by the driver and fetched by each executor from Spark's own file
+    distribution, as with ``--py-files``; so tasks import the package wherever they run.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix=f"{package.name}-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED[sc.applicationId] = str(archive)
