@@ -5,9 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerprofile.llm import fingerprints, line_dedup, minhash, sharding
+import public_tokenizers
+
+from ledgerprofile.llm import (
+    decontamination, fingerprints, language_id, line_dedup, minhash, packing, sharding, token_counts)
+from ledgerprofile.llm.columns import fold
 
 SHARDS = 24
+LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 4, 2
+TOKEN_LIMIT = 4096
+COUNTED_VOCABULARY = "piece_bpe_32k.model"
+PACKED_VOCABULARY = "word_bpe_49k.json"
 NEAR_WIDTH = 2          # words in a shingle of op10
 NEAR_THRESHOLD = 80     # percent
 
@@ -31,6 +39,31 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op6_prefix_filtered_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256",
+                        decontamination.is_contaminated().alias("contaminated"))
+
+
+def op7_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", LANGUAGE_FOLDS) == LANGUAGE_HELD_OUT
+    model = language_id.train(docs.where(~held_out))
+    return (language_id.identify(docs, model)
+            .select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte"))
+
+
+def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKED_VOCABULARY))
+    return pieces.select("doc_id", "start", F.expr("cast(octet_length(ids) div 4 as long)").alias("length"),
+                         F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op9_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(COUNTED_VOCABULARY))
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = minhash.MinHash(width=NEAR_WIDTH, threshold=NEAR_THRESHOLD)
     return (minhash.near_duplicates(table(spark, sf_dir, "documents"), params)
@@ -41,6 +74,10 @@ QUERIES = {
     "op1_interleaved_shards": op1_interleaved_shards,
     "op2_merkle_fingerprints": op2_merkle_fingerprints,
     "op5_line_dedup": op5_line_dedup,
+    "op6_prefix_filtered_decontamination": op6_prefix_filtered_decontamination,
+    "op7_ppm_language": op7_ppm_language,
+    "op8_sum_of_squares_packing": op8_sum_of_squares_packing,
+    "op9_transducer_token_counts": op9_transducer_token_counts,
     "op10_circulant_minhash": op10_circulant_minhash,
 }
 
@@ -61,4 +98,27 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-ORACLE_SQL = {"op5_line_dedup": OP5_SQL}
+OP6_SQL = f"""
+WITH doc_words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+item_words AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(len(w), 13) AS size FROM item_words WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, size, array_to_string(list_slice(w, pos, pos + size - 1), ' ') AS passage
+    FROM (SELECT item_id, w, size, unnest(generate_series(1, len(w) - size + 1)) AS pos FROM sized)),
+sizes AS (SELECT DISTINCT size FROM windows),
+stretches AS (SELECT doc_id, size, pos, array_to_string(list_slice(w, pos, pos + size - 1), ' ') AS passage
+    FROM (SELECT doc_id, w, size, unnest(generate_series(1, len(w) - size + 1)) AS pos
+          FROM doc_words, sizes WHERE len(w) >= size)),
+found AS (SELECT doc_id, pos, size, item_id FROM stretches JOIN windows USING (size, passage)),
+hit AS (SELECT doc_id, count(DISTINCT word) AS n_hit
+    FROM (SELECT doc_id, unnest(generate_series(pos, pos + size - 1)) AS word FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    coalesce(items_sha256, sha256('')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLE_SQL = {"op5_line_dedup": OP5_SQL, "op6_prefix_filtered_decontamination": OP6_SQL}

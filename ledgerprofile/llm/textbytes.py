@@ -114,3 +114,39 @@ SPACE_SEPARATED = np.ones(256, bool)
 SPACE_SEPARATED[[32, 9, 10, 11, 12, 13]] = False
 ALPHANUMERIC = np.zeros(256, bool)
 ALPHANUMERIC[48:58] = ALPHANUMERIC[65:91] = ALPHANUMERIC[97:123] = ALPHANUMERIC[128:] = True
+
+
+class HashIndex:
+    """Positions of distinct 64-bit keys, looked up for whole arrays at once."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(4, int(2 * len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.mask = (1 << bits) - 1
+        self.rows = np.full(1 << bits, -1, np.int32)
+        self.keys = np.zeros(1 << bits, np.uint64)
+        keys = keys.astype(np.uint64)
+        pending, slots = np.arange(len(keys)), self._home(keys)
+        while len(pending):
+            free = np.flatnonzero(self.rows[slots] < 0)
+            _, first = np.unique(slots[free], return_index=True)
+            won = free[first]
+            self.rows[slots[won]] = pending[won]
+            self.keys[slots[won]] = keys[pending[won]]
+            lost = np.ones(len(pending), bool)
+            lost[won] = False
+            pending, slots = pending[lost], (slots[lost] + 1) & self.mask
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * _BASE) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Position of each key, -1 where it is none of the index."""
+        slots = self._home(keys)
+        rows = self.rows[slots]
+        open_ = np.flatnonzero((rows >= 0) & (self.keys[slots] != keys))
+        while len(open_):
+            slots[open_] = (slots[open_] + 1) & self.mask
+            rows[open_] = self.rows[slots[open_]]
+            open_ = open_[(rows[open_] >= 0) & (self.keys[slots[open_]] != keys[open_])]
+        return rows
