@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ledgerprofile.llm import (
-    decontamination, fingerprints, language_id, line_dedup, minhash, packing, sharding, token_counts)
+    decontamination, fingerprints, language_id, line_dedup, minhash, packing, quality, sharding,
+    token_counts, toxicity)
 from ledgerprofile.llm.columns import fold
 
 SHARDS = 24
+TOXICITY_FOLDS, TOXICITY_HELD_OUT = 3, 1
 LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 4, 2
 TOKEN_LIMIT = 4096
 COUNTED_VOCABULARY = "piece_bpe_32k.model"
@@ -35,6 +37,26 @@ def op2_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op3_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores, _ = quality.quality_scores(table(spark, sf_dir, "documents"))
+    return scores.withColumn("keep", F.col("score") >= quality.KEEP)
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Crf | None:
+    """Fitted on the labels outside the held-out fold."""
+    labels = table(spark, sf_dir, "labels")
+    return toxicity.train(docs, labels.where(fold("doc_id", TOXICITY_FOLDS) != TOXICITY_HELD_OUT))
+
+
+def op4_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_model(spark, docs, sf_dir)
+    scored = docs.select("doc_id", toxicity.score_column(docs, model).alias("t"))
+    return scored.select("doc_id", (fold("doc_id", TOXICITY_FOLDS) == TOXICITY_HELD_OUT).alias("held_out"), "t.score",
+                         (F.col("t.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+                         F.size("t.spans").alias("n_spans"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
@@ -73,6 +95,8 @@ def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_interleaved_shards": op1_interleaved_shards,
     "op2_merkle_fingerprints": op2_merkle_fingerprints,
+    "op3_weak_label_quality": op3_weak_label_quality,
+    "op4_crf_toxicity": op4_crf_toxicity,
     "op5_line_dedup": op5_line_dedup,
     "op6_prefix_filtered_decontamination": op6_prefix_filtered_decontamination,
     "op7_ppm_language": op7_ppm_language,
