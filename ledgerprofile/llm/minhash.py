@@ -120,9 +120,9 @@ def band_keys(sig: np.ndarray, p: MinHash) -> np.ndarray:
     return key.view(np.int64)
 
 
-def sketch(shingles: np.ndarray, p: MinHash) -> np.ndarray:
+def sketch(sig: np.ndarray, p: MinHash) -> np.ndarray:
     """The lowest bit of ``sketch_bits`` coordinates, as 64-bit numbers."""
-    bits = signature(shingles, p, p.sketch_bits) & 1
+    bits = sig[: p.sketch_bits] & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
@@ -157,12 +157,19 @@ def _signed(batches: Iterator[pa.RecordBatch], p: MinHash) -> Iterator[pa.Record
 
 
 def _with_sets(batches: Iterator[pa.RecordBatch], p: MinHash) -> Iterator[pa.RecordBatch]:
-    """(node, text) -> (node, shingles, sketch)."""
+    """(node, text) -> (node, shingles, bands, sketch); a row that repeats its predecessor is left out."""
+    last = None
     for batch in batches:
-        sets = list(shingle_sets(batch.column("text"), p.width))
+        nodes = batch.column("node").to_pylist()
+        new = [k for k, node in enumerate(nodes) if node != (nodes[k - 1] if k else last)]
+        last = nodes[-1] if nodes else last
+        sets = list(shingle_sets(batch.column("text").take(pa.array(new, pa.int64())), p.width))
+        longest = max(p.coordinates, p.sketch_bits)
+        sigs = [signature(s, p, longest) for s in sets]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), _lists([s.view(np.int64) for s in sets], pa.int64()),
-             _lists([sketch(s, p) for s in sets], pa.int64())], names=["node", "shingles", "sketch"])
+            [batch.column("node").take(pa.array(new, pa.int64())), _lists([s.view(np.int64) for s in sets], pa.int64()),
+             _lists([band_keys(s[: p.coordinates], p) for s in sigs], pa.int64()),
+             _lists([sketch(s, p) for s in sigs], pa.int64())], names=["node", "shingles", "bands", "sketch"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -192,39 +199,42 @@ def near_duplicates(docs: DataFrame, params: MinHash = MinHash(), id_col: str =
         lambda batches: _signed(batches, p),
         "doc_id long, text_key long, n_shingles long, set_key binary, bands array<long>").checkpoint()
 
+    # classes of equal sets; `short` stands for a class where 64 bits do, in the bands
     classes = (signed.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
                .groupBy(F.col("set_key").alias("node"))
                .agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.count(F.lit(1)).alias("n_docs"),
-                    F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
-               .select("node", F.col("first.doc_id").alias("rep"), F.col("first.text_key").alias("rep_key"),
-                       "n_docs", "n", "bands"))
-    in_band = classes.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
-    pivots = (in_band.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("pivot"),
-                                            F.count(F.lit(1)).alias("members"))
-              .where("members > 1").select("bucket", F.col("pivot.node").alias("pivot"),
-                                           F.col("pivot.n").alias("pivot_n"), every_salt().alias("salt")))
-    members = (in_band.withColumn("salt", salt_of("node")).join(pivots, ["bucket", "salt"])
-               .select("bucket", "band", "node", "n", "pivot", "pivot_n").checkpoint())
+                    F.first("n_shingles").alias("n"))
+               .select("node", F.xxhash64("node").alias("short"), F.col("first.doc_id").alias("rep"),
+                       F.col("first.text_key").alias("rep_key"), "n_docs", "n").checkpoint())
+    in_band = (signed.where(F.col("doc_id").isNotNull())
+               .select(F.xxhash64("set_key").alias("short"), F.explode("bands").alias("bucket")))
+    shared = (in_band.groupBy("bucket").agg(F.min("short").alias("lo"), F.max("short").alias("hi"))
+              .where("lo != hi").select("bucket", every_salt().alias("salt")))
+    members = (in_band.withColumn("salt", salt_of("short")).join(shared, ["bucket", "salt"])
+               .select("bucket", "short").distinct()
+               .join(classes, "short").select("bucket", "node", "n", "rep", "rep_key").checkpoint())
 
     # the full sets (and sketches) of the classes in shared buckets
-    wanted = members.select("node").distinct().join(classes.select("node", "rep", "rep_key", "n_docs", "bands"), "node")
-    sets = (texts.join(wanted.select("node", F.col("rep").alias("doc_id"), F.col("rep_key").alias("text_key")),
-                       ["doc_id", "text_key"]).select("node", "text")
+    wanted = members.select("node", F.col("rep").alias("doc_id"), F.col("rep_key").alias("text_key")).distinct()
+    sets = (texts.join(wanted, ["doc_id", "text_key"]).select("node", "text")
             .mapInArrow(lambda batches: _with_sets(batches, p),
-                        "node binary, shingles array<long>, sketch array<long>")
-            .dropDuplicates(["node"])
-            .join(classes.select("node", "bands"), "node").checkpoint())
+                        "node binary, shingles array<long>, bands array<long>, sketch array<long>").checkpoint())
 
     def sizes_allow(x: str, y: str):
         return (100 * F.col(x) >= p.threshold * F.col(y)) & (100 * F.col(y) >= p.threshold * F.col(x))
 
-    stars = (members.where((F.col("node") != F.col("pivot")) & sizes_allow("n", "pivot_n"))
-             .select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
+    # step 1: each member against the pivot of its bucket
+    pivots = (members.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("pivot"))
+              .select("bucket", F.col("pivot.node").alias("a"), F.col("pivot.n").alias("a_n"),
+                      every_salt().alias("salt")))
+    stars = (members.withColumn("salt", salt_of("node")).join(pivots, ["bucket", "salt"])
+             .where((F.col("node") != F.col("a")) & sizes_allow("n", "a_n"))
+             .select("a", F.col("node").alias("b")).distinct())
     links = _verified(stars, sets, p.threshold).checkpoint()
     roots = connected_components(links)
 
     # step 2: buckets that hold several components
-    rooted = (members.select("bucket", "band", "node", "n").join(roots, "node", "left")
+    rooted = (members.select("bucket", "node", "n").join(roots, "node", "left")
               .withColumn("root", F.coalesce("root", "node")))
     mixed = (rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
              .where("lo != hi").select("bucket", every_salt().alias("salt")))
@@ -234,7 +244,7 @@ def near_duplicates(docs: DataFrame, params: MinHash = MinHash(), id_col: str =
     differing = reduce(lambda u, v: u + v, [
         F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(p.sketch_bits // 64)])
     first_shared = F.array_position(
-        F.zip_with("x.bands", "y.bands", lambda u, v: u == v), F.lit(True)) == F.col("x.band") + 1
+        F.zip_with("x.bands", "y.bands", lambda u, v: u == v), F.lit(True)) == F.array_position("x.bands", F.col("x.bucket"))
     crossing = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node"))
                        & (F.col("x.root") != F.col("y.root")) & sizes_allow("x.n", "y.n")
                        & (differing <= p.differing_bits) & first_shared)
