@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings for a local test/bench session.  On a cluster the caller's session wins.
 LOCAL_CONF = {
@@ -63,3 +63,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError(
         "spark.checkpoint.dir is not set: iterative operators need a shared checkpoint folder"
     )
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that this library wrote, wherever it is (classic sessions only)."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - Spark Connect: the server cleans up
+        return
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(conf).delete(path, True)
+
+
+def drop_checkpoint(df: DataFrame) -> None:
+    """Delete the files of a frame returned by ``checkpoint()``; it must not be read again."""
+    try:
+        file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    except Exception:  # noqa: BLE001 - Spark Connect, or not a plain checkpoint
+        return
+    if file.isDefined():
+        drop_folder(df.sparkSession, file.get())
