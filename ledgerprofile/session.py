@@ -9,6 +9,7 @@ gets a fresh folder under the system temp directory.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,11 +76,37 @@ def drop_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(conf).delete(path, True)
 
 
-def drop_checkpoint(df: DataFrame) -> None:
-    """Delete the files of a frame returned by ``checkpoint()``; it must not be read again."""
-    try:
-        file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
-    except Exception:  # noqa: BLE001 - Spark Connect, or not a plain checkpoint
-        return
-    if file.isDefined():
-        drop_folder(df.sparkSession, file.get())
+class Scratch:
+    """Intermediate tables of a job, written as Parquet under the checkpoint folder.
+
+    Like a reliable checkpoint, a stored frame is cut from its lineage and survives lost
+    executors.  Unlike one, it keeps its true size for the optimiser: the estimated size of a
+    checkpointed join is the product of its inputs, which grows without bound in a loop.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = checkpoint_dir(spark).rstrip("/")
+        self._stored: dict[int, tuple[DataFrame, str, bool]] = {}
+
+    def store(self, df: DataFrame, buckets: int | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+        """Write ``df`` and return the stored frame; with ``buckets``, dealt by ``by`` like a shuffle."""
+        name = f"ledgerprofile_{uuid.uuid4().hex}"
+        path = f"{self.folder}/{name}"
+        if buckets:
+            df.write.bucketBy(buckets, *by).option("path", path).saveAsTable(name)
+            out = self.spark.table(name)
+        else:
+            df.write.parquet(path)
+            out = self.spark.read.schema(df.schema).parquet(path)
+        self._stored[id(out)] = out, name, bool(buckets)
+        return out
+
+    def drop(self, *frames: DataFrame | None) -> None:
+        """Delete stored frames; they must not be read again."""
+        for df in frames:
+            if df is not None and id(df) in self._stored:
+                _, name, is_table = self._stored.pop(id(df))
+                if is_table:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+                drop_folder(self.spark, f"{self.folder}/{name}")
