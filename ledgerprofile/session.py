@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -110,3 +112,28 @@ class Scratch:
                 if is_table:
                     self.spark.sql(f"DROP TABLE IF EXISTS {name}")
                 drop_folder(self.spark, f"{self.folder}/{name}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Add this package to the session's Python files, once per application.
+
+    For operators that run Python inside tasks: the archive is written by the driver and
+    fetched by each executor from Spark's own file distribution, as with ``--py-files``, so
+    tasks import the package wherever they run.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's installation counts
+        return
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix=f"{package.name}-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
