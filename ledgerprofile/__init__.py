@@ -6,7 +6,6 @@ Layers (each a subpackage):
 * ``functions`` – column expressions (month parsing, digit counts, safe ratios) and the tag row contract
 * ``operators`` – summaries, monthly series statistics, trade-graph algebra and ranking
 * ``plans``     – the tag jobs (one DataFrame per tag) and the query catalogue used by the checks
-* ``streaming`` – intentionally empty: the reference computes no streams
 
 Everything is expressed with the DataFrame API so Catalyst plans it; no per-row Python runs
 in any hot path.

@@ -11,6 +11,7 @@ from ledgerprofile.functions.scalars import (
     region_prefix,
     round_half_up,
     safe_share,
+    time_text_between,
 )
 from ledgerprofile.functions.tagrows import TAG_SCHEMA, TagKey, today_text, to_tags
 
@@ -27,6 +28,7 @@ __all__ = [
     "region_prefix",
     "round_half_up",
     "safe_share",
+    "time_text_between",
     "today_text",
     "to_tags",
 ]

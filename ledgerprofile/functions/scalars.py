@@ -54,6 +54,17 @@ def period_between(ny, start: int, end: int) -> Column:
     return _col(ny).between(F.lit(int(start)), F.lit(int(end)))
 
 
+def time_text_between(kprq, start: int, end: int) -> Column:
+    """Invoice time text inside the months ``[start, end]`` (integers ``yyyyMM``).
+
+    A plain text range, so it reaches a scan of stored invoices; it holds for every valid time
+    of those months and for some invalid texts, which the month conversion drops.
+    """
+    following = int(end) + (89 if int(end) % 100 == 12 else 1)
+    text = _col(kprq)
+    return (text >= F.lit(f"{int(start):06d}")) & (text < F.lit(f"{following:06d}"))
+
+
 def digit_count(c) -> Column:
     """Digits of the integer part of ``c``, sign ignored, 0 -> 1, saturating at 10.
 

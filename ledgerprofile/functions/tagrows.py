@@ -42,7 +42,8 @@ def to_tags(df: DataFrame, key: TagKey | str, id_col: str | Column, value: Colum
     """Project ``df`` onto the tag schema.
 
     ``bq_start_time`` is the period end, ``bq_end_time`` is NULL and ``tag_time`` defaults to
-    today (pin it for reproducible output).  Rows with a NULL id are dropped.
+    today (pin it for reproducible output).  Rows with a NULL id are dropped; a NULL value
+    breaks the contract and raises an error.
     """
     key_text = key.value if isinstance(key, TagKey) else str(key)
     idc = F.col(id_col) if isinstance(id_col, str) else id_col
@@ -55,7 +56,7 @@ def to_tags(df: DataFrame, key: TagKey | str, id_col: str | Column, value: Colum
     out = df.where(idc.isNotNull()).select(
         idc.cast("string").alias("nsr_key"),
         F.lit(key_text).alias("bq_key"),
-        val.cast("double").alias("bq_value"),
+        F.coalesce(val.cast("double"), F.raise_error(F.lit("a tag row needs a value")).cast("double")).alias("bq_value"),
         F.lit(str(end_time)).alias("bq_start_time"),
         F.lit(None).cast("string").alias("bq_end_time"),
         F.lit(tag_time or today_text()).alias("tag_time"),

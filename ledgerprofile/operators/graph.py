@@ -1,17 +1,26 @@
 """Trade graph per industry: symmetric edges (U1), adjacency (A8), degree (A11),
-node sets (A12), leading eigenvector by power iteration (M4) and eigenvector
+node sets (A12), leading eigenvector by a restarted Lanczos process (M4) and eigenvector
 centrality (M5).
 
-All industries are processed together in one plan per step; nothing is collected.
-
-Power iteration at scale
-------------------------
-``v <- A v`` is a join of the edge list with ``v`` on the *target* node followed by a sum
-per *source* node.  The edge list is by far the largest input, so it is laid out once as
-a bucketed table on its join key (written into the session's checkpoint folder), and each
-step only moves the map-side-combined partial sums (and, after a checkpoint, ``v`` - one
-row per node).  The bucketed scan needs no exchange on the edge side, and the product of
-one step is already partitioned like the buckets, so the next step joins it in place.
+All industries are processed together in one plan per step.
+
+Lanczos at scale
+----------------
+A step multiplies the adjacency with the newest basis vector: a join of the edge list with
+the vector on the *target* node followed by a sum per *source* node.  The edge list is by far
+the largest input, so it is laid out once as a bucketed table on its join key (written into
+the session's checkpoint folder), and each step only moves the map-side-combined partial sums
+(one row per node).  The bucketed scan needs no exchange on the edge side.
+
+Each node's row carries its entries of the basis (``q``) and of the products (``z``), at most
+``MAX_BASIS`` of each.  After a step one aggregation gives, per industry, the inner products
+of the newest vectors with all others; a small symmetric problem per industry (Rayleigh-Ritz,
+solved in the tasks that hold those rows) gives the best vector of the basis and its
+eigenvalue.  The next basis vector is that vector's residual, so its length - measured by the
+next step's aggregation - is the relative residual ``||A v - lambda v|| / |lambda|``.  An
+industry whose residual is at most ``tol`` is finished and leaves the iteration.  A full basis is replaced by its ``KEPT`` best vectors (thick restart), which
+needs no further product.  If industries are left after ``max_steps`` products, the
+iteration raises an error that names some of them: it never returns an unconverged vector.
 
 A hub node (one buyer trading with a third of all sellers) would put all of its edges in
 one bucket.  Edges into nodes whose degree exceeds ``hot_degree`` are therefore kept
@@ -20,29 +29,30 @@ most (#edges / hot_degree) nodes can be hubs; the list is counted, and if it eve
 ``HOT_BROADCAST_ROWS`` the threshold is raised to #edges / HOT_BROADCAST_ROWS, which bounds
 it.  The result is exact; only the placement changes.
 
-The product of every group of four steps is cut from its lineage with a reliable
-``checkpoint()`` into the session's checkpoint folder, so the plan does not grow with the
-step count and a lost executor recomputes at most one group.
+Every step's rows are written to the session's checkpoint folder, bucketed like the products,
+so a lost executor recomputes at most one step and the next step joins them where they lie;
+superseded tables and the edge files are deleted.
 
-The iteration runs an even number of single steps from a uniform start, i.e. power
-iteration on A^2 - the Gram matrix A^T A of the symmetric adjacency - so bipartite graphs
-(eigenvalues +-lambda) still converge: to the projection of the uniform start on the top
-eigenspace.  ``v`` is L2-normalised per industry after every group of steps.
+The start is uniform, so a bipartite graph (eigenvalues +-lambda) still gives the vector of
++lambda, and of several leading vectors the projection of the uniform start.  Vectors have
+unit length per industry and the sign of a non-negative sum.
 """
 
 from __future__ import annotations
 
-import uuid
-from contextlib import contextmanager
+from collections.abc import Iterator
 
-from pyspark import StorageLevel
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerprofile.session import checkpoint_dir
+from ledgerprofile.session import Scratch, ship
 
-DEFAULT_STEPS = 20
-DEFAULT_GROUP = 4                # products between normalisations / checkpoints
+DEFAULT_TOL = 1e-9               # relative residual at which an industry is finished
+DEFAULT_MAX_STEPS = 500          # products before the iteration gives up with an error
+MAX_BASIS = 32                   # basis vectors before a restart
+KEPT = 8                         # vectors that a restart keeps
 MIN_NODES_EXCLUSIVE = 5          # industries with at most this many nodes are skipped
 DEFAULT_HOT_DEGREE = 1_000_000   # nodes with more in-edges are hubs
 HOT_BROADCAST_ROWS = 100_000     # bound on the broadcast hub list
@@ -119,42 +129,33 @@ class EdgeLayout:
     """
 
     def __init__(self, edges: DataFrame, hot_edges: DataFrame | None, hot: DataFrame,
-                 nodes: DataFrame, buckets: int, table: str, small_industries: bool = True):
+                 degrees: DataFrame, buckets: int, scratch: Scratch, small_industries: bool = True,
+                 small_buckets: bool = True):
+        self.small_buckets = small_buckets
         self.small_industries = small_industries
+        self.degrees = degrees
         self.edges = edges
         self.hot_edges = hot_edges
         self.hot = hot
-        self.nodes = nodes
+        self.nodes = degrees.select("hy_dm", "node")
         self.buckets = buckets
-        self.table = table
+        self.scratch = scratch
 
     def drop(self) -> None:
-        """Forget the catalog entry (the files stay in the checkpoint folder)."""
-        self.edges.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
+        """Delete the files of the layout."""
+        self.scratch.drop(self.edges, self.hot_edges, self.degrees)
 
 
 def _bucket_count(spark, n_edges: int) -> int:
-    """Buckets for ``n_edges`` edges: about EDGES_PER_BUCKET each, at least one per core."""
+    """Buckets for ``n_edges`` edges: about EDGES_PER_BUCKET each, at least one per core, at
+    most what the session allows for a table."""
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
         cores = spark.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001 - Spark Connect
         cores = shuffle
-    return max(min(shuffle, cores), -(-int(n_edges) // EDGES_PER_BUCKET), 1)
-
-
-@contextmanager
-def _shuffle_partitions(spark, n: int):
-    """Run the enclosed actions with ``n`` shuffle partitions, so that each product's
-    aggregate comes out partitioned exactly like the edge buckets.  Session-scoped: do not
-    share the session with concurrent jobs while an iteration runs."""
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(max(min(shuffle, cores), -(-int(n_edges) // EDGES_PER_BUCKET), 1), most)
 
 
 def _layout(adj: DataFrame, hot_degree: int, buckets: int | None = None,
@@ -162,8 +163,9 @@ def _layout(adj: DataFrame, hot_degree: int, buckets: int | None = None,
             hot_broadcast_rows: int = HOT_BROADCAST_ROWS) -> EdgeLayout:
     spark = adj.sparkSession
     # The adjacency is read several times below (node counts, degrees, the two layout
-    # writes): persist it so its upstream runs once.
-    base = adj.select("hy_dm", "xf_nsrsbh", "gf_nsrsbh", "w").persist(StorageLevel.MEMORY_AND_DISK)
+    # writes): written once, so its upstream runs once, and deleted with the layout done.
+    scratch = Scratch(spark)
+    base = scratch.store(adj.select("hy_dm", "xf_nsrsbh", "gf_nsrsbh", "w"))
     keep = (base.select("hy_dm", "xf_nsrsbh").distinct()
             .groupBy("hy_dm").agg(F.count(F.lit(1)).alias("n_nodes"))
             .where(F.col("n_nodes") > min_nodes_exclusive).select("hy_dm"))
@@ -173,13 +175,12 @@ def _layout(adj: DataFrame, hot_degree: int, buckets: int | None = None,
     small_industries = keep.count() <= INDUSTRY_BROADCAST_ROWS
     edges = base.join(F.broadcast(keep) if small_industries else keep, "hy_dm").select(
         "hy_dm", F.col("xf_nsrsbh").alias("src"), F.col("gf_nsrsbh").alias("dst"), "w")
-    deg = (edges.groupBy("hy_dm", F.col("dst").alias("node"))
-           .agg(F.count(F.lit(1)).alias("deg")).checkpoint())
+    deg = scratch.store(edges.groupBy("hy_dm", F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("deg")))
     n_edges = deg.agg(F.sum("deg")).first()[0] or 0
     if buckets is None:
         buckets = _bucket_count(spark, n_edges)
     threshold = hot_degree
-    hot = deg.where(F.col("deg") > threshold).select("hy_dm", "node")   # a filter of a checkpoint
+    hot = deg.where(F.col("deg") > threshold).select("hy_dm", "node")   # a filter of a stored table
     n_hot = hot.count()
     if n_hot > hot_broadcast_rows:
         # At most #edges / threshold nodes can exceed the threshold: raising it to
@@ -192,32 +193,31 @@ def _layout(adj: DataFrame, hot_degree: int, buckets: int | None = None,
         flagged = edges.join(F.broadcast(hot.select("hy_dm", F.col("node").alias("dst"),
                                                     F.lit(True).alias("is_hot"))),
                              ["hy_dm", "dst"], "left")
-        hot_edges = flagged.where(F.col("is_hot").isNotNull()).drop("is_hot").checkpoint()
+        hot_edges = scratch.store(flagged.where(F.col("is_hot").isNotNull()).drop("is_hot"))
         edges = flagged.where(F.col("is_hot").isNull()).drop("is_hot")
-    name = f"ledgerprofile_edges_{uuid.uuid4().hex}"
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
-    (edges.repartition(buckets, "hy_dm", "dst")
-     .write.mode("overwrite").bucketBy(buckets, "hy_dm", "dst")
-     .option("path", path).saveAsTable(name))
-    base.unpersist()
-    return EdgeLayout(spark.table(name), hot_edges, hot, deg.select("hy_dm", "node"), buckets, name,
-                      small_industries)
+    stored = scratch.store(edges.repartition(buckets, "hy_dm", "dst"), buckets, ("hy_dm", "dst"))
+    scratch.drop(base)
+    return EdgeLayout(stored, hot_edges, hot, deg, buckets, scratch, small_industries,
+                      n_edges <= 2 * EDGES_PER_BUCKET * buckets)
 
 
 def _multiply(layout: EdgeLayout, v: DataFrame, absolute: bool = False) -> DataFrame:
     """(hy_dm, node, u) with u_i = sum_j w_ij * v_j (sum_j |w_ij * v_j| when ``absolute``).
 
-    The ordinary edges are read in place from their buckets; ``v`` is hash-partitioned the
-    same way - already so when it is the previous product - and a per-task hash map of
-    its slice is probed by the streamed edges (no sort, no edge shuffle, no edge
-    broadcast).  Edges into hubs are streamed against the broadcast hub entries of ``v``.
-    The sums are combined map-side before the one shuffle by source node.
+    The ordinary edges are read in place from their buckets and joined with ``v`` (hy_dm,
+    node, v), which is dealt like them.  A bucket of bounded size needs no sort: its slice of
+    ``v``, which has no more entries than the bucket has edges, is a hash map of the task;
+    larger buckets (a caller's own ``partitions``) are merged and can spill.  Edges into hubs
+    are streamed against the broadcast hub entries of ``v``.  The sums are combined map-side
+    before the one shuffle by source node.
     """
     vt = v.select("hy_dm", F.col("node").alias("dst"), "v")
+    if int(v.sparkSession.conf.get("spark.sql.shuffle.partitions")) != layout.buckets:
+        vt = vt.repartition(layout.buckets, "hy_dm", "dst")
+    slices = vt.hint("shuffle_hash") if layout.small_buckets else vt
     term = F.col("w") * F.col("v")
     term = F.abs(term) if absolute else term
-    terms = (layout.edges.join(vt.hint("shuffle_hash"), ["hy_dm", "dst"])
-             .select("hy_dm", "src", term.alias("t")))
+    terms = layout.edges.join(slices, ["hy_dm", "dst"]).select("hy_dm", "src", term.alias("t"))
     if layout.hot_edges is not None:
         # at most HOT_BROADCAST_ROWS entries (checked in _layout)
         v_hot = vt.join(F.broadcast(layout.hot.withColumnRenamed("node", "dst")),
@@ -228,98 +228,179 @@ def _multiply(layout: EdgeLayout, v: DataFrame, absolute: bool = False) -> DataF
     return terms.groupBy("hy_dm", F.col("src").alias("node")).agg(F.sum("t").alias("u"))
 
 
-def _normalise(u: DataFrame, small_industries: bool = True) -> DataFrame:
-    """v = u / ||u|| per industry (0 when the norm is 0).
+def _dots(state: DataFrame, size: int) -> DataFrame:
+    """(hy_dm, qq, qz, zz): per industry the inner products of all q and z with the newest ones.
 
-    The norms table has one row per industry; it is broadcast when the industry count was
-    checked to be under ``INDUSTRY_BROADCAST_ROWS`` (see ``_layout``).
+    One aggregation with map-side sums; 3 * ``size`` numbers per industry.
     """
-    norms = u.groupBy("hy_dm").agg(F.sqrt(F.sum(F.col("u") * F.col("u"))).alias("norm"))
-    return (u.join(F.broadcast(norms) if small_industries else norms, "hy_dm")
-            .select("hy_dm", "node",
-                    F.coalesce(F.try_divide(F.col("u"), F.col("norm")), F.lit(0.0)).alias("v")))
-
-
-def _iterate(adj: DataFrame, steps: int, min_nodes_exclusive: int, hot_degree: int,
-             tol: float | None, partitions: int | None, group: int = DEFAULT_GROUP):
-    """Run the power iteration; returns (v, layout).
-
-    Products go in groups of ``group`` (even; the last group may be shorter):
-    v <- normalise(A^group v).  Scaling does not change the direction a power iteration
-    converges to, so normalising once per group gives the same vector as normalising
-    every step, with fewer norm jobs; an entry grows by at most (largest eigenvalue)^group
-    in between, far inside double range for money amounts.  Each group's product is
-    checkpointed (lineage cut: a lost executor recomputes at most one group), the
-    normalised ``v`` is a cheap projection of it, and inside a group each product is
-    joined to the buckets in place.
-    """
-    if group < 2 or group % 2:
-        raise ValueError("group must be an even number >= 2")
-    spark = adj.sparkSession
-    checkpoint_dir(spark)
-    remaining = max(2, steps + (steps % 2))
-    layout = _layout(adj, hot_degree, partitions, min_nodes_exclusive)
-    v = layout.nodes.select("hy_dm", "node", F.lit(1.0).alias("v"))
-    with _shuffle_partitions(spark, layout.buckets):
-        v = _run_groups(layout, v, remaining, group, tol)
-    return v, layout
-
-
-def _run_groups(layout: EdgeLayout, v: DataFrame, remaining: int, group: int,
-                tol: float | None) -> DataFrame:
-    """The grouped products of ``_iterate`` (``remaining`` single steps from ``v``)."""
-    while remaining > 0:
-        size = min(group, remaining)
-        remaining -= size
-        u = v
-        for i in range(size):
-            u = _multiply(layout, u)
-            if i < size - 1:
-                u = u.withColumnRenamed("u", "v")
-                if layout.hot_edges is not None:
-                    # the hub entries are read by a second branch: materialise once
-                    u = u.checkpoint()
-        u = u.checkpoint()
-        new_v = _normalise(u, layout.small_industries)
-        converged = False
-        if tol is not None:
-            moved = (new_v.join(v.withColumnRenamed("v", "v_old"), ["hy_dm", "node"])
-                     .agg(F.max(F.abs(F.col("v") - F.col("v_old")))).first()[0])
-            converged = moved is not None and moved < tol
-        v = new_v
-        if converged:
-            break
-    return v
+    def column(x: str, y: str):
+        return F.array(*[F.sum(F.col(x)[i] * F.col(y)[size - 1]) for i in range(size)])
+    return state.groupBy("hy_dm").agg(column("q", "q").alias("qq"), column("q", "z").alias("qz"),
+                                      column("z", "z").alias("zz"))
 
 
-def leading_eigenvector(adj: DataFrame, steps: int = DEFAULT_STEPS,
+_SOLVED = ("hy_dm string, value double, residual double, scale double, best array<double>, next array<double>, "
+           "kept array<array<double>>, gram array<double>, cross array<double>, norms array<double>")
+
+
+def ritz(gram: np.ndarray, cross: np.ndarray, norms: np.ndarray, kept: int):
+    """Best vector of a basis q with products z = A q, given all their inner products.
+
+    Returns (value, scale, coefficients of the best vector, coefficients over (q, z) of the
+    next direction, coefficients of the ``kept`` best vectors).  The next direction is the
+    best vector's residual, made orthogonal to the basis and divided by ``scale``, its length
+    as far as inner products tell it; the length that is then measured gives the residual.
+    """
+    m = len(gram)
+    w, u = np.linalg.eigh((gram + gram.T) / 2)
+    good = w > 1e-12 * max(w.max(), 1e-300)
+    if not good.any():
+        return 0.0, 0.0, np.zeros(m), np.zeros(2 * m), np.zeros((kept, m))
+    white = u[:, good] / np.sqrt(w[good])
+    values, vectors = np.linalg.eigh(white.T @ ((cross + cross.T) / 2) @ white)
+    # largest magnitude first; of +-lambda the positive one
+    order = np.argsort(-np.abs(values) - 1e-9 * np.sign(values) * np.abs(values).max())
+    coefficients = (white @ vectors[:, order]).T
+    best, value = coefficients[0], values[order[0]]
+    along = white @ (white.T @ (cross @ best - value * (gram @ best)))
+    direction = np.concatenate([-value * best - along, best])
+    both = np.block([[gram, cross], [cross.T, norms]])
+    length = float(np.sqrt(max(direction @ both @ direction, 0.0)))
+    scale = max(length, 1e-9 * abs(value))             # below that, the inner products are noise
+    top = np.zeros((kept, m))
+    top[: min(kept, len(coefficients))] = coefficients[:kept]
+    return float(value), scale, best, direction / scale if scale else 0 * direction, top
+
+
+def _solved(batches: Iterator[pd.DataFrame], size: int, restart: bool, kept: int) -> Iterator[pd.DataFrame]:
+    """Rows of one industry each: the newest inner products and the solution before -> the
+    solution, the residual of the one before (its direction is the newest basis vector), and
+    the tables of the next basis without its newest vector."""
+    for batch in batches:
+        rows = []
+        for r in batch.itertuples(index=False):
+            tables = []
+            for before, column in ((r.gram, r.qq), (r.cross, r.qz), (r.norms, r.zz)):
+                table = np.empty((size, size))
+                if size > 1:
+                    table[:-1, :-1] = np.array(before, float).reshape(size - 1, size - 1)
+                table[:, -1] = table[-1, :] = np.array(column, float)
+                tables.append(table)
+            residual = float("inf")
+            if r.before is not None and not np.isnan(r.before):
+                length = r.scale * np.sqrt(max(tables[0][-1, -1], 0.0))
+                residual = length / abs(r.before) if r.before else length
+            value, scale, best, direction, top = ritz(*tables, kept)
+            if restart:
+                tables = [top @ t @ top.T for t in tables]
+            rows.append((r.hy_dm, value, residual, scale, best.tolist(), direction.tolist(), [t.tolist() for t in top],
+                         *(t.ravel().tolist() for t in tables)))
+        yield pd.DataFrame(rows, columns=["hy_dm", "value", "residual", "scale", "best", "next", "kept", "gram", "cross", "norms"])
+
+
+def _combined(parts: list[tuple[str, int]], weights):
+    """sum_i weights[i] * entry_i over the listed array columns (name, length), in order."""
+    total, at = F.lit(0.0), 0
+    for name, n in parts:
+        for k in range(n):
+            total = total + weights[at + k] * F.col(name)[k]
+        at += n
+    return total
+
+
+def _lanczos(layout: EdgeLayout, tol: float, max_steps: int) -> DataFrame:
+    """(hy_dm, node, v, eigenvalue, residual) of all industries of the layout, stored."""
+    spark, scratch = layout.edges.sparkSession, layout.scratch
+    ship(spark)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    small = F.broadcast if layout.small_industries else (lambda df: df)
+    sizes = layout.nodes.groupBy("hy_dm").agg(F.count(F.lit(1)).alias("n"))
+    # state: stored rows; going: the same with the basis vector of the next product
+    state = None
+    going = (layout.nodes.join(small(sizes), "hy_dm")
+             .select("hy_dm", "node", F.array(F.lit(1.0) / F.sqrt("n")).alias("q"), F.array().cast("array<double>").alias("z"))
+             .repartition(partitions, "hy_dm", "node"))
+    nothing = F.array().cast("array<double>")
+    solved = None
+    finished: list[DataFrame] = []
+    basis = 1
+    for step in range(1, max_steps + 1):
+        product = _multiply(layout, going.select("hy_dm", "node", F.col("q")[basis - 1].alias("v")))
+        old_state, old_solved = state, solved
+        state = scratch.store(
+            going.join(product, ["hy_dm", "node"], "left")
+            .select("hy_dm", "node", "q", F.concat("z", F.array(F.coalesce("u", F.lit(0.0)))).alias("z")),
+            partitions, ("hy_dm", "node"))
+        dots = _dots(state, basis)
+        if old_solved is None:
+            dots = dots.select("*", F.lit(None).cast("double").alias("before"), F.lit(0.0).alias("scale"),
+                               nothing.alias("gram"), nothing.alias("cross"), nothing.alias("norms"))
+        else:
+            dots = dots.join(small(old_solved.select(
+                "hy_dm", F.col("value").alias("before"), "scale", "gram", "cross", "norms")), "hy_dm")
+        restart = basis == MAX_BASIS
+        solved = scratch.store(dots.mapInPandas(
+            lambda b, n=basis, full=restart, kept=KEPT: _solved(b, n, full, kept), _SOLVED))
+        scratch.drop(old_state, old_solved)
+        n_done, n_left = solved.agg(F.count_if(F.col("residual") <= tol), F.count_if(F.col("residual") > tol)).first()
+        with_weights = state.join(small(solved.drop("scale", "gram", "cross", "norms")), "hy_dm")
+        if n_done:
+            v = _combined([("q", basis)], F.col("best"))
+            finished.append(scratch.store(
+                with_weights.where(F.col("residual") <= tol)
+                .select("hy_dm", "node", v.alias("v"), F.col("value").alias("eigenvalue"), "residual")))
+        if not n_left:
+            break
+        if step == max_steps:
+            names = [r[0] for r in solved.where(F.col("residual") > tol).select("hy_dm").limit(10).collect()]
+            raise RuntimeError(f"{n_left} industries not converged to {tol} after {max_steps} products, such as {names}")
+        fresh = _combined([("q", basis), ("z", basis)], F.col("next"))
+        if restart:
+            keep_q = F.array(*[_combined([("q", basis)], F.col("kept")[k]) for k in range(KEPT)])
+            keep_z = F.array(*[_combined([("z", basis)], F.col("kept")[k]) for k in range(KEPT)])
+            basis = KEPT + 1
+        else:
+            keep_q, keep_z, basis = F.col("q"), F.col("z"), basis + 1
+        going = (with_weights.where(F.col("residual") > tol)
+                 .select("hy_dm", "node", F.concat(keep_q, F.array(fresh)).alias("q"), keep_z.alias("z")))
+    scratch.drop(state, solved)
+    if not finished:                                    # no industry is large enough
+        schema = layout.nodes.selectExpr("*", "0D AS v", "0D AS eigenvalue", "0D AS residual").schema
+        return spark.createDataFrame([], schema)
+    out = finished[0]
+    for part in finished[1:]:
+        out = out.unionByName(part)
+    signs = out.groupBy("hy_dm").agg(F.when(F.sum("v") < 0, -1.0).otherwise(1.0).alias("sign"))
+    return out.join(small(signs), "hy_dm").select("hy_dm", "node", (F.col("v") * F.col("sign")).alias("v"),
+                                                  "eigenvalue", "residual")
+
+
+def leading_eigenvector(adj: DataFrame, tol: float = DEFAULT_TOL, max_steps: int = DEFAULT_MAX_STEPS,
                         min_nodes_exclusive: int = MIN_NODES_EXCLUSIVE,
-                        hot_degree: int = DEFAULT_HOT_DEGREE, tol: float | None = None,
-                        partitions: int | None = None) -> DataFrame:
-    """(hy_dm, nsrsbh, v): the leading eigenvector of every large industry's adjacency.
-
-    ``steps`` single multiplications (rounded up to an even count) from v = 1, with
-    per-industry L2 normalisation after every group of four.  With ``tol``, iteration
-    stops early once no entry moved by more than ``tol`` over a group (one small action
-    per check).
-    Industries with at most ``min_nodes_exclusive`` nodes are skipped.
+                        hot_degree: int = DEFAULT_HOT_DEGREE, partitions: int | None = None) -> DataFrame:
+    """(hy_dm, nsrsbh, v, eigenvalue, residual): the leading eigenpair of every large industry.
+
+    Every industry's relative residual is at most ``tol``; if ``max_steps`` products do not
+    reach that, a RuntimeError names the industries.  Industries with at most
+    ``min_nodes_exclusive`` nodes are skipped.
     """
-    v, layout = _iterate(adj, steps, min_nodes_exclusive, hot_degree, tol, partitions)
-    layout.drop()           # v is a projection of a checkpoint: it no longer reads the edges
-    return v.select("hy_dm", F.col("node").alias("nsrsbh"), "v")
+    layout = _layout(adj, hot_degree, partitions, min_nodes_exclusive)
+    v = _lanczos(layout, tol, max_steps)
+    layout.drop()           # v is a projection of stored vectors: it no longer reads the edges
+    return v.withColumnRenamed("node", "nsrsbh")
 
 
 # M5 -------------------------------------------------------------------------------------
-def eigenvector_centrality(adj: DataFrame, steps: int = DEFAULT_STEPS,
+def eigenvector_centrality(adj: DataFrame, tol: float = DEFAULT_TOL, max_steps: int = DEFAULT_MAX_STEPS,
                            min_nodes_exclusive: int = MIN_NODES_EXCLUSIVE,
-                           hot_degree: int = DEFAULT_HOT_DEGREE, tol: float | None = None,
-                           partitions: int | None = None) -> DataFrame:
+                           hot_degree: int = DEFAULT_HOT_DEGREE, partitions: int | None = None) -> DataFrame:
     """(hy_dm, nsrsbh, centrality) with centrality_i = sum_j |w_ij * v_j|.
 
     Only industries with more than ``min_nodes_exclusive`` nodes; self-loops count.
+    Convergence as in :func:`leading_eigenvector`.
     """
-    v, layout = _iterate(adj, steps, min_nodes_exclusive, hot_degree, tol, partitions)
-    with _shuffle_partitions(adj.sparkSession, layout.buckets):
-        c = _multiply(layout, v, absolute=True).checkpoint()
+    layout = _layout(adj, hot_degree, partitions, min_nodes_exclusive)
+    v = _lanczos(layout, tol, max_steps).select("hy_dm", "node", "v")
+    c = layout.scratch.store(_multiply(layout, v, absolute=True))
     layout.drop()
     return c.select("hy_dm", F.col("node").alias("nsrsbh"), F.col("u").alias("centrality"))

@@ -102,7 +102,7 @@ def with_global_position(df: DataFrame, order: list[Column], pos_col: str,
         "_part",
         (F.sum("_cnt").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
         .alias("_off"))
-    return (local.join(offsets, "_part")
+    return (local.join(F.broadcast(offsets), "_part")      # one row per partition
             .select("*", (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local") + 1).alias(pos_col))
             .drop("_part", "_local", "_off"))
 

@@ -6,8 +6,12 @@ Scale notes
   the registry.  Hash aggregation combines map-side, so a seller holding a third of all
   invoices sends at most one partial row per map task to the shuffle; the registry join
   then sees one row per taxpayer-month instead of one per invoice.  Grouping first and
-  joining after gives the same rows as the join-then-group order, because every grouping
-  key of the join-then-group form is either kept or comes from the registry row.
+  joining after gives the same rows as the join-then-group order as long as the registry
+  holds one row per taxpayer id: every grouping key of the join-then-group form is either
+  kept or comes from the registry row.  (With a repeated id the orders differ: the purchase
+  side of A1 meets the registry only through the sales side.)
+* With a period, A1 and A3 test the invoice time as text first (``time_text_between``), so the
+  bound is pushed into the scan of stored invoices and other months are never read.
 * The registry join is left to Catalyst/AQE: broadcast when the registry's runtime size is
   under the threshold, sort-merge with skew splitting otherwise.
 * Money columns are summed in their input type (exact for decimals) and cast to double
@@ -19,20 +23,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerprofile.functions.scalars import month_key, non_empty, period_between
+from ledgerprofile.functions.scalars import month_key, non_empty, period_between, time_text_between
 from ledgerprofile.session import checkpoint_dir
 
+INDUSTRY_MONTH_BROADCAST_ROWS = 200_000   # industry x month tables up to this size are broadcast
+Period = tuple[int, int]                  # first and last month, integers yyyyMM
+
 
 def _classified(registry: DataFrame) -> DataFrame:
     """Registry rows with a usable (non-empty, non-NULL) industry and id."""
     return registry.where(non_empty("hy_dm") & F.col("nsrsbh").isNotNull()).select("nsrsbh", "hy_dm")
 
 
-def _monthly(invoices: DataFrame, id_col: str, amount: str) -> DataFrame:
+def _dated(invoices: DataFrame, period: Period | None, *columns) -> DataFrame:
+    """The columns and ``ny`` of the invoices of the period; invalid times are dropped."""
+    if period:
+        invoices = invoices.where(time_text_between("kprq", *period))
+    dated = invoices.select(*columns, month_key("kprq").alias("ny"), "je")
+    return dated.where(period_between("ny", *period) if period else F.col("ny").isNotNull())
+
+
+def _monthly(invoices: DataFrame, id_col: str, amount: str, period: Period | None = None) -> DataFrame:
     """Sum of ``je`` per (id, month); invalid invoice times are dropped."""
-    return (invoices
-            .select(F.col(id_col).alias("nsrsbh"), month_key("kprq").alias("ny"), "je")
-            .where(F.col("ny").isNotNull())
+    return (_dated(invoices, period, F.col(id_col).alias("nsrsbh"))
             .groupBy("nsrsbh", "ny")
             .agg(F.sum("je").alias(amount)))
 
@@ -51,18 +64,19 @@ def invoices_with_industry(invoices: DataFrame, registry: DataFrame, side: str =
 
 # A1 (+ J2) ------------------------------------------------------------------------------
 def taxpayer_monthly(sales: DataFrame, purchases: DataFrame, registry: DataFrame,
-                     as_double: bool = True) -> DataFrame:
+                     as_double: bool = True, period: Period | None = None) -> DataFrame:
     """Taxpayer-month totals: (nsrsbh, hy_dm, ny, xxje, jxje, lirun).
 
     ``xxje`` = sales of the month, ``jxje`` = purchases of the month, ``lirun`` = their
     difference.  A month must appear on both sides (inner join on (nsrsbh, ny)).  The
     industry is the sales side's; the registry must hold one row per taxpayer.
-    ``as_double=False`` keeps the exact sum type (decimal inputs stay decimal).
+    ``as_double=False`` keeps the exact sum type (decimal inputs stay decimal).  ``period``
+    (first and last month) reads only invoices of those months.
     """
-    xx = _monthly(sales, "xf_nsrsbh", "xxje").join(_classified(registry), "nsrsbh")
+    xx = _monthly(sales, "xf_nsrsbh", "xxje", period).join(_classified(registry), "nsrsbh")
     # The purchase side needs no registry join of its own: the inner join with the
     # classified sales side already drops every taxpayer without an industry.
-    jx = _monthly(purchases, "gf_nsrsbh", "jxje")
+    jx = _monthly(purchases, "gf_nsrsbh", "jxje", period)
     out = xx.join(jx, ["nsrsbh", "ny"]).select(
         "nsrsbh", "hy_dm", "ny", "xxje", "jxje", (F.col("xxje") - F.col("jxje")).alias("lirun"))
     if as_double:
@@ -71,12 +85,6 @@ def taxpayer_monthly(sales: DataFrame, purchases: DataFrame, registry: DataFrame
     return out
 
 
-def taxpayer_monthly_for_tags(sales: DataFrame, purchases: DataFrame, registry: DataFrame) -> DataFrame:
-    """A1 under the column names the tag jobs read: (hy_dm, nsrsbh, ny, lr, jxje, xxje)."""
-    return taxpayer_monthly(sales, purchases, registry).select(
-        "hy_dm", "nsrsbh", "ny", F.col("lirun").alias("lr"), "jxje", "xxje")
-
-
 # A2 -------------------------------------------------------------------------------------
 def industry_monthly(sales: DataFrame, purchases: DataFrame, registry: DataFrame,
                      ordered: bool = True) -> DataFrame:
@@ -91,24 +99,16 @@ def industry_monthly(sales: DataFrame, purchases: DataFrame, registry: DataFrame
     return out.orderBy("ny") if ordered else out
 
 
-def industry_monthly_for_tags(sales: DataFrame, purchases: DataFrame, registry: DataFrame) -> DataFrame:
-    """A2 under the tag jobs' names: (hy_dm, ny, lr, jxje, xxje)."""
-    t = taxpayer_monthly(sales, purchases, registry, as_double=False)
-    return (t.groupBy("hy_dm", "ny")
-            .agg(F.sum("xxje").alias("xx"), F.sum("jxje").alias("jx"))
-            .select("hy_dm", "ny", (F.col("xx") - F.col("jx")).cast("double").alias("lr"),
-                    F.col("jx").cast("double").alias("jxje"), F.col("xx").cast("double").alias("xxje")))
-
-
 def monthly_tables(sales: DataFrame, purchases: DataFrame, registry: DataFrame,
-                   materialise: bool = True) -> tuple[DataFrame, DataFrame]:
+                   materialise: bool = True,
+                   period: Period | None = None) -> tuple[DataFrame, DataFrame]:
     """(taxpayer months, industry months) under the tag jobs' names, from one A1 pass.
 
     Both come from the same exact taxpayer-month totals; with ``materialise`` those are
     written once to the checkpoint folder (lineage cut), so every tag job that reads either
     table reuses them instead of re-reading the invoices.
     """
-    exact = taxpayer_monthly(sales, purchases, registry, as_double=False)
+    exact = taxpayer_monthly(sales, purchases, registry, as_double=False, period=period)
     if materialise:
         checkpoint_dir(exact.sparkSession)
         exact = exact.checkpoint()
@@ -123,14 +123,12 @@ def monthly_tables(sales: DataFrame, purchases: DataFrame, registry: DataFrame,
 
 
 # A3 -------------------------------------------------------------------------------------
-def pair_monthly_sales(sales: DataFrame, registry: DataFrame) -> DataFrame:
+def pair_monthly_sales(sales: DataFrame, registry: DataFrame, period: Period | None = None) -> DataFrame:
     """Seller->buyer monthly sales: (hy_dm, xf_nsrsbh, gf_nsrsbh, ny, xxyje).
 
     ``hy_dm`` is the seller's industry; sellers without one are dropped.
     """
-    pairs = (sales
-             .select("xf_nsrsbh", "gf_nsrsbh", month_key("kprq").alias("ny"), "je")
-             .where(F.col("ny").isNotNull())
+    pairs = (_dated(sales, period, "xf_nsrsbh", "gf_nsrsbh")
              .groupBy("xf_nsrsbh", "gf_nsrsbh", "ny")
              .agg(F.sum("je").alias("xxyje")))
     reg = _classified(registry).withColumnRenamed("nsrsbh", "xf_nsrsbh")
@@ -138,14 +136,12 @@ def pair_monthly_sales(sales: DataFrame, registry: DataFrame) -> DataFrame:
         "hy_dm", "xf_nsrsbh", "gf_nsrsbh", "ny", F.col("xxyje").cast("double").alias("xxyje"))
 
 
-def pair_monthly_purchases(purchases: DataFrame, registry: DataFrame) -> DataFrame:
+def pair_monthly_purchases(purchases: DataFrame, registry: DataFrame, period: Period | None = None) -> DataFrame:
     """Buyer-side monthly purchases per pair: (hy_dm, xf_nsrsbh, gf_nsrsbh, ny, jxyje).
 
     ``hy_dm`` is the *buyer's* industry; buyers without one are dropped.
     """
-    pairs = (purchases
-             .select("xf_nsrsbh", "gf_nsrsbh", month_key("kprq").alias("ny"), "je")
-             .where(F.col("ny").isNotNull())
+    pairs = (_dated(purchases, period, "xf_nsrsbh", "gf_nsrsbh")
              .groupBy("xf_nsrsbh", "gf_nsrsbh", "ny")
              .agg(F.sum("je").alias("jxyje")))
     reg = _classified(registry).withColumnRenamed("nsrsbh", "gf_nsrsbh")
@@ -153,9 +149,9 @@ def pair_monthly_purchases(purchases: DataFrame, registry: DataFrame) -> DataFra
         "hy_dm", "xf_nsrsbh", "gf_nsrsbh", "ny", F.col("jxyje").cast("double").alias("jxyje"))
 
 
-def pair_monthly_for_tags(sales: DataFrame, registry: DataFrame) -> DataFrame:
+def pair_monthly_for_tags(sales: DataFrame, registry: DataFrame, period: Period | None = None) -> DataFrame:
     """A3 under the trade-pair table's names: (hy_dm, xf_nsrsbh, gf_nsrsbh, ny, je)."""
-    return pair_monthly_sales(sales, registry).withColumnRenamed("xxyje", "je")
+    return pair_monthly_sales(sales, registry, period).withColumnRenamed("xxyje", "je")
 
 
 # A4 -------------------------------------------------------------------------------------
@@ -180,14 +176,19 @@ def rows_per_industry(df: DataFrame) -> DataFrame:
 
 # J3 -------------------------------------------------------------------------------------
 def taxpayer_vs_industry(taxpayer_months: DataFrame, industry_months: DataFrame,
-                         start: int, end: int) -> DataFrame:
+                         start: int, end: int,
+                         broadcast_rows: int = INDUSTRY_MONTH_BROADCAST_ROWS) -> DataFrame:
     """Taxpayer months next to their industry's month totals, inside the period.
 
     (hy_dm, nsrsbh, ny, xxje, jxje, hyxxje, hyjxje).  The industry side has one row per
-    (industry, month), so the join never multiplies taxpayer rows.
+    (industry, month), so the join never multiplies taxpayer rows; it is counted, and up to
+    ``broadcast_rows`` rows it is broadcast, so the taxpayer months are not shuffled on the few
+    (industry, month) keys.  Beyond that the join is left to Catalyst.
     """
     n = taxpayer_months.where(period_between("ny", start, end) & F.col("nsrsbh").isNotNull()).select(
         "hy_dm", "nsrsbh", "ny", "xxje", "jxje")
     h = industry_months.where(period_between("ny", start, end)).select(
         "hy_dm", "ny", F.col("xxje").alias("hyxxje"), F.col("jxje").alias("hyjxje"))
+    if h.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        h = F.broadcast(h)
     return n.join(h, ["hy_dm", "ny"])

@@ -8,6 +8,7 @@ engines may sum in a different order.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -18,6 +19,7 @@ from ledgerprofile.functions import scalars
 from ledgerprofile.operators import graph, series, summary
 from ledgerprofile.plans import tags
 from ledgerprofile.session import checkpoint_dir
+from ledgerprofile.sources import sink
 from ledgerprofile.sources import loaders, testdata
 
 # Fixed parameters of the compared queries.
@@ -28,38 +30,34 @@ RATIO = 0.2
 TOP_N = 5
 REGION = "03"
 TAG_TIME = "2026-01-01"
-STEPS = 20
+TOL = 1e-12
+HUB_DEGREE = 3
+DIAGONAL = 0.5
 MONEY_DIGITS = 2
 SHARE_DIGITS = 6
-VECTOR_DIGITS = 9
-CENTRALITY_DIGITS = 2
+VECTOR_DIGITS = 8
+CENTRALITY_DIGITS = 0
 
 
 class Inputs:
     """Lazily built inputs for one test-data folder.
 
     The monthly tables are materialised once (checkpoint), so the series operators that
-    read them are called with ``materialise=False``.
+    read them are called with ``materialise=False``.  Invoices are read where they lie, each
+    side with its own columns; ``period`` restricts the monthly tables to those months.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, period: tuple[int, int] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.period = period
         self._tables: tuple[DataFrame, DataFrame] | None = None
-        self._invoice_lines: DataFrame | None = None
-
-    def _lines(self) -> DataFrame:
-        """All invoice lines, materialised once: both invoice sides are read from them."""
-        if self._invoice_lines is None:
-            checkpoint_dir(self.spark)
-            self._invoice_lines = testdata.invoice_lines(self.spark, self.sf_dir).checkpoint()
-        return self._invoice_lines
 
     def sales(self) -> DataFrame:
-        return loaders.sales_invoices(self._lines())
+        return loaders.sales_invoices(testdata.invoice_lines(self.spark, self.sf_dir))
 
     def purchases(self) -> DataFrame:
-        lines = self._lines()
+        lines = testdata.invoice_lines(self.spark, self.sf_dir)
         return loaders.purchase_invoices(lines.where(F.col("rf") != F.lit(testdata.RETURNED_FLAG)))
 
     def registry(self) -> DataFrame:
@@ -72,7 +70,8 @@ class Inputs:
         """Taxpayer and industry months from one materialised A1 pass, read back through
         the warehouse column names (S8, S9)."""
         if self._tables is None:
-            t, h = summary.monthly_tables(self.sales(), self.purchases(), self.registry())
+            t, h = summary.monthly_tables(self.sales(), self.purchases(), self.registry(),
+                                          period=self.period)
             tw = t.select(F.col("hy_dm").alias("hy_key"), F.col("nsrsbh").alias("nsr_key"),
                           F.col("ny").alias("date_key"), "lr", "jxje", "xxje")
             hw = h.select(F.col("hy_dm").alias("hy_key"), F.col("ny").alias("date_key"),
@@ -89,7 +88,7 @@ class Inputs:
         return self._monthly()[1]
 
     def pair_months(self) -> DataFrame:
-        p = summary.pair_monthly_for_tags(self.sales(), self.registry())
+        p = summary.pair_monthly_for_tags(self.sales(), self.registry(), self.period)
         warehouse = p.select(F.col("hy_dm").alias("hy_key"), F.col("xf_nsrsbh").alias("nsr_key"),
                              F.col("gf_nsrsbh").alias("jy_nsrsbh"), F.col("ny").alias("date_key"), "je")
         return loaders.trade_pairs_monthly_table(warehouse)
@@ -146,13 +145,37 @@ def q_trade_pairs_region(spark, sf_dir):
 
 
 def q_trade_pair_totals(spark, sf_dir):
-    t = loaders.trade_pair_totals(Inputs(spark, sf_dir).pair_months(), START, END)
+    t = loaders.trade_pair_totals(Inputs(spark, sf_dir, (START, END)).pair_months(), START, END)
     return _money(t, "zje")
 
 
+def q_scan_stored_table(spark, sf_dir):
+    """A stored table by its path."""
+    li = loaders.scan_table(spark, f"{sf_dir}/lineitem.parquet")
+    return li.select("l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("double").alias("l_extendedprice"))
+
+
+def q_catalog_invoices(spark, sf_dir):
+    """The invoices as a table of the catalog."""
+    testdata.invoice_lines(spark, sf_dir).createOrReplaceTempView("ledgerprofile_invoices")
+    inv = loaders.catalog_invoices(spark, "ledgerprofile_invoices")
+    return inv.withColumn("je", F.col("je").cast("double"))
+
+
+def q_tag_table(spark, sf_dir):
+    """Two tag jobs appended to one table, and the table read back."""
+    table = f"ledgerprofile_tags_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{table}"
+    sink.append_tags(q_tag_foreign_trade(spark, sf_dir), table, path=path)
+    sink.append_tags(q_tag_industry_leader(spark, sf_dir), table, path=path)
+    rows = spark.read.parquet(path)
+    spark.sql(f"DROP TABLE {table}")          # the files stay
+    return rows
+
+
 # --- scalars -------------------------------------------------------------------------------
 def q_invoice_month(spark, sf_dir):
-    s = Inputs(spark, sf_dir).sales()
+    s = Inputs(spark, sf_dir, (START, END)).sales()
     return s.select("xf_nsrsbh", "kprq", scalars.invoice_month("kprq").alias("ny"))
 
 
@@ -212,125 +235,156 @@ def q_pair_totals(spark, sf_dir):
 
 
 def q_month_count(spark, sf_dir):
-    return summary.month_count(Inputs(spark, sf_dir).taxpayer_months(), START, END)
+    return summary.month_count(Inputs(spark, sf_dir, (START, END)).taxpayer_months(), START, END)
 
 
 def q_edges_per_industry(spark, sf_dir):
-    t = loaders.trade_pair_totals(Inputs(spark, sf_dir).pair_months(), START, END)
+    t = loaders.trade_pair_totals(Inputs(spark, sf_dir, (START, END)).pair_months(), START, END)
     return summary.rows_per_industry(t)
 
 
 def q_taxpayer_vs_industry(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
+    i = Inputs(spark, sf_dir, (START, END))
     return summary.taxpayer_vs_industry(i.taxpayer_months(), i.industry_months(), START, END)
 
 
 def q_industry_share(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
+    i = Inputs(spark, sf_dir, (START, END))
     s = tags.industry_share(i.taxpayer_months(), i.industry_months(), START, END)
     s = _money(s, "zxxje", "zjxje", "hyzxxje", "hyzjxje")
     return s.withColumn("xxbl", F.round("xxbl", SHARE_DIGITS))
 
 
 def q_industry_top_n(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
+    i = Inputs(spark, sf_dir, (START, END))
     return tags.industry_top_n(i.taxpayer_months(), i.industry_months(), START, END, TOP_N, SHARE_DIGITS)
 
 
 # --- series --------------------------------------------------------------------------------
 def q_monthly_pivot(spark, sf_dir):
-    return series.monthly_pivot(Inputs(spark, sf_dir).taxpayer_months(), START, END, materialise=False)
+    return series.monthly_pivot(Inputs(spark, sf_dir, (START, END)).taxpayer_months(), START, END, materialise=False)
 
 
 def q_growth_slope_ridge(spark, sf_dir):
-    return series.growth_slope(Inputs(spark, sf_dir).taxpayer_months(), START, END, materialise=False)
+    return series.growth_slope(Inputs(spark, sf_dir, (START, END)).taxpayer_months(), START, END, materialise=False)
 
 
 def q_growth_slope_ols(spark, sf_dir):
-    return series.growth_slope(Inputs(spark, sf_dir).taxpayer_months(), START, END, ridge=0.0,
+    return series.growth_slope(Inputs(spark, sf_dir, (START, END)).taxpayer_months(), START, END, ridge=0.0,
                                materialise=False)
 
 
 def q_monthly_autocorrelation(spark, sf_dir, lag=LAG):
-    return series.autocorrelation(Inputs(spark, sf_dir).taxpayer_months(), START, END, lag,
+    return series.autocorrelation(Inputs(spark, sf_dir, (START, END)).taxpayer_months(), START, END, lag,
                                   materialise=False)
 
 
 def q_coefficient_histogram(spark, sf_dir):
-    c = series.autocorrelation(Inputs(spark, sf_dir).taxpayer_months(), START, END, LAG,
+    c = series.autocorrelation(Inputs(spark, sf_dir, (START, END)).taxpayer_months(), START, END, LAG,
                                materialise=False)
     return series.coefficient_histogram(c)
 
 
 # --- graph ---------------------------------------------------------------------------------
 def q_trade_edges_symmetric(spark, sf_dir):
-    t = loaders.trade_pair_totals(Inputs(spark, sf_dir).pair_months(), START, END)
+    t = loaders.trade_pair_totals(Inputs(spark, sf_dir, (START, END)).pair_months(), START, END)
     return _money(graph.symmetric_edges(t), "zje")
 
 
 def q_trade_adjacency(spark, sf_dir):
-    return _money(Inputs(spark, sf_dir).adjacency(), "w")
+    return _money(Inputs(spark, sf_dir, (START, END)).adjacency(), "w")
 
 
 def q_trade_degree(spark, sf_dir):
-    return graph.degree(Inputs(spark, sf_dir).adjacency())
+    return graph.degree(Inputs(spark, sf_dir, (START, END)).adjacency())
 
 
 def q_trade_nodes(spark, sf_dir):
-    t = loaders.trade_pair_totals(Inputs(spark, sf_dir).pair_months(), START, END)
+    t = loaders.trade_pair_totals(Inputs(spark, sf_dir, (START, END)).pair_months(), START, END)
     return graph.node_counts(graph.symmetric_edges(t))
 
 
 def q_trade_eigenvector(spark, sf_dir):
-    v = graph.leading_eigenvector(Inputs(spark, sf_dir).adjacency(), STEPS)
-    return v.withColumn("v", F.round("v", VECTOR_DIGITS))
+    v = graph.leading_eigenvector(Inputs(spark, sf_dir, (START, END)).adjacency(), TOL)
+    return v.select("hy_dm", "nsrsbh", F.round("v", VECTOR_DIGITS).alias("v"),
+                    F.round("eigenvalue", CENTRALITY_DIGITS).alias("eigenvalue"))
 
 
 def q_trade_centrality(spark, sf_dir):
-    c = graph.eigenvector_centrality(Inputs(spark, sf_dir).adjacency(), STEPS)
+    c = graph.eigenvector_centrality(Inputs(spark, sf_dir, (START, END)).adjacency(), TOL)
+    return c.withColumn("centrality", F.round("centrality", CENTRALITY_DIGITS))
+
+
+def q_trade_centrality_hubs(spark, sf_dir):
+    """M5 with almost every node on the hub path."""
+    c = graph.eigenvector_centrality(Inputs(spark, sf_dir, (START, END)).adjacency(), TOL, hot_degree=HUB_DEGREE)
     return c.withColumn("centrality", F.round("centrality", CENTRALITY_DIGITS))
 
 
+def q_trade_adjacency_diagonal(spark, sf_dir):
+    """A8 with weight on the empty diagonal cells."""
+    totals = loaders.trade_pair_totals(Inputs(spark, sf_dir, (START, END)).pair_months(), START, END)
+    return _money(graph.adjacency(graph.symmetric_edges(totals), diag_eps=DIAGONAL), "w")
+
+
 # --- tags ----------------------------------------------------------------------------------
 def q_tag_foreign_trade(spark, sf_dir):
-    reg = loaders.foreign_trade_registry(Inputs(spark, sf_dir).registry_maps())
+    reg = loaders.foreign_trade_registry(Inputs(spark, sf_dir, (START, END)).registry_maps())
     return tags.tag_foreign_trade(reg, START, END, TAG_TIME)
 
 
 def q_tag_fast_growth(spark, sf_dir):
-    return tags.tag_fast_growth(Inputs(spark, sf_dir).taxpayer_months(), START, END, RATIO,
+    return tags.tag_fast_growth(Inputs(spark, sf_dir, (START, END)).taxpayer_months(), START, END, RATIO,
                                 tag_time=TAG_TIME, materialise=False)
 
 
+def q_tag_foreign_trade_today(spark, sf_dir):
+    """G1 with the current date."""
+    reg = loaders.foreign_trade_registry(Inputs(spark, sf_dir).registry_maps())
+    return tags.tag_foreign_trade(reg, START, END)
+
+
+def q_tag_fast_growth_ranked(spark, sf_dir):
+    """G2 cut by the distributed ranking, whatever the number of rows kept."""
+    return tags.tag_fast_growth(Inputs(spark, sf_dir, (START, END)).taxpayer_months(), START, END, RATIO,
+                                tag_time=TAG_TIME, bounded_limit=0, materialise=False)
+
+
+def q_tag_supply_core_least(spark, sf_dir):
+    """T4 ascending: the least central companies."""
+    return tags.tag_supply_core(Inputs(spark, sf_dir, (START, END)).pair_months(), START, END, RATIO, tol=TOL,
+                                descending=False, digits=CENTRALITY_DIGITS, tag_time=TAG_TIME)
+
+
 def q_tag_fast_growth_ols(spark, sf_dir):
-    return tags.tag_fast_growth_ols(Inputs(spark, sf_dir).taxpayer_months(), START, END, RATIO,
+    return tags.tag_fast_growth_ols(Inputs(spark, sf_dir, (START, END)).taxpayer_months(), START, END, RATIO,
                                     tag_time=TAG_TIME, materialise=False)
 
 
 def q_tag_periodic(spark, sf_dir, lag=LAG):
-    return tags.tag_periodic(Inputs(spark, sf_dir).taxpayer_months(), START, END, lag, RATIO,
+    return tags.tag_periodic(Inputs(spark, sf_dir, (START, END)).taxpayer_months(), START, END, lag, RATIO,
                              tag_time=TAG_TIME, materialise=False)
 
 
 def q_tag_supply_core(spark, sf_dir):
-    return tags.tag_supply_core(Inputs(spark, sf_dir).pair_months(), START, END, RATIO,
-                                steps=STEPS, digits=CENTRALITY_DIGITS, tag_time=TAG_TIME)
+    return tags.tag_supply_core(Inputs(spark, sf_dir, (START, END)).pair_months(), START, END, RATIO,
+                                tol=TOL, digits=CENTRALITY_DIGITS, tag_time=TAG_TIME)
 
 
 def q_tag_industry_leader(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
+    i = Inputs(spark, sf_dir, (START, END))
     return tags.tag_industry_leader(i.taxpayer_months(), i.industry_months(), START, END, 1,
                                     SHARE_DIGITS, TAG_TIME)
 
 
 def q_growth_level(spark, sf_dir):
-    slopes = series.growth_slope(Inputs(spark, sf_dir).taxpayer_months(), START, END,
+    slopes = series.growth_slope(Inputs(spark, sf_dir, (START, END)).taxpayer_months(), START, END,
                                  materialise=False)
     return tags.growth_level(slopes)
 
 
 def q_enterprise_profile(spark, sf_dir):
-    i = Inputs(spark, sf_dir)           # one monthly summary shared by every tag
+    i = Inputs(spark, sf_dir, (START, END))           # one monthly summary shared by every tag
     months = i.taxpayer_months()
     reg = loaders.foreign_trade_registry(i.registry_maps())
     return tags.enterprise_profile(
@@ -342,14 +396,14 @@ def q_enterprise_profile(spark, sf_dir):
 
 
 def q_enterprise_profile_all(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
+    i = Inputs(spark, sf_dir, (START, END))
     months = i.taxpayer_months()
     reg = loaders.foreign_trade_registry(i.registry_maps())
     return tags.enterprise_profile(
         tags.tag_foreign_trade(reg, START, END, TAG_TIME),
         tags.tag_fast_growth(months, START, END, RATIO, tag_time=TAG_TIME, materialise=False),
         tags.tag_periodic(months, START, END, LAG, RATIO, tag_time=TAG_TIME, materialise=False),
-        tags.tag_supply_core(i.pair_months(), START, END, RATIO, steps=STEPS,
+        tags.tag_supply_core(i.pair_months(), START, END, RATIO, tol=TOL,
                              digits=CENTRALITY_DIGITS, tag_time=TAG_TIME),
         tags.tag_industry_leader(months, i.industry_months(), START, END, 1, SHARE_DIGITS, TAG_TIME),
     )
@@ -357,6 +411,9 @@ def q_enterprise_profile_all(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_invoices": q_scan_invoices,
+    "scan_stored_table": q_scan_stored_table,
+    "catalog_invoices": q_catalog_invoices,
+    "tag_table": q_tag_table,
     "sales_invoices": q_sales_invoices,
     "purchase_invoices": q_purchase_invoices,
     "registry": q_registry,
@@ -393,7 +450,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trade_nodes": q_trade_nodes,
     "trade_eigenvector": q_trade_eigenvector,
     "trade_centrality": q_trade_centrality,
+    "trade_centrality_hubs": q_trade_centrality_hubs,
+    "trade_adjacency_diagonal": q_trade_adjacency_diagonal,
     "tag_foreign_trade": q_tag_foreign_trade,
+    "tag_foreign_trade_today": q_tag_foreign_trade_today,
+    "tag_fast_growth_ranked": q_tag_fast_growth_ranked,
+    "tag_supply_core_least": q_tag_supply_core_least,
     "tag_fast_growth": q_tag_fast_growth,
     "tag_fast_growth_ols": q_tag_fast_growth_ols,
     "tag_periodic": q_tag_periodic,

@@ -1,7 +1,7 @@
 """DuckDB SQL for every compared query of ``ledgerprofile.plans.catalog``.
 
 Independent formulations (a dense month grid for the autocorrelation, window row numbers
-for every cut, unrolled power-iteration steps) over the same test tables, so a match is a
+for every cut, a plain power iteration of many steps) over the same test tables, so a match is a
 real cross-check.  Each text is one statement: the test-data mapping is inlined as CTEs.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from ledgerprofile.plans.catalog import (
     CENTRALITY_DIGITS,
+    DIAGONAL,
     END,
     LAG,
     MONEY_DIGITS,
@@ -16,12 +17,15 @@ from ledgerprofile.plans.catalog import (
     REGION,
     SHARE_DIGITS,
     START,
-    STEPS,
     TAG_TIME,
     TOP_N,
     VECTOR_DIGITS,
 )
 
+# The plain power iteration below must run until it has converged; Spark's Lanczos process
+# needs a fraction of these products.
+ORACLE_STEPS = 80
+
 BASE = f"""
 nsr AS (
   SELECT s_suppkey,
@@ -135,7 +139,7 @@ def _cut(source: str, value: str, rule: str) -> str:
       WHERE rn <= {k})"""
 
 
-def _power(steps: int = STEPS) -> str:
+def _power(steps: int = ORACLE_STEPS) -> str:
     """CTE text: a_big (edges of industries with > 5 nodes), v0..v{steps}."""
     parts = [
         "big AS (SELECT hy_dm FROM (SELECT DISTINCT hy_dm, xf_nsrsbh FROM adj) GROUP BY hy_dm HAVING count(*) > 5)",
@@ -163,6 +167,9 @@ def oracle_sql() -> dict[str, str]:
     money = MONEY_DIGITS
     q: dict[str, str] = {}
     q["scan_invoices"] = _with("SELECT xf_nsrsbh, gf_nsrsbh, CAST(je AS DOUBLE) AS je, kprq, rf FROM inv")
+    q["scan_stored_table"] = ("SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DOUBLE) AS l_extendedprice "
+                              "FROM lineitem")
+    q["catalog_invoices"] = _with("SELECT gf_nsrsbh, xf_nsrsbh, CAST(je AS DOUBLE) AS je, kprq FROM inv")
     q["sales_invoices"] = _with("SELECT xf_nsrsbh, gf_nsrsbh, CAST(je AS DOUBLE) AS je, kprq FROM xxfp")
     q["purchase_invoices"] = _with("SELECT xf_nsrsbh, gf_nsrsbh, CAST(je AS DOUBLE) AS je, kprq FROM jxfp")
     q["registry"] = _with("SELECT nsrsbh, hy_dm FROM nsr")
@@ -216,8 +223,10 @@ def oracle_sql() -> dict[str, str]:
               f"FROM (SELECT hy_dm, nsrsbh, round(xxbl, {SHARE_DIGITS}) AS xxbl FROM ({share_body})))")
     q["industry_top_n"] = _with(
         f"SELECT hy_dm, nsrsbh, xxbl, CAST(rank AS INTEGER) AS rank FROM {ranked} WHERE rank <= {TOP_N}")
-    q["monthly_pivot"] = _with(
-        "SELECT * FROM (PIVOT (SELECT nsrsbh, ny, xxje FROM per) ON ny USING avg(xxje) GROUP BY nsrsbh)")
+    months = [y * 100 + m for y in range(START // 100, END // 100 + 1) for m in range(1, 13)
+              if START <= y * 100 + m <= END]
+    q["monthly_pivot"] = _with("SELECT nsrsbh, " + ", ".join(
+        f'avg(xxje) FILTER (WHERE ny = {m}) AS "{m}"' for m in months) + " FROM per GROUP BY nsrsbh")
     q["growth_slope_ridge"] = _with("SELECT nsrsbh, slope FROM ridge")
     q["growth_slope_ols"] = _with("SELECT nsrsbh, slope FROM ols")
     q["monthly_autocorrelation"] = _with("SELECT nsrsbh, coefficient FROM acf")
@@ -233,19 +242,35 @@ def oracle_sql() -> dict[str, str]:
     q["trade_nodes"] = _with(
         "SELECT hy_dm, count(DISTINCT xf_nsrsbh) AS n_nodes FROM sym GROUP BY hy_dm")
     q["trade_eigenvector"] = _with_power(
-        f"SELECT hy_dm, node AS nsrsbh, round(v, {VECTOR_DIGITS}) AS v FROM v{STEPS}")
+        f"SELECT hy_dm, node AS nsrsbh, round(v, {VECTOR_DIGITS}) AS v, "
+        f"round(norm, {CENTRALITY_DIGITS}) AS eigenvalue FROM v{ORACLE_STEPS} "
+        f"JOIN (SELECT hy_dm, sqrt(sum(u * u)) AS norm FROM u{ORACLE_STEPS} GROUP BY hy_dm) USING (hy_dm)")
     q["trade_centrality"] = _with_power(
         f"SELECT hy_dm, nsrsbh, round(centrality, {CENTRALITY_DIGITS}) AS centrality FROM cent")
+    q["trade_centrality_hubs"] = q["trade_centrality"]
+    q["trade_adjacency_diagonal"] = _with(
+        f"SELECT hy_dm, xf_nsrsbh, gf_nsrsbh, round(w, {money}) AS w FROM adj UNION ALL "
+        f"SELECT DISTINCT hy_dm, xf_nsrsbh, xf_nsrsbh, CAST({DIAGONAL} AS DOUBLE) FROM adj a WHERE NOT EXISTS ("
+        f"SELECT 1 FROM adj b WHERE b.hy_dm = a.hy_dm AND b.xf_nsrsbh = a.xf_nsrsbh AND b.gf_nsrsbh = a.xf_nsrsbh)")
+    q["tag_foreign_trade_today"] = _with(_tags("nsr WHERE nsrdj_no <> ''", "1", "nsrsbh", "1.0").replace(
+        f"'{TAG_TIME}'", "CAST(current_date AS VARCHAR)"))
     q["tag_foreign_trade"] = _with(_tags("nsr WHERE nsrdj_no <> ''", "1", "nsrsbh", "1.0"))
     q["tag_fast_growth"] = _with(_tags(_cut("ridge", "slope", "growth"), "2", "nsrsbh", "slope"))
+    q["tag_fast_growth_ranked"] = q["tag_fast_growth"]
     q["tag_fast_growth_ols"] = _with(_tags(_cut("ols", "slope", "growth"), "2", "nsrsbh", "slope"))
     for name, lag in (("tag_periodic", LAG), ("tag_periodic_lag3", 3), ("tag_periodic_lag6", 6)):
         q[name] = _with(_tags(_cut("acf", "coefficient", "periodic"), "4", "nsrsbh", "coefficient"), lag)
+    least = (f"(SELECT * FROM (SELECT hy_dm, nsrsbh, round(centrality, {CENTRALITY_DIGITS}) AS c, "
+             f"row_number() OVER (PARTITION BY hy_dm ORDER BY round(centrality, {CENTRALITY_DIGITS}), nsrsbh) AS rn "
+             f"FROM cent) WHERE rn <= 5)")
+    q["tag_supply_core_least"] = _with_power(_tags(least, "5", "nsrsbh", "c"))
     core = (f"(SELECT * FROM (SELECT hy_dm, nsrsbh, round(centrality, {CENTRALITY_DIGITS}) AS c, "
             f"row_number() OVER (PARTITION BY hy_dm ORDER BY round(centrality, {CENTRALITY_DIGITS}) DESC, nsrsbh) AS rn "
             f"FROM cent) WHERE rn <= 5)")
     q["tag_supply_core"] = _with_power(_tags(core, "5", "nsrsbh", "c"))
     q["tag_industry_leader"] = _with(_tags(f"{ranked} WHERE rank = 1", "6", "nsrsbh", "xxbl"))
+    q["tag_table"] = _with(_tags("nsr WHERE nsrdj_no <> ''", "1", "nsrsbh", "1.0") + " UNION ALL "
+                           + _tags(f"{ranked} WHERE rank = 1", "6", "nsrsbh", "xxbl"))
     level = """
       SELECT nsrsbh, slope, CASE WHEN raw >= 1 THEN CAST(raw AS INTEGER) ELSE 0 END * sgn AS level FROM (
         SELECT nsrsbh, slope, sgn,

@@ -73,20 +73,22 @@ def tag_periodic(taxpayer_months: DataFrame, start: int, end: int, lag: int, rat
 
 # G5 -------------------------------------------------------------------------------------
 def supply_chain_centrality(pair_months: DataFrame, start: int, end: int,
-                            prefix: str | None = None, steps: int = graph.DEFAULT_STEPS,
+                            prefix: str | None = None, tol: float = graph.DEFAULT_TOL,
                             hot_degree: int = graph.DEFAULT_HOT_DEGREE,
-                            tol: float | None = None, diag_eps: float = 0.0) -> DataFrame:
+                            diag_eps: float = 0.0,
+                            max_steps: int = graph.DEFAULT_MAX_STEPS) -> DataFrame:
     """(hy_dm, nsrsbh, centrality) of every node of every industry with > 5 nodes.
 
-    ``diag_eps`` fills empty diagonal cells of the adjacency (0 by default).
+    ``diag_eps`` fills empty diagonal cells of the adjacency (0 by default).  Every
+    industry's eigenvector has a relative residual of at most ``tol``.
     """
     totals = trade_pair_totals(pair_months, start, end, prefix)
     adj = graph.adjacency(graph.symmetric_edges(totals), diag_eps=diag_eps)
-    return graph.eigenvector_centrality(adj, steps, hot_degree=hot_degree, tol=tol)
+    return graph.eigenvector_centrality(adj, tol, max_steps, hot_degree=hot_degree)
 
 
 def tag_supply_core(pair_months: DataFrame, start: int, end: int, ratio: float | None = None,
-                    prefix: str | None = None, steps: int = graph.DEFAULT_STEPS,
+                    prefix: str | None = None, tol: float = graph.DEFAULT_TOL,
                     top: int = CORE_COMPANIES_PER_INDUSTRY, descending: bool = True,
                     digits: int | None = None, tag_time: str | None = None,
                     hot_degree: int = graph.DEFAULT_HOT_DEGREE, diag_eps: float = 0.0) -> DataFrame:
@@ -95,7 +97,7 @@ def tag_supply_core(pair_months: DataFrame, start: int, end: int, ratio: float |
     ``descending=False`` keeps the least central ones instead.  ``ratio`` is accepted and
     unused.  ``digits`` rounds the centrality.
     """
-    c = supply_chain_centrality(pair_months, start, end, prefix, steps, hot_degree, diag_eps=diag_eps)
+    c = supply_chain_centrality(pair_months, start, end, prefix, tol, hot_degree, diag_eps)
     if digits is not None:
         c = c.withColumn("centrality", round_half_up("centrality", digits))
     best = ranking.top_n_per_group(c, "hy_dm", "centrality", "nsrsbh", top, descending)

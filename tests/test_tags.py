@@ -62,8 +62,8 @@ def test_supply_core_tags(spark):
         [("H1", a, b, 201201, w) for a, b, w in
          [("A", "B", 3.0), ("B", "C", 1.0), ("C", "D", 2.0), ("D", "E", 5.0), ("E", "F", 1.0), ("F", "A", 4.0)]],
         "hy_dm string, xf_nsrsbh string, gf_nsrsbh string, ny int, je double")
-    top = tags.tag_supply_core(pairs, 201201, 201212, steps=20, top=2, tag_time="t").collect()
-    low = tags.tag_supply_core(pairs, 201201, 201212, steps=20, top=2, descending=False, tag_time="t").collect()
+    top = tags.tag_supply_core(pairs, 201201, 201212, top=2, tag_time="t").collect()
+    low = tags.tag_supply_core(pairs, 201201, 201212, top=2, descending=False, tag_time="t").collect()
     assert len(top) == 2 and len(low) == 2
     assert min(r.bq_value for r in top) > max(r.bq_value for r in low)
     assert {r.bq_key for r in top} == {"5"}
