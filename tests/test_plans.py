@@ -62,3 +62,50 @@ def test_second_product_joins_edges_in_place(spark):
     assert plan.count("Bucketed: true") == 2
     assert _exchanges(plan) == 3
     assert "ShuffledHashJoin" in plan
+
+
+def test_period_reaches_the_invoice_scan(spark):
+    from ledgerprofile.operators import summary
+    path = os.path.join(tempfile.mkdtemp(prefix="ledgerprofile-plans-"), "invoices")
+    spark.createDataFrame([("A", "B", 1.0, "19950105000000", "x"), ("A", "B", 2.0, "19970101000000", "x")],
+                          "xf_nsrsbh string, gf_nsrsbh string, je double, kprq string, note string").write.parquet(path)
+    invoices = spark.read.parquet(path)
+    reg = spark.createDataFrame([("A", "H1"), ("B", "H1")], "nsrsbh string, hy_dm string")
+    df = summary.pair_monthly_sales(invoices, reg, (199501, 199612))
+    pushed = _plan(df).split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(kprq,199501)" in pushed and "LessThan(kprq,199701)" in pushed
+    assert "note" not in _plan(df)
+    assert [tuple(r) for r in df.collect()] == [("H1", "A", "B", 199501, 1.0)]
+    assert summary.pair_monthly_sales(invoices, reg).count() == 2
+
+
+def test_invoice_queries_read_pruned_parquet(spark, sf001):
+    from ledgerprofile.plans.catalog import QUERIES
+    plan = _plan(QUERIES["taxpayer_monthly"](spark, sf001))
+    assert "Scan ExistingRDD" not in plan and plan.count("FileScan parquet") >= 2
+    assert "l_comment" not in plan
+
+
+def test_industry_months_are_broadcast(spark, stored_months):
+    from ledgerprofile.operators import summary
+    industry = stored_months.groupBy("hy_dm", "ny").agg(F.sum("xxje").alias("xxje"), F.sum("jxje").alias("jxje"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(summary.taxpayer_vs_industry(stored_months, industry, 201201, 201212))
+        beyond = _plan(summary.taxpayer_vs_industry(stored_months, industry, 201201, 201212, broadcast_rows=0))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and _exchanges(plan) == 1      # the aggregation of the industry months
+    assert "SortMergeJoin" in beyond
+
+
+def test_ranked_rows_are_not_shuffled_by_partition(spark, stored_months):
+    from ledgerprofile.operators import ranking
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranked = ranking.with_global_position(stored_months, [F.col("xxje").desc(), F.col("nsrsbh"), F.col("ny")], "pos", 4)
+        plan = _plan(ranked)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(_part") == 1         # the counts, one row per partition
+    assert "SortMergeJoin" not in plan

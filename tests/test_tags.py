@@ -91,3 +91,19 @@ def test_growth_level_row_bands(spark):
     slopes = spark.createDataFrame([(f"U{i:03d}", 1.0 + i) for i in range(60)], "nsrsbh string, slope double")
     lv = {r.nsrsbh: r.level for r in tags.growth_level(slopes, band_rows=10).collect()}
     assert lv["U059"] == 5 and lv["U050"] == 5 and lv["U049"] == 4 and lv["U010"] == 1 and lv["U009"] == 0
+
+
+def test_supply_core_of_a_chain(spark):
+    """The middle of a 60-node chain; of the tied N027 and N032 the lower id."""
+    pairs = spark.createDataFrame([("H1", f"N{i:03d}", f"N{i + 1:03d}", 201201, 1.0) for i in range(59)],
+                                  "hy_dm string, xf_nsrsbh string, gf_nsrsbh string, ny int, je double")
+    got = tags.tag_supply_core(pairs, 201201, 201212, digits=6, tag_time="t").collect()
+    assert sorted(r.nsr_key for r in got) == ["N027", "N028", "N029", "N030", "N031"]
+
+
+def test_a_tag_without_a_value_is_an_error(spark):
+    import pytest
+    from ledgerprofile.functions.tagrows import to_tags
+    rows = spark.createDataFrame([("A", None)], "nsrsbh string, v double")
+    with pytest.raises(Exception, match="a tag row needs a value"):
+        to_tags(rows, "1", "nsrsbh", "v", 201312, "t").collect()
