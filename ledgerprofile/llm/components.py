@@ -4,7 +4,7 @@ Each round points every node's larger neighbours at the smallest node near it (l
 and then every node's smaller neighbours at the smallest of them (small star); the edges end
 as one star per component.  Minima are pre-aggregated in each task and joined back with
 salts, so a node that a third of all edges share is no hot task.  Lineage is cut by a
-checkpoint per round; the rounds grow with the logarithm of the longest path.
+stored table per round; the rounds grow with the logarithm of the longest path.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerprofile.session import Scratch
+
 SALTS = 8
 MAX_ROUNDS = 100
 
@@ -43,17 +45,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(node, root) for each node of an edge; ``root`` is the smallest node it reaches.
 
-    ``edges`` has two columns of one orderable type; loops are ignored.
+    ``edges`` has two columns of one orderable type; loops are ignored.  The result is a
+    projection of a stored table.
     """
+    scratch = scratch or Scratch(edges.sparkSession)
     a, b = edges.columns
-    edges = (edges.where(F.col(a) != F.col(b))
-             .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct().checkpoint())
+    edges = scratch.store(edges.where(F.col(a) != F.col(b))
+                          .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     before = None
     for _ in range(MAX_ROUNDS):
-        edges = _small_star(_large_star(edges)).checkpoint()
+        old, edges = edges, scratch.store(_small_star(_large_star(edges)))
+        scratch.drop(old)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             roots = edges.select(F.col("v").alias("node")).distinct()

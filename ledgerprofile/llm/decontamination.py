@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ledgerprofile.llm import textbytes as tb
 from ledgerprofile.llm.columns import named, packed, text_of
-from ledgerprofile.llm.shipping import ship
+from ledgerprofile.session import ship
 
 WINDOW = 13
 SHINGLE = 3

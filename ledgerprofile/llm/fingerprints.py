@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerprofile.llm.columns import named, text_of
-from ledgerprofile.llm.shipping import ship
+from ledgerprofile.session import ship
 from ledgerprofile.llm.textbytes import byte_values
 
 PIECE_MASK = 3       # one piece end in 4 spaces on average

@@ -29,7 +29,8 @@ much with probability 3e-6; more similar pairs are missed less.
 At scale: tasks read texts and emit bands; classes, bands, ids and sizes are shuffled, with
 buckets and classes pre-aggregated and salted.  Sets are computed for classes in shared
 buckets alone; the texts are shuffled once for that.  A pivot's set meets its members in up
-to ``PIVOT_SALTS`` tasks.  Lineage is cut by ``checkpoint()``.
+to ``PIVOT_SALTS`` tasks.  Lineage is cut by tables
+written under ``spark.checkpoint.dir``; superseded ones are deleted.
 
 Defined results: null or blank texts have an empty set, ``n_shingles`` 0 and no links; rows
 with a null id are never linked (``component_id`` null, ``kept`` true); rows that repeat an
@@ -54,8 +55,7 @@ from pyspark.sql import functions as F
 from ledgerprofile.llm import textbytes as tb
 from ledgerprofile.llm.columns import named, text_of
 from ledgerprofile.llm.components import connected_components, every_salt, salt_of
-from ledgerprofile.llm.shipping import ship
-from ledgerprofile.session import checkpoint_dir
+from ledgerprofile.session import Scratch, ship
 
 WORD_SEED = 101
 PIVOT_SALTS = 32
@@ -191,34 +191,37 @@ def near_duplicates(docs: DataFrame, params: MinHash = MinHash(), id_col: str =
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``."""
     spark = docs.sparkSession
     ship(spark)
-    checkpoint_dir(spark)
+    scratch = Scratch(spark)
     p = params
     texts = docs.select(named(id_col).cast("long").alias("doc_id"), text_of(docs, text_col).alias("text"))
     texts = texts.withColumn("text_key", F.xxhash64("text"))
-    signed = texts.mapInArrow(
+    signed = scratch.store(texts.mapInArrow(
         lambda batches: _signed(batches, p),
-        "doc_id long, text_key long, n_shingles long, set_key binary, bands array<long>").checkpoint()
+        "doc_id long, text_key long, n_shingles long, set_key binary, bands array<long>"))
 
     # classes of equal sets; `short` stands for a class where 64 bits do, in the bands
-    classes = (signed.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
-               .groupBy(F.col("set_key").alias("node"))
-               .agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.count(F.lit(1)).alias("n_docs"),
-                    F.first("n_shingles").alias("n"))
-               .select("node", F.xxhash64("node").alias("short"), F.col("first.doc_id").alias("rep"),
-                       F.col("first.text_key").alias("rep_key"), "n_docs", "n").checkpoint())
+    classes = scratch.store(
+        signed.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
+        .groupBy(F.col("set_key").alias("node"))
+        .agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.count(F.lit(1)).alias("n_docs"),
+             F.first("n_shingles").alias("n"))
+        .select("node", F.xxhash64("node").alias("short"), F.col("first.doc_id").alias("rep"),
+                F.col("first.text_key").alias("rep_key"), "n_docs", "n"))
     in_band = (signed.where(F.col("doc_id").isNotNull())
                .select(F.xxhash64("set_key").alias("short"), F.explode("bands").alias("bucket")))
     shared = (in_band.groupBy("bucket").agg(F.min("short").alias("lo"), F.max("short").alias("hi"))
               .where("lo != hi").select("bucket", every_salt().alias("salt")))
-    members = (in_band.withColumn("salt", salt_of("short")).join(shared, ["bucket", "salt"])
-               .select("bucket", "short").distinct()
-               .join(classes, "short").select("bucket", "node", "n", "rep", "rep_key").checkpoint())
+    members = scratch.store(
+        in_band.withColumn("salt", salt_of("short")).join(shared, ["bucket", "salt"])
+        .select("bucket", "short").distinct()
+        .join(classes, "short").select("bucket", "node", "n", "rep", "rep_key"))
 
     # the full sets (and sketches) of the classes in shared buckets
     wanted = members.select("node", F.col("rep").alias("doc_id"), F.col("rep_key").alias("text_key")).distinct()
-    sets = (texts.join(wanted, ["doc_id", "text_key"]).select("node", "text")
-            .mapInArrow(lambda batches: _with_sets(batches, p),
-                        "node binary, shingles array<long>, bands array<long>, sketch array<long>").checkpoint())
+    sets = scratch.store(
+        texts.join(wanted, ["doc_id", "text_key"]).select("node", "text")
+        .mapInArrow(lambda batches: _with_sets(batches, p),
+                    "node binary, shingles array<long>, bands array<long>, sketch array<long>"))
 
     def sizes_allow(x: str, y: str):
         return (100 * F.col(x) >= p.threshold * F.col(y)) & (100 * F.col(y) >= p.threshold * F.col(x))
@@ -230,8 +233,8 @@ def near_duplicates(docs: DataFrame, params: MinHash = MinHash(), id_col: str =
     stars = (members.withColumn("salt", salt_of("node")).join(pivots, ["bucket", "salt"])
              .where((F.col("node") != F.col("a")) & sizes_allow("n", "a_n"))
              .select("a", F.col("node").alias("b")).distinct())
-    links = _verified(stars, sets, p.threshold).checkpoint()
-    roots = connected_components(links)
+    star_links = scratch.store(_verified(stars, sets, p.threshold))
+    roots = connected_components(star_links, scratch)
 
     # step 2: buckets that hold several components
     rooted = (members.select("bucket", "node", "n").join(roots, "node", "left")
@@ -239,18 +242,20 @@ def near_duplicates(docs: DataFrame, params: MinHash = MinHash(), id_col: str =
     mixed = (rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
              .where("lo != hi").select("bucket", every_salt().alias("salt")))
     across = (rooted.withColumn("salt", salt_of("node")).join(mixed, ["bucket", "salt"]).drop("salt")
-              .join(sets.select("node", "sketch", "bands"), "node").checkpoint())
+              .join(sets.select("node", "sketch", "bands"), "node"))
     x, y = across.alias("x"), across.alias("y")
     differing = reduce(lambda u, v: u + v, [
         F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(p.sketch_bits // 64)])
     first_shared = F.array_position(
         F.zip_with("x.bands", "y.bands", lambda u, v: u == v), F.lit(True)) == F.array_position("x.bands", F.col("x.bucket"))
-    crossing = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node"))
-                       & (F.col("x.root") != F.col("y.root")) & sizes_allow("x.n", "y.n")
-                       & (differing <= p.differing_bits) & first_shared)
-                .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().checkpoint())
-    links = links.union(_verified(crossing, sets, p.threshold))
-    roots = connected_components(links)
+    crossing = scratch.store(
+        x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node"))
+               & (F.col("x.root") != F.col("y.root")) & sizes_allow("x.n", "y.n")
+               & (differing <= p.differing_bits) & first_shared)
+        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+    links = star_links.union(_verified(crossing, sets, p.threshold))
+    roots = connected_components(links, scratch)
+    scratch.drop(members, sets, crossing, star_links)
 
     # the smallest id of each component, then of each class that has more than one document
     least = (roots.join(classes.select("node", "rep"), "node").groupBy("root").agg(F.min("rep").alias("component_id"))

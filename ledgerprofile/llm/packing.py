@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from ledgerprofile.llm.columns import named, text_of
-from ledgerprofile.llm.shipping import ship
+from ledgerprofile.session import ship
 
 WINDOW = 4096
 END_ID = 2

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 
 from ledgerprofile.llm import textbytes as tb
 from ledgerprofile.llm.columns import named, text_of
-from ledgerprofile.llm.shipping import ship
+from ledgerprofile.session import ship
 
 CHUNK = 256
 MAX_STATES = 400_000
