@@ -4,8 +4,8 @@ Documents come in any order and are placed at once.  A document of more than ``w
 fills whole windows first; its rest (or a shorter document) is a piece that goes into a
 partly filled window.  The level array counts the open windows of each fill level, and a
 piece of ``s`` ids goes to the level ``h`` (0: a new window) for which the sum of squared
-counts grows least, that is for which ``N[h + s] - N[h]`` is smallest; full windows leave the
-array.  At the end of a block of documents the windows that are still open are closed: the
+counts grows least (by ``2 (N[h + s] - N[h]) + 2``, one less from a new window); full windows
+leave the array.  At the end of a block of documents the windows that are still open are closed: the
 fullest take ids of the emptiest, which are cut for it, so at most one window of a block has
 padding.
 
@@ -139,9 +139,10 @@ class SumOfSquaresPacker:
     def level_for(self, size: int) -> int:
         """The fill level whose window takes a piece of ``size`` ids; 0: a new window."""
         top = self.window - size                          # levels 0 .. top have room
-        after = self.levels[size: self.window + 1].copy()
-        after[top] = 0                                    # full windows are not counted
-        grown = after - self.levels[: top + 1]
+        # (N[h + s] + 1)^2 - N[h + s]^2 + (N[h] - 1)^2 - N[h]^2
+        grown = 2 * (self.levels[size: self.window + 1] - self.levels[: top + 1]) + 2
+        grown[0] -= 1                                     # a new window leaves no level
+        grown[top] = 1 - 2 * self.levels[top]             # a full window is not counted
         grown[1:][self.levels[1: top + 1] == 0] = np.iinfo(np.int64).max
         best = grown.min()
         return int(np.flatnonzero(grown == best)[-1])     # of equal ones the fullest
