@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -32,11 +32,22 @@ def fold(id_col: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(named(id_col).cast("string").cast("binary")) % modulus, F.lit(0))
 
 
-def bounded_sample(rows: DataFrame, by: str, order: list[str], limit: int) -> DataFrame:
+def bounded_sample(rows: DataFrame, by: str, order: list[str], limit: int,
+                   counts: dict | None = None) -> DataFrame:
     """At most ``limit`` rows of each value of ``by``, the first ones in ``order``.
 
-    Spark keeps ``limit`` rows per task before the shuffle, so a hot value is no hot task.
+    ``order`` begins with a 64-bit hash that differs from row to row.  Only rows whose hash lies
+    in the lowest part that holds four times ``limit`` rows of their value on average are
+    ranked, so the ranking has a bounded number of rows however large the table is.
+    ``counts`` are the rows of each value; they are counted if not given (``by`` is a class
+    label with few values).
     """
-    from pyspark.sql import Window
+    if counts is None:
+        counts = {r[0]: r[1] for r in rows.groupBy(by).count().collect() if r[0] is not None}
+    if not counts:
+        return rows.limit(0)
+    of_value = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])
+    place = F.shiftrightunsigned(order[0], 11) / F.lit(float(1 << 53))      # the hash as a number in [0, 1)
     w = Window.partitionBy(by).orderBy(*order)
-    return rows.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= limit).drop("_rank")
+    return (rows.where(place * of_value[F.col(by)] <= 4 * limit)
+            .withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= limit).drop("_rank"))

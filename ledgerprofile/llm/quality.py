@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ledgerprofile.llm import textbytes as tb
 from ledgerprofile.llm.columns import bounded_sample, named, text_of
-from ledgerprofile.llm.shipping import ship
+from ledgerprofile.session import ship
 
 GOOD, BAD, ABSTAIN = 1, 0, 2
 MAX_DOCS = 2000
@@ -91,7 +91,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     latin = np.zeros(len(data), bool)
     latin[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)
     upper = ((data >= 65) & (data <= 90)) | latin
-    letters = upper | ((data >= 97) & (data <= 122)) | (data >= 0xC3)
+    letters = ((data >= 65) & (data <= 90)) | ((data >= 97) & (data <= 122)) | (data >= 0xC3)   # a lead byte each
     same = np.zeros(len(words), bool)
     same[1:] = words[1:] == words[:-1]
     same[first[:-1][n > 0]] = False
@@ -253,8 +253,11 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     posterior = dict(zip((r["votes"] for r in counted), labels.posterior(patterns).tolist()))
     known = spark.createDataFrame(list(posterior.items()), "votes string, posterior double")   # 3**labellers rows at most
     sample = (voted.join(F.broadcast(known), "votes").withColumn("side", F.col("posterior") >= 0.5)
-              .withColumn("shuffled", F.xxhash64(F.lit(7), "text")))
-    sample = bounded_sample(sample, "side", ["shuffled"], max_docs)
+              .withColumn("shuffled", F.xxhash64(F.lit(7), "doc_id", "text")))
+    n_sides = {True: 0, False: 0}
+    for r in counted:
+        n_sides[posterior[r["votes"]] >= 0.5] += r["n"]
+    sample = bounded_sample(sample, "side", ["shuffled"], max_docs, n_sides)
     before = Window.partitionBy("side").orderBy("shuffled").rowsBetween(Window.unboundedPreceding, -1)
     sample = (sample.withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0)))
               .where(F.col("before") < max_bytes).select("text", "posterior", "side").toArrow())
