@@ -24,7 +24,6 @@ columns are carried along whatever their names.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -196,22 +195,15 @@ def _finder(block) -> Column:
     return find
 
 
-def _digests(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Spans of one text -> hit words, items and the hash of their sorted ids."""
-    for lists in columns:
-        hits, counts, hashes = [], [], []
-        for spans in lists.to_pylist():
-            n, reach = 0, 0
-            for s in sorted(spans, key=lambda s: s["start"]):
-                n += max(0, s["end"] - max(reach, s["start"]))
-                reach = max(reach, s["end"])
-            items = sorted({s["item"] for s in spans})
-            hits.append(n)
-            counts.append(len(items))
-            hashes.append(hashlib.sha256(",".join(items).encode()).hexdigest())
-        yield pa.StructArray.from_arrays(
-            [pa.array(hits, pa.int64()), pa.array(counts, pa.int64()), pa.array(hashes, pa.string())],
-            ["n_hit", "n_items", "items_sha256"])
+def _hit_words(spans: Column) -> Column:
+    """Number of words in the union of the spans."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("reach"))
+    return F.aggregate(
+        ordered, start,
+        lambda t, s: F.struct((t["n"] + F.greatest(F.lit(0), s["end"] - F.greatest(t["reach"], s["start"]))).alias("n"),
+                              F.greatest(t["reach"], s["end"]).alias("reach")),
+        lambda t: t["n"])
 
 
 def _blocks(items: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> Iterator[Block]:
@@ -247,9 +239,11 @@ def find_passages(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_
         out = out.withColumn(f"found_{k}", _finder(spark.sparkContext.broadcast(block))("text"))
         found.append(f"found_{k}")
     spans = F.concat(*[F.col(f"{f}.spans") for f in found])
-    digest = F.arrow_udf(_digests, "struct<n_hit: long, n_items: long, items_sha256: string>")
     out = out.select("row", F.col("found_0.n_words").alias("n_words"), spans.alias("spans"))
-    return out.withColumn("digest", digest("spans")).select("row", "n_words", "digest.*", "spans")
+    items = F.array_sort(F.array_distinct(F.col("spans.item")))
+    return out.select("row", "n_words", _hit_words(F.col("spans")).alias("n_hit"),
+                      F.size(items).cast("long").alias("n_items"),
+                      F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), "spans")
 
 
 def is_contaminated(n_hit: str = "n_hit", n_words: str = "n_words", one_in: int = 20) -> Column:

@@ -43,8 +43,8 @@ from ledgerprofile.session import ship
 WINDOW = 4096
 END_ID = 2
 BLOCK_BITS = 36
-MAX_WORDS = 600_000       # words kept with their ids in a process
-EMIT_PIECES = 2048
+MAX_WORDS = 800_000       # words kept with their ids in a process
+EMIT_PIECES = 512
 
 
 #: Letters that the vocabulary's normalisation only lower-cases, then marks that it splits off.
@@ -67,39 +67,39 @@ class WordEncoder:
         self.ids = np.zeros(1 << 16, np.uint32)
         self.first = np.zeros(1 << 12, np.int64)    # of word k: ids[first[k]:first[k + 1]]
         self.n_ids = 0
-        self.stems: dict[str, list[int]] = {"": []}   # plain lower-case letters, and marks
 
     def _stem(self, letters: str) -> list[int]:
-        ids = self.stems.get(letters)
-        if ids is None:
-            mapped = letters if letters.isascii() else letters.translate(self.byte_chars)
-            ids = self.stems[letters] = [t.id for t in self.tokenizer.model.tokenize(mapped)]
-        return ids
-
-    def _marks(self, marks: str) -> list[int]:
-        ids = self.stems.get(marks)
-        if ids is None:
-            ids = self.stems[marks] = self.tokenizer.encode(marks, add_special_tokens=False).ids
-        return ids
-
-    def _encode(self, word: str) -> list[int]:
-        """A word without spaces: letters and marks apart where that is how the library splits it."""
-        plain = _PLAIN.fullmatch(word)
-        if plain:
-            return self._stem(plain[1].lower()) + self._marks(plain[2])
+        mapped = letters if letters.isascii() else letters.translate(self.byte_chars)
+        return [t.id for t in self.tokenizer.model.tokenize(mapped)]
+
+    def _whole(self, word: str) -> list[int]:
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def _learn(self, words: list[str]) -> None:
-        lists = [self._encode(w) for w in words]
-        n, k = sum(map(len, lists)), len(self.index)
+        """Add words without spaces; letters and marks apart where that is how the library splits."""
+        new: dict[str, list[int]] = {}
+
+        def ids_of(part: str, encode) -> list[int]:
+            row = self.index.get(part)
+            if row is not None:
+                return self.ids[self.first[row]: self.first[row + 1]].tolist()
+            if part not in new:
+                new[part] = encode(part)
+            return new[part]
+
+        for word in words:
+            plain = _PLAIN.fullmatch(word)
+            new[word] = (ids_of(plain[1].lower(), self._stem) + ids_of(plain[2], self._whole)) if plain else self._whole(word)
+        sizes = [len(row) for row in new.values()]
+        n, k = sum(sizes), len(self.index)
         while self.n_ids + n > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-        while k + len(words) + 1 > len(self.first):
+        while k + len(new) + 1 > len(self.first):
             self.first = np.concatenate((self.first, np.zeros_like(self.first)))
-        self.ids[self.n_ids: self.n_ids + n] = np.fromiter((x for row in lists for x in row), np.uint32, n)
-        self.first[k + 1: k + 1 + len(words)] = self.n_ids + np.cumsum([len(row) for row in lists])
+        self.ids[self.n_ids: self.n_ids + n] = np.fromiter((x for row in new.values() for x in row), np.uint32, n)
+        self.first[k + 1: k + 1 + len(new)] = self.n_ids + np.cumsum(sizes)
         self.n_ids += n
-        self.index.update(zip(words, range(k, k + len(words))))
+        self.index.update(zip(new, range(k, k + len(new))))
 
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, in order."""
@@ -155,7 +155,7 @@ class SumOfSquaresPacker:
             start += self.window
         if start == total:
             return
-        piece = (key, start, ids[start:], total)
+        piece = (key, start, ids[start:].copy(), total)   # not a view that keeps the whole document
         size = total - start
         level = self.level_for(size)
         if level:

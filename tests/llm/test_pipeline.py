@@ -45,5 +45,6 @@ def test_odd_and_empty(spark, odd, sf01, tmp_path):
         rows = out.collect()
         if name != "packing":
             assert out.columns == odd.columns and out.schema.simpleString() == odd.schema.simpleString()
-        assert len(rows) >= odd.count() - (3 if name == "near_duplicates" else 0)
+        # six of the texts 10..16 and three of the copies 20..23 are near duplicates
+        assert len(rows) >= odd.count() - (9 if name == "near_duplicates" else 0)
         assert stage(spark, odd.limit(0), sf01).collect() == []
