@@ -43,7 +43,7 @@ from ledgerprofile.session import ship
 WINDOW = 4096
 END_ID = 2
 BLOCK_BITS = 36
-MAX_WORDS = 800_000       # words kept with their ids in a process
+MAX_WORDS = 1_500_000     # words kept with their ids in a process
 EMIT_PIECES = 512
 
 
