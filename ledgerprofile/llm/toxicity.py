@@ -1,8 +1,9 @@
 """Toxic spans and document scores by a linear-chain conditional random field (CRF).
 
-Words carry hashed features: the word and its first 3, 4, 5 and 6 bytes.  Document labels are
-brought down to words first: in a toxic training document the words with a feature that many
-toxic and hardly any clean training documents have are labelled toxic, all other words clean.
+Words carry hashed features: the word and its first 3, 4, 5, 6 and 8 bytes.  Document labels are
+brought down to words first: in a toxic training document the words with a feature that toxic
+training documents have much more often than clean ones, and more often than chance explains,
+are labelled toxic, all other words clean.
 On these labelled tokens a two-state CRF (clean, toxic) is trained by its exact gradient.
 
 For a text, forward and backward recursions give each word's marginal probability of the
@@ -39,15 +40,14 @@ from pyspark.sql import functions as F
 
 from ledgerprofile.llm import textbytes as tb
 from ledgerprofile.llm.columns import bounded_sample, named, text_of
-from ledgerprofile.llm.shipping import ship
+from ledgerprofile.session import ship
 
 MAX_DOCS = 2000
 MAX_BYTES = 4_000_000
 FEATURE_BITS = 18
-PREFIXES = (3, 4, 5, 6)      # bytes
-LEAST_SHARE = 0.01           # of the toxic documents that have a telling feature
-LEAST_DOCS = 5
-CLEAN_RATIO = 0.02           # clean documents per toxic one that have it, at most
+PREFIXES = (3, 4, 5, 6, 8)   # bytes
+LEAST_RATIO = 8.0            # how much more often toxic documents have a telling feature
+LEAST_SURPRISE = 4.0         # standard deviations over its expected number of toxic documents
 STEPS = 40
 THRESHOLD = 0.7
 WORD_SEED = 431
@@ -193,8 +193,10 @@ def token_labels(features: np.ndarray, first: np.ndarray, toxic: np.ndarray) ->
         seen = np.unique(text * size + features[:, k])
         n_toxic += np.bincount(seen[toxic[seen // size] == 1] % size, minlength=size)
         n_clean += np.bincount(seen[toxic[seen // size] == 0] % size, minlength=size)
-    n_clean = n_clean * (toxic.sum() / max(1, (toxic == 0).sum()))
-    telling = (n_toxic >= max(LEAST_DOCS, LEAST_SHARE * toxic.sum())) & (n_clean <= CLEAN_RATIO * n_toxic)
+    share = toxic.sum() / len(toxic)
+    expected = share * (n_toxic + n_clean)
+    telling = (n_toxic * (1 - share) >= LEAST_RATIO * n_clean * share) & (
+        n_toxic - expected >= LEAST_SURPRISE * np.sqrt(expected + 1))
     return (telling[features].any(axis=1) & (toxic[text] == 1)).astype(np.float64)
 
 
@@ -203,7 +205,12 @@ def fit(texts: list[str], toxic: np.ndarray, steps: int = STEPS) -> Crf | None:
     if not (toxic == 1).any() or not (toxic == 0).any():
         return None
     data, offsets = tb.flat(pa.array(texts, pa.large_string()))
-    _, _, first, features = tokens(data, offsets)
+    parts, first = [], [0]
+    for lo, hi in tb.slices(offsets):
+        _, _, own, features = tokens(data[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo])
+        parts.append(features)
+        first.extend(first[-1] + own[1:])
+    first, features = np.array(first), np.concatenate(parts)
     labels = token_labels(features, first, toxic)
     begins = np.zeros(len(features), bool)
     begins[first[:-1][first[:-1] < first[1:]]] = True
