@@ -18,8 +18,8 @@ The model is fitted on a bounded sample: of each language the first ``max_docs``
 texts in a hash order, and of those the whole texts that make up the first ``max_bytes``
 bytes (one text at least).
 
-At scale: the sample is ranked with a limit per task before the shuffle, counts are summed
-in the tasks and per (language, context), and the bounded table of counts is fetched and
+At scale: only rows in the lowest part of the hash order are ranked for the sample, counts are
+summed in the tasks and per (language, context), and the bounded table of counts is fetched and
 broadcast.  Scoring reads each text once where it lies, without a shuffle.
 
 Defined results: texts that are null or have no letter get ``und`` and score 0, and so does
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ledgerprofile.llm import textbytes as tb
 from ledgerprofile.llm.columns import bounded_sample, named, text_of
-from ledgerprofile.llm.shipping import ship
+from ledgerprofile.session import ship
 
 ORDER = 4
 MAX_DOCS = 400
@@ -171,8 +171,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
           order: int = ORDER, max_docs: int = MAX_DOCS, max_bytes: int = MAX_BYTES) -> Model:
     """Fit on a bounded sample of the rows of ``docs`` with a language."""
     ship(docs.sparkSession)
-    rows = docs.select(named(lang_col).cast("string").alias("lang"), text_of(docs, text_col).alias("text"))
-    rows = rows.where(F.col("lang").isNotNull()).withColumn("shuffled", F.xxhash64(F.lit(5), "text"))
+    rows = docs.select(named(id_col).alias("id"), named(lang_col).cast("string").alias("lang"),
+                       text_of(docs, text_col).alias("text"))
+    rows = rows.where(F.col("lang").isNotNull()).withColumn("shuffled", F.xxhash64(F.lit(5), "id", "text"))
     sample = bounded_sample(rows, "lang", ["shuffled"], max_docs)
     before = Window.partitionBy("lang").orderBy("shuffled").rowsBetween(Window.unboundedPreceding, -1)
     sample = (sample.withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0)))
