@@ -51,10 +51,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, salts: int = SALTS) -> DataFrame:
     """One row per row of ``docs``: ``row`` (its columns), ``n_lines``, ``dropped`` (sorted
     0-based positions) and ``kept_text``."""
-    base = docs.select(packed(docs).alias("row"), named(id_col).alias("id"), text_of(docs, text_col).alias("text"))
-    base = base.withColumn("text_key", F.xxhash64("text"))
+    text = text_of(docs, text_col)
+    base = docs.select(packed(docs).alias("row"), named(id_col).alias("id"), F.xxhash64(text).alias("text_key"))
     key = F.btrim(F.col("line"), F.lit(STRIPPED))
-    lines = (base.select("id", "text_key", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
+    lines = (docs.select(named(id_col).alias("id"), F.xxhash64(text).alias("text_key"),
+                         F.posexplode(_lines(text)).alias("pos", "line"))
              .withColumn("key", key).where(F.length("key") >= min_chars)
              .withColumn("key", F.translate("key", string.ascii_uppercase, string.ascii_lowercase))
              .select("id", "text_key", "pos", F.xxhash64("key").alias("h1"),
@@ -69,10 +70,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .groupBy(F.col("id").alias("lost_id"), F.col("text_key").alias("lost_key"))
             .agg(F.sort_array(F.collect_set("pos")).alias("dropped")))
     none = F.array().cast("array<int>")
-    split = _lines(F.col("text"))
+    text = F.coalesce(F.col("row")[text_col].cast("string"), F.lit(""))   # texts travel in their rows only
+    split = _lines(text)
     return (base.join(lost, F.col("id").eqNullSafe(F.col("lost_id")) & (F.col("text_key") == F.col("lost_key")), "left")
             .select("row", F.size(split).alias("n_lines"), F.coalesce("dropped", none).alias("dropped"),
-                    F.when(F.col("dropped").isNull(), F.col("text"))
+                    F.when(F.col("dropped").isNull(), text)
                      .otherwise(F.array_join(_without(split, F.col("dropped")), "\n")).alias("kept_text")))
 
 
