@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerprofile.llm.columns import named, text_of
-from ledgerprofile.session import checkpoint_dir
+from ledgerprofile.session import Scratch
 
 SEED = 20240229
 RANK_BITS = 8
@@ -38,7 +38,7 @@ def interleave(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col:
 
     ``position`` is the 0-based place in the interleaved stream, ``slot`` the place in the shard.
     """
-    checkpoint_dir(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession)
     text = text_of(docs, text_col)
     rows = docs.select(
         named(id_col).alias("doc_id"),
@@ -49,7 +49,7 @@ def interleave(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col:
         F.xxhash64(text).alias("text_key"))
     rows = rows.withColumn("shuffled", F.xxhash64(F.lit(seed), "doc_id", "text_key"))
     rows = rows.withColumn("part", F.shiftright("shuffled", 64 - rank_bits))
-    rows = rows.checkpoint()  # read by the counts and by the ranking
+    rows = scratch.store(rows)  # read by the counts and by the ranking
 
     parts = rows.groupBy("stratum", "part").agg(F.count(F.lit(1)).alias("n_part"))
     per_stratum = Window.partitionBy("stratum")
@@ -64,7 +64,8 @@ def interleave(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col:
               .withColumn("cut", F.expr(f"((2 * r - 1) * {cuts}) div (2 * n)"))
               .withColumn("fraction", (2 * F.col("r") - 1) / (2 * F.col("n")))
               .select("doc_id", "stratum", "size", "text_crc32", "r", "cut", "fraction"))
-    ranked = ranked.checkpoint()
+    ranked = scratch.store(ranked)
+    scratch.drop(rows)
 
     # at most `cuts` rows, whatever the table's size
     counted = ranked.groupBy("cut").agg(F.count(F.lit(1)).alias("n_cut"))
