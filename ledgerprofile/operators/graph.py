@@ -1,8 +1,9 @@
 """Trade graph per industry: symmetric edges (U1), adjacency (A8), degree (A11),
-node sets (A12), leading eigenvector by a restarted Lanczos process (M4) and eigenvector
-centrality (M5).
+node sets (A12), leading eigenpairs (M4) and eigenvector centrality (M5).
 
-All industries are processed together in one plan per step.
+An industry with at most ``LOCAL_NODES`` nodes and ``LOCAL_EDGES`` edges is one bounded group: a
+task solves it as a whole, whatever the gaps between its eigenvalues.  Larger industries are
+iterated together, one plan per step, by a restarted Lanczos process.
 
 Lanczos at scale
 ----------------
@@ -10,49 +11,56 @@ A step multiplies the adjacency with the newest basis vector: a join of the edge
 the vector on the *target* node followed by a sum per *source* node.  The edge list is by far
 the largest input, so it is laid out once as a bucketed table on its join key (written into
 the session's checkpoint folder), and each step only moves the map-side-combined partial sums
-(one row per node).  The bucketed scan needs no exchange on the edge side.
-
-Each node's row carries its entries of the basis (``q``) and of the products (``z``), at most
-``MAX_BASIS`` of each.  After a step one aggregation gives, per industry, the inner products
-of the newest vectors with all others; a small symmetric problem per industry (Rayleigh-Ritz,
-solved in the tasks that hold those rows) gives the best vector of the basis and its
-eigenvalue.  The next basis vector is that vector's residual, so its length - measured by the
-next step's aggregation - is the relative residual ``||A v - lambda v|| / |lambda|``.  An
-industry whose residual is at most ``tol`` is finished and leaves the iteration.  A full basis is replaced by its ``KEPT`` best vectors (thick restart), which
-needs no further product.  If industries are left after ``max_steps`` products, the
-iteration raises an error that names some of them: it never returns an unconverged vector.
+(one row per node).  The bucketed scan needs no exchange on the edge side.  For the
+eigenpairs of the Gramian A'A (right singular vectors of a directed graph) a second layout,
+bucketed by source, takes the product back.
+
+The basis is one bucketed table (industry, node, j, q, z = A q) to which a step appends its own
+rows, so what a step writes does not grow with the basis; it is read in place.  After a step one
+aggregation gives, per industry, the inner products of the newest vectors with all others;
+a small problem per industry (Rayleigh-Ritz, solved in the tasks that hold those rows) gives
+the best vectors of the basis and their values.  The next basis vector is the residual of the first pair
+that has not converged, so its length - measured by the next step's aggregation - is that
+pair's residual, relative to the largest value.  A pair whose residual is at most ``tol`` stays in the
+basis, which deflates it; then a vector of noise comes in, so that further vectors of the same
+eigenvalue are found too, and the next pair is aimed at.  A full basis is replaced by its best
+vectors (thick restart), which needs no further product.
+
+An industry that has all its pairs leaves the iteration.  Those that are left after ``max_steps``
+products come back with ``converged`` false and their last residual, beside the others.
 
 A hub node (one buyer trading with a third of all sellers) would put all of its edges in
 one bucket.  Edges into nodes whose degree exceeds ``hot_degree`` are therefore kept
-apart and streamed wherever they lie against a broadcast of the hubs' vector entries.  At
-most (#edges / hot_degree) nodes can be hubs; the list is counted, and if it ever exceeds
-``HOT_BROADCAST_ROWS`` the threshold is raised to #edges / HOT_BROADCAST_ROWS, which bounds
-it.  The result is exact; only the placement changes.
+apart and streamed against a broadcast of the hubs' vector entries; the list of hubs is
+counted, and the threshold raised if it is too long to broadcast it.  The result is exact;
+only the placement changes.
 
-Every step's rows are written to the session's checkpoint folder, bucketed like the products,
-so a lost executor recomputes at most one step and the next step joins them where they lie;
-superseded tables and the edge files are deleted.
+Every step's rows are written to the session's checkpoint folder, so a lost executor recomputes
+at most one step; superseded tables and the edge files are deleted.
 
 The start is uniform, so a bipartite graph (eigenvalues +-lambda) still gives the vector of
-+lambda, and of several leading vectors the projection of the uniform start.  Vectors have
++lambda, and of several leading vectors the first is the projection of the uniform start.  Vectors have
 unit length per industry and the sign of a non-negative sum.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import warnings
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerprofile.operators import spectral
 from ledgerprofile.session import Scratch, ship
 
-DEFAULT_TOL = 1e-9               # relative residual at which an industry is finished
-DEFAULT_MAX_STEPS = 500          # products before the iteration gives up with an error
-MAX_BASIS = 32                   # basis vectors before a restart
-KEPT = 8                         # vectors that a restart keeps
+DEFAULT_TOL = 1e-9               # residual, relative to the largest value, at which a pair is found
+DEFAULT_MAX_STEPS = 500          # products before the iteration leaves the rest unconverged
+MAX_BASIS = 48                   # basis vectors before a restart
+KEPT = 16                        # vectors that a restart keeps
+LOCAL_NODES = 2_048              # industries up to these bounds are solved in one task each
+LOCAL_EDGES = 1_000_000
+SYMMETRY_TOL = 1e-9              # relative difference of the two directions of an edge
 MIN_NODES_EXCLUSIVE = 5          # industries with at most this many nodes are skipped
 DEFAULT_HOT_DEGREE = 1_000_000   # nodes with more in-edges are hubs
 HOT_BROADCAST_ROWS = 100_000     # bound on the broadcast hub list
@@ -228,179 +236,245 @@ def _multiply(layout: EdgeLayout, v: DataFrame, absolute: bool = False) -> DataF
     return terms.groupBy("hy_dm", F.col("src").alias("node")).agg(F.sum("t").alias("u"))
 
 
-def _dots(state: DataFrame, size: int) -> DataFrame:
-    """(hy_dm, qq, qz, zz): per industry the inner products of all q and z with the newest ones.
+def asymmetric_industries(adj: DataFrame, tol: float = SYMMETRY_TOL) -> DataFrame:
+    """(hy_dm): industries in which some edge differs from its reverse."""
+    x, y = F.col("xf_nsrsbh"), F.col("gf_nsrsbh")
+    both = (adj.where(x != y)
+            .groupBy("hy_dm", F.least(x, y).alias("lo"), F.greatest(x, y).alias("hi"))
+            .agg(F.sum(F.when(x < y, F.col("w")).otherwise(0.0)).alias("there"),
+                 F.sum(F.when(x > y, F.col("w")).otherwise(0.0)).alias("back")))
+    return (both.where(F.abs(F.col("there") - F.col("back")) > tol * F.greatest(F.abs("there"), F.abs("back")))
+            .select("hy_dm").distinct())
 
-    One aggregation with map-side sums; 3 * ``size`` numbers per industry.
-    """
-    def column(x: str, y: str):
-        return F.array(*[F.sum(F.col(x)[i] * F.col(y)[size - 1]) for i in range(size)])
-    return state.groupBy("hy_dm").agg(column("q", "q").alias("qq"), column("q", "z").alias("qz"),
-                                      column("z", "z").alias("zz"))
 
+_FOUND = "hy_dm string, rank int, node string, v double, eigenvalue double, residual double, converged boolean"
 
-_SOLVED = ("hy_dm string, value double, residual double, scale double, best array<double>, next array<double>, "
-           "kept array<array<double>>, gram array<double>, cross array<double>, norms array<double>")
 
+def _dots(basis: DataFrame, newest: DataFrame) -> DataFrame:
+    """(hy_dm, qq, qz, zz): per industry the inner products of all q and z with the newest ones.
+
+    One aggregation with map-side sums; three numbers per industry and basis vector.
+    """
+    new = newest.select("hy_dm", "node", F.col("q").alias("qn"), F.col("z").alias("zn"))
+    sums = (basis.join(new, ["hy_dm", "node"]).groupBy("hy_dm", "j")
+            .agg(F.sum(F.col("q") * F.col("qn")).alias("qq"), F.sum(F.col("q") * F.col("zn")).alias("qz"),
+                 F.sum(F.col("z") * F.col("zn")).alias("zz")))
+    in_order = F.array_sort(F.collect_list(F.struct("j", "qq", "qz", "zz")))
+    return (sums.groupBy("hy_dm").agg(in_order.alias("s"))
+            .select("hy_dm", F.col("s.qq").alias("qq"), F.col("s.qz").alias("qz"), F.col("s.zz").alias("zz")))
 
-def ritz(gram: np.ndarray, cross: np.ndarray, norms: np.ndarray, kept: int):
-    """Best vector of a basis q with products z = A q, given all their inner products.
 
-    Returns (value, scale, coefficients of the best vector, coefficients over (q, z) of the
-    next direction, coefficients of the ``kept`` best vectors).  The next direction is the
-    best vector's residual, made orthogonal to the basis and divided by ``scale``, its length
-    as far as inner products tell it; the length that is then measured gives the residual.
+def _lanczos(layouts: list[EdgeLayout], k: int, tol: float, max_steps: int) -> DataFrame:
+    """The rows of _FOUND of all industries of the layouts, stored.
+
+    One layout multiplies with A; a second one, of the reversed edges, with A'A.
     """
-    m = len(gram)
-    w, u = np.linalg.eigh((gram + gram.T) / 2)
-    good = w > 1e-12 * max(w.max(), 1e-300)
-    if not good.any():
-        return 0.0, 0.0, np.zeros(m), np.zeros(2 * m), np.zeros((kept, m))
-    white = u[:, good] / np.sqrt(w[good])
-    values, vectors = np.linalg.eigh(white.T @ ((cross + cross.T) / 2) @ white)
-    # largest magnitude first; of +-lambda the positive one
-    order = np.argsort(-np.abs(values) - 1e-9 * np.sign(values) * np.abs(values).max())
-    coefficients = (white @ vectors[:, order]).T
-    best, value = coefficients[0], values[order[0]]
-    along = white @ (white.T @ (cross @ best - value * (gram @ best)))
-    direction = np.concatenate([-value * best - along, best])
-    both = np.block([[gram, cross], [cross.T, norms]])
-    length = float(np.sqrt(max(direction @ both @ direction, 0.0)))
-    scale = max(length, 1e-9 * abs(value))             # below that, the inner products are noise
-    top = np.zeros((kept, m))
-    top[: min(kept, len(coefficients))] = coefficients[:kept]
-    return float(value), scale, best, direction / scale if scale else 0 * direction, top
-
-
-def _solved(batches: Iterator[pd.DataFrame], size: int, restart: bool, kept: int) -> Iterator[pd.DataFrame]:
-    """Rows of one industry each: the newest inner products and the solution before -> the
-    solution, the residual of the one before (its direction is the newest basis vector), and
-    the tables of the next basis without its newest vector."""
-    for batch in batches:
-        rows = []
-        for r in batch.itertuples(index=False):
-            tables = []
-            for before, column in ((r.gram, r.qq), (r.cross, r.qz), (r.norms, r.zz)):
-                table = np.empty((size, size))
-                if size > 1:
-                    table[:-1, :-1] = np.array(before, float).reshape(size - 1, size - 1)
-                table[:, -1] = table[-1, :] = np.array(column, float)
-                tables.append(table)
-            residual = float("inf")
-            if r.before is not None and not np.isnan(r.before):
-                length = r.scale * np.sqrt(max(tables[0][-1, -1], 0.0))
-                residual = length / abs(r.before) if r.before else length
-            value, scale, best, direction, top = ritz(*tables, kept)
-            if restart:
-                tables = [top @ t @ top.T for t in tables]
-            rows.append((r.hy_dm, value, residual, scale, best.tolist(), direction.tolist(), [t.tolist() for t in top],
-                         *(t.ravel().tolist() for t in tables)))
-        yield pd.DataFrame(rows, columns=["hy_dm", "value", "residual", "scale", "best", "next", "kept", "gram", "cross", "norms"])
-
-
-def _combined(parts: list[tuple[str, int]], weights):
-    """sum_i weights[i] * entry_i over the listed array columns (name, length), in order."""
-    total, at = F.lit(0.0), 0
-    for name, n in parts:
-        for k in range(n):
-            total = total + weights[at + k] * F.col(name)[k]
-        at += n
-    return total
-
-
-def _lanczos(layout: EdgeLayout, tol: float, max_steps: int) -> DataFrame:
-    """(hy_dm, node, v, eigenvalue, residual) of all industries of the layout, stored."""
+    layout = layouts[0]
     spark, scratch = layout.edges.sparkSession, layout.scratch
-    ship(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = ("hy_dm", "node")
     small = F.broadcast if layout.small_industries else (lambda df: df)
-    sizes = layout.nodes.groupBy("hy_dm").agg(F.count(F.lit(1)).alias("n"))
-    # state: stored rows; going: the same with the basis vector of the next product
-    state = None
-    going = (layout.nodes.join(small(sizes), "hy_dm")
-             .select("hy_dm", "node", F.array(F.lit(1.0) / F.sqrt("n")).alias("q"), F.array().cast("array<double>").alias("z"))
-             .repartition(partitions, "hy_dm", "node"))
+    kept = max(KEPT, k + 4)
+    longest = max(MAX_BASIS, 2 * kept)
+
+    def product(v: DataFrame) -> DataFrame:
+        for one in layouts:
+            v = _multiply(one, v).withColumnRenamed("u", "v")
+        return v.withColumnRenamed("v", "z")
+
+    def combined(weights: str):
+        """Per node the sum of the basis q, weighted by the industry's array ``weights``."""
+        return F.sum(F.col("q") * F.get(F.col(weights), "j"))
+
+    nodes = layout.nodes
+    for other in layouts[1:]:
+        nodes = nodes.union(other.nodes).distinct()
+    sizes = scratch.store(nodes.groupBy("hy_dm").agg(F.count(F.lit(1)).alias("n")))
+    fresh = scratch.store(nodes.join(small(sizes), "hy_dm").select(*keys, (1.0 / F.sqrt("n")).alias("q"))
+                          .repartition(partitions, *keys), partitions, keys)
     nothing = F.array().cast("array<double>")
-    solved = None
+    start = sizes.select("hy_dm", "n", F.lit(0).alias("found"), F.lit(None).cast("double").alias("before"),
+                         F.lit(0.0).alias("scale"), nothing.alias("residuals"), nothing.alias("gram"),
+                         nothing.alias("cross"), nothing.alias("norms"))
+    state, last, basis, size = start, None, None, 0
     finished: list[DataFrame] = []
-    basis = 1
     for step in range(1, max_steps + 1):
-        product = _multiply(layout, going.select("hy_dm", "node", F.col("q")[basis - 1].alias("v")))
-        old_state, old_solved = state, solved
-        state = scratch.store(
-            going.join(product, ["hy_dm", "node"], "left")
-            .select("hy_dm", "node", "q", F.concat("z", F.array(F.coalesce("u", F.lit(0.0)))).alias("z")),
-            partitions, ("hy_dm", "node"))
-        dots = _dots(state, basis)
-        if old_solved is None:
-            dots = dots.select("*", F.lit(None).cast("double").alias("before"), F.lit(0.0).alias("scale"),
-                               nothing.alias("gram"), nothing.alias("cross"), nothing.alias("norms"))
-        else:
-            dots = dots.join(small(old_solved.select(
-                "hy_dm", F.col("value").alias("before"), "scale", "gram", "cross", "norms")), "hy_dm")
-        restart = basis == MAX_BASIS
-        solved = scratch.store(dots.mapInPandas(
-            lambda b, n=basis, full=restart, kept=KEPT: _solved(b, n, full, kept), _SOLVED))
-        scratch.drop(old_state, old_solved)
-        n_done, n_left = solved.agg(F.count_if(F.col("residual") <= tol), F.count_if(F.col("residual") > tol)).first()
-        with_weights = state.join(small(solved.drop("scale", "gram", "cross", "norms")), "hy_dm")
-        if n_done:
-            v = _combined([("q", basis)], F.col("best"))
+        row = (fresh.join(product(fresh.withColumnRenamed("q", "v")), list(keys), "left")
+               .select(*keys, F.lit(size).alias("j"), "q", F.coalesce("z", F.lit(0.0)).alias("z"))
+               .repartition(partitions, *keys))
+        basis = scratch.append(basis, row, partitions, keys)
+        size += 1
+        vectors = scratch.appended(basis)
+        dots = _dots(vectors, vectors.where(F.col("j") == size - 1))
+        before, restart = last, size == longest
+        last = scratch.store(
+            dots.join(small(state.select("hy_dm", "n", "found", "before", "scale", "residuals", "gram", "cross", "norms")), "hy_dm")
+            .mapInPandas(lambda b, size=size, full=restart: spectral.solved(b, size, k, tol, full, kept), spectral.SOLVED))
+        scratch.drop(before)
+        state = last.where("not done")
+        n_done, n_left = last.agg(F.count_if("done"), F.count_if(~F.col("done"))).first()
+        stop = step == max_steps
+        if n_done or stop:
+            out = last if stop else last.where("done")
+            pairs = vectors.join(small(out.select("hy_dm", "best")), "hy_dm").groupBy(*keys).agg(
+                F.array(*[F.sum(F.col("q") * F.get(F.get("best", F.lit(r)), "j")) for r in range(k)]).alias("v"))
             finished.append(scratch.store(
-                with_weights.where(F.col("residual") <= tol)
-                .select("hy_dm", "node", v.alias("v"), F.col("value").alias("eigenvalue"), "residual")))
-        if not n_left:
+                pairs.select(*keys, F.posexplode("v").alias("r", "v")).where(F.col("v").isNotNull())
+                .join(small(out.select("hy_dm", "values", "residuals", "found")), "hy_dm")
+                .select("hy_dm", (F.col("r") + 1).cast("int").alias("rank"), "node", "v",
+                        F.get("values", "r").alias("eigenvalue"), F.get("residuals", "r").alias("residual"),
+                        (F.col("r") < F.col("found")).alias("converged"))))
+        if stop or not n_left:
             break
-        if step == max_steps:
-            names = [r[0] for r in solved.where(F.col("residual") > tol).select("hy_dm").limit(10).collect()]
-            raise RuntimeError(f"{n_left} industries not converged to {tol} after {max_steps} products, such as {names}")
-        fresh = _combined([("q", basis), ("z", basis)], F.col("next"))
+        old = fresh
+        noise = (F.xxhash64(F.lit(step), *keys) / float(1 << 63)) * F.sqrt(F.lit(3.0) / F.first("n")) * F.first("noise")
+        weights = small(state.select("hy_dm", "n", "noise", "next"))
+        fresh = scratch.store(
+            vectors.join(weights, "hy_dm").groupBy(*keys)
+            .agg((F.sum(F.col("q") * F.get("next", "j") + F.col("z") * F.get("next", F.col("j") + size)) + noise).alias("q"))
+            .repartition(partitions, *keys), partitions, keys)
+        scratch.drop(old)
         if restart:
-            keep_q = F.array(*[_combined([("q", basis)], F.col("kept")[k]) for k in range(KEPT)])
-            keep_z = F.array(*[_combined([("z", basis)], F.col("kept")[k]) for k in range(KEPT)])
-            basis = KEPT + 1
-        else:
-            keep_q, keep_z, basis = F.col("q"), F.col("z"), basis + 1
-        going = (with_weights.where(F.col("residual") > tol)
-                 .select("hy_dm", "node", F.concat(keep_q, F.array(fresh)).alias("q"), keep_z.alias("z")))
-    scratch.drop(state, solved)
-    if not finished:                                    # no industry is large enough
-        schema = layout.nodes.selectExpr("*", "0D AS v", "0D AS eigenvalue", "0D AS residual").schema
-        return spark.createDataFrame([], schema)
+            kept_rows = (vectors.join(small(state.select("hy_dm", "kept")), "hy_dm").groupBy(*keys)
+                         .agg(F.array(*[F.struct(F.sum(F.col("q") * F.get(F.get("kept", F.lit(r)), "j")).alias("q"),
+                                                 F.sum(F.col("z") * F.get(F.get("kept", F.lit(r)), "j")).alias("z"))
+                                        for r in range(kept)]).alias("s"))
+                         .select(*keys, F.posexplode("s").alias("j", "s")).select(*keys, "j", "s.q", "s.z"))
+            full, basis = basis, scratch.append(None, kept_rows.repartition(partitions, *keys), partitions, keys)
+            scratch.drop_appended(full)
+            size = kept
+    scratch.drop(fresh, last, sizes)
+    scratch.drop_appended(basis)
     out = finished[0]
     for part in finished[1:]:
         out = out.unionByName(part)
-    signs = out.groupBy("hy_dm").agg(F.when(F.sum("v") < 0, -1.0).otherwise(1.0).alias("sign"))
-    return out.join(small(signs), "hy_dm").select("hy_dm", "node", (F.col("v") * F.col("sign")).alias("v"),
-                                                  "eigenvalue", "residual")
+    signs = out.groupBy("hy_dm", "rank").agg(F.when(F.sum("v") < 0, -1.0).otherwise(1.0).alias("sign"))
+    return (out.join(small(signs), ["hy_dm", "rank"])
+            .select("hy_dm", "rank", "node", (F.col("v") * F.col("sign")).alias("v"), "eigenvalue", "residual", "converged"))
+
+
+class _Industries:
+    """The adjacency, stored, cut into industries that one task solves and larger ones."""
+
+    def __init__(self, adj: DataFrame, min_nodes_exclusive: int, local_nodes: int, symmetric: bool):
+        self.scratch = Scratch(adj.sparkSession)
+        ship(adj.sparkSession)
+        self.edges = self.scratch.store(adj.select("hy_dm", "xf_nsrsbh", "gf_nsrsbh", "w"))
+        ends = F.col("xf_nsrsbh") if symmetric else F.explode(F.array("xf_nsrsbh", "gf_nsrsbh"))
+        n_nodes = (self.edges.select("hy_dm", ends.alias("node")).distinct()
+                   .groupBy("hy_dm").agg(F.count(F.lit(1)).alias("n_nodes")).where(F.col("n_nodes") > min_nodes_exclusive))
+        n_edges = self.edges.groupBy("hy_dm").agg(F.count(F.lit(1)).alias("n_edges"))
+        is_local = (F.col("n_nodes") <= local_nodes) & (F.col("n_edges") <= LOCAL_EDGES)
+        self.sizes = self.scratch.store(n_nodes.join(n_edges, "hy_dm").withColumn("is_local", is_local))
+        n_local, n_large = self.sizes.agg(F.count_if("is_local"), F.count_if(~F.col("is_local"))).first()
+        # one row per industry code, counted before any broadcast
+        small = F.broadcast if n_local + n_large <= INDUSTRY_BROADCAST_ROWS else (lambda df: df)
+        self.local = self.edges.join(small(self.sizes.where("is_local").select("hy_dm")), "hy_dm") if n_local else None
+        self.large = self.edges.join(small(self.sizes.where("not is_local").select("hy_dm")), "hy_dm") if n_large else None
+
+    def local_pairs(self, k: int, gramian: bool) -> DataFrame:
+        def solve(edges: pd.DataFrame) -> pd.DataFrame:
+            return spectral.local_pairs(edges, k, gramian)
+        return self.scratch.store(
+            self.local.select("hy_dm", F.col("xf_nsrsbh").alias("src"), F.col("gf_nsrsbh").alias("dst"), "w")
+            .groupBy("hy_dm").applyInPandas(solve, spectral.PAIRS))
+
+    def layouts(self, gramian: bool, hot_degree: int, partitions: int | None) -> list[EdgeLayout]:
+        there = _layout(self.large, hot_degree, partitions, 0)
+        if not gramian:
+            return [there]
+        reverse = self.large.select("hy_dm", F.col("gf_nsrsbh").alias("xf_nsrsbh"), F.col("xf_nsrsbh").alias("gf_nsrsbh"), "w")
+        return [there, _layout(reverse, hot_degree, partitions, 0)]
 
+    def drop(self) -> None:
+        self.scratch.drop(self.edges, self.sizes)
+
+
+def _eigenpairs(adj: DataFrame, k: int, gramian: bool, tol: float, max_steps: int, min_nodes_exclusive: int,
+                hot_degree: int, partitions: int | None, local_nodes: int) -> DataFrame:
+    industries = _Industries(adj, min_nodes_exclusive, local_nodes, not gramian)
+    parts = []
+    if industries.local is not None:
+        parts.append(industries.local_pairs(k, gramian).drop("centrality").withColumn("converged", F.lit(True)))
+    if industries.large is not None:
+        layouts = industries.layouts(gramian, hot_degree, partitions)
+        parts.append(_lanczos(layouts, k, tol, max_steps))
+        for layout in layouts:
+            layout.drop()       # the result is a projection of stored vectors: it no longer reads the edges
+    industries.drop()
+    out = parts[0] if parts else adj.sparkSession.createDataFrame([], _FOUND)
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.withColumnRenamed("node", "nsrsbh")
 
-def leading_eigenvector(adj: DataFrame, tol: float = DEFAULT_TOL, max_steps: int = DEFAULT_MAX_STEPS,
-                        min_nodes_exclusive: int = MIN_NODES_EXCLUSIVE,
-                        hot_degree: int = DEFAULT_HOT_DEGREE, partitions: int | None = None) -> DataFrame:
-    """(hy_dm, nsrsbh, v, eigenvalue, residual): the leading eigenpair of every large industry.
 
-    Every industry's relative residual is at most ``tol``; if ``max_steps`` products do not
-    reach that, a RuntimeError names the industries.  Industries with at most
-    ``min_nodes_exclusive`` nodes are skipped.
+def unconverged(pairs: DataFrame, limit: int = 10) -> list[str]:
+    """Names of (at most ``limit``) industries with a pair that has not converged."""
+    return [r[0] for r in pairs.where("not converged").select("hy_dm").distinct().orderBy("hy_dm").limit(limit).collect()]
+
+
+def leading_eigenpairs(adj: DataFrame, k: int = 1, tol: float = DEFAULT_TOL, max_steps: int = DEFAULT_MAX_STEPS,
+                       min_nodes_exclusive: int = MIN_NODES_EXCLUSIVE, hot_degree: int = DEFAULT_HOT_DEGREE,
+                       partitions: int | None = None, local_nodes: int = LOCAL_NODES,
+                       check_symmetry: bool = True) -> DataFrame:
+    """(hy_dm, rank, nsrsbh, v, eigenvalue, residual, converged): the ``k`` eigenpairs of largest magnitude
+    of every industry's symmetric adjacency (all, if it has fewer nodes).
+
+    ``residual`` is ``||A v - lambda v||`` over the largest magnitude, at most ``tol`` where
+    ``converged``.  Industries with at most ``min_nodes_exclusive`` nodes are skipped.  An adjacency
+    that is not symmetric is refused; its singular vectors are :func:`gramian_eigenpairs`.
+    """
+    if check_symmetry:
+        names = [r[0] for r in asymmetric_industries(adj).limit(10).collect()]
+        if names:
+            raise ValueError(f"the adjacency is not symmetric in industries such as {names}: use gramian_eigenpairs")
+    return _eigenpairs(adj, k, False, tol, max_steps, min_nodes_exclusive, hot_degree, partitions, local_nodes)
+
+
+def gramian_eigenpairs(adj: DataFrame, k: int = 1, tol: float = DEFAULT_TOL, max_steps: int = DEFAULT_MAX_STEPS,
+                       min_nodes_exclusive: int = MIN_NODES_EXCLUSIVE, hot_degree: int = DEFAULT_HOT_DEGREE,
+                       partitions: int | None = None, local_nodes: int = LOCAL_NODES) -> DataFrame:
+    """The same for the Gramian A'A of every industry's adjacency A (rows ``xf_nsrsbh``, columns
+    ``gf_nsrsbh``), which need not be symmetric: ``v`` are the right singular vectors and
+    ``eigenvalue`` the squared singular values.
     """
-    layout = _layout(adj, hot_degree, partitions, min_nodes_exclusive)
-    v = _lanczos(layout, tol, max_steps)
-    layout.drop()           # v is a projection of stored vectors: it no longer reads the edges
-    return v.withColumnRenamed("node", "nsrsbh")
+    return _eigenpairs(adj, k, True, tol, max_steps, min_nodes_exclusive, hot_degree, partitions, local_nodes)
+
+
+def leading_eigenvector(adj: DataFrame, tol: float = DEFAULT_TOL, max_steps: int = DEFAULT_MAX_STEPS,
+                        min_nodes_exclusive: int = MIN_NODES_EXCLUSIVE, hot_degree: int = DEFAULT_HOT_DEGREE,
+                        partitions: int | None = None, local_nodes: int = LOCAL_NODES,
+                        check_symmetry: bool = True) -> DataFrame:
+    """(hy_dm, nsrsbh, v, eigenvalue, residual, converged): :func:`leading_eigenpairs` with k = 1."""
+    return leading_eigenpairs(adj, 1, tol, max_steps, min_nodes_exclusive, hot_degree, partitions, local_nodes,
+                              check_symmetry).drop("rank")
 
 
 # M5 -------------------------------------------------------------------------------------
 def eigenvector_centrality(adj: DataFrame, tol: float = DEFAULT_TOL, max_steps: int = DEFAULT_MAX_STEPS,
                            min_nodes_exclusive: int = MIN_NODES_EXCLUSIVE,
-                           hot_degree: int = DEFAULT_HOT_DEGREE, partitions: int | None = None) -> DataFrame:
-    """(hy_dm, nsrsbh, centrality) with centrality_i = sum_j |w_ij * v_j|.
+                           hot_degree: int = DEFAULT_HOT_DEGREE, partitions: int | None = None,
+                           local_nodes: int = LOCAL_NODES) -> DataFrame:
+    """(hy_dm, nsrsbh, centrality) with centrality_i = sum_j |w_ij * v_j|; ``adj`` is symmetric.
 
-    Only industries with more than ``min_nodes_exclusive`` nodes; self-loops count.
-    Convergence as in :func:`leading_eigenvector`.
+    Only industries with more than ``min_nodes_exclusive`` nodes; self-loops count.  Industries
+    whose vector has not converged after ``max_steps`` products are left out, and a warning names them.
     """
-    layout = _layout(adj, hot_degree, partitions, min_nodes_exclusive)
-    v = _lanczos(layout, tol, max_steps).select("hy_dm", "node", "v")
-    c = layout.scratch.store(_multiply(layout, v, absolute=True))
-    layout.drop()
-    return c.select("hy_dm", F.col("node").alias("nsrsbh"), F.col("u").alias("centrality"))
+    industries = _Industries(adj, min_nodes_exclusive, local_nodes, True)
+    parts = []
+    if industries.local is not None:
+        parts.append(industries.local_pairs(1, False).select("hy_dm", "node", "centrality"))
+    if industries.large is not None:
+        layout, = industries.layouts(False, hot_degree, partitions)
+        v = _lanczos([layout], 1, tol, max_steps)
+        names = unconverged(v)
+        if names:
+            warnings.warn(f"no centrality for industries such as {names}: not converged to {tol} after {max_steps} products")
+        found = _multiply(layout, v.where("converged").select("hy_dm", "node", "v"), absolute=True)
+        parts.append(layout.scratch.store(found.withColumnRenamed("u", "centrality")).select("hy_dm", "node", "centrality"))
+        layout.drop()
+    industries.drop()
+    out = parts[0] if parts else adj.sparkSession.createDataFrame([], "hy_dm string, node string, centrality double")
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.withColumnRenamed("node", "nsrsbh")

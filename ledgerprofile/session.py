@@ -104,6 +104,21 @@ class Scratch:
         self._stored[id(out)] = out, name, bool(buckets)
         return out
 
+    def append(self, name: str | None, df: DataFrame, buckets: int, by: tuple[str, ...]) -> str:
+        """Add rows to the bucketed table ``name``, or to a new one, and return its name."""
+        name = name or f"ledgerprofile_{uuid.uuid4().hex}"
+        (df.write.bucketBy(buckets, *by).option("path", f"{self.folder}/{name}").mode("append").saveAsTable(name))
+        return name
+
+    def appended(self, name: str) -> DataFrame:
+        """All rows of a table made by :meth:`append`, read in place."""
+        return self.spark.table(name)
+
+    def drop_appended(self, name: str | None) -> None:
+        if name:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            drop_folder(self.spark, f"{self.folder}/{name}")
+
     def drop(self, *frames: DataFrame | None) -> None:
         """Delete stored frames; they must not be read again."""
         for df in frames:

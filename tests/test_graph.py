@@ -5,6 +5,14 @@ from pyspark.sql import functions as F
 from ledgerprofile.operators import graph
 
 
+ITERATED = 0        # local_nodes: no industry is solved in one task
+
+
+@pytest.fixture(params=[graph.LOCAL_NODES, ITERATED], ids=["local", "iterated"])
+def local_nodes(request):
+    return request.param
+
+
 def _pairs(spark, edges, hy="H1"):
     return spark.createDataFrame([(hy, a, b, float(w)) for a, b, w in edges],
                                  "hy_dm string, xf_nsrsbh string, gf_nsrsbh string, zje double")
@@ -52,16 +60,16 @@ RING6 = [("A", "B", 3.0), ("B", "C", 1.0), ("C", "D", 2.0), ("D", "E", 5.0), ("E
          ("F", "A", 4.0), ("A", "C", 2.0), ("B", "B", 1.5)]
 
 
-def test_centrality_matches_numpy(spark):
-    c = {r.nsrsbh: r.centrality for r in graph.eigenvector_centrality(_adj(spark, RING6)).collect()}
+def test_centrality_matches_numpy(spark, local_nodes):
+    c = {r.nsrsbh: r.centrality for r in graph.eigenvector_centrality(_adj(spark, RING6), local_nodes=local_nodes).collect()}
     want, _, _, _ = _numpy_centrality(RING6)
     assert c.keys() == want.keys()
     for k in want:
         assert c[k] == pytest.approx(want[k], rel=1e-7)
 
 
-def test_eigenvector_converges_to_leading(spark):
-    v = {r.nsrsbh: r.v for r in graph.leading_eigenvector(_adj(spark, RING6)).collect()}
+def test_eigenvector_converges_to_leading(spark, local_nodes):
+    v = {r.nsrsbh: r.v for r in graph.leading_eigenvector(_adj(spark, RING6), local_nodes=local_nodes).collect()}
     _, _, a, nodes = _numpy_centrality(RING6)
     vals, vecs = np.linalg.eigh(a)
     lead = np.abs(vecs[:, np.argmax(np.abs(vals))])
@@ -69,25 +77,25 @@ def test_eigenvector_converges_to_leading(spark):
         assert v[n] == pytest.approx(lead[i], abs=1e-6)
 
 
-def test_small_industries_skipped(spark):
+def test_small_industries_skipped(spark, local_nodes):
     five = [("A", "B", 1.0), ("B", "C", 1.0), ("C", "D", 1.0), ("D", "E", 1.0)]     # 5 nodes
     six = five + [("E", "F", 1.0)]                                                   # 6 nodes
     both = _pairs(spark, five, "H5").unionByName(_pairs(spark, six, "H6"))
     adj = graph.adjacency(graph.symmetric_edges(both))
-    c = graph.eigenvector_centrality(adj)
+    c = graph.eigenvector_centrality(adj, local_nodes=local_nodes)
     assert {r.hy_dm for r in c.collect()} == {"H6"}
     assert c.count() == 6
 
 
-def test_star_and_two_components(spark):
+def test_star_and_two_components(spark, local_nodes):
     star = [("HUB", f"L{i}", 1.0) for i in range(6)]                       # bipartite
-    c = {r.nsrsbh: r.centrality for r in graph.eigenvector_centrality(_adj(spark, star)).collect()}
+    c = {r.nsrsbh: r.centrality for r in graph.eigenvector_centrality(_adj(spark, star), local_nodes=local_nodes).collect()}
     want, _, _, _ = _numpy_centrality(star)
     for k in want:
         assert c[k] == pytest.approx(want[k], rel=1e-7)
     assert c["HUB"] > c["L0"]
     two = [("A", "B", 1.0), ("B", "C", 1.0), ("C", "A", 1.0), ("X", "Y", 5.0), ("Y", "Z", 5.0), ("Z", "X", 5.0)]
-    c2 = {r.nsrsbh: r.centrality for r in graph.eigenvector_centrality(_adj(spark, two)).collect()}
+    c2 = {r.nsrsbh: r.centrality for r in graph.eigenvector_centrality(_adj(spark, two), local_nodes=local_nodes).collect()}
     want2, _, _, _ = _numpy_centrality(two)
     for k in want2:
         assert c2[k] == pytest.approx(want2[k], rel=1e-7, abs=1e-7)
@@ -100,7 +108,7 @@ def test_hub_path_is_exact(spark):
     adj = _adj(spark, edges)
     plain = {r.nsrsbh: r.centrality for r in graph.eigenvector_centrality(adj).collect()}
     salted = {r.nsrsbh: r.centrality
-              for r in graph.eigenvector_centrality(adj, hot_degree=4).collect()}
+              for r in graph.eigenvector_centrality(adj, hot_degree=4, local_nodes=ITERATED).collect()}
     assert plain.keys() == salted.keys()
     for k in plain:
         assert salted[k] == pytest.approx(plain[k], rel=1e-8)
@@ -136,7 +144,7 @@ def test_hub_list_is_bounded(spark):
 
 
 def test_tolerance_stops_at_the_leading_vector(spark):
-    v = {r.nsrsbh: r.v for r in graph.leading_eigenvector(_adj(spark, RING6), tol=1e-12).collect()}
+    v = {r.nsrsbh: r.v for r in graph.leading_eigenvector(_adj(spark, RING6), tol=1e-12, local_nodes=ITERATED).collect()}
     _, _, a, nodes = _numpy_centrality(RING6)
     vals, vecs = np.linalg.eigh(a)
     lead = np.abs(vecs[:, np.argmax(np.abs(vals))])
@@ -144,36 +152,156 @@ def test_tolerance_stops_at_the_leading_vector(spark):
         assert v[n] == pytest.approx(lead[i], abs=1e-8)
 
 
-def test_long_chain_converges(spark):
+def _chain(n):
+    return [(f"N{i:04d}", f"N{i + 1:04d}", 1.0) for i in range(n - 1)]
+
+
+def test_iterated_chain_converges(spark):
     """A 60-node chain: plain power iteration needs thousands of steps."""
-    edges = [(f"N{i:03d}", f"N{i + 1:03d}", 1.0) for i in range(59)]
-    v = {r.nsrsbh: r for r in graph.leading_eigenvector(_adj(spark, edges), partitions=2).collect()}
+    v = {r.nsrsbh: r for r in graph.leading_eigenvector(_adj(spark, _chain(60)), partitions=2, local_nodes=ITERATED).collect()}
     want = np.sin(np.pi * np.arange(1, 61) / 61)
     want /= np.linalg.norm(want)
     for i in range(60):
-        row = v[f"N{i:03d}"]
+        row = v[f"N{i:04d}"]
         assert row.v == pytest.approx(want[i], abs=1e-6)
         assert row.eigenvalue == pytest.approx(2 * np.cos(np.pi / 61), rel=1e-12) and row.residual <= 1e-9
 
 
-def test_not_converged_raises(spark):
-    edges = [(f"N{i:03d}", f"N{i + 1:03d}", 1.0) for i in range(59)]
-    with pytest.raises(RuntimeError, match="H1"):
-        graph.leading_eigenvector(_adj(spark, edges), max_steps=3, partitions=2)
+@pytest.mark.parametrize("n", [500, 2000])
+def test_long_chains_at_the_defaults(spark, n):
+    """Leading values that differ by a few millionths."""
+    rows = graph.leading_eigenvector(_adj(spark, _chain(n))).collect()
+    want = np.sin(np.pi * np.arange(1, n + 1) / (n + 1))
+    want /= np.linalg.norm(want)
+    got = {r.nsrsbh: r.v for r in rows}
+    assert [got[f"N{i:04d}"] for i in range(n)] == pytest.approx(want.tolist(), abs=1e-6)
+    assert all(r.converged and r.residual <= graph.DEFAULT_TOL for r in rows)
+    assert rows[0].eigenvalue == pytest.approx(2 * np.cos(np.pi / (n + 1)), rel=1e-12)
+
+
+def test_one_bad_industry_does_not_lose_the_others(spark):
+    slow = _pairs(spark, _chain(60), "SLOW")
+    quick = _pairs(spark, [(f"F{i}", f"F{j}", 1.0) for i in range(7) for j in range(i)], "QUICK")
+    adj = graph.adjacency(graph.symmetric_edges(slow.unionByName(quick)))
+    v = graph.leading_eigenvector(adj, max_steps=4, partitions=2, local_nodes=ITERATED)
+    assert graph.unconverged(v) == ["SLOW"]
+    rows = v.collect()
+    assert {(r.hy_dm, r.converged) for r in rows} == {("SLOW", False), ("QUICK", True)} and len(rows) == 67
+    assert all(r.residual > 1e-9 for r in rows if r.hy_dm == "SLOW")
+    with pytest.warns(UserWarning, match="SLOW"):
+        c = graph.eigenvector_centrality(adj, max_steps=4, partitions=2, local_nodes=ITERATED).collect()
+    assert {r.nsrsbh: round(r.centrality, 6) for r in c} == {f"F{i}": round(6 / 7 ** 0.5, 6) for i in range(7)}
 
 
 def test_restarted_basis_converges(spark, monkeypatch):
-    monkeypatch.setattr(graph, "MAX_BASIS", 6)
+    monkeypatch.setattr(graph, "MAX_BASIS", 12)
     monkeypatch.setattr(graph, "KEPT", 3)
-    edges = [(f"N{i:03d}", f"N{i + 1:03d}", 1.0 + i % 3) for i in range(15)]
-    got = {r.nsrsbh: r.v for r in graph.leading_eigenvector(_adj(spark, edges), tol=1e-8, partitions=2).collect()}
+    edges = [(f"N{i:03d}", f"N{i + 1:03d}", 1.0 + i % 3) for i in range(24)]
+    got = {r.nsrsbh: r.v for r in graph.leading_eigenvector(_adj(spark, edges), tol=1e-8, partitions=2,
+                                                              local_nodes=ITERATED).collect()}
     _, _, a, nodes = _numpy_centrality(edges)
     vals, vecs = np.linalg.eigh(a)
     lead = np.abs(vecs[:, np.argmax(vals)])
     assert [got[n] for n in nodes] == pytest.approx(lead.tolist(), abs=1e-6)
 
 
-def test_matches_a_distributed_svd(spark):
+def _by_rank(frame, nodes):
+    """{rank: (eigenvalue, vector)} of one industry."""
+    out = {}
+    for r in frame.collect():
+        assert r.converged and r.residual <= 1e-9
+        out.setdefault(r["rank"], (r.eigenvalue, np.zeros(len(nodes))))[1][nodes.index(r.nsrsbh)] = r.v
+    return out
+
+
+def _directed(n, seed):
+    """A random directed graph without symmetric weights: (edges, matrix, nodes)."""
+    rng = np.random.default_rng(seed)
+    edges = [(f"A{i:02d}", f"A{j:02d}", float(rng.integers(1, 50))) for i in range(n) for j in range(n) if rng.random() < 0.3]
+    nodes = sorted({x for e in edges for x in e[:2]})
+    a = np.zeros((len(nodes), len(nodes)))
+    for x, y, w in edges:
+        a[nodes.index(x), nodes.index(y)] = w
+    return edges, a, nodes
+
+
+def _as_adjacency(spark, edges, hy="H1"):
+    return _pairs(spark, edges, hy).withColumnRenamed("zje", "w")
+
+
+def test_three_eigenpairs(spark, local_nodes):
+    rng = np.random.default_rng(6)
+    edges = [(f"A{i:02d}", f"A{j:02d}", float(rng.integers(1, 50))) for i in range(16) for j in range(i) if rng.random() < 0.5]
+    _, _, a, nodes = _numpy_centrality(edges)
+    values, vectors = np.linalg.eigh(a)
+    order = np.argsort(-np.abs(values))[:3]
+    got = _by_rank(graph.leading_eigenpairs(_adj(spark, edges), 3, local_nodes=local_nodes), nodes)
+    assert sorted(got) == [1, 2, 3]
+    for rank, k in enumerate(order, 1):
+        value, v = got[rank]
+        want = vectors[:, k] * (1 if vectors[:, k].sum() >= 0 else -1)
+        assert value == pytest.approx(values[k], rel=1e-9) and v == pytest.approx(want, abs=1e-6)
+
+
+def test_three_singular_vectors_match_a_distributed_svd(spark, local_nodes):
+    from pyspark.mllib.linalg import Vectors
+    from pyspark.mllib.linalg.distributed import RowMatrix
+    edges, a, nodes = _directed(14, 5)
+    svd = RowMatrix(spark.sparkContext.parallelize([Vectors.dense(r) for r in a])).computeSVD(3)
+    got = _by_rank(graph.gramian_eigenpairs(_as_adjacency(spark, edges), 3, local_nodes=local_nodes), nodes)
+    for rank in (1, 2, 3):
+        value, v = got[rank]
+        want = svd.V.toArray()[:, rank - 1]
+        assert value == pytest.approx(svd.s[rank - 1] ** 2, rel=1e-8)
+        assert v == pytest.approx(want * (1 if want.sum() >= 0 else -1), abs=1e-6)
+
+
+def test_an_eigenvalue_with_several_vectors(spark, local_nodes):
+    """Two equal triangles and a weaker one: the leading value comes twice, and no pair is skipped."""
+    edges = [(f"{t}{i}", f"{t}{(i + 1) % 3}", w) for t, w in (("P", 5.0), ("Q", 5.0), ("R", 3.0)) for i in range(3)]
+    _, _, a, nodes = _numpy_centrality(edges)
+    got = _by_rank(graph.leading_eigenpairs(_adj(spark, edges), 3, local_nodes=local_nodes), nodes)
+    assert [got[r][0] for r in (1, 2, 3)] == pytest.approx([10.0, 10.0, 6.0], rel=1e-9)
+    vectors = np.array([got[r][1] for r in (1, 2, 3)])
+    assert vectors @ vectors.T == pytest.approx(np.eye(3), abs=1e-6)
+    assert a @ vectors.T == pytest.approx(vectors.T * [10, 10, 6], abs=1e-6)
+
+
+def test_fewer_nodes_than_pairs(spark, local_nodes):
+    _, _, a, nodes = _numpy_centrality(RING6)
+    got = _by_rank(graph.leading_eigenpairs(_adj(spark, RING6), 9, local_nodes=local_nodes), nodes)
+    values = np.linalg.eigvalsh(a)
+    assert [got[r][0] for r in range(1, 7)] == pytest.approx(values[np.argsort(-np.abs(values))].tolist(), rel=1e-8)
+    assert len(got) == 6
+
+
+def test_an_asymmetric_adjacency_is_refused(spark):
+    edges, _, _ = _directed(9, 1)
+    adj = _as_adjacency(spark, edges, "ODD").unionByName(_adj(spark, RING6, "EVEN"))
+    assert [r[0] for r in graph.asymmetric_industries(adj).collect()] == ["ODD"]
+    with pytest.raises(ValueError, match="ODD"):
+        graph.leading_eigenvector(adj)
+    # two sums of the same amounts in another order are no asymmetry
+    close = spark.createDataFrame([("H", "A", "B", 0.1 + 0.2), ("H", "B", "A", 0.3)],
+                                  "hy_dm string, xf_nsrsbh string, gf_nsrsbh string, w double")
+    assert graph.asymmetric_industries(close).count() == 0
+
+
+def test_a_step_writes_one_row_per_node(spark, monkeypatch):
+    """What a step appends to the basis does not grow with it."""
+    from ledgerprofile.session import Scratch
+    sizes = []
+    plain = Scratch.append
+
+    def counted(self, name, df, *args):
+        sizes.append(df.count())
+        return plain(self, name, df, *args)
+    monkeypatch.setattr(Scratch, "append", counted)
+    graph.leading_eigenvector(_adj(spark, _chain(20)), max_steps=8, partitions=2, local_nodes=ITERATED)
+    assert sizes == [20] * len(sizes) and len(sizes) >= 4
+
+
+def test_matches_a_distributed_svd(spark, local_nodes):
     """The leading right singular vector of the adjacency rows, as MLlib computes it."""
     from pyspark.mllib.linalg import Vectors
     from pyspark.mllib.linalg.distributed import RowMatrix
@@ -182,7 +310,7 @@ def test_matches_a_distributed_svd(spark):
     _, _, a, nodes = _numpy_centrality(edges)
     svd = RowMatrix(spark.sparkContext.parallelize([Vectors.dense(r) for r in a])).computeSVD(1)
     lead = np.abs(svd.V.toArray()[:, 0])
-    got = {r.nsrsbh: r for r in graph.leading_eigenvector(_adj(spark, edges)).collect()}
+    got = {r.nsrsbh: r for r in graph.leading_eigenvector(_adj(spark, edges), local_nodes=local_nodes).collect()}
     assert [got[n].v for n in nodes] == pytest.approx(lead.tolist(), abs=1e-6)
     assert got[nodes[0]].eigenvalue == pytest.approx(svd.s[0], rel=1e-8)
 
@@ -195,7 +323,7 @@ def test_industries_finish_one_by_one_and_clean_up(spark):
     slow = _pairs(spark, [(f"S{i:02d}", f"S{i + 1:02d}", 1.0) for i in range(11)], "H2")
     adj = graph.adjacency(graph.symmetric_edges(fast.unionByName(slow)))
     before = set(os.listdir(folder))
-    rows = graph.leading_eigenvector(adj, partitions=2).collect()
+    rows = graph.leading_eigenvector(adj, partitions=2, local_nodes=ITERATED).collect()
     assert {r.hy_dm for r in rows} == {"H1", "H2"} and len(rows) == 19
     assert {round(r.eigenvalue, 9) for r in rows if r.hy_dm == "H1"} == {6.0}
     left = [d for d in os.listdir(folder) if d not in before]
