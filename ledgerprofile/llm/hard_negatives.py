@@ -47,7 +47,8 @@ SLOT_ROWS = 256
 REFERENCES = 24
 SAMPLE_ROWS = 2_048          # bound of the sample that the reference directions are fitted on
 WAVE = 256                   # rows scored first; each further wave is twice as long
-ANGLE_SLACK = 4e-6           # more than single-precision angles and their sums can be off
+ANGLE_SLACK = np.float32(4e-6)    # more than single-precision angles and their sums can be off
+COSINE_SLACK = 1e-6          # more than single-precision cosines can be off
 
 ROWS = "block int, vec_id long, label long, q array<long>, norm double, angles array<float>"
 POSITIVES = "no long, anchor_id long, positive_id long, positive_score long"
@@ -95,16 +96,18 @@ def angles_to(rows: np.ndarray, references: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def score_bounds(norm: float, angles: np.ndarray, norms: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Integers (lo, hi) with lo <= score <= hi for each row of angles ``rows``."""
-    least, most = np.zeros(len(rows)), np.full(len(rows), np.pi)
-    for j in range(rows.shape[1]):
-        total = rows[:, j] + angles[j]
-        np.maximum(least, np.abs(rows[:, j] - angles[j]), out=least)
-        np.minimum(most, np.minimum(total, np.float32(2 * np.pi) - total), out=most)
+    """Integers (lo, hi) with lo <= score <= hi for each row; ``rows`` has its angles [references, rows]."""
+    least = np.zeros(len(norms), np.float32)
+    most = np.full(len(norms), np.pi, np.float32)
+    for own, angle in zip(rows, angles):
+        np.maximum(least, np.abs(own - angle), out=least)
+        total = own + angle
+        np.minimum(most, total, out=most)
+        np.minimum(most, np.float32(2 * np.pi) - total, out=most)
     both = norm * norms
-    slack = 1 + 1e-9 * both
-    hi = np.ceil(both * np.cos(np.clip(least - ANGLE_SLACK, 0, np.pi)) + slack)
-    lo = np.floor(both * np.cos(np.clip(most + ANGLE_SLACK, 0, np.pi)) - slack)
+    slack = 1 + COSINE_SLACK * both
+    hi = np.ceil(both * np.cos(np.maximum(least - ANGLE_SLACK, 0)) + slack)
+    lo = np.floor(both * np.cos(np.minimum(most + ANGLE_SLACK, np.float32(np.pi))) - slack)
     return lo, hi
 
 
@@ -115,32 +118,50 @@ class Block:
         self.labels = rows.column("label").to_numpy()
         self.values = vectors.matrix(rows.column("q"))
         self.norms = rows.column("norm").to_numpy()
-        self.angles = vectors.matrix(rows.column("angles"))
-
-    def scores(self, rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        width = self.values.shape[1]
-        weights = np.pad(weights, (0, max(0, width - len(weights))))[:width]
-        return vectors.products(self.values[rows], weights)
-
-    def best(self, wanted: np.ndarray, bounds: tuple[np.ndarray, np.ndarray], weights: np.ndarray, k: int,
-             window: tuple[int, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k best of the rows ``wanted`` (a mask), by score and smaller id."""
-        lo, hi = bounds
+        self.angles = np.ascontiguousarray(vectors.matrix(rows.column("angles")).T)
+        self.products = vectors.Products(self.values)
+
+
+class Search:
+    """One anchor's search in a block: rows in the order of their upper bounds, each scored once at most."""
+
+    def __init__(self, block: Block, anchor: tuple, wanted: np.ndarray):
+        _, _, _, weights, norm, angles = anchor
+        self.block, self.weights = block, weights
+        self.rows = np.flatnonzero(wanted)
+        self.lo, hi = score_bounds(norm, angles, block.norms[self.rows], block.angles[:, self.rows])
+        order = np.argsort(-hi, kind="stable")
+        self.rows, self.lo, self.hi = self.rows[order], self.lo[order], hi[order]
+        self.scores = np.zeros(len(order), np.int64)
+        self.scored = np.zeros(len(order), bool)
+
+    def score(self, places: np.ndarray) -> None:
+        new = places[~self.scored[places]]
+        if len(new):
+            self.scores[new] = self.block.products(self.rows[new], self.weights)
+            self.scored[new] = True
+
+    def best(self, k: int, window: tuple[int, int] | None = None) -> tuple[list[int], list[int]]:
+        """(ids, scores) of the k best rows (with a score inside the window), by score and smaller id."""
+        places = np.arange(len(self.rows))
         if window:
-            wanted = wanted & (hi >= window[0]) & (lo <= window[1])
-        rows = np.flatnonzero(wanted)
-        rows = rows[np.argsort(-hi[rows], kind="stable")]
-        ids, scores = np.empty(0, np.int64), np.empty(0, np.int64)
+            places = places[: np.searchsorted(-self.hi, -window[0], side="right")]     # hi >= window[0]
+            places = places[self.lo[places] <= window[1]]
+        best = np.empty(0, np.int64)                         # places, kept small
         at, wave = 0, WAVE
-        while at < len(rows) and (len(ids) < k or hi[rows[at]] >= scores[-1]):
-            part = rows[at: at + wave]
-            new = self.scores(part, weights)
-            keep = (new >= window[0]) & (new <= window[1]) if window else slice(None)
-            ids, scores = np.concatenate((ids, self.ids[part][keep])), np.concatenate((scores, new[keep]))
-            order = np.lexsort((ids, -scores))[:k]
-            ids, scores = ids[order], scores[order]
+        while at < len(places) and (len(best) < k or self.hi[places[at]] >= self.scores[best].min()):
+            part = places[at: at + wave]
+            self.score(part)
+            if window:
+                part = part[(self.scores[part] >= window[0]) & (self.scores[part] <= window[1])]
+            best = np.concatenate((best, part))
+            if len(best) > k:
+                least = np.partition(self.scores[best], len(best) - k)[len(best) - k]
+                best = best[self.scores[best] >= least]      # ties of the k-th stay
             at, wave = at + wave, 2 * wave
-        return ids, scores
+        ids, scores = self.block.ids[self.rows[best]], self.scores[best]
+        order = np.lexsort((ids, -scores))[:k]
+        return ids[order].tolist(), scores[order].tolist()
 
 
 def _table(rows: list[tuple], schema: str) -> pa.Table:
@@ -161,10 +182,10 @@ def _positives(left: pa.Table, right: pa.Table, m: Mining) -> pa.Table:
     out = []
     if left.num_rows and right.num_rows:
         block = Block(left)
-        for no, own, label, q, norm, angles in _anchors(right):
-            bounds = score_bounds(norm, angles, block.norms, block.angles)
-            same = (block.labels == label) & (block.ids != own)
-            out += [(no, own, i, s) for i, s in zip(*map(np.ndarray.tolist, block.best(same, bounds, q, m.positives)))]
+        for anchor in _anchors(right):
+            no, own, label = anchor[:3]
+            search = Search(block, anchor, (block.labels == label) & (block.ids != own))
+            out += [(no, own, i, s) for i, s in zip(*search.best(m.positives))]
     return _table(out, POSITIVES)
 
 
@@ -172,14 +193,14 @@ def _negatives(left: pa.Table, right: pa.Table, m: Mining) -> pa.Table:
     out = []
     if left.num_rows and right.num_rows:
         block = Block(left)
-        for (no, own, label, q, norm, angles), positives in zip(_anchors(right), right.column("positives").to_pylist()):
-            bounds = score_bounds(norm, angles, block.norms, block.angles)
-            other = (block.labels != label) & (block.ids != own)
+        for anchor, positives in zip(_anchors(right), right.column("positives").to_pylist()):
+            no, own, label = anchor[:3]
+            search = Search(block, anchor, (block.labels != label) & (block.ids != own))
             found = {}                                   # positives of one score share their negatives
             for p in positives:
                 score = p["positive_score"]
                 if score not in found:
-                    found[score] = [x.tolist() for x in block.best(other, bounds, q, m.negatives, m.window(score))]
+                    found[score] = search.best(m.negatives, m.window(score))
                 out += [(no, own, p["place"], p["positive_id"], i, score, s) for i, s in zip(*found[score])]
     return _table(out, FOUND)
 

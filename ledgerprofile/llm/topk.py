@@ -194,8 +194,7 @@ def at_least(sums: list[np.ndarray], live: np.ndarray, least: int) -> np.ndarray
 def best_rows(block: Block, weights: np.ndarray, own: int, k: int, dropped: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids, scores) of the block's k best rows, by score and smaller id."""
     live = block.others(own)
-    # a component that one side lacks counts as 0
-    weights = np.pad(weights, (0, max(0, len(block.low) - len(weights))))[: len(block.low)]
+    weights = np.pad(weights, (0, max(0, len(block.low) - len(weights))))[: len(block.low)]    # lacking ones are 0
     sums = coarse_sums(block, weights, dropped)
     slack = ((1 << dropped) - 1) * int(np.abs(weights).sum()) >> dropped
     boundary = at_least(sums, live, kth_largest(sums, live, k) - slack)

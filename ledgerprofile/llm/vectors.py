@@ -58,14 +58,36 @@ def matrix(vectors: pa.ChunkedArray | pa.Array, width: int = 0) -> np.ndarray:
     return out
 
 
-def products(rows: np.ndarray, vector: np.ndarray) -> np.ndarray:
-    """Exact integer inner products of each row with ``vector``."""
-    most = float(np.abs(rows).max(initial=0)) * float(np.abs(vector).sum())
-    if most < 2 ** 53:
-        return (rows.astype(np.float64) @ vector.astype(np.float64)).astype(np.int64)
-    if most >= 2 ** 63:
-        raise OverflowError("inner products beyond 64 bits")
-    return rows.astype(np.int64) @ vector.astype(np.int64)
+class Products:
+    """Exact integer inner products with rows of one matrix.
+
+    Floating point holds integers exactly up to its mantissa, and multiplies them faster; it is
+    used where no sum can be larger.
+    """
+
+    def __init__(self, rows: np.ndarray):
+        self.rows = rows.astype(np.int64)
+        self.most = float(np.abs(self.rows).max(initial=0))
+        self.as_float: dict[type, np.ndarray] = {}
+
+    def __call__(self, rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The products of the rows numbered ``rows``; a component that one side lacks counts as 0."""
+        width = self.rows.shape[1]
+        weights = np.pad(weights, (0, max(0, width - len(weights))))[:width].astype(np.int64)
+        most = self.most * float(np.abs(weights).sum())
+        if most >= 2 ** 63:
+            raise OverflowError("inner products beyond 64 bits")
+        if most >= 2 ** 53:
+            return self.rows[rows] @ weights
+        kind = np.float32 if most < 2 ** 24 else np.float64
+        if kind not in self.as_float:
+            self.as_float[kind] = self.rows.astype(kind)
+        return (self.as_float[kind][rows] @ weights.astype(kind)).astype(np.int64)
+
+
+def products(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Exact integer inner products of all ``rows`` with ``weights``."""
+    return Products(rows)(np.arange(len(rows)), weights)
 
 
 def block_count(n_rows: int, block_rows: int) -> int:

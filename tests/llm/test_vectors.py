@@ -114,11 +114,12 @@ def test_angles_bound_the_scores():
     directions = hn.reference_directions(rows[::3].astype(float), 6)
     assert np.allclose(np.linalg.norm(directions, axis=1), 1)
     norms, angles = hn.angles_to(rows, directions)
+    angles = angles.T
     for a in (0, 3, 100, 205, 212):
-        lo, hi = hn.score_bounds(norms[a], angles[a], norms, angles)
+        lo, hi = hn.score_bounds(norms[a], angles[:, a], norms, angles)
         score = rows @ rows[a]
         assert (lo <= score).all() and (score <= hi).all()
-    lo, hi = hn.score_bounds(norms[0], angles[0], norms, angles)
+    lo, hi = hn.score_bounds(norms[0], angles[:, 0], norms, angles)
     assert (hi[215:] < hi[50:200].min()).mean() > 0.5               # a cluster is told apart from the rest
     assert len(hn.reference_directions(np.ones((9, 4)), 3)) == 1     # copies give one direction
     assert hn.reference_directions(np.zeros((2, 4)), 3).shape == (0, 4)
@@ -133,17 +134,18 @@ def test_only_rows_within_reach_are_scored():
     block = hn.Block(pa.table({"vec_id": np.arange(len(rows)), "label": np.zeros(len(rows), np.int64),
                                "q": pa.array(rows.tolist(), pa.list_(pa.int64())), "norm": norms,
                                "angles": pa.array(list(angles), pa.list_(pa.float32()))}))
-    scored = []
-    block.scores = lambda part, weights: scored.extend(part) or vectors.products(rows[part], weights)
-    bounds = hn.score_bounds(norms[0], angles[0], norms, angles)
-    ids, _ = block.best(np.arange(len(rows)) != 0, bounds, rows[0], 5)
+    anchor = (0, 0, 0, rows[0], norms[0], angles[0])
     want = np.lexsort((np.arange(len(rows)), -(rows @ rows[0])))
-    assert ids.tolist() == [r for r in want if r][:5] and len(scored) < len(rows) / 2
-    scored.clear()
+    search = hn.Search(block, anchor, np.arange(len(rows)) != 0)
+    ids, _ = search.best(5)
+    assert ids == [r for r in want if r][:5] and search.scored.mean() < 0.5
     window = (50_000, 60_000)
-    ids, got = block.best(np.ones(len(rows), bool), bounds, rows[0], 4, window)
+    search = hn.Search(block, anchor, np.ones(len(rows), bool))
+    ids, got = search.best(4, window)
     inside = [r for r in want if window[0] <= rows[r] @ rows[0] <= window[1]][:4]
-    assert ids.tolist() == inside and all(bounds[1][r] >= window[0] and bounds[0][r] <= window[1] for r in scored)
+    assert ids == inside and got == (rows[inside] @ rows[0]).tolist()
+    done = search.scored
+    assert done.any() and (search.hi[done] >= window[0]).all() and (search.lo[done] <= window[1]).all()
 
 
 def test_large_products():
