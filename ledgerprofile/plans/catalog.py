@@ -36,7 +36,11 @@ DIAGONAL = 0.5
 MONEY_DIGITS = 2
 SHARE_DIGITS = 6
 VECTOR_DIGITS = 8
+# Centralities and eigenvalues are sums of amounts of about 1e7 in another order on each side:
+# whole units are about eight significant digits, as far as two engines agree.
 CENTRALITY_DIGITS = 0
+PAIRS = 3                 # eigenpairs of the compared queries
+PAIR_DIGITS = 6           # their vectors: errors of the first pairs add to the later ones
 
 
 class Inputs:
@@ -310,14 +314,38 @@ def q_trade_eigenvector(spark, sf_dir):
                     F.round("eigenvalue", CENTRALITY_DIGITS).alias("eigenvalue"))
 
 
+def q_trade_eigenpairs(spark, sf_dir):
+    """M4 with k = 3: the eigenpairs of largest magnitude of the symmetric trade graph."""
+    v = graph.leading_eigenpairs(Inputs(spark, sf_dir, (START, END)).adjacency(), PAIRS, TOL)
+    return v.select("hy_dm", "rank", "nsrsbh", F.round("v", PAIR_DIGITS).alias("v"),
+                    F.round("eigenvalue", CENTRALITY_DIGITS).alias("eigenvalue"))
+
+
+def q_trade_singular_vectors(spark, sf_dir):
+    """M4 on a matrix that is not symmetric: sellers in rows, buyers in columns, k = 3."""
+    totals = loaders.trade_pair_totals(Inputs(spark, sf_dir, (START, END)).pair_months(), START, END)
+    v = graph.gramian_eigenpairs(totals.withColumnRenamed("zje", "w"), PAIRS, TOL)
+    return v.select("hy_dm", "rank", "nsrsbh", F.round("v", PAIR_DIGITS).alias("v"),
+                    F.round(F.sqrt("eigenvalue"), CENTRALITY_DIGITS).alias("singular_value"))
+
+
+def q_trade_singular_vectors_iterated(spark, sf_dir):
+    """The same by the distributed iteration, as industries beyond one task go."""
+    totals = loaders.trade_pair_totals(Inputs(spark, sf_dir, (START, END)).pair_months(), START, END)
+    v = graph.gramian_eigenpairs(totals.withColumnRenamed("zje", "w"), 1, local_nodes=0)
+    return v.select("hy_dm", "rank", "nsrsbh", F.round("v", PAIR_DIGITS).alias("v"),
+                    F.round(F.sqrt("eigenvalue"), CENTRALITY_DIGITS).alias("singular_value"))
+
+
 def q_trade_centrality(spark, sf_dir):
     c = graph.eigenvector_centrality(Inputs(spark, sf_dir, (START, END)).adjacency(), TOL)
     return c.withColumn("centrality", F.round("centrality", CENTRALITY_DIGITS))
 
 
 def q_trade_centrality_hubs(spark, sf_dir):
-    """M5 with almost every node on the hub path."""
-    c = graph.eigenvector_centrality(Inputs(spark, sf_dir, (START, END)).adjacency(), TOL, hot_degree=HUB_DEGREE)
+    """M5 by the distributed iteration, with almost every node on the hub path."""
+    c = graph.eigenvector_centrality(Inputs(spark, sf_dir, (START, END)).adjacency(), hot_degree=HUB_DEGREE,
+                                     local_nodes=0)
     return c.withColumn("centrality", F.round("centrality", CENTRALITY_DIGITS))
 
 
@@ -449,6 +477,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trade_degree": q_trade_degree,
     "trade_nodes": q_trade_nodes,
     "trade_eigenvector": q_trade_eigenvector,
+    "trade_eigenpairs": q_trade_eigenpairs,
+    "trade_singular_vectors": q_trade_singular_vectors,
+    "trade_singular_vectors_iterated": q_trade_singular_vectors_iterated,
     "trade_centrality": q_trade_centrality,
     "trade_centrality_hubs": q_trade_centrality_hubs,
     "trade_adjacency_diagonal": q_trade_adjacency_diagonal,

@@ -13,6 +13,8 @@ from ledgerprofile.plans.catalog import (
     END,
     LAG,
     MONEY_DIGITS,
+    PAIR_DIGITS,
+    PAIRS,
     RATIO,
     REGION,
     SHARE_DIGITS,
@@ -163,6 +165,43 @@ def _with_power(body: str) -> str:
     return _with(", " + _power() + "\n" + body)
 
 
+SQUARINGS = 40
+
+
+def _with_pairs(edges: str, pairs: int, value: str) -> str:
+    """Leading pairs of the Gramian m of a dense matrix: squaring m SQUARINGS times leaves the leading
+    vector's projector s; taking the pair out of m gives the next one.
+
+    ``edges`` has (hy_dm, r, c, w); ``value`` is the shown value, of the vector v and the columns cols.
+    """
+    cycle = SQUARINGS + 1
+    body = f""",
+edges AS ({edges}),
+nodes AS (SELECT hy_dm, node FROM (SELECT DISTINCT hy_dm, unnest([r, c]) AS node FROM edges)
+  QUALIFY count(*) OVER (PARTITION BY hy_dm) > 5),
+cells AS (SELECT a.hy_dm, a.node AS r, b.node AS c, coalesce(w, 0.0) AS w FROM nodes a JOIN nodes b ON a.hy_dm = b.hy_dm
+  LEFT JOIN edges e ON e.hy_dm = a.hy_dm AND e.r = a.node AND e.c = b.node),
+dense AS (SELECT hy_dm, list(col ORDER BY c) AS cols, list(c ORDER BY c) AS names
+  FROM (SELECT hy_dm, c, list(w ORDER BY r) AS col FROM cells GROUP BY hy_dm, c) GROUP BY hy_dm),
+gram AS (SELECT hy_dm, [[list_dot_product(x, y) for y in cols] for x in cols] AS m FROM dense),
+steps(hy_dm, t, m, s) AS (
+  SELECT hy_dm, 0, m, m FROM gram
+  UNION ALL
+  SELECT hy_dm, t + 1, n, [[x / list_sum([q[k][k] for k in range(1, len(q) + 1)]) for x in row] for row in q]
+  FROM (SELECT hy_dm, t, n, CASE WHEN t % {cycle} < {SQUARINGS} THEN [[list_dot_product(x, y) for y in s] for x in s] ELSE n END AS q
+    FROM (SELECT hy_dm, t, s, CASE WHEN t % {cycle} < {SQUARINGS} THEN m ELSE
+            [[m[i][j] - size * v[i] * v[j] for j in range(1, len(m) + 1)] for i in range(1, len(m) + 1)] END AS n
+      FROM (SELECT *, list_dot_product(v, [list_dot_product(row, v) for row in m]) AS size
+        FROM (SELECT *, [x / sqrt(list_dot_product(p, p)) for x in p] AS v
+          FROM (SELECT *, s[list_position([s[k][k] for k in range(1, len(s) + 1)], list_max([s[k][k] for k in range(1, len(s) + 1)]))] AS p
+            FROM steps WHERE t < {pairs * cycle - 1})))))),
+found AS (SELECT hy_dm, t // {cycle} + 1 AS rank, names, cols, [x / sqrt(list_dot_product(p, p)) * CASE WHEN list_sum(p) < 0 THEN -1 ELSE 1 END for x in p] AS v
+  FROM (SELECT *, s[list_position([s[k][k] for k in range(1, len(s) + 1)], list_max([s[k][k] for k in range(1, len(s) + 1)]))] AS p
+    FROM steps JOIN dense USING (hy_dm) WHERE t % {cycle} = {SQUARINGS}))
+SELECT hy_dm, CAST(rank AS INTEGER) AS rank, unnest(names) AS nsrsbh, round(unnest(v), {PAIR_DIGITS}) AS v, {value} FROM found"""
+    return _with(body).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def oracle_sql() -> dict[str, str]:
     money = MONEY_DIGITS
     q: dict[str, str] = {}
@@ -245,6 +284,13 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT hy_dm, node AS nsrsbh, round(v, {VECTOR_DIGITS}) AS v, "
         f"round(norm, {CENTRALITY_DIGITS}) AS eigenvalue FROM v{ORACLE_STEPS} "
         f"JOIN (SELECT hy_dm, sqrt(sum(u * u)) AS norm FROM u{ORACLE_STEPS} GROUP BY hy_dm) USING (hy_dm)")
+    q["trade_eigenpairs"] = _with_pairs(
+        "SELECT hy_dm, xf_nsrsbh AS r, gf_nsrsbh AS c, w FROM adj", PAIRS,
+        f"round(list_dot_product(v, [list_dot_product(x, v) for x in cols]), {CENTRALITY_DIGITS}) AS eigenvalue")
+    image = "[list_dot_product([x[i] for x in cols], v) for i in range(1, len(cols) + 1)]"      # A v, row by row
+    sigma = f"round(sqrt(list_dot_product({image}, {image})), {CENTRALITY_DIGITS}) AS singular_value"
+    for name, pairs in (("trade_singular_vectors", PAIRS), ("trade_singular_vectors_iterated", 1)):
+        q[name] = _with_pairs("SELECT hy_dm, xf_nsrsbh AS r, gf_nsrsbh AS c, zje AS w FROM tot", pairs, sigma)
     q["trade_centrality"] = _with_power(
         f"SELECT hy_dm, nsrsbh, round(centrality, {CENTRALITY_DIGITS}) AS centrality FROM cent")
     q["trade_centrality_hubs"] = q["trade_centrality"]

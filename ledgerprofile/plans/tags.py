@@ -80,7 +80,8 @@ def supply_chain_centrality(pair_months: DataFrame, start: int, end: int,
     """(hy_dm, nsrsbh, centrality) of every node of every industry with > 5 nodes.
 
     ``diag_eps`` fills empty diagonal cells of the adjacency (0 by default).  Every
-    industry's eigenvector has a relative residual of at most ``tol``.
+    industry's eigenvector has a relative residual of at most ``tol``; industries that do not get
+    there in ``max_steps`` products are left out and named in a warning.
     """
     totals = trade_pair_totals(pair_months, start, end, prefix)
     adj = graph.adjacency(graph.symmetric_edges(totals), diag_eps=diag_eps)
@@ -91,13 +92,14 @@ def tag_supply_core(pair_months: DataFrame, start: int, end: int, ratio: float |
                     prefix: str | None = None, tol: float = graph.DEFAULT_TOL,
                     top: int = CORE_COMPANIES_PER_INDUSTRY, descending: bool = True,
                     digits: int | None = None, tag_time: str | None = None,
-                    hot_degree: int = graph.DEFAULT_HOT_DEGREE, diag_eps: float = 0.0) -> DataFrame:
+                    hot_degree: int = graph.DEFAULT_HOT_DEGREE, diag_eps: float = 0.0,
+                    max_steps: int = graph.DEFAULT_MAX_STEPS) -> DataFrame:
     """Tag 5: the ``top`` most central companies of each industry's trade graph.
 
     ``descending=False`` keeps the least central ones instead.  ``ratio`` is accepted and
     unused.  ``digits`` rounds the centrality.
     """
-    c = supply_chain_centrality(pair_months, start, end, prefix, tol, hot_degree, diag_eps)
+    c = supply_chain_centrality(pair_months, start, end, prefix, tol, hot_degree, diag_eps, max_steps)
     if digits is not None:
         c = c.withColumn("centrality", round_half_up("centrality", digits))
     best = ranking.top_n_per_group(c, "hy_dm", "centrality", "nsrsbh", top, descending)
