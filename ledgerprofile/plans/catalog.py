@@ -20,7 +20,7 @@ from ledgerprofile.operators import graph, series, summary
 from ledgerprofile.plans import tags
 from ledgerprofile.session import checkpoint_dir
 from ledgerprofile.sources import sink
-from ledgerprofile.sources import loaders, testdata
+from ledgerprofile.sources import loaders, testdata, warehouse
 
 # Fixed parameters of the compared queries.
 START = 199501
@@ -43,6 +43,13 @@ PAIRS = 3                 # eigenpairs of the compared queries
 PAIR_DIGITS = 6           # their vectors: errors of the first pairs add to the later ones
 
 
+LATE_FROM = 199606        # month from which the second batch of the warehouse has invoices
+
+
+def scratch_path(spark: SparkSession, what: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/ledgerprofile_{what}_{uuid.uuid4().hex}"
+
+
 class Inputs:
     """Lazily built inputs for one test-data folder.
 
@@ -97,6 +104,14 @@ class Inputs:
                              F.col("gf_nsrsbh").alias("jy_nsrsbh"), F.col("ny").alias("date_key"), "je")
         return loaders.trade_pairs_monthly_table(warehouse)
 
+    def warehouse(self) -> warehouse.Warehouse:
+        """The invoices loaded in two batches: late invoices touch only the months from ``LATE_FROM``."""
+        stored = warehouse.Warehouse(self.spark, scratch_path(self.spark, "warehouse"))
+        late = (F.pmod(F.xxhash64("xf_nsrsbh", "gf_nsrsbh", "kprq"), F.lit(10)) == 0) & (F.col("kprq") >= str(LATE_FROM))
+        for batch, rows in (("first", ~late), ("late", late)):
+            stored.load(batch, self.sales().where(rows), self.purchases().where(rows), self.registry())
+        return stored
+
     def adjacency(self) -> DataFrame:
         totals = loaders.trade_pair_totals(self.pair_months(), START, END)
         return graph.adjacency(graph.symmetric_edges(totals))
@@ -177,6 +192,59 @@ def q_tag_table(spark, sf_dir):
     return rows
 
 
+def q_catalog_invoices_period(spark, sf_dir):
+    """The invoices as a catalog table partitioned by month, read for a period."""
+    stored = warehouse.Warehouse(spark, scratch_path(spark, "invoices"))
+    stored.store_invoices("sales", "all", Inputs(spark, sf_dir).sales())
+    name = stored.register("sales", f"ledgerprofile_{uuid.uuid4().hex}")
+    inv = loaders.catalog_invoices(spark, name, (START, END))
+    return inv.withColumn("je", F.col("je").cast("double"))
+
+
+def q_warehouse_taxpayer_monthly(spark, sf_dir):
+    """The stored taxpayer months of a period, after two incremental loads."""
+    return loaders.taxpayer_monthly_table(Inputs(spark, sf_dir).warehouse().monthly("taxpayer_months", (START, END)))
+
+
+def q_warehouse_industry_monthly(spark, sf_dir):
+    """The same for the industry months."""
+    return loaders.industry_monthly_table(Inputs(spark, sf_dir).warehouse().monthly("industry_months", (START, END)))
+
+
+def q_warehouse_trade_pairs(spark, sf_dir):
+    """The same for the trade pairs of a region."""
+    pairs = loaders.trade_pairs_monthly_table(Inputs(spark, sf_dir).warehouse().monthly("trade_pairs", (START, END)))
+    return loaders.trade_pairs_in_period(pairs, START, END, REGION)
+
+
+def _stored_maps(spark, sf_dir):
+    path = scratch_path(spark, "maps")
+    testdata.write_registry_maps(spark, sf_dir, path)
+    return spark.read.parquet(path)
+
+
+def q_stored_registry_with_industry(spark, sf_dir):
+    """The registry from a stored map column with missing keys and null maps."""
+    return loaders.registry_from_maps(_stored_maps(spark, sf_dir))
+
+
+def q_stored_registry_missing_industry(spark, sf_dir):
+    return loaders.registry_from_maps(_stored_maps(spark, sf_dir), missing_industry=True)
+
+
+def q_stored_foreign_trade_registry(spark, sf_dir):
+    """The same for export registrations."""
+    return loaders.foreign_trade_registry(_stored_maps(spark, sf_dir))
+
+
+def q_profile_tags_rerun(spark, sf_dir):
+    """All five tags put in place in one commit, twice; one copy stays."""
+    path = scratch_path(spark, "tags")
+    for _ in range(2):
+        warehouse.replace_tags(q_enterprise_profile_all(spark, sf_dir), path, list(tags.PROFILE_KEYS), END)
+    return warehouse.read_tags(spark, path)
+
+
 # --- scalars -------------------------------------------------------------------------------
 def q_invoice_month(spark, sf_dir):
     s = Inputs(spark, sf_dir, (START, END)).sales()
@@ -441,6 +509,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_invoices": q_scan_invoices,
     "scan_stored_table": q_scan_stored_table,
     "catalog_invoices": q_catalog_invoices,
+    "catalog_invoices_period": q_catalog_invoices_period,
+    "warehouse_taxpayer_monthly": q_warehouse_taxpayer_monthly,
+    "warehouse_industry_monthly": q_warehouse_industry_monthly,
+    "warehouse_trade_pairs": q_warehouse_trade_pairs,
+    "stored_registry_with_industry": q_stored_registry_with_industry,
+    "stored_registry_missing_industry": q_stored_registry_missing_industry,
+    "stored_foreign_trade_registry": q_stored_foreign_trade_registry,
+    "profile_tags_rerun": q_profile_tags_rerun,
     "tag_table": q_tag_table,
     "sales_invoices": q_sales_invoices,
     "purchase_invoices": q_purchase_invoices,

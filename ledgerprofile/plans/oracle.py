@@ -209,6 +209,18 @@ def oracle_sql() -> dict[str, str]:
     q["scan_stored_table"] = ("SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DOUBLE) AS l_extendedprice "
                               "FROM lineitem")
     q["catalog_invoices"] = _with("SELECT gf_nsrsbh, xf_nsrsbh, CAST(je AS DOUBLE) AS je, kprq FROM inv")
+    in_period = f"ny BETWEEN {START} AND {END}"
+    q["catalog_invoices_period"] = _with(f"SELECT gf_nsrsbh, xf_nsrsbh, CAST(je AS DOUBLE) AS je, kprq FROM xxfp WHERE {in_period}")
+    q["warehouse_taxpayer_monthly"] = _with(f"SELECT hy_dm, nsrsbh, ny, lr, jxje, xxje FROM nsr_ay_hz WHERE {in_period}")
+    q["warehouse_industry_monthly"] = _with(f"SELECT hy_dm, ny, lr, jxje, xxje FROM hy_ay_hz WHERE {in_period}")
+    q["warehouse_trade_pairs"] = _with(
+        f"SELECT hy_dm, xf_nsrsbh, gf_nsrsbh, ny, je FROM xf_gf_ay WHERE {in_period} "
+        f"AND substr(xf_nsrsbh, 1, {len(REGION)}) = '{REGION}'")
+    has_industry = "s_suppkey % 11 <> 0 AND s_suppkey % 7 <> 0"
+    q["stored_registry_with_industry"] = _with(f"SELECT nsrsbh, hy_dm FROM nsr WHERE {has_industry} AND hy_dm <> ''")
+    q["stored_registry_missing_industry"] = _with(f"SELECT nsrsbh, hy_dm FROM nsr WHERE {has_industry} AND hy_dm = ''")
+    q["stored_foreign_trade_registry"] = _with(
+        "SELECT nsrsbh FROM nsr WHERE s_suppkey % 11 <> 0 AND s_suppkey % 3 <> 0 AND nsrdj_no <> ''")
     q["sales_invoices"] = _with("SELECT xf_nsrsbh, gf_nsrsbh, CAST(je AS DOUBLE) AS je, kprq FROM xxfp")
     q["purchase_invoices"] = _with("SELECT xf_nsrsbh, gf_nsrsbh, CAST(je AS DOUBLE) AS je, kprq FROM jxfp")
     q["registry"] = _with("SELECT nsrsbh, hy_dm FROM nsr")
@@ -335,4 +347,5 @@ def oracle_sql() -> dict[str, str]:
     ])
     q["enterprise_profile"] = _with(profile)
     q["enterprise_profile_all"] = _with_power(profile + " UNION ALL " + _tags(core, "5", "nsrsbh", "c"))
+    q["profile_tags_rerun"] = q["enterprise_profile_all"]
     return q

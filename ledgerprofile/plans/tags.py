@@ -179,6 +179,10 @@ def growth_level(slopes: DataFrame, stable_below: float = 0.1, band: float = 0.0
     return levelled(rising, True, 1).unionByName(levelled(falling, False, -1)).unionByName(stable)
 
 
+PROFILE_KEYS = (TagKey.FOREIGN_TRADE.value, TagKey.FAST_GROWTH.value, TagKey.PERIODIC.value,
+                TagKey.SUPPLY_CHAIN_CORE.value, TagKey.INDUSTRY_LEADER.value)
+
+
 # U2 -------------------------------------------------------------------------------------
 def enterprise_profile(*tag_frames: DataFrame) -> DataFrame:
     """All tag rows together (union by name, no de-duplication)."""
@@ -190,6 +194,7 @@ def enterprise_profile(*tag_frames: DataFrame) -> DataFrame:
 
 
 __all__ = [
+    "PROFILE_KEYS",
     "enterprise_profile",
     "growth_level",
     "industry_share",

@@ -78,6 +78,19 @@ def drop_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(conf).delete(path, True)
 
 
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder is there, wherever it is (on Spark Connect: whether it can be read)."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - Spark Connect: ask the server
+        try:
+            return spark.read.format("binaryFile").load(folder).schema is not None
+        except Exception:  # noqa: BLE001
+            return False
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(conf).exists(path)
+
+
 class Scratch:
     """Intermediate tables of a job, written as Parquet under the checkpoint folder.
 

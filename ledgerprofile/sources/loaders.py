@@ -37,9 +37,16 @@ def registry(df: DataFrame) -> DataFrame:
 
 
 # S5 -------------------------------------------------------------------------------------
-def catalog_invoices(spark: SparkSession, table: str) -> DataFrame:
-    """Invoice fact table from the catalog, narrowed to the four used columns."""
-    return spark.table(table).select("gf_nsrsbh", "xf_nsrsbh", "je", "kprq")
+def catalog_invoices(spark: SparkSession, table: str, period: tuple[int, int] | None = None,
+                     month_col: str = "date_key") -> DataFrame:
+    """Invoice fact table from the catalog, narrowed to the four used columns.
+
+    ``period`` (first and last month) prunes a table that is partitioned by ``month_col``.
+    """
+    invoices = spark.table(table)
+    if period:
+        invoices = invoices.where(period_between(month_col, *period))
+    return invoices.select("gf_nsrsbh", "xf_nsrsbh", "je", "kprq")
 
 
 # S6 / S7 --------------------------------------------------------------------------------

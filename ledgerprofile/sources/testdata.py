@@ -65,6 +65,19 @@ def registry_maps_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_registry_maps(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """A stored map-typed registry as exports have it: maps with several keys, some without the
+    wanted one (every seventh and every third taxpayer), some null (every eleventh)."""
+    t = taxpayers(spark, sf_dir)
+    key = F.col("s_suppkey")
+    industry = F.when(key % 7 == 0, F.create_map(F.lit("mc"), F.col("nsrsbh"))).otherwise(
+        F.create_map(F.lit("mc"), F.col("nsrsbh"), F.lit("hymx_dm"), F.col("hy_dm")))
+    export = F.when(key % 3 == 0, F.create_map(F.lit("other"), F.lit("x"))).otherwise(
+        F.create_map(F.lit("nsrdj_no"), F.col("nsrdj_no"), F.lit("other"), F.lit("x")))
+    t.select(F.col("nsrsbh").alias("rowkey"), F.when(key % 11 != 0, industry).alias("nsrkz"),
+             F.when(key % 11 != 0, export).alias("ckts")).write.parquet(path)
+
+
 def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All invoices with the return flag: (xf_nsrsbh, gf_nsrsbh, je, kprq, rf)."""
     li = _read(spark, sf_dir, "lineitem").select(
