@@ -8,11 +8,15 @@ and in the text gives the only stretch of words that can match, the stretch must
 the text (length and positional bounds), and the words of the stretch are compared one by
 one.  All words inside any occurrence are hit.
 
+Windows that several items share are one window with a list of items.
+
 At scale: one pass counts the items' shingles in all documents (task sums, then a sum per
 shingle), a second pass joins.  The benchmark is handled in blocks of about ``block_bytes``
-of text, each broadcast by itself and applied to all documents in turn, so a large benchmark
-costs more passes and no more memory.  Documents are not shuffled and a task holds one slice
-of texts, whatever the number of copies or frequent passages.
+of text; each is broadcast by itself, applied to all documents and released, and what it finds is
+stored by the text's digest, so a large benchmark costs more passes and no more memory.  The
+stored finds (texts with a passage only) meet the documents at the end.  A single block needs no
+such table.  Documents are not shuffled for the search and a task holds one slice of texts,
+whatever the number of copies or frequent passages.
 
 Words are compared as 64-bit hashes of their lower-cased bytes.
 
@@ -34,11 +38,12 @@ from pyspark.sql import functions as F
 
 from ledgerprofile.llm import textbytes as tb
 from ledgerprofile.llm.columns import named, packed, text_of
-from ledgerprofile.session import ship
+from ledgerprofile.llm.components import SALTS, every_salt
+from ledgerprofile.session import Scratch, ship
 
 WINDOW = 13
 SHINGLE = 3
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 1 << 20        # its windows are about 20 times as large
 WORD_SEED = 613
 
 
@@ -54,11 +59,13 @@ def words_of(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 @dataclass
 class Block:
-    """Windows of some items; ``words[w, :sizes[w]]`` are the words of window ``w``."""
+    """Distinct windows of some items; ``words[w, :sizes[w]]`` are the words of window ``w``."""
 
     words: np.ndarray
     sizes: np.ndarray
-    items: list[str]          # item id of each window
+    names: list[str]          # distinct item ids
+    first: np.ndarray         # the items of window w are items[first[w]: first[w + 1]], numbers of names
+    items: np.ndarray
     shingles: np.ndarray      # distinct shingle hashes of all windows
     widths: np.ndarray        # the shingle widths that occur (short items have shorter ones)
     prefix: np.ndarray | None = None   # prefix token of each window, an index of `shingles`
@@ -74,23 +81,36 @@ def _stretch_hashes(words: np.ndarray, width: int) -> np.ndarray:
     return tb.shingle_hashes(words, width) if len(words) >= width else words[:0]
 
 
+def _window_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """[windows, shingles]: the shingle hashes of windows of ``size`` words."""
+    width = _width(size)
+    ends = np.zeros(width - 1, np.uint64)                     # so that each word begins a stretch
+    hashes = _stretch_hashes(np.concatenate((words[:, :size].ravel(), ends)), width)
+    return hashes.reshape(-1, size)[:, : size - width + 1]
+
+
 def make_block(item_ids: list[str], texts: list[str], window: int) -> Block:
-    rows, ids = [], []
-    at = 0
+    names = sorted(set(item_ids))
+    number = {name: k for k, name in enumerate(names)}
+    tables, sizes, items, at = [np.zeros((0, window), np.uint64)], [], [], 0
     for words, first in words_of(pa.array(texts, pa.string())):
         for a, b in zip(first[:-1], first[1:]):
-            size = min(window, b - a)
-            for k in range(a, b - size + 1 if size else a):
-                rows.append(words[k: k + size])
-                ids.append(item_ids[at])
+            size = min(window, int(b - a))
+            if size:
+                rows = np.lib.stride_tricks.sliding_window_view(words[a:b], size)
+                tables.append(np.pad(rows, ((0, 0), (0, window - size))))
+                sizes += [size] * len(rows)
+                items += [number[item_ids[at]]] * len(rows)
             at += 1
-    sizes = np.array([len(r) for r in rows], np.int64)
-    table = np.zeros((len(rows), window), np.uint64)
-    for w, r in enumerate(rows):
-        table[w, : len(r)] = r
-    tokens = [_stretch_hashes(r, _width(len(r))) for r in rows]
-    shingles = np.unique(np.concatenate(tokens)) if tokens else np.zeros(0, np.uint64)
-    return Block(table, sizes, ids, shingles, np.unique([_width(s) for s in sizes]).astype(np.int64))
+    keyed = np.column_stack((np.concatenate(tables), np.array(sizes, np.uint64)))
+    distinct, which = np.unique(keyed, axis=0, return_inverse=True)
+    pairs = np.unique(np.column_stack((which.ravel(), np.array(items, np.int64))), axis=0)
+    table, sizes = distinct[:, :window], distinct[:, window].astype(np.int64)
+    kinds = np.unique(sizes)
+    hashes = [np.unique(_window_hashes(table[sizes == size], int(size))) for size in kinds]
+    return Block(table, sizes, names, np.searchsorted(pairs[:, 0], np.arange(len(table) + 1)), pairs[:, 1],
+                 np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64),
+                 np.unique([_width(int(s)) for s in kinds]).astype(np.int64))
 
 
 def choose_prefixes(block: Block, counts: np.ndarray) -> Block:
@@ -98,10 +118,11 @@ def choose_prefixes(block: Block, counts: np.ndarray) -> Block:
     rank = np.empty(len(counts), np.int64)
     rank[np.lexsort((block.shingles, counts))] = np.arange(len(counts))
     prefix, place = np.zeros(len(block.sizes), np.int64), np.zeros(len(block.sizes), np.int64)
-    for w, size in enumerate(block.sizes):
-        at = np.searchsorted(block.shingles, _stretch_hashes(block.words[w, :size], _width(size)))
-        place[w] = np.argmin(rank[at])
-        prefix[w] = at[place[w]]
+    for size in np.unique(block.sizes):
+        some = np.flatnonzero(block.sizes == size)
+        at = np.searchsorted(block.shingles, _window_hashes(block.words[some], int(size)))
+        place[some] = np.argmin(rank[at], axis=1)
+        prefix[some] = at[np.arange(len(some)), place[some]]
     block.prefix, block.place = prefix, place
     return block
 
@@ -162,16 +183,18 @@ class Matcher:
         start, window = self.occurrences(words, first)
         text = np.searchsorted(first, start, "right") - 1
         out: list[list[dict]] = [[] for _ in range(len(first) - 1)]
-        last: dict[tuple[int, str], dict] = {}
+        last: dict[tuple[int, int], dict] = {}
+        block = self.block
         for t, s, w in zip(text.tolist(), start.tolist(), window.tolist()):
-            item, lo = self.block.items[w], s - int(first[t])
-            hi = lo + int(self.block.sizes[w])
-            span = last.get((t, item))
-            if span is not None and lo <= span["end"]:
-                span["end"] = max(span["end"], hi)
-            else:
-                span = last[(t, item)] = {"item": item, "start": lo, "end": hi}
-                out[t].append(span)
+            lo = s - int(first[t])
+            hi = lo + int(block.sizes[w])
+            for item in block.items[block.first[w]: block.first[w + 1]].tolist():
+                span = last.get((t, item))
+                if span is not None and lo <= span["end"]:
+                    span["end"] = max(span["end"], hi)
+                else:
+                    span = last[(t, item)] = {"item": block.names[item], "start": lo, "end": hi}
+                    out[t].append(span)
         return out
 
 
@@ -206,14 +229,31 @@ def _hit_words(spans: Column) -> Column:
         lambda t: t["n"])
 
 
-def _blocks(items: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> Iterator[Block]:
+def _blocks(items: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> tuple[int, Iterator[Block]]:
+    """How many blocks the items make, and the blocks one after the other."""
     rows = items.select(F.coalesce(named(item_col).cast("string"), F.lit("")).alias("item"),
                         text_of(items, text_col).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     n = max(1, -(-total // block_bytes))
-    for k in range(n):
-        part = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).distinct().collect()
-        yield make_block([r["item"] for r in part], [r["text"] for r in part], window)
+
+    def blocks() -> Iterator[Block]:
+        for k in range(n):
+            part = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).distinct().collect()
+            yield make_block([r["item"] for r in part], [r["text"] for r in part], window)
+    return n, blocks()
+
+
+def _ranked(texts: DataFrame, block: Block) -> Block:
+    """The block with its prefix tokens, by the counts of its shingles in all texts."""
+    if not len(block.sizes):
+        return block
+    unranked = texts.sparkSession.sparkContext.broadcast(block)
+    sums = (texts.mapInArrow(lambda b: _counted(b, unranked.value), "shingle long, n long")
+            .groupBy("shingle").agg(F.sum("n").alias("n")).toArrow())         # the block's shingles at most
+    unranked.unpersist()
+    counts = np.zeros(len(block.shingles), np.int64)
+    counts[sums.column("shingle").to_numpy()] = sums.column("n").to_numpy()
+    return choose_prefixes(block, counts)
 
 
 def find_passages(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col: str = "text",
@@ -223,23 +263,33 @@ def find_passages(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_
     ``items_sha256`` and ``spans`` (item, first word, end) of the benchmark passages in it."""
     spark = docs.sparkSession
     ship(spark)
+    context = spark.sparkContext
     texts = docs.select(text_of(docs, text_col).alias("text"))
     out = docs.select(packed(docs).alias("row"), text_of(docs, text_col).alias("text"))
-    found = []
-    for k, block in enumerate(_blocks(items, item_col, item_text_col, window, block_bytes)):
-        if len(block.sizes):
-            unranked = spark.sparkContext.broadcast(block)
-            sums = (texts.mapInArrow(lambda b, u=unranked: _counted(b, u.value), "shingle long, n long")
-                    .groupBy("shingle").agg(F.sum("n").alias("n")).collect())
-            counts = np.zeros(len(block.shingles), np.int64)
-            for r in sums:
-                counts[r["shingle"]] = r["n"]
-            block = choose_prefixes(block, counts)
-            unranked.unpersist()
-        out = out.withColumn(f"found_{k}", _finder(spark.sparkContext.broadcast(block))("text"))
-        found.append(f"found_{k}")
-    spans = F.concat(*[F.col(f"{f}.spans") for f in found])
-    out = out.select("row", F.col("found_0.n_words").alias("n_words"), spans.alias("spans"))
+    n_blocks, blocks = _blocks(items, item_col, item_text_col, window, block_bytes)
+    if n_blocks == 1:
+        out = out.withColumn("found", _finder(context.broadcast(_ranked(texts, next(blocks))))("text"))
+    else:
+        scratch, parts = Scratch(spark), []
+        for block in blocks:
+            held = context.broadcast(_ranked(texts, block))
+            found = texts.select(F.md5("text").alias("digest"), _finder(held)("text").alias("found"))
+            parts.append(scratch.store(found.where(F.size("found.spans") > 0)
+                                       .groupBy("digest").agg(F.first("found.spans").alias("spans"))))
+            held.unpersist()
+        every = parts[0]
+        for part in parts[1:]:
+            every = every.unionByName(part)
+        gathered = every.groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("more"))
+        gathered = scratch.store(gathered)
+        scratch.drop(*parts)
+        nothing = _finder(context.broadcast(make_block([], [], window)))      # counts the words
+        out = (out.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS))).withColumn("digest", F.md5("text"))
+               .join(gathered.withColumn("salt", every_salt()), ["digest", "salt"], "left")
+               .withColumn("found", nothing("text"))
+               .select("row", F.struct(F.col("found.n_words").alias("n_words"),
+                                       F.coalesce("more", F.col("found.spans")).alias("spans")).alias("found")))
+    out = out.select("row", F.col("found.n_words").alias("n_words"), F.col("found.spans").alias("spans"))
     items = F.array_sort(F.array_distinct(F.col("spans.item")))
     return out.select("row", "n_words", _hit_words(F.col("spans")).alias("n_hit"),
                       F.size(items).cast("long").alias("n_items"),

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerprofile.llm import textbytes as tb
-from ledgerprofile.llm.columns import bounded_sample, named, text_of
+from ledgerprofile.llm.columns import bounded_sample, hash_octave, named, text_of
 from ledgerprofile.session import ship
 
 GOOD, BAD, ABSTAIN = 1, 0, 2
@@ -244,19 +244,24 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(named(id_col).alias("doc_id"), text_of(docs, text_col).alias("text"))
+    rows = rows.withColumn("shuffled", F.xxhash64(F.lit(7), "doc_id", "text"))
     voted = rows.withColumn("votes", F.arrow_udf(_vote_keys, "string")("text"))
-    counted = voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).orderBy("votes").collect()
+    by_octave = voted.groupBy("votes", hash_octave("shuffled").alias("octave")).agg(F.count(F.lit(1)).alias("n")).collect()
+    total: dict[str, int] = {}
+    for r in by_octave:
+        total[r["votes"]] = total.get(r["votes"], 0) + r["n"]
+    counted = [{"votes": v, "n": total[v]} for v in sorted(total)]
     if not counted:
         return rows.select("doc_id", F.lit("").alias("votes"), F.lit(0.0).alias("posterior"), F.lit(0.0).alias("score")), None
     patterns = np.array([[int(c) for c in r["votes"]] for r in counted], np.int8)
     labels = fit_labels(patterns, np.array([r["n"] for r in counted], float))
     posterior = dict(zip((r["votes"] for r in counted), labels.posterior(patterns).tolist()))
     known = spark.createDataFrame(list(posterior.items()), "votes string, posterior double")   # 3**labellers rows at most
-    sample = (voted.join(F.broadcast(known), "votes").withColumn("side", F.col("posterior") >= 0.5)
-              .withColumn("shuffled", F.xxhash64(F.lit(7), "doc_id", "text")))
-    n_sides = {True: 0, False: 0}
-    for r in counted:
-        n_sides[posterior[r["votes"]] >= 0.5] += r["n"]
+    sample = voted.join(F.broadcast(known), "votes").withColumn("side", F.col("posterior") >= 0.5)
+    n_sides: dict[tuple[bool, int], int] = {}
+    for r in by_octave:
+        key = posterior[r["votes"]] >= 0.5, r["octave"]
+        n_sides[key] = n_sides.get(key, 0) + r["n"]
     sample = bounded_sample(sample, "side", ["shuffled"], max_docs, n_sides)
     before = Window.partitionBy("side").orderBy("shuffled").rowsBetween(Window.unboundedPreceding, -1)
     sample = (sample.withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0)))

@@ -58,7 +58,7 @@ def op4_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = docs.select("doc_id", toxicity.score_column(docs, model).alias("t"))
     return scored.select("doc_id", (fold("doc_id", TOXICITY_FOLDS) == TOXICITY_HELD_OUT).alias("held_out"), "t.score",
                          (F.col("t.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
-                         F.size("t.spans").alias("n_spans"))
+                         F.size("t.spans").alias("n_spans"), "t.spans")
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -221,13 +221,14 @@ def fit(texts: list[str], toxic: np.ndarray, steps: int = STEPS) -> Crf | None:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "toxic", max_docs: int = MAX_DOCS, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """(text, toxic): the bounded sample of labelled texts."""
+    """(text, toxic): the bounded sample of labelled texts; of rows that repeat an id the least text."""
     rows = (labels.select(named(id_col).alias("doc_id"), named(label_col).cast("int").alias("toxic"))
             .where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).distinct()
             .withColumn("shuffled", F.xxhash64(F.lit(3), "doc_id")))
     chosen = bounded_sample(rows, "toxic", ["shuffled", "doc_id"], max_docs)
     texts = docs.select(named(id_col).alias("doc_id"), text_of(docs, text_col).alias("text"))
-    joined = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id", "toxic"])
+    joined = (texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "shuffled")
+              .agg(F.min("text").alias("text")))
     before = Window.partitionBy("toxic").orderBy("shuffled", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     return (joined.withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0)))
             .where(F.col("before") < max_bytes).select("text", "toxic"))

@@ -87,3 +87,20 @@ def test_odd_and_empty(odd):
     assert li.identify(odd.limit(0), model).collect() == []
     nothing = li.train(odd.limit(0))
     assert {r["lang_pred"] for r in li.identify(odd, nothing).collect()} == {"und"}
+
+
+def test_a_language_of_identical_rows_is_learned(spark):
+    """However its rows repeat, each language keeps its share of the sample."""
+    from ledgerprofile.llm.columns import bounded_sample
+    from pyspark.sql import functions as F
+    for seed, text in enumerate(["the same words again", "one more text", "und", "a text of its own"]):
+        rows = [(1, "en", text)] * 3000 + [(k, "de", f"ein Satz {k}") for k in range(3000)] + [(9, "fr", "peu")] * 3
+        docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+        docs = docs.withColumn("shuffled", F.xxhash64(F.lit(seed), "doc_id", "text"))
+        got = {r["lang"]: r["count"] for r in bounded_sample(docs, "lang", ["shuffled"], 100).groupBy("lang").count().collect()}
+        assert got == {"en": 100, "de": 100, "fr": 3}
+        lowest = docs.where("lang = 'de'").orderBy(F.shiftrightunsigned("shuffled", 1)).limit(100)
+        kept = bounded_sample(docs, "lang", ["shuffled"], 100).where("lang = 'de'")
+        assert {r[0] for r in kept.select("doc_id").collect()} == {r[0] for r in lowest.select("doc_id").collect()}
+    model = li.train(docs)
+    assert set(model.langs) == {"en", "de", "fr"}
