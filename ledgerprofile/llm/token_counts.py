@@ -15,10 +15,13 @@ sentencepiece kind) without building any token.  It rests on three facts:
 States and transitions are compiled when a text first needs them and are kept per Python
 process in a hash table (at most ``MAX_STATES``; then the table starts anew, which costs time
 and changes nothing).  A slice of texts is cut into chunks of ``CHUNK`` characters that run
-side by side.  A chunk's state map is constant from its first synchronising boundary on, so
-all chunks first run from that boundary; then a scan hands each chunk the state in which its
-predecessor ended, and the stretches before the boundaries run too.  A chunk without any
-such boundary waits for its predecessor's map; the scan goes on until all maps are composed.
+side by side.  A chunk's state map (start state to end state and count) is constant from its first
+synchronising boundary on, so those chunks run from that boundary at once.  Chunks
+without any boundary get maps with several entries: equal chunks share one map, which is filled
+for the initial state and for the states in which the maps before it end; the maps of a
+stretch of such chunks are composed by a parallel prefix scan, doubling the distance in each step.  An entry
+that the scan turns out to need is added and the scan repeated.  Last, the stretches
+before the first boundaries run from the states that the scan gave them.
 
 At scale: no shuffle and nothing collected; a task holds one slice of texts and the table.
 
@@ -41,6 +44,8 @@ from ledgerprofile.session import ship
 
 CHUNK = 256
 MAX_STATES = 400_000
+SPECULATED = 4               # rounds in which maps are filled for the states that may precede them
+COMPOSED = 1 << 22           # map entries that are composed at a time
 SPACE = "▁"
 START = 0        # the state at the beginning of a text and after a synchronising boundary
 _NO_TOKEN = ""   # what stands before the first token
@@ -197,6 +202,73 @@ class Transducer:
         out_states[order], out_counts[order] = now, counts
         return out_states, out_counts
 
+    # -- maps of chunks without a boundary --------------------------------------------------
+
+    def _composed(self, classes: np.ndarray, boundary: np.ndarray, begins: np.ndarray, ends: np.ndarray,
+                  whole: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(end state, count) of the chunks ``whole``; ``last`` has the end states of those before a run of them."""
+        rows = np.full((len(whole), CHUNK), -1, np.int32)
+        inside = np.arange(CHUNK) < (ends - begins)[whole][:, None]
+        rows[inside] = classes[(begins[whole][:, None] + np.arange(CHUNK))[inside]]
+        _, sample, content = np.unique(rows, axis=0, return_index=True, return_inverse=True)
+        content = content.ravel()
+        opens = np.concatenate(([True], whole[1:] != whole[:-1] + 1))       # a text's first chunk has a boundary
+        run = np.cumsum(opens) - 1
+        entry = last[whole[opens] - 1]
+        pairs = np.unique(np.stack([content[:-1], content[1:]], axis=1)[~opens[1:]], axis=0).tolist()
+        maps: list[dict[int, tuple[int, int]]] = [{START: (-1, 0)} for _ in sample]
+        wanted = {(c, START) for c in range(len(sample))} | set(zip(content[opens].tolist(), entry.tolist()))
+        rounds = 0
+        while True:
+            lanes = np.array(sorted(wanted), np.int64)
+            chunks = whole[sample[lanes[:, 0]]]
+            got, n = self.run(classes, boundary, begins[chunks], ends[chunks], lanes[:, 1])
+            for c, s, e, k in zip(*lanes.T.tolist(), got.tolist(), n.tolist()):
+                maps[c][s] = e, k
+            wanted = set()
+            if rounds < SPECULATED:
+                rounds += 1
+                wanted = {(b, e) for a, b in pairs for e, _ in maps[a].values() if e not in maps[b]}
+            if not wanted:
+                states, counts, wanted = self._scan(maps, content, run, entry)
+                if not wanted:
+                    return states, counts
+
+    @staticmethod
+    def _scan(maps: list[dict[int, tuple[int, int]]], content: np.ndarray, run: np.ndarray,
+              entry: np.ndarray) -> tuple[np.ndarray, np.ndarray, set[tuple[int, int]]]:
+        """(end states, counts, entries that are missing) of runs of chunks that begin in the states ``entry``."""
+        names = np.unique([s for m in maps for x in m.items() for s in (x[0], x[1][0])] + entry.tolist())
+        targets = np.full((len(maps), len(names)), -1, np.int32)
+        changes = np.zeros((len(maps), len(names)), np.int64)
+        for c, m in enumerate(maps):
+            at = np.searchsorted(names, list(m))
+            targets[c, at] = np.searchsorted(names, [e for e, _ in m.values()])
+            changes[c, at] = [k for _, k in m.values()]
+        now = np.searchsorted(names, entry)                   # state of each run, -1 where an entry is missing
+        states, before = np.empty(len(content), np.int64), np.empty(len(content), np.int64)
+        step = max(1, COMPOSED // len(names))
+        for lo in range(0, len(content), step):
+            own = run[lo: lo + step]
+            opens = np.concatenate(([0], np.flatnonzero(own[1:] != own[:-1]) + 1))
+            place = np.arange(len(own)) - np.repeat(opens, np.diff(np.append(opens, len(own))))
+            table = targets[content[lo: lo + step]]
+            distance = 1
+            while distance <= place.max():
+                later = np.flatnonzero(place >= distance)
+                first = table[later - distance]
+                table[later] = np.where(first >= 0, np.take_along_axis(table[later], np.maximum(first, 0), axis=1), -1)
+                distance *= 2
+            start = now[own]
+            states[lo: lo + step] = np.where(start >= 0, table[np.arange(len(own)), np.maximum(start, 0)], -1)
+            before[lo: lo + step] = np.where(place > 0, np.roll(states[lo: lo + step], 1), start)
+            now[own[-1]] = states[lo + len(own) - 1]
+        missing = np.flatnonzero((states < 0) & (before >= 0))
+        wanted = set(zip(content[missing].tolist(), names[before[missing]].tolist()))
+        if wanted:
+            return states, before, wanted
+        return names[states], changes[content, before], wanted
+
     # -- texts ----------------------------------------------------------------------------
 
     def counts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -232,15 +304,11 @@ class Transducer:
         counts, last = np.zeros(len(begins), np.int64), np.full(len(begins), -1, np.int64)
         some = np.flatnonzero(bodies < ends)                  # their maps are constant from there on
         last[some], counts[some] = self.run(classes, boundary, bodies[some], ends[some], np.zeros(len(some), np.int64))
-        # scan: each chunk's part before its boundary runs from its predecessor's end state
-        waiting = np.flatnonzero(bodies > begins)
-        while len(waiting):
-            ready = waiting[last[waiting - 1] >= 0]
-            head, n = self.run(classes, boundary, begins[ready], bodies[ready], last[ready - 1])
-            counts[ready] += n
-            whole = bodies[ready] == ends[ready]              # no boundary at all: the map goes on
-            last[ready[whole]] = head[whole]
-            waiting = np.setdiff1d(waiting, ready, assume_unique=True)
+        whole = np.flatnonzero(bodies == ends)                # no boundary at all
+        if len(whole):
+            last[whole], counts[whole] = self._composed(classes, boundary, begins, ends, whole, last)
+        head = np.flatnonzero((bodies > begins) & (bodies < ends))
+        counts[head] += self.run(classes, boundary, begins[head], bodies[head], last[head - 1])[1]
         out[texts] += np.add.reduceat(counts, np.cumsum(per_text) - per_text)
         return out
 

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -49,6 +50,29 @@ def test_chunks_and_forgetting_change_nothing(machine, library, monkeypatch):
     assert _counts(machine, texts) == want and _counts(machine, texts[:1]) == want[:1]
 
 
+def test_long_runs_without_a_boundary(machine, library):
+    """A megabyte of one character, and long texts whose pieces overlap everywhere: composed, not serial."""
+    rng = random.Random(5)
+    pieces = [p for p in (library.id_to_piece(i) for i in range(259, 6000)) if p.isalpha() and p.isascii() and p.islower()]
+    texts = ["a" * 1_000_000, " " * 1_000_000, "-" * 300_000, "ab" * 200_000, "=-" * 5000,
+             "".join(rng.choice("aeinorst") for _ in range(60_000)), "".join(rng.choice(pieces) for _ in range(20_000))]
+    for text in texts:
+        begun = time.process_time()
+        assert _counts(machine, [text, "the end", text[:777]]) == [len(library.encode(t)) for t in (text, "the end", text[:777])]
+        assert time.process_time() - begun < 20
+
+
+def test_maps_are_composed(machine, library, monkeypatch):
+    """Small chunks, pieces of few maps and no speculation give the same counts."""
+    texts = ["aaaa" * 400 + "b" + "a" * 333, " " * 555, "anentionsation" * 60, "0" * 99 + "x"]
+    want = [len(library.encode(t)) for t in texts]
+    for chunk, held, rounds in ((8, 1, 0), (16, 1 << 22, 1), (5, 200, 4)):
+        monkeypatch.setattr(token_counts, "CHUNK", chunk)
+        monkeypatch.setattr(token_counts, "COMPOSED", held)
+        monkeypatch.setattr(token_counts, "SPECULATED", rounds)
+        assert _counts(machine, texts) == want
+
+
 def test_query(spark, sf01, library):
     docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf01}/documents.parquet").collect()}
     rows = queries.op9_transducer_token_counts(spark, sf01).collect()
