@@ -8,11 +8,10 @@ ships at most ``n`` rows per map task.
 
 Top fraction keeps the ``k`` best rows of the whole table, where ``k`` follows from the row
 count.  Small ``k`` uses Spark's bounded top-k (``TakeOrderedAndProject``: a k-row heap per
-task, then one merge of tasks x k rows).  Large ``k`` never goes through one task: the table is range-partitioned on the
-ranking key (ties spread over partitions because the id is part of the key), each row gets
-its position inside its partition, per-partition counts turn into offsets (one row per
-partition), and the global position is offset + local position.  The range-partitioned
-table is checkpointed first so both uses of it see the same partitions.
+task, then one merge of tasks x k rows).  Large ``k`` never goes through one task and sorts nothing:
+the value of the k-th row is found by counting rows in ``RANGES`` ranges and refining the one
+that holds it, one pass each; ties at that value are refined by their ids' beginnings in the same
+way.  What is left at the boundary is a bounded top-k, and all better rows are a filter.
 """
 
 from __future__ import annotations
@@ -27,6 +26,7 @@ from ledgerprofile.functions.scalars import positive_finite
 # Largest k served by the bounded top-k path; above it the distributed path runs.  The
 # bounded path merges (tasks x k) rows in one final task, so k stays small.
 BOUNDED_TOPK_LIMIT = 1_000
+RANGES = 1_024   # ranges of a refinement
 LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index
 
 
@@ -77,7 +77,56 @@ def top_k(df: DataFrame, value: str, id_col: str, k: int, descending: bool = Tru
         return df.limit(0)
     if k <= bounded_limit:
         return df.orderBy(*order).limit(k)
-    return with_global_position(df, order, "_pos").where(F.col("_pos") <= k).drop("_pos")
+    return select_best(df, value, id_col, k, descending, max(1, bounded_limit))
+
+
+def select_best(df: DataFrame, value: str, id_col: str, k: int, descending: bool = True,
+                bounded_limit: int = BOUNDED_TOPK_LIMIT) -> DataFrame:
+    """The ``k`` best rows of ``df`` by ``value`` (finite; ties: lower id first), without sorting it.
+
+    Each refinement is one pass over the rows that are left at the boundary and collects
+    ``RANGES`` counts at most (for ids: one per next character).
+    """
+    sign = -1.0 if descending else 1.0
+    v, i = sign * F.col(value).cast("double"), F.col(id_col).cast("string")      # smaller is better
+    lo, hi, n = df.agg(F.min(v), F.max(v), F.count(v)).first()
+    if k <= 0 or not n:
+        return df.limit(0)
+    if k >= n:
+        return df.where(v.isNotNull())
+    need, better, boundary = k, F.lit(False), v.isNotNull()
+
+    def refined(parts: list[tuple]) -> tuple:
+        """The part (in order; its count comes first) that holds the row ``need``; what comes before is taken off."""
+        nonlocal need
+        for part in parts:
+            if need <= part[0]:
+                return part
+            need -= part[0]
+        raise AssertionError("the rows changed between two passes")
+
+    while lo < hi and min(n, need) > bounded_limit:
+        width = hi / RANGES - lo / RANGES
+        place = F.least(F.floor((v - F.lit(lo)) / F.lit(width)), F.lit(RANGES - 1)) if width > 0 else (v > F.lit(lo)).cast("long")
+        counts = df.where(boundary).groupBy(place.alias("p")).agg(F.count(F.lit(1)), F.min(v), F.max(v)).collect()
+        n, lo, hi = refined([tuple(r)[1:] for r in sorted(counts, key=lambda r: r["p"])])
+        better, boundary = v < F.lit(lo), v.between(F.lit(lo), F.lit(hi))
+    prefix = ""
+    while lo == hi and min(n, need) > bounded_limit:
+        step = F.substring(i, len(prefix) + 1, 1)
+        counts = df.where(boundary & i.startswith(prefix)).groupBy(step.alias("c")).agg(F.count(F.lit(1))).collect()
+        n, c = refined([(r[1], r["c"]) for r in sorted(counts, key=lambda r: r["c"].encode())])
+        if not c:                            # rows of one id: any of them
+            boundary = boundary & (i == F.lit(prefix))
+            break
+        prefix += c
+    if prefix:
+        better = better | ((v == F.lit(lo)) & (i < F.lit(prefix)))
+        boundary = boundary & i.startswith(prefix)
+    rest = df.where(boundary)
+    if need < n:
+        rest = rest.orderBy(*_order(value, id_col, descending)).limit(need)
+    return df.where(better).unionByName(rest)
 
 
 def with_global_position(df: DataFrame, order: list[Column], pos_col: str,

@@ -8,8 +8,9 @@ Scale notes
   then sees one row per taxpayer-month instead of one per invoice.  Grouping first and
   joining after gives the same rows as the join-then-group order as long as the registry
   holds one row per taxpayer id: every grouping key of the join-then-group form is either
-  kept or comes from the registry row.  (With a repeated id the orders differ: the purchase
-  side of A1 meets the registry only through the sales side.)
+  kept or comes from the registry row.  With a repeated id the orders would differ, so A1-A3 refuse
+  such a registry: the registry side is grouped by id (it is far smaller than the invoices) and a
+  second row is an error.
 * With a period, A1 and A3 test the invoice time as text first (``time_text_between``), so the
   bound is pushed into the scan of stored invoices and other months are never read.
 * The registry join is left to Catalyst/AQE: broadcast when the registry's runtime size is
@@ -30,9 +31,18 @@ INDUSTRY_MONTH_BROADCAST_ROWS = 200_000   # industry x month tables up to this s
 Period = tuple[int, int]                  # first and last month, integers yyyyMM
 
 
-def _classified(registry: DataFrame) -> DataFrame:
-    """Registry rows with a usable (non-empty, non-NULL) industry and id."""
-    return registry.where(non_empty("hy_dm") & F.col("nsrsbh").isNotNull()).select("nsrsbh", "hy_dm")
+def _classified(registry: DataFrame, unique: bool = True) -> DataFrame:
+    """Registry rows with a usable (non-empty, non-NULL) industry and id.
+
+    With ``unique`` an id that comes twice is an error when the rows are read: the summaries
+    aggregate before they meet the registry, which needs one row per taxpayer.
+    """
+    rows = registry.where(non_empty("hy_dm") & F.col("nsrsbh").isNotNull()).select("nsrsbh", "hy_dm")
+    if not unique:
+        return rows
+    repeated = F.raise_error(F.concat(F.lit("the registry repeats the taxpayer "), F.col("nsrsbh"))).cast("string")
+    return (rows.groupBy("nsrsbh").agg(F.min("hy_dm").alias("hy_dm"), F.count(F.lit(1)).alias("n"))
+            .select("nsrsbh", F.when(F.col("n") > 1, repeated).otherwise(F.col("hy_dm")).alias("hy_dm")))
 
 
 def _dated(invoices: DataFrame, period: Period | None, *columns) -> DataFrame:
@@ -58,7 +68,7 @@ def invoices_with_industry(invoices: DataFrame, registry: DataFrame, side: str =
     plus ``hy_dm``.
     """
     key = {"seller": "xf_nsrsbh", "buyer": "gf_nsrsbh"}[side]
-    reg = _classified(registry).withColumnRenamed("nsrsbh", key)
+    reg = _classified(registry, unique=False).withColumnRenamed("nsrsbh", key)
     return invoices.join(reg, key)
 
 

@@ -72,3 +72,31 @@ def test_top_n_plan_limits_before_shuffle(spark):
                                   F.col("id").cast("string").alias("nsrsbh"), F.rand(1).alias("v"))
     plan = ranking.top_n_per_group(df, "g", "v", "nsrsbh", 2)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_selection_equals_both_other_paths(spark, descending, monkeypatch):
+    """Ties, heavy tails, negative numbers and repeated ids' beginnings, cut anywhere."""
+    rng = random.Random(7)
+    monkeypatch.setattr(ranking, "RANGES", 8)
+    vals = [rng.choice([0.25, 0.25, -3.0, 2.0 ** rng.randint(-60, 60), rng.random(), 1e300, -1e300]) for _ in range(400)]
+    rows = [(f"{'x' * (k % 3)}{k}", v) for k, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "nsrsbh string, c double").repartition(5).cache()
+    want = [i for i, _ in sorted(rows, key=lambda r: (-r[1] if descending else r[1], r[0].encode()))]
+    order = [F.col("c").desc() if descending else F.col("c").asc(), F.col("nsrsbh").asc()]
+    for k, limit in ((1, 1), (60, 1), (137, 1), (260, 3), (399, 1), (400, 1), (900, 1)):
+        got = {r.nsrsbh for r in ranking.select_best(df, "c", "nsrsbh", k, descending, limit).collect()}
+        assert got == set(want[:k]) and got == {r.nsrsbh for r in df.orderBy(*order).limit(k).collect()}
+    positions = ranking.with_global_position(df, order, "pos", partitions=4).where("pos <= 137")
+    assert {r.nsrsbh for r in positions.collect()} == set(want[:137])
+
+
+def test_selection_of_one_value_and_of_nothing(spark):
+    df = spark.createDataFrame([(f"N{k:03d}", 1.5) for k in range(120)], "nsrsbh string, c double")
+    got = ranking.select_best(df, "c", "nsrsbh", 33, bounded_limit=1)
+    assert sorted(r.nsrsbh for r in got.collect()) == [f"N{k:03d}" for k in range(33)]
+    same = spark.createDataFrame([("A", 1.5)] * 20 + [("B", 1.5)], "nsrsbh string, c double")
+    assert [r.nsrsbh for r in ranking.select_best(same, "c", "nsrsbh", 7, bounded_limit=1).collect()] == ["A"] * 7
+    assert ranking.select_best(df.limit(0), "c", "nsrsbh", 7).count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan

@@ -1,5 +1,7 @@
 from decimal import Decimal
 
+import pytest
+
 from ledgerprofile.operators import summary
 
 INV = "xf_nsrsbh string, gf_nsrsbh string, je decimal(18,2), kprq string"
@@ -70,3 +72,16 @@ def test_registry_unique_in_fixture(spark, sf001):
     from ledgerprofile.sources import testdata
     reg = testdata.registry_table(spark, sf001)
     assert reg.count() == reg.select("nsrsbh").distinct().count()
+
+
+def test_a_repeated_taxpayer_is_refused(spark):
+    inv = spark.createDataFrame([("A", "A", Decimal("1.00"), "20120105000000")],
+                                "xf_nsrsbh string, gf_nsrsbh string, je decimal(18,2), kprq string")
+    once = spark.createDataFrame([("A", "H1"), ("A", ""), ("B", "H2")], "nsrsbh string, hy_dm string")
+    assert summary.taxpayer_monthly(inv, inv, once).count() == 1          # a row without an industry is no second one
+    twice = once.unionByName(spark.createDataFrame([("A", "H3")], "nsrsbh string, hy_dm string"))
+    for job in (lambda: summary.taxpayer_monthly(inv, inv, twice), lambda: summary.pair_monthly_sales(inv, twice),
+                lambda: summary.pair_monthly_purchases(inv, twice)):
+        with pytest.raises(Exception, match="repeats the taxpayer A"):
+            job().collect()
+    assert summary.invoices_with_industry(inv, twice).count() == 2         # the plain join gives both
