@@ -14,11 +14,13 @@ sets.  The work goes in three steps:
    its pivot, and the links give components.  A bucket of ``m`` members costs ``m`` pairs, so
    a large group of near copies is no quadratic group.
 2. In buckets that still hold several components, members of different components are
-   compared (pairs inside a component could not change it).  The comparison is a join
-   condition: the sizes must allow the link, and sketches of ``sketch_bits`` further
-   coordinates (one bit each) must agree as far as a linked pair's do, up to 4.5 standard
-   deviations.  Only pairs that pass in the first band they share become rows, and those are
-   verified on the full sets.
+   compared (pairs inside a component could not change it), in tiles of bounded size.  First on
+   sketches of ``sketch_bits`` further coordinates (one bit each), which must agree as far as a linked
+   pair's do, up to 4.5 standard deviations: members that pass with some other one, in the
+   first band the two share, are kept.  Then on the full sets of those: a tile counts all its
+   intersections at once and returns links that span what it found linked, fewer than it has
+   members.  So no pair becomes a row: a large family just below the threshold costs
+   comparisons, but no rows.
 3. The links of both steps give the final components; a document's ``component_id`` is the
    smallest id that it reaches.
 
@@ -30,7 +32,8 @@ At scale: tasks read texts and emit bands; classes, bands, ids and sizes are shu
 buckets and classes pre-aggregated and salted.  Sets are computed for classes in shared
 buckets alone; the texts are shuffled once for that.  A pivot's set meets its members in up
 to ``PIVOT_SALTS`` tasks.  Lineage is cut by tables
-written under ``spark.checkpoint.dir``; superseded ones are deleted.
+written under ``spark.checkpoint.dir``; superseded ones are deleted.  A bucket beyond
+``TILE_MEMBERS`` members is cut into chunks, and two chunks of different components are one tile.
 
 Defined results: null or blank texts have an empty set, ``n_shingles`` 0 and no links; rows
 with a null id are never linked (``component_id`` null, ``kept`` true); rows that repeat an
@@ -45,11 +48,10 @@ import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerprofile.llm import textbytes as tb
@@ -59,6 +61,10 @@ from ledgerprofile.session import Scratch, ship
 
 WORD_SEED = 101
 PIVOT_SALTS = 32
+TILE_MEMBERS = 512            # members of a chunk of a bucket; a tile holds two chunks at most
+TILE_SHINGLES = 1 << 20       # shingles of a chunk, about
+SLAB = 8192                   # shingles that are counted at a time
+ROWS_AT_ONCE = 64             # rows of sketches that are compared at a time
 
 
 @dataclass(frozen=True)
@@ -186,6 +192,154 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return left.join(right, ["a", "salt"]).where(100 * shared >= threshold * whole).select("a", "b")
 
 
+# step 2: tiles ------------------------------------------------------------------------------
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each tile (bucket, lo, hi), of rows sorted by that."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in ("bucket", "lo", "hi")], axis=1)
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        if held and tuple(keys[0]) != last:
+            yield pa.Table.from_batches(held)
+            held = []
+        for start, end in zip([0, *cuts], [*cuts, len(keys)]):
+            if start:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+        last = tuple(keys[-1])
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _matrix(lists: pa.ChunkedArray) -> np.ndarray:
+    """[rows, numbers] of a list column of equal lengths."""
+    flat = lists.combine_chunks()
+    return flat.flatten().to_numpy().reshape(len(flat), -1)
+
+
+def _may_pair(tile: pa.Table, threshold: int) -> np.ndarray:
+    """[members, members] above the diagonal: of different components, of sizes that allow a link and,
+    in a tile of two chunks, of different chunks."""
+    n, roots, chunks = (tile.column(c).to_numpy() for c in ("n", "root_key", "chunk"))
+    lo, hi = tile.column("lo")[0].as_py(), tile.column("hi")[0].as_py()
+    out = np.triu(roots[:, None] != roots[None, :], 1)
+    out &= (100 * n[:, None] >= threshold * n[None, :]) & (100 * n[None, :] >= threshold * n[:, None])
+    if lo != hi:
+        out &= chunks[:, None] != chunks[None, :]
+    return out
+
+
+def _alike(batches: Iterator[pa.RecordBatch], p: MinHash) -> Iterator[pa.RecordBatch]:
+    """Tiles with sketches -> (bucket, node) of members that some other one may be linked with."""
+    for tile in _runs(batches):
+        may = _may_pair(tile, p.threshold)
+        if not may.any():
+            continue
+        sketches, bands = _matrix(tile.column("sketch")).view(np.uint64), _matrix(tile.column("bands"))
+        bucket, found = tile.column("bucket")[0].as_py(), np.zeros(tile.num_rows, bool)
+        for lo in range(0, tile.num_rows, ROWS_AT_ONCE):
+            x, y = np.nonzero(may[lo: lo + ROWS_AT_ONCE])
+            x += lo
+            close = np.bitwise_count(sketches[x] ^ sketches[y]).sum(axis=1) <= p.differing_bits
+            x, y = x[close], y[close]
+            first = (bands[x] == bands[y]).argmax(axis=1)
+            here = bands[x, first] == bucket
+            found[x[here]] = found[y[here]] = True
+        kept = tile.column("node").filter(pa.array(found))
+        if len(kept):
+            yield pa.RecordBatch.from_arrays([pa.array([bucket] * len(kept), pa.int64()), kept.combine_chunks()],
+                                             names=["bucket", "node"])
+
+
+def intersections(sets: pa.ChunkedArray) -> np.ndarray:
+    """[members, members]: how many shingles each two sets share."""
+    flat = sets.combine_chunks()
+    rows = np.repeat(np.arange(len(flat)), flat.value_lengths().to_numpy())
+    _, codes, counts = np.unique(flat.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    shared = counts > 1
+    order = np.argsort(codes[shared[codes]], kind="stable")
+    rows, codes = rows[shared[codes]][order], (np.cumsum(shared) - 1)[codes[shared[codes]][order]]
+    out = np.zeros((len(flat), len(flat)), np.int64)
+    for slab in range(0, int(shared.sum()), SLAB):
+        a, b = np.searchsorted(codes, [slab, slab + SLAB])
+        dense = np.zeros((len(flat), min(SLAB, int(shared.sum()) - slab)), np.float32)
+        dense[rows[a:b], codes[a:b] - slab] = 1
+        out += (dense @ dense.T).astype(np.int64)
+    return out
+
+
+def spanning(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect what the symmetric matrix ``linked`` connects, fewer than its rows."""
+    out, fresh = [], linked.any(axis=1)
+    for start in np.flatnonzero(fresh):
+        queue = [int(start)] if fresh[start] else []
+        fresh[start] = False
+        while queue:
+            x = queue.pop()
+            new = np.flatnonzero(linked[x] & fresh)
+            fresh[new] = False
+            out += [(x, int(y)) for y in new]
+            queue += new.tolist()
+    return out
+
+
+def _links(batches: Iterator[pa.RecordBatch], p: MinHash) -> Iterator[pa.RecordBatch]:
+    """Tiles with full sets -> links (a, b) that span their linked members."""
+    for tile in _runs(batches):
+        may = _may_pair(tile, p.threshold)
+        if not may.any():
+            continue
+        n, both = tile.column("n").to_numpy(), intersections(tile.column("shingles"))
+        linked = may & (100 * both >= p.threshold * (n[:, None] + n[None, :] - both))
+        pairs = spanning(linked | linked.T)
+        if pairs:
+            nodes = tile.column("node").combine_chunks()
+            a, b = (nodes.take(pa.array(c, pa.int64())) for c in zip(*pairs))
+            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+
+
+def _tiled(members: DataFrame, sets: DataFrame, column: list[str], most_shingles: int | None = None) -> DataFrame:
+    """``members`` (bucket, node, n, root_key; stored) dealt into tiles with columns of ``sets``, tile by tile.
+
+    A component of more than a chunk's members has chunks of its own, which never meet each other;
+    all smaller ones share the bucket's first chunks, which meet all.  So a bucket of one large
+    component and few others costs few more rows than it has members.
+    """
+    def chunks(count: str, total: str):
+        by_rows = F.ceil(F.col(count) / TILE_MEMBERS)
+        return F.greatest(by_rows, F.ceil(F.col(total) / most_shingles)) if most_shingles else by_rows
+    sizes = (members.groupBy("bucket", "root_key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("t"))
+             .withColumn("parts", chunks("c", "t")))
+    shared = (sizes.groupBy("bucket").agg(*[F.sum(F.when(F.col("parts") == 1, F.col(x)).otherwise(0)).alias(x) for x in ("c", "t")],
+                                          F.sum(F.when(F.col("parts") > 1, F.col("parts")).otherwise(0)).alias("own"))
+              .select("bucket", chunks("c", "t").alias("pool"), "own"))
+    # most buckets are one tile: their members are not copied
+    salted, wanted = members.withColumn("salt", salt_of("node")), sets.select("node", *column)
+    single = (salted.join(shared.where("pool + own = 1").select("bucket", every_salt().alias("salt")), ["bucket", "salt"])
+              .join(wanted, "node")
+              .select("bucket", *[F.lit(0).alias(c) for c in ("lo", "hi", "chunk")], "node", "n", "root_key", *column))
+    before = Window.partitionBy("bucket").orderBy("root_key").rowsBetween(Window.unboundedPreceding, -1)
+    large = (sizes.where("parts > 1").select("bucket", "root_key", "parts", F.coalesce(F.sum("parts").over(before), F.lit(0)).alias("first"),
+                                             every_salt().alias("salt")))
+    dealt = (salted.join(shared.where("pool + own > 1").withColumn("salt", every_salt()), ["bucket", "salt"])
+             .join(large, ["bucket", "root_key", "salt"], "left")
+             .withColumn("first", F.when(F.col("parts").isNull(), 0).otherwise(F.col("pool") + F.col("first")))
+             .withColumn("own_parts", F.coalesce("parts", "pool"))
+             .withColumn("chunk", (F.col("first") + F.pmod(F.xxhash64("node"), F.col("own_parts"))).cast("int")))
+    met = F.filter(F.sequence(F.lit(0), (F.col("pool") + F.col("own") - 1).cast("int")), lambda k: F.col("parts").isNull()
+                   | (k < F.col("first")) | (k >= F.col("first") + F.col("parts")))
+    tile = F.explode(F.transform(met, lambda k: F.struct(F.least(k, F.col("chunk")).alias("lo"),
+                                                         F.greatest(k, F.col("chunk")).alias("hi"))))
+    copied = (dealt.join(wanted, "node").withColumn("tile", tile)
+              .select("bucket", "tile.lo", "tile.hi", "chunk", "node", "n", "root_key", *column))
+    keys = ["bucket", "lo", "hi"]
+    return single.unionByName(copied).repartition(*keys).sortWithinPartitions(*keys)
+
+
 def near_duplicates(docs: DataFrame, params: MinHash = MinHash(), id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``."""
@@ -238,24 +392,18 @@ def near_duplicates(docs: DataFrame, params: MinHash = MinHash(), id_col: str =
 
     # step 2: buckets that hold several components
     rooted = (members.select("bucket", "node", "n").join(roots, "node", "left")
-              .withColumn("root", F.coalesce("root", "node")))
-    mixed = (rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+              .select("bucket", "node", "n", F.xxhash64(F.coalesce("root", "node")).alias("root_key")))
+    mixed = (rooted.groupBy("bucket").agg(F.min("root_key").alias("lo"), F.max("root_key").alias("hi"))
              .where("lo != hi").select("bucket", every_salt().alias("salt")))
-    across = (rooted.withColumn("salt", salt_of("node")).join(mixed, ["bucket", "salt"]).drop("salt")
-              .join(sets.select("node", "sketch", "bands"), "node"))
-    x, y = across.alias("x"), across.alias("y")
-    differing = reduce(lambda u, v: u + v, [
-        F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(p.sketch_bits // 64)])
-    first_shared = F.array_position(
-        F.zip_with("x.bands", "y.bands", lambda u, v: u == v), F.lit(True)) == F.array_position("x.bands", F.col("x.bucket"))
-    crossing = scratch.store(
-        x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node"))
-               & (F.col("x.root") != F.col("y.root")) & sizes_allow("x.n", "y.n")
-               & (differing <= p.differing_bits) & first_shared)
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
-    links = star_links.union(_verified(crossing, sets, p.threshold))
+    across = scratch.store(rooted.withColumn("salt", salt_of("node")).join(mixed, ["bucket", "salt"]).drop("salt"))
+    alike = scratch.store(_tiled(across, sets, ["sketch", "bands"])
+                          .mapInArrow(lambda batches: _alike(batches, p), "bucket long, node binary").distinct())
+    kept = scratch.store(across.join(alike, ["bucket", "node"]))
+    crossing = scratch.store(_tiled(kept, sets, ["shingles"], TILE_SHINGLES)
+                             .mapInArrow(lambda batches: _links(batches, p), "a binary, b binary"))
+    links = star_links.union(crossing)
     roots = connected_components(links, scratch)
-    scratch.drop(members, sets, crossing, star_links)
+    scratch.drop(members, sets, across, alike, kept, crossing, star_links)
 
     # the smallest id of each component, then of each class that has more than one document
     least = (roots.join(classes.select("node", "rep"), "node").groupBy("root").agg(F.min("rep").alias("component_id"))

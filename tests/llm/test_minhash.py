@@ -66,6 +66,63 @@ def test_family_near_the_threshold(spark):
         assert got == want and len({c for _, c in want.values()}) > 1
 
 
+def test_intersections_and_spanning_links():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50))) for _ in range(40)]
+    got = mh.intersections(pa.chunked_array([pa.array(sets[:15]), pa.array(sets[15:])]))
+    for a in range(40):
+        for b in range(40):
+            want = len(np.intersect1d(sets[a], sets[b]))
+            assert got[a, b] == want or a == b
+    linked = np.triu(rng.random((30, 30)) < 0.06, 1)
+    linked |= linked.T
+    links = mh.spanning(linked)
+    assert all(linked[a, b] for a, b in links)
+
+    def groups(pairs):
+        root = list(range(30))
+        for a, b in list(pairs) * 30:
+            root[a] = root[b] = min(root[a], root[b])
+        return root
+    assert groups(links) == groups(zip(*np.nonzero(linked))) and len(links) == 30 - len(set(groups(links)))
+    assert mh.spanning(np.zeros((3, 3), bool)) == []
+
+
+def _family(m, edits, seed=6):
+    """Copies of a 200-word text with ``edits`` edits each: every two just below or over 0.8."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randint(0, 5000)}" for _ in range(200)]
+    rows = []
+    for k in range(m):
+        words = list(base)
+        for at in rng.sample(range(200), edits):
+            words[at] = f"x{k}y{at}"
+        rows.append((k, " ".join(words)))
+    return rows
+
+
+def test_a_family_below_the_threshold_makes_no_pairs(spark, monkeypatch):
+    """Rows grow with the members, not with their square; chunks of 64 members give the same result."""
+    rows_made = {}
+    plain = mh.Scratch.store
+
+    def counted(self, df, *args):
+        out = plain(self, df, *args)
+        rows_made.setdefault(tuple(df.columns), []).append(out.count())
+        return out
+    monkeypatch.setattr(mh.Scratch, "store", counted)
+    monkeypatch.setattr(mh, "TILE_MEMBERS", 128)
+    made = {}
+    for m in (150, 300):
+        rows = _family(m, 6)
+        rows_made.clear()
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"])
+               for r in mh.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), mh.MinHash(width=2)).collect()}
+        assert got == brute.components(rows, 2)
+        made[m] = max(sum(rows_made[("a", "b")]), sum(rows_made[("bucket", "node")]))
+    assert made[300] <= 2.6 * made[150]
+
+
 def test_odd_and_empty(odd):
     rows = mh.near_duplicates(odd, mh.MinHash(width=2)).collect()
     assert len(rows) == odd.count()
