@@ -17,10 +17,13 @@ partition makes the same pieces; for an input whose partitions can change betwee
 shuffle upstream), write it first.
 
 Texts are cut at spaces and newlines, the distinct words are encoded by the library once
-while they stay in a bounded table, and ids are concatenated; the vocabulary drops white
+while they stay in a table of bounded bytes, and ids are concatenated; the vocabulary drops white
 space and no rule of it looks across a space, so this equals encoding the whole text.  A word
 of Latin letters and end marks is encoded as its lower-case letters, by the library's model
-alone, and its marks, because that is where the library splits it.
+alone, and its marks, because that is where the library splits it.  Words longer than
+``KEPT_CHARS`` (texts without spaces, encoded data) leave the table with their text.  A task holds
+one Arrow batch of whole texts (``spark.sql.execution.arrow.maxRecordsPerBatch``), and of those
+as Python strings about a megabyte at a time, one text at least.
 
 Defined results: null text = empty text, which has the one id ``end_id``; null ids, repeated
 ids and repeated rows are packed like any other row; an empty table gives no rows.  Only the
@@ -31,19 +34,23 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from ledgerprofile.llm import textbytes as tb
 from ledgerprofile.llm.columns import named, text_of
 from ledgerprofile.session import ship
 
 WINDOW = 4096
 END_ID = 2
 BLOCK_BITS = 36
-MAX_WORDS = 1_500_000     # words kept with their ids in a process
+TABLE_BYTES = 256 << 20   # of words kept with their ids in a process
+WORD_BYTES = 110          # of a kept word beside its string and ids
+KEPT_CHARS = 64           # longer words are not kept
 EMIT_PIECES = 512
 
 
@@ -54,12 +61,12 @@ _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?;:%
 class WordEncoder:
     """Ids of texts by a word-level vocabulary file of the tokenizers library."""
 
-    def __init__(self, vocabulary: str, max_words: int = MAX_WORDS):
+    def __init__(self, vocabulary: str, table_bytes: int = TABLE_BYTES):
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(vocabulary)
         byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.byte_chars = {c: byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
-        self.max_words = max_words
+        self.table_bytes = table_bytes
         self._forget()
 
     def _forget(self) -> None:
@@ -67,6 +74,7 @@ class WordEncoder:
         self.ids = np.zeros(1 << 16, np.uint32)
         self.first = np.zeros(1 << 12, np.int64)    # of word k: ids[first[k]:first[k + 1]]
         self.n_ids = 0
+        self.held = 0                               # bytes of the table
 
     def _stem(self, letters: str) -> list[int]:
         mapped = letters if letters.isascii() else letters.translate(self.byte_chars)
@@ -99,25 +107,42 @@ class WordEncoder:
         self.ids[self.n_ids: self.n_ids + n] = np.fromiter((x for row in new.values() for x in row), np.uint32, n)
         self.first[k + 1: k + 1 + len(new)] = self.n_ids + np.cumsum(sizes)
         self.n_ids += n
+        self.held += sum(map(getsizeof, new)) + WORD_BYTES * len(new) + self.ids.itemsize * n
         self.index.update(zip(new, range(k, k + len(new))))
 
+    def _drop_from(self, row: int, held: int) -> None:
+        """Take the words from ``row`` on, which were added last, out of the table again."""
+        while len(self.index) > row:
+            self.index.popitem()
+        self.n_ids, self.held = int(self.first[row]), held
+        if len(self.ids) * self.ids.itemsize > self.table_bytes:
+            self.ids = self.ids[: max(self.n_ids, 1)].copy()
+
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, in order."""
         for text in texts:
             words = text.replace("\n", " ").split(" ")
             get = self.index.get
-            rows = [get(w, -1) for w in words]
+            rows, long = [get(w, -1) for w in words], []
             if -1 in rows:
-                if len(self.index) > self.max_words:
+                if self.held > self.table_bytes:
                     self._forget()
-                self._learn([w for w in dict.fromkeys(words) if w not in self.index])
+                new = [w for w in dict.fromkeys(words) if w not in self.index]
+                long = [w for w in new if len(w) > KEPT_CHARS]
+                self._learn([w for w in new if len(w) <= KEPT_CHARS] if long else new)
+                kept, held = len(self.index), self.held
+                if long:
+                    self._learn(long)
                 get = self.index.__getitem__
                 rows = [get(w) for w in words]
             rows = np.array(rows, np.int64)
             begins = self.first[rows]
             sizes = self.first[rows + 1] - begins
             ends = np.cumsum(sizes)
-            yield self.ids[np.arange(ends[-1]) + np.repeat(begins - ends + sizes, sizes)]
+            ids = self.ids[np.arange(ends[-1]) + np.repeat(begins - ends + sizes, sizes)]
+            if long:
+                self._drop_from(kept, held)
+            yield ids
 
 
 class SumOfSquaresPacker:
@@ -226,8 +251,8 @@ def _packed(batches: Iterable[pa.RecordBatch], vocabulary: str, window: int, end
     block, waiting = TaskContext.get().partitionId(), []
     end = np.array([end_id], np.uint32)
     for batch in batches:
-        for lo in range(0, batch.num_rows, 256):
-            part = batch.slice(lo, 256)
+        for lo, hi in tb.slices(tb.flat(batch.column("text"))[1]):
+            part = batch.slice(lo, hi - lo)
             for key, ids in zip(part.column("doc_id").to_pylist(), encode(part.column("text").to_pylist())):
                 waiting.extend(packer.add(key, np.concatenate((ids, end))))
                 if len(waiting) >= EMIT_PIECES:

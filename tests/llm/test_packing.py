@@ -23,10 +23,29 @@ def test_words_give_the_librarys_ids(library):
     alphabet = "ab c \néя日1.,' the ing's tion\t🙂ΣAΑΣ   　̸́<|endoftext|>ÀÉßÿ×÷!"
     texts = ["", "  ", "\n", "<|endoftext|> x", "a<|startoftext|>b", "Σ ΑΣ", "don't 're x 's", "é é ́x", "≠ ̸", "x" * 5000]
     texts += ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 300))) for _ in range(500)]
-    encode = packing.WordEncoder(VOCABULARY, max_words=50)
+    encode = packing.WordEncoder(VOCABULARY, table_bytes=50 * 200)
     assert [ids.tolist() for ids in encode(texts)] == [library(t) for t in texts]
 
 
+def test_table_is_bounded_in_bytes(library):
+    """Texts without spaces leave nothing behind; short words are forgotten beyond the bound."""
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789+/日本語"
+    encode = packing.WordEncoder(VOCABULARY, table_bytes=200_000)
+    runs = ["".join(rng.choice(letters) for _ in range(20_000)) for _ in range(20)]
+    for text, ids in zip(runs, encode(runs)):
+        assert ids.tolist() == library(text)
+        assert len(encode.index) == 1 and encode.held == 0 and encode.ids.nbytes <= 1 << 19
+    most = 0
+    mixed = [" ".join("".join(rng.choice(letters) for _ in range(rng.choice([3, 9, 64, 65, 300]))) for _ in range(100))
+             + " again Again! " + "x" * 70 for _ in range(60)]
+    for text, ids in zip(mixed, encode(mixed)):
+        assert ids.tolist() == library(text)
+        assert max(map(len, encode.index)) <= packing.KEPT_CHARS
+        most = max(most, encode.held)
+    assert 200_000 < most < 260_000                       # one text beyond the bound at most
+
+
 def _plain_level(levels, size, window):
     """Level with the least growth of the sum of squares; of equal ones the fullest."""
     best = None
