@@ -10,9 +10,10 @@ statistics are frozen, so a text's code length under a language is the exact sum
 bytes, and the shortest code wins (ties: the first language in byte order).  A-Z and the
 Latin-1 capitals are folded to lower case, in training and in scoring.
 
-For scoring the trees are one table per order: a row for each (context, byte) that any
-language has seen, with the code length under every language, escapes included.  A byte costs
-one look-up where the longest context knows it.
+For scoring the trees of up to ``GROUP`` languages are one table per order: a row for each
+(context, byte) that any of them has seen, with the code length under each of them, escapes
+included.  A byte costs one look-up a group where the longest context knows it, and the tables
+grow with the number of languages, not with its square.
 
 The model is fitted on a bounded sample: of each language the first ``max_docs`` training
 texts in a hash order, and of those the whole texts that make up the first ``max_bytes``
@@ -45,6 +46,7 @@ from ledgerprofile.session import ship
 ORDER = 4
 MAX_DOCS = 400
 MAX_BYTES = 400_000
+GROUP = 8
 UNDETERMINED = "und"
 
 
@@ -85,22 +87,32 @@ def _counted(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.Recor
 
 
 @dataclass
-class Model:
-    """Frozen statistics: per order (longest first) the keys and code lengths per language."""
+class Tables:
+    """Frozen statistics of a group: per order (longest first) the keys and code lengths per language."""
 
     langs: list[str]
-    order: int
     keys: list[np.ndarray]        # of (context, byte)
     bits: list[np.ndarray]        # [key, language]: code length, escapes included
     contexts: list[np.ndarray]
     escapes: list[np.ndarray]     # [context, language]: escape bits; 0 where the tree lacks the context
 
 
-def fit(langs: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int) -> Model:
-    """Tables from each language's (keys, counts) of the longest contexts."""
-    if not langs:
-        return Model([], order, [], [], [], [])
-    model = Model(langs, order, [], [], [], [])
+@dataclass
+class Model:
+    """The languages, in byte order, and their tables by group."""
+
+    langs: list[str]
+    order: int
+    groups: list[Tables]
+
+
+def fit(langs: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int, group: int = GROUP) -> Model:
+    """The model of each language's (keys, counts) of the longest contexts."""
+    return Model(langs, order, [_tables(langs[lo: lo + group], counts, order) for lo in range(0, len(langs), group)])
+
+
+def _tables(langs: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int) -> Tables:
+    model = Tables(langs, [], [], [], [])
     lower_keys, lower_bits = np.arange(256, dtype=np.uint64), np.full((256, len(langs)), 8.0)
     for k in range(order + 1):                         # shortest contexts first
         mask = np.uint64((1 << (8 * (k + 1))) - 1)
@@ -134,38 +146,45 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.symbols = [tb.HashIndex(k) for k in model.keys]
-        self.contexts = [tb.HashIndex(c) for c in model.contexts]
-        self.step = max(1 << 12, (1 << 21) // max(1, len(model.langs)))   # bytes at a time
+        self.symbols = [[tb.HashIndex(k) for k in g.keys] for g in model.groups]
+        self.contexts = [[tb.HashIndex(c) for c in g.contexts] for g in model.groups]
+        self.step = max(1 << 12, (1 << 21) // max([1, *(len(g.langs) for g in model.groups)]))   # bytes at a time
 
     def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """[text, language]: bits of each whole text."""
-        model = self.model
-        out = np.zeros((len(offsets) - 1, len(model.langs)))
-        keys = byte_keys(data, offsets, model.order)
+        out = np.zeros((len(offsets) - 1, len(self.model.langs)))
+        keys = byte_keys(data, offsets, self.model.order)
         for lo in range(0, len(keys), self.step):
             part = keys[lo: lo + self.step]
-            bits = np.zeros((len(part), len(model.langs)))
-            left = np.arange(len(part))
-            for k in range(model.order + 1):
-                mask = np.uint64((1 << (8 * (model.order - k + 1))) - 1)
-                own = part[left] & mask
-                rows = self.symbols[k].find(own)
-                known = rows >= 0
-                bits[left[known]] += model.bits[k][rows[known]]
-                left, own = left[~known], own[~known]
-                if not len(left):
-                    break
-                context = self.contexts[k].find(own >> np.uint64(8))
-                held = context >= 0
-                bits[left[held]] += model.escapes[k][context[held]]
             first = int(np.searchsorted(offsets, lo, "right")) - 1
             last = int(np.searchsorted(offsets, lo + len(part), "left"))
             texts = np.arange(first, last)
             texts = texts[np.diff(offsets)[texts] > 0]
-            out[texts] += np.add.reduceat(bits, np.maximum(offsets[texts] - lo, 0), axis=0)
+            begins, column = np.maximum(offsets[texts] - lo, 0), 0
+            for g, tables in enumerate(self.model.groups):
+                columns = slice(column, column + len(tables.langs))
+                out[texts, columns] += np.add.reduceat(self._bits(g, part), begins, axis=0)
+                column = columns.stop
         return out
 
+    def _bits(self, g: int, part: np.ndarray) -> np.ndarray:
+        """[byte, language of group g]: code length of each byte, given as its longest key."""
+        tables, order = self.model.groups[g], self.model.order
+        bits = np.zeros((len(part), len(tables.langs)))
+        left = np.arange(len(part))
+        for k in range(order + 1):
+            own = part[left] & np.uint64((1 << (8 * (order - k + 1))) - 1)
+            rows = self.symbols[g][k].find(own)
+            known = rows >= 0
+            bits[left[known]] += tables.bits[k][rows[known]]
+            left, own = left[~known], own[~known]
+            if not len(left):
+                break
+            context = self.contexts[g][k].find(own >> np.uint64(8))
+            held = context >= 0
+            bits[left[held]] += tables.escapes[k][context[held]]
+        return bits
+
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           order: int = ORDER, max_docs: int = MAX_DOCS, max_bytes: int = MAX_BYTES) -> Model:
@@ -180,10 +199,14 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
               .where(F.col("before") < max_bytes).select("lang", "text"))
     table = (sample.mapInArrow(lambda batches: _counted(batches, order), "lang string, key long, n long")
              .groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow())
-    langs = np.array(table.column("lang").to_pylist(), object)
-    keys = table.column("key").to_numpy().view(np.uint64)
-    n = table.column("n").to_numpy().astype(float)
-    return fit(sorted(set(langs)), {x: (keys[langs == x], n[langs == x]) for x in sorted(set(langs))}, order)
+    coded = table.column("lang").combine_chunks().dictionary_encode()
+    code, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+    by_lang = np.argsort(code, kind="stable")
+    edges = np.searchsorted(code[by_lang], np.arange(len(names) + 1))
+    keys = table.column("key").to_numpy().view(np.uint64)[by_lang]
+    n = table.column("n").to_numpy().astype(float)[by_lang]
+    return fit(sorted(names), {x: (keys[edges[k]: edges[k + 1]], n[edges[k]: edges[k + 1]]) for k, x in enumerate(names)},
+               order)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

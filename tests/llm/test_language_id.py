@@ -48,12 +48,38 @@ def test_exact_code_lengths():
         data, offsets = tb.flat(pa.array(texts))
         keys, n = np.unique(li.byte_keys(data, offsets, order), return_counts=True)
         counts[lang] = keys, n.astype(float)
-    scorer = li.Scorer(li.fit(sorted(training), counts, order))
-    scorer.step = 7                                       # texts reach over several steps
     texts = ["abra", "", "banana été", "QUX 9\n", "z" * 30, "Élan ÉLAN élan"]
-    got = scorer.code_lengths(*tb.flat(pa.array(texts)))
     want = [[_plain_bits(_plain_counts(training[lang], order), t, order) for lang in sorted(training)] for t in texts]
-    assert np.allclose(got, want, atol=1e-9)
+    for group in (1, 2, 3, 8):
+        scorer = li.Scorer(li.fit(sorted(training), counts, order, group))
+        scorer.step = 7                                   # texts reach over several steps
+        got = scorer.code_lengths(*tb.flat(pa.array(texts)))
+        assert np.allclose(got, want, atol=1e-9)
+
+
+def _languages(n, size):
+    """Training counts of ``n`` languages, each with words of its own."""
+    counts = {}
+    for k in range(n):
+        rng = np.random.Generator(np.random.PCG64(k))
+        words = ["".join(chr(97 + x) for x in rng.integers(0, 26, rng.integers(2, 8))) for _ in range(60)]
+        data, offsets = tb.flat(pa.array([" ".join(rng.choice(words, size))]))
+        keys, seen = np.unique(li.byte_keys(data, offsets, 4), return_counts=True)
+        counts[f"l{k:03d}"] = keys, seen.astype(float), " ".join(rng.choice(words, 8))
+    return counts
+
+
+def test_two_hundred_languages():
+    """The tables grow with the languages, not with their square, and each text finds its own."""
+    counts = _languages(200, 300)
+    trained = {lang: c[:2] for lang, c in counts.items()}
+    sizes = {}
+    for n in (100, 200):
+        model = li.fit(sorted(trained)[:n], trained, 4)
+        sizes[n] = sum(table.nbytes for g in model.groups for table in (*g.keys, *g.bits, *g.contexts, *g.escapes))
+    assert sizes[200] < 2.1 * sizes[100]
+    bits = li.Scorer(model).code_lengths(*tb.flat(pa.array([counts[lang][2] for lang in model.langs])))
+    assert bits.argmin(axis=1).tolist() == list(range(200))
 
 
 def test_held_out_accuracy(spark, sf01):
