@@ -11,14 +11,18 @@ root and passes over equal branches, so only differing branches are opened, and
 :func:`edited_spans` gives the character spans that have no counterpart.
 
 ``compare_neighbours`` fingerprints every text, its successor's text and a caller's edit of
-the two.  At scale: texts are shuffled once, into blocks of consecutive order keys; the
-first row of a block is also sent to the block before it, so each task sees every pair it
-needs while it streams its sorted rows and holds two texts at a time.
+the two.  At scale: texts are shuffled once, into blocks of consecutive order keys (id, then the
+text's hash, so null ids or one repeated id are many blocks too; only equal rows stay together).
+A block begins at a row drawn from a sample of keys, found for each row by bisection, and is one
+task's partition.  The first row of a block is also sent to the block before it, so each task
+sees every pair it needs while it streams its sorted rows: it holds one Arrow batch of texts
+(``spark.sql.execution.arrow.maxRecordsPerBatch``) and the trees of two of them at a time.
 
 Defined results: null text = empty text (one empty paragraph); null ids come last in the
 descending order; rows that repeat an id are ordered by their text's hash; the last row's
 successor is the first row (a single row is its own); an empty table gives no rows.  Only
-the named columns are read, so further columns may have any name.
+the named columns are read, so further columns may have any name.  The table is read three times
+(count, sample, texts), so write an input first that can change between reads.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerprofile.llm.columns import named, text_of
@@ -39,6 +43,7 @@ from ledgerprofile.llm.textbytes import byte_values
 
 PIECE_MASK = 3       # one piece end in 4 spaces on average
 PIECE_BYTES = 64     # a longer run without such an end is cut at multiples of this
+SAMPLED_KEYS = 64    # order keys sampled for each block
 SECTION_MASK = 3     # one section end in 4 paragraphs on average
 _VALUES = (byte_values(11, fold_ascii=False) >> np.uint64(40)).astype(np.uint32)
 
@@ -191,13 +196,39 @@ def _compared(batches: Iterator[pa.RecordBatch], edit: Callable[[str, str], str]
             list(zip(*out)) if out else [[]] * len(schema), schema)], schema=schema)
 
 
-def _block(cuts: list[float]) -> Column:
-    """0 for the largest ids, ``len(cuts)`` for the smallest and for null ids."""
-    if not cuts:
-        return F.lit(0)
-    bounds = F.array(*[F.lit(int(c)).cast("long") for c in cuts])
-    above = F.size(F.filter(bounds, lambda c: c > F.col("doc_id")))
-    return F.when(F.col("doc_id").isNull(), F.lit(len(cuts))).otherwise(above)
+def _order_key(text_key: Column) -> Column:
+    """Ascending order of the rows: ids from the largest, null ids last, then the text's hash."""
+    doc_id = F.col("doc_id")
+    return F.struct(doc_id.isNull().alias("no_id"), F.coalesce(F.bitwise_not(doc_id), F.lit(0).cast("long")).alias("down"),
+                    text_key.alias("text_key"))
+
+
+def _literal(key: tuple) -> Column:
+    no_id, down, text_key = key
+    return F.struct(F.lit(no_id).alias("no_id"), F.lit(down).cast("long").alias("down"),
+                    F.lit(text_key).cast("long").alias("text_key"))
+
+
+def _cuts(keys: DataFrame, n_blocks: int) -> tuple[tuple | None, list[tuple]]:
+    """The first key, and the keys at which blocks 1, 2, ... begin: evenly spaced ones of a sample."""
+    n, first = keys.agg(F.count(F.lit(1)), F.min("key")).first()
+    if not n:
+        return None, []
+    sample = keys.sample(min(1.0, SAMPLED_KEYS * n_blocks / n), 17).select("key.*").collect()
+    drawn = sorted(tuple(r) for r in sample)
+    wanted = {drawn[k * len(drawn) // n_blocks] for k in range(1, n_blocks)} if drawn else set()
+    return tuple(first), sorted(wanted - {tuple(first)})
+
+
+def _target(block: Column, ahead: bool) -> Column:
+    return F.struct(block.cast("int").alias("block"), F.lit(ahead).alias("ahead"))
+
+
+def _bisected(key: Column, bounds: Column, n: int) -> Column:
+    """How many of the ``n`` ascending bounds are at most ``key``."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(n.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.get(bounds, at + step - 1) <= key, at + step).otherwise(at))
 
 
 def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -205,32 +236,24 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Fingerprints of each text and of ``edit(text, next text)``, next in descending id order.
 
     ``near_edited`` and ``near_next`` are the likeness of the text's tree to the edited
-    text's and to the next document's.  ``n_blocks`` defaults to twice the session's shuffle
-    partitions; the lists of cuts and of first rows have that many entries at most.
+    text's and to the next document's.  ``n_blocks`` defaults to the session's shuffle
+    partitions; ``SAMPLED_KEYS`` keys for each of them come to the driver.
     """
     spark = docs.sparkSession
     ship(spark)
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n_blocks = n_blocks or 2 * partitions
-    text = text_of(docs, text_col)
-    keys = docs.select(named(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"))
-    wanted = [k / n_blocks for k in range(1, n_blocks)]
-    cuts = sorted(set(keys.stat.approxQuantile("doc_id", wanted, 0.1 / n_blocks)) if wanted else [])
-    keys = keys.withColumn("block", _block(cuts))
-    first = F.struct(F.col("doc_id").isNull().alias("no_id"), (-F.col("doc_id")).alias("down"), "text_key")
-    by_block = Window.partitionBy(F.lit(0)).orderBy("block")
-    heads = (keys.groupBy("block").agg(F.min(first).alias("head"))
-             .withColumn("target", F.coalesce(F.lag("block").over(by_block), F.max("block").over(
-                 Window.partitionBy(F.lit(0)))))
-             .select(F.col("block").alias("head_block"), "target", (-F.col("head.down")).alias("head_id"),
-                     F.col("head.text_key").alias("head_key")))
-    rows = docs.select(named(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    rows = rows.withColumn("text_key", F.xxhash64("text")).withColumn("block", _block(cuts))
-    ahead = rows.join(F.broadcast(heads), (F.col("block") == F.col("head_block")) & (F.col("text_key") == F.col("head_key"))
-                      & F.col("doc_id").eqNullSafe(F.col("head_id")))
-    both = (rows.select("block", F.lit(False).alias("ahead"), "doc_id", "text_key", "text")
-            .unionByName(ahead.select(F.col("target").alias("block"), F.lit(True).alias("ahead"),
-                                      "doc_id", "text_key", "text")))
-    dealt = (both.repartition(partitions, "block")
-             .sortWithinPartitions("block", "ahead", F.col("doc_id").desc_nulls_last(), "text_key"))
+    n_blocks = n_blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(named(id_col).cast("long").alias("doc_id"), text_of(docs, text_col).alias("text"))
+    rows = rows.select("doc_id", "text", _order_key(F.xxhash64("text")).alias("key"))
+    first, cuts = _cuts(rows.select("key"), n_blocks)
+    last, block, key = len(cuts), F.lit(0), F.col("key")
+    targets = [F.when(key == _literal(first), _target(F.lit(last), True))] if first else []
+    if cuts:
+        bounds = F.array(*[_literal(c) for c in cuts])
+        block = _bisected(key, bounds, last)
+        targets.append(F.when(F.get(bounds, F.col("own") - 1) == key, _target(F.col("own") - 1, True)))
+    rows = rows.withColumn("own", block)
+    dealt = (rows.withColumn("to", F.explode(F.array_compact(F.array(_target(F.col("own"), False), *targets))))
+             .select("to.block", "to.ahead", "doc_id", "key", "text")
+             .repartitionById(last + 1, F.col("block"))
+             .sortWithinPartitions("ahead", "key"))
     return dealt.select("block", "ahead", "doc_id", "text").mapInArrow(lambda b: _compared(b, edit), SCHEMA)

@@ -3,6 +3,8 @@ import hashlib
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from ledgerprofile.llm import queries
 from ledgerprofile.llm.fingerprints import compare_neighbours, edited_spans, likeness, merkle_tree, splice_half
 
@@ -54,6 +56,24 @@ def test_query_against_plain_edit(spark, sf001):
     assert len(set(texts.values())) == len(texts)
 
 
+def test_many_rows_without_an_id(spark):
+    """A third of the ids is null, a third is one id: neither is one block, and no pair is lost."""
+    n = 900
+    rows = [(None if k % 3 == 0 else -5 if k % 3 == 1 else k, f"text {k} of some words\nline {k * k}") for k in range(n)]
+    rows += [(7, "a repeated row")] * 40 + [(-(1 << 63), "the least id"), ((1 << 63) - 1, "the largest id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    order = sorted(keyed, key=lambda r: (r["doc_id"] is None, -(r["doc_id"] or 0), r["h"]))
+    want = sorted((repr(r["doc_id"]), merkle_tree(r["text"]).fingerprint,
+                   merkle_tree(splice_half(r["text"], after["text"])).fingerprint)
+                  for r, after in zip(order, [*order[1:], order[0]]))
+    for blocks in (1, 2, 12):
+        got = compare_neighbours(docs, n_blocks=blocks)
+        assert sorted((repr(r["doc_id"]), r["fingerprint"], r["edited_fingerprint"]) for r in got.collect()) == want
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 10 and max(sizes) < n / 4
+
+
 def test_odd_and_empty(odd):
     rows = compare_neighbours(odd, n_blocks=5).collect()
     assert len(rows) == odd.count()
