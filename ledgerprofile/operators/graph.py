@@ -2,8 +2,10 @@
 node sets (A12), leading eigenpairs (M4) and eigenvector centrality (M5).
 
 An industry with at most ``LOCAL_NODES`` nodes and ``LOCAL_EDGES`` edges is one bounded group: a
-task solves it as a whole, whatever the gaps between its eigenvalues.  Larger industries are
-iterated together, one plan per step, by a restarted Lanczos process.
+task solves it as a whole, as a dense matrix whatever the gaps between its eigenvalues.  One with at most
+``SPARSE_NODES`` nodes and ``SPARSE_EDGES`` edges is a bounded group too: its edges go to one task, which
+holds them as numbers (about 60 bytes per edge at most while it sorts them) and runs a block Lanczos process
+on them.  Larger industries are iterated together, one plan per step, by a restarted Lanczos process.
 
 Lanczos at scale
 ----------------
@@ -48,7 +50,7 @@ from __future__ import annotations
 import warnings
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerprofile.operators import spectral
@@ -60,11 +62,14 @@ MAX_BASIS = 48                   # basis vectors before a restart
 KEPT = 16                        # vectors that a restart keeps
 LOCAL_NODES = 2_048              # industries up to these bounds are solved in one task each
 LOCAL_EDGES = 1_000_000
+SPARSE_NODES = 500_000           # industries up to these bounds are solved in one task each, by their edges
+SPARSE_EDGES = 20_000_000        # entries that the task holds: of a Gramian both layouts of the edges count
 SYMMETRY_TOL = 1e-9              # relative difference of the two directions of an edge
 MIN_NODES_EXCLUSIVE = 5          # industries with at most this many nodes are skipped
 DEFAULT_HOT_DEGREE = 1_000_000   # nodes with more in-edges are hubs
 HOT_BROADCAST_ROWS = 100_000     # bound on the broadcast hub list
 INDUSTRY_BROADCAST_ROWS = 100_000  # industry lists up to this size are broadcast
+MAX_SPARSE_TASKS = 2_000         # tasks that the sparse industries are dealt over
 EDGES_PER_BUCKET = 2_000_000     # edge-layout sizing (~100 MB per bucket)
 
 
@@ -364,13 +369,19 @@ class _Industries:
         n_nodes = (self.edges.select("hy_dm", ends.alias("node")).distinct()
                    .groupBy("hy_dm").agg(F.count(F.lit(1)).alias("n_nodes")).where(F.col("n_nodes") > min_nodes_exclusive))
         n_edges = self.edges.groupBy("hy_dm").agg(F.count(F.lit(1)).alias("n_edges"))
-        is_local = (F.col("n_nodes") <= local_nodes) & (F.col("n_edges") <= LOCAL_EDGES)
-        self.sizes = self.scratch.store(n_nodes.join(n_edges, "hy_dm").withColumn("is_local", is_local))
-        n_local, n_large = self.sizes.agg(F.count_if("is_local"), F.count_if(~F.col("is_local"))).first()
+        is_local = (F.col("n_nodes") <= min(local_nodes, LOCAL_NODES)) & (F.col("n_edges") <= LOCAL_EDGES)
+        entries = F.col("n_edges") if symmetric else 2 * F.col("n_edges")
+        is_sparse = (F.col("n_nodes") <= local_nodes) & (entries <= SPARSE_EDGES)
+        kind = F.when(is_local, "local").when(is_sparse, "sparse").otherwise("large")
+        self.sizes = self.scratch.store(n_nodes.join(n_edges, "hy_dm").withColumn("kind", kind))
+        counts = dict(tuple(r) for r in self.sizes.groupBy("kind").count().collect())
         # one row per industry code, counted before any broadcast
-        small = F.broadcast if n_local + n_large <= INDUSTRY_BROADCAST_ROWS else (lambda df: df)
-        self.local = self.edges.join(small(self.sizes.where("is_local").select("hy_dm")), "hy_dm") if n_local else None
-        self.large = self.edges.join(small(self.sizes.where("not is_local").select("hy_dm")), "hy_dm") if n_large else None
+        self.small = F.broadcast if sum(counts.values()) <= INDUSTRY_BROADCAST_ROWS else (lambda df: df)
+        self.n_sparse = counts.get("sparse", 0)
+        self.local, self.sparse, self.large = (self._edges_of(k) if counts.get(k) else None for k in ("local", "sparse", "large"))
+
+    def _edges_of(self, kind: str) -> DataFrame:
+        return self.edges.join(self.small(self.sizes.where(F.col("kind") == kind).select("hy_dm")), "hy_dm")
 
     def local_pairs(self, k: int, gramian: bool) -> DataFrame:
         def solve(edges: pd.DataFrame) -> pd.DataFrame:
@@ -379,6 +390,21 @@ class _Industries:
             self.local.select("hy_dm", F.col("xf_nsrsbh").alias("src"), F.col("gf_nsrsbh").alias("dst"), "w")
             .groupBy("hy_dm").applyInPandas(solve, spectral.PAIRS))
 
+    def sparse_pairs(self, k: int, gramian: bool, tol: float, max_steps: int) -> DataFrame:
+        """The rows of spectral.SPARSE_PAIRS: each industry is one task's, largest edge lists apart as far as they go."""
+        x, y = F.col("xf_nsrsbh"), F.col("gf_nsrsbh")
+        edges = self.sparse.select("hy_dm", x.alias("src"), y.alias("dst"), "w")
+        if not gramian:                                        # both directions of an edge once, with their mean
+            edges = (self.sparse.groupBy("hy_dm", F.least(x, y).alias("src"), F.greatest(x, y).alias("dst"))
+                     .agg((F.sum("w") / F.when(F.first(x == y), 1).otherwise(2)).alias("w")))
+        tasks = min(self.n_sparse, MAX_SPARSE_TASKS)
+        nth = F.row_number().over(Window.orderBy(F.desc("n_edges"), "hy_dm")) - 1     # one row per industry
+        places = self.sizes.where("kind = 'sparse'").select("hy_dm", F.pmod(nth, F.lit(tasks)).alias("task"))
+        dealt = (edges.join(self.small(places), "hy_dm").repartitionById(tasks, F.col("task"))
+                 .select("hy_dm", "src", "dst", "w").sortWithinPartitions("hy_dm"))
+        return self.scratch.store(dealt.mapInArrow(
+            lambda b: spectral.sparse_pairs(b, k, gramian, tol, max_steps), spectral.SPARSE_PAIRS))
+
     def layouts(self, gramian: bool, hot_degree: int, partitions: int | None) -> list[EdgeLayout]:
         there = _layout(self.large, hot_degree, partitions, 0)
         if not gramian:
@@ -391,11 +417,18 @@ class _Industries:
 
 
 def _eigenpairs(adj: DataFrame, k: int, gramian: bool, tol: float, max_steps: int, min_nodes_exclusive: int,
-                hot_degree: int, partitions: int | None, local_nodes: int) -> DataFrame:
+                hot_degree: int, partitions: int | None, local_nodes: int, check_symmetry: bool = False) -> DataFrame:
     industries = _Industries(adj, min_nodes_exclusive, local_nodes, not gramian)
+    if check_symmetry:
+        names = [r[0] for r in asymmetric_industries(industries.edges).limit(10).collect()]
+        if names:
+            industries.drop()
+            raise ValueError(f"the adjacency is not symmetric in industries such as {names}: use gramian_eigenpairs")
     parts = []
     if industries.local is not None:
         parts.append(industries.local_pairs(k, gramian).drop("centrality").withColumn("converged", F.lit(True)))
+    if industries.sparse is not None:
+        parts.append(industries.sparse_pairs(k, gramian, tol, max_steps).drop("centrality"))
     if industries.large is not None:
         layouts = industries.layouts(gramian, hot_degree, partitions)
         parts.append(_lanczos(layouts, k, tol, max_steps))
@@ -415,7 +448,7 @@ def unconverged(pairs: DataFrame, limit: int = 10) -> list[str]:
 
 def leading_eigenpairs(adj: DataFrame, k: int = 1, tol: float = DEFAULT_TOL, max_steps: int = DEFAULT_MAX_STEPS,
                        min_nodes_exclusive: int = MIN_NODES_EXCLUSIVE, hot_degree: int = DEFAULT_HOT_DEGREE,
-                       partitions: int | None = None, local_nodes: int = LOCAL_NODES,
+                       partitions: int | None = None, local_nodes: int = SPARSE_NODES,
                        check_symmetry: bool = True) -> DataFrame:
     """(hy_dm, rank, nsrsbh, v, eigenvalue, residual, converged): the ``k`` eigenpairs of largest magnitude
     of every industry's symmetric adjacency (all, if it has fewer nodes).
@@ -424,16 +457,12 @@ def leading_eigenpairs(adj: DataFrame, k: int = 1, tol: float = DEFAULT_TOL, max
     ``converged``.  Industries with at most ``min_nodes_exclusive`` nodes are skipped.  An adjacency
     that is not symmetric is refused; its singular vectors are :func:`gramian_eigenpairs`.
     """
-    if check_symmetry:
-        names = [r[0] for r in asymmetric_industries(adj).limit(10).collect()]
-        if names:
-            raise ValueError(f"the adjacency is not symmetric in industries such as {names}: use gramian_eigenpairs")
-    return _eigenpairs(adj, k, False, tol, max_steps, min_nodes_exclusive, hot_degree, partitions, local_nodes)
+    return _eigenpairs(adj, k, False, tol, max_steps, min_nodes_exclusive, hot_degree, partitions, local_nodes, check_symmetry)
 
 
 def gramian_eigenpairs(adj: DataFrame, k: int = 1, tol: float = DEFAULT_TOL, max_steps: int = DEFAULT_MAX_STEPS,
                        min_nodes_exclusive: int = MIN_NODES_EXCLUSIVE, hot_degree: int = DEFAULT_HOT_DEGREE,
-                       partitions: int | None = None, local_nodes: int = LOCAL_NODES) -> DataFrame:
+                       partitions: int | None = None, local_nodes: int = SPARSE_NODES) -> DataFrame:
     """The same for the Gramian A'A of every industry's adjacency A (rows ``xf_nsrsbh``, columns
     ``gf_nsrsbh``), which need not be symmetric: ``v`` are the right singular vectors and
     ``eigenvalue`` the squared singular values.
@@ -443,18 +472,24 @@ def gramian_eigenpairs(adj: DataFrame, k: int = 1, tol: float = DEFAULT_TOL, max
 
 def leading_eigenvector(adj: DataFrame, tol: float = DEFAULT_TOL, max_steps: int = DEFAULT_MAX_STEPS,
                         min_nodes_exclusive: int = MIN_NODES_EXCLUSIVE, hot_degree: int = DEFAULT_HOT_DEGREE,
-                        partitions: int | None = None, local_nodes: int = LOCAL_NODES,
+                        partitions: int | None = None, local_nodes: int = SPARSE_NODES,
                         check_symmetry: bool = True) -> DataFrame:
     """(hy_dm, nsrsbh, v, eigenvalue, residual, converged): :func:`leading_eigenpairs` with k = 1."""
     return leading_eigenpairs(adj, 1, tol, max_steps, min_nodes_exclusive, hot_degree, partitions, local_nodes,
                               check_symmetry).drop("rank")
 
 
+def _warn_unconverged(pairs: DataFrame, tol: float, max_steps: int) -> None:
+    names = unconverged(pairs)
+    if names:
+        warnings.warn(f"no centrality for industries such as {names}: not converged to {tol} after {max_steps} products")
+
+
 # M5 -------------------------------------------------------------------------------------
 def eigenvector_centrality(adj: DataFrame, tol: float = DEFAULT_TOL, max_steps: int = DEFAULT_MAX_STEPS,
                            min_nodes_exclusive: int = MIN_NODES_EXCLUSIVE,
                            hot_degree: int = DEFAULT_HOT_DEGREE, partitions: int | None = None,
-                           local_nodes: int = LOCAL_NODES) -> DataFrame:
+                           local_nodes: int = SPARSE_NODES) -> DataFrame:
     """(hy_dm, nsrsbh, centrality) with centrality_i = sum_j |w_ij * v_j|; ``adj`` is symmetric.
 
     Only industries with more than ``min_nodes_exclusive`` nodes; self-loops count.  Industries
@@ -464,12 +499,14 @@ def eigenvector_centrality(adj: DataFrame, tol: float = DEFAULT_TOL, max_steps:
     parts = []
     if industries.local is not None:
         parts.append(industries.local_pairs(1, False).select("hy_dm", "node", "centrality"))
+    if industries.sparse is not None:
+        v = industries.sparse_pairs(1, False, tol, max_steps)
+        _warn_unconverged(v, tol, max_steps)
+        parts.append(v.where("converged").select("hy_dm", "node", "centrality"))
     if industries.large is not None:
         layout, = industries.layouts(False, hot_degree, partitions)
         v = _lanczos([layout], 1, tol, max_steps)
-        names = unconverged(v)
-        if names:
-            warnings.warn(f"no centrality for industries such as {names}: not converged to {tol} after {max_steps} products")
+        _warn_unconverged(v, tol, max_steps)
         found = _multiply(layout, v.where("converged").select("hy_dm", "node", "v"), absolute=True)
         parts.append(layout.scratch.store(found.withColumnRenamed("u", "centrality")).select("hy_dm", "node", "centrality"))
         layout.drop()

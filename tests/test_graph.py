@@ -341,3 +341,72 @@ def test_diag_eps_fills_empty_diagonal(spark):
     adj = {(r.xf_nsrsbh, r.gf_nsrsbh): r.w for r in graph.adjacency(sym, diag_eps=0.001).collect()}
     assert adj == {("A", "B"): 2.0, ("B", "A"): 2.0, ("C", "C"): 2.0, ("A", "A"): 0.001, ("B", "B"): 0.001}
     assert graph.adjacency(sym).count() == 3
+
+
+# industries solved by their entries ----------------------------------------------------------
+@pytest.fixture
+def by_entries(monkeypatch):
+    """Every industry beyond the dense bound, and none may be iterated by the driver."""
+    def refused(*args):
+        raise AssertionError("iterated")
+    monkeypatch.setattr(graph, "LOCAL_NODES", 0)
+    monkeypatch.setattr(graph, "_lanczos", refused)
+
+
+def test_entries_give_three_eigenpairs_of_several_industries(spark, by_entries):
+    rng = np.random.default_rng(8)
+    want, adj = {}, None
+    for hy in ("H1", "H2"):
+        edges = [(f"A{i:02d}", f"A{j:02d}", float(rng.integers(1, 50))) for i in range(60) for j in range(i + 1) if rng.random() < 0.1]
+        _, _, a, nodes = _numpy_centrality(edges)
+        want[hy] = np.linalg.eigh(a), nodes
+        one = _adj(spark, edges, hy)
+        adj = one if adj is None else adj.unionByName(one)
+    pairs = graph.leading_eigenpairs(adj, 3, tol=1e-12)
+    for hy, ((values, vectors), nodes) in want.items():
+        got = _by_rank(pairs.where(F.col("hy_dm") == hy), nodes)
+        for rank, k in enumerate(np.argsort(-np.abs(values))[:3], 1):
+            v = vectors[:, k] * (1 if vectors[:, k].sum() >= 0 else -1)
+            assert got[rank][0] == pytest.approx(values[k], rel=1e-10) and got[rank][1] == pytest.approx(v, abs=1e-8)
+
+
+def test_entries_give_singular_vectors(spark, by_entries):
+    edges, a, nodes = _directed(40, 7)
+    got = _by_rank(graph.gramian_eigenpairs(_as_adjacency(spark, edges), 3, tol=1e-12), nodes)
+    _, sigma, vt = np.linalg.svd(a)
+    for rank in (1, 2, 3):
+        v = vt[rank - 1] * (1 if vt[rank - 1].sum() >= 0 else -1)
+        assert got[rank][0] == pytest.approx(sigma[rank - 1] ** 2, rel=1e-10) and got[rank][1] == pytest.approx(v, abs=1e-7)
+
+
+def test_entries_give_centrality_and_name_what_is_left(spark, by_entries):
+    c = {r.nsrsbh: r.centrality for r in graph.eigenvector_centrality(_adj(spark, RING6), tol=1e-12).collect()}
+    want, _, _, _ = _numpy_centrality(RING6)
+    assert c == pytest.approx(want, rel=1e-9)
+    slow, quick = _pairs(spark, _chain(300), "SLOW"), _pairs(spark, RING6, "QUICK")
+    adj = graph.adjacency(graph.symmetric_edges(slow.unionByName(quick)))
+    with pytest.warns(UserWarning, match="SLOW"):
+        assert {r.hy_dm for r in graph.eigenvector_centrality(adj, max_steps=5).collect()} == {"QUICK"}
+
+
+def test_tied_vectors_stay_eigenvectors():
+    """The uniform vector lies along one of two tied vectors."""
+    from ledgerprofile.operators import spectral
+    a = np.kron(np.eye(2), np.ones((3, 3)) - np.eye(3))
+    for values, vectors in (spectral.eigenpairs(a, 2, False), spectral.eigenpairs(a, 2, True),
+                            spectral.krylov(lambda x: a @ x, 6, 2, 1e-12, 50)[:2]):
+        assert vectors.T @ vectors == pytest.approx(np.eye(2), abs=1e-9)
+        assert a @ (a @ vectors) == pytest.approx(4 * vectors, abs=1e-9)
+        assert np.abs(vectors[:, 0]) == pytest.approx(np.full(6, 6 ** -0.5))
+
+
+@pytest.mark.parametrize("n", [400, 3000])
+def test_krylov_restarts_and_repeated_values(n):
+    """A spectrum with a close second value, and a leading one that comes twice; the basis starts again."""
+    from ledgerprofile.operators import spectral
+    d = np.linspace(-1.0, 1.0, n)
+    d[-2:] = 1.5
+    d[0] = -1.4999
+    values, vectors, residuals = spectral.krylov(lambda x: d[:, None] * x, n, 3, 1e-11, 500)
+    assert values == pytest.approx([1.5, 1.5, -1.4999], rel=1e-12) and (residuals <= 1e-11).all()
+    assert np.abs(vectors[0, 2]) == pytest.approx(1.0) and vectors[:-2, :2] == pytest.approx(np.zeros((n - 2, 2)), abs=1e-8)
