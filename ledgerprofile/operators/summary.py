@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerprofile.functions.scalars import month_key, non_empty, period_between, time_text_between
-from ledgerprofile.session import checkpoint_dir
+from ledgerprofile.session import Scratch
 
 INDUSTRY_MONTH_BROADCAST_ROWS = 200_000   # industry x month tables up to this size are broadcast
 Period = tuple[int, int]                  # first and last month, integers yyyyMM
@@ -120,8 +120,7 @@ def monthly_tables(sales: DataFrame, purchases: DataFrame, registry: DataFrame,
     """
     exact = taxpayer_monthly(sales, purchases, registry, as_double=False, period=period)
     if materialise:
-        checkpoint_dir(exact.sparkSession)
-        exact = exact.checkpoint()
+        exact = Scratch(exact.sparkSession).store(exact)      # a checkpoint() would compute it twice
     taxpayers = exact.select(
         "hy_dm", "nsrsbh", "ny", F.col("lirun").cast("double").alias("lr"),
         F.col("jxje").cast("double").alias("jxje"), F.col("xxje").cast("double").alias("xxje"))

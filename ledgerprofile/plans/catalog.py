@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ledgerprofile.functions import scalars
 from ledgerprofile.operators import graph, series, summary
 from ledgerprofile.plans import tags
-from ledgerprofile.session import checkpoint_dir
+from ledgerprofile.session import Scratch, checkpoint_dir
 from ledgerprofile.sources import sink
 from ledgerprofile.sources import loaders, testdata, warehouse
 
@@ -55,21 +55,38 @@ class Inputs:
 
     The monthly tables are materialised once (checkpoint), so the series operators that
     read them are called with ``materialise=False``.  Invoices are read where they lie, each
-    side with its own columns; ``period`` restricts the monthly tables to those months.
+    side with its own columns; ``period`` restricts the monthly tables to those months.  A job that
+    reads them more than twice asks for ``stored`` lines: their joins run once, the lines (of the
+    period) are written, and :meth:`drop` deletes them when everything that reads them has been written.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, period: tuple[int, int] | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, period: tuple[int, int] | None = None, stored: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.period = period
+        self.stored = stored
+        self.scratch = Scratch(spark)
+        self._stored_lines: DataFrame | None = None
         self._tables: tuple[DataFrame, DataFrame] | None = None
 
+    def lines(self) -> DataFrame:
+        if not self.stored:
+            return testdata.invoice_lines(self.spark, self.sf_dir)
+        if self._stored_lines is None:
+            lines = testdata.invoice_lines(self.spark, self.sf_dir)
+            self._stored_lines = self.scratch.store(
+                lines.where(scalars.time_text_between("kprq", *self.period)) if self.period else lines)
+        return self._stored_lines
+
+    def drop(self) -> None:
+        self.scratch.drop(self._stored_lines)
+        self._stored_lines = None
+
     def sales(self) -> DataFrame:
-        return loaders.sales_invoices(testdata.invoice_lines(self.spark, self.sf_dir))
+        return loaders.sales_invoices(self.lines())
 
     def purchases(self) -> DataFrame:
-        lines = testdata.invoice_lines(self.spark, self.sf_dir)
-        return loaders.purchase_invoices(lines.where(F.col("rf") != F.lit(testdata.RETURNED_FLAG)))
+        return loaders.purchase_invoices(self.lines().where(F.col("rf") != F.lit(testdata.RETURNED_FLAG)))
 
     def registry(self) -> DataFrame:
         return loaders.registry(testdata.registry_table(self.spark, self.sf_dir))
@@ -110,6 +127,7 @@ class Inputs:
         late = (F.pmod(F.xxhash64("xf_nsrsbh", "gf_nsrsbh", "kprq"), F.lit(10)) == 0) & (F.col("kprq") >= str(LATE_FROM))
         for batch, rows in (("first", ~late), ("late", late)):
             stored.load(batch, self.sales().where(rows), self.purchases().where(rows), self.registry())
+        self.drop()
         return stored
 
     def adjacency(self) -> DataFrame:
@@ -203,17 +221,17 @@ def q_catalog_invoices_period(spark, sf_dir):
 
 def q_warehouse_taxpayer_monthly(spark, sf_dir):
     """The stored taxpayer months of a period, after two incremental loads."""
-    return loaders.taxpayer_monthly_table(Inputs(spark, sf_dir).warehouse().monthly("taxpayer_months", (START, END)))
+    return loaders.taxpayer_monthly_table(Inputs(spark, sf_dir, stored=True).warehouse().monthly("taxpayer_months", (START, END)))
 
 
 def q_warehouse_industry_monthly(spark, sf_dir):
     """The same for the industry months."""
-    return loaders.industry_monthly_table(Inputs(spark, sf_dir).warehouse().monthly("industry_months", (START, END)))
+    return loaders.industry_monthly_table(Inputs(spark, sf_dir, stored=True).warehouse().monthly("industry_months", (START, END)))
 
 
 def q_warehouse_trade_pairs(spark, sf_dir):
     """The same for the trade pairs of a region."""
-    pairs = loaders.trade_pairs_monthly_table(Inputs(spark, sf_dir).warehouse().monthly("trade_pairs", (START, END)))
+    pairs = loaders.trade_pairs_monthly_table(Inputs(spark, sf_dir, stored=True).warehouse().monthly("trade_pairs", (START, END)))
     return loaders.trade_pairs_in_period(pairs, START, END, REGION)
 
 
@@ -492,10 +510,10 @@ def q_enterprise_profile(spark, sf_dir):
 
 
 def q_enterprise_profile_all(spark, sf_dir):
-    i = Inputs(spark, sf_dir, (START, END))
+    i = Inputs(spark, sf_dir, (START, END), stored=True)
     months = i.taxpayer_months()
     reg = loaders.foreign_trade_registry(i.registry_maps())
-    return tags.enterprise_profile(
+    profile = tags.enterprise_profile(
         tags.tag_foreign_trade(reg, START, END, TAG_TIME),
         tags.tag_fast_growth(months, START, END, RATIO, tag_time=TAG_TIME, materialise=False),
         tags.tag_periodic(months, START, END, LAG, RATIO, tag_time=TAG_TIME, materialise=False),
@@ -503,6 +521,8 @@ def q_enterprise_profile_all(spark, sf_dir):
                              digits=CENTRALITY_DIGITS, tag_time=TAG_TIME),
         tags.tag_industry_leader(months, i.industry_months(), START, END, 1, SHARE_DIGITS, TAG_TIME),
     )
+    i.drop()                        # monthly tables and centralities are written by now
+    return profile
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

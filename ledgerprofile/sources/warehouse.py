@@ -13,6 +13,9 @@ the driver are the months of a batch.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +23,7 @@ from pyspark.sql import types as T
 from ledgerprofile.functions.scalars import month_key, period_between
 from ledgerprofile.functions.tagrows import TAG_COLUMNS, TAG_SCHEMA
 from ledgerprofile.operators import summary
-from ledgerprofile.session import Scratch, drop_folder, folder_exists
+from ledgerprofile.session import drop_folder, folder_exists
 
 Period = tuple[int, int]
 
@@ -41,23 +44,49 @@ MONTHLY = {
 }
 
 
+OUTSIDE = "rows outside the replaced partitions"
+
+
+def _partition_files(spark: SparkSession, path: str) -> set[str]:
+    return set(spark.read.schema("any int").parquet(path).inputFiles()) if folder_exists(spark, path) else set()
+
+
+def _write_partitions(df: DataFrame, path: str, keys: list[str]) -> set[tuple[str, ...]]:
+    """Write ``df`` over the partitions that it has rows for, in one commit; returns those, as texts.
+
+    The rows are computed once and go straight to their files; new files tell which partitions they are in.
+    """
+    before = _partition_files(df.sparkSession, path)
+    (df.repartition(*keys, F.pmod(F.xxhash64(*df.columns), F.lit(8)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
+    folders = {tuple(file.split("/")[-len(keys) - 1:-1]) for file in _partition_files(df.sparkSession, path) - before}
+    return {tuple(unquote(unquote(part.split("=", 1)[1])) for part in folder) for folder in folders}
+
+
+def _drop_partitions(spark: SparkSession, path: str, keys: list[str], partitions: set[tuple[str, ...]]) -> None:
+    for values in partitions:
+        drop_folder(spark, "/".join([path, *(f"{k}={v}" for k, v in zip(keys, values))]))
+
+
 def replace_partitions(df: DataFrame, path: str, keys: list[str], scope: list[tuple]) -> None:
     """Make ``df`` the content of the partitions ``scope`` (tuples of ``keys``) of the table at ``path``.
 
-    All of ``df`` lies in the scope.  It is computed once; the new partitions are put in place by one
-    commit, and partitions of the scope that have no rows any more are removed after it.
+    All of ``df`` lies in the scope; a row outside ends the write before its commit.  ``df`` is computed once; the
+    new partitions are put in place by one commit, and partitions of the scope that have no rows any more are
+    removed after it.
     """
-    scratch = Scratch(df.sparkSession)
-    staged = scratch.store(df)
-    filled = {tuple(r) for r in staged.select(*keys).distinct().collect()}     # at most the scope's length
-    if filled - set(scope):
-        raise ValueError(f"rows outside the replaced partitions: {sorted(filled - set(scope))[:10]}")
-    if filled:
-        (staged.repartition(*keys, F.pmod(F.xxhash64(*staged.columns), F.lit(8)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
-    for values in set(scope) - filled:
-        drop_folder(df.sparkSession, "/".join([path, *(f"{k}={v}" for k, v in zip(keys, values))]))
-    scratch.drop(staged)
+    first, *rest = keys
+    inside = F.concat_ws("/", *[F.col(k).cast("string") for k in keys]).isin(["/".join(map(str, v)) for v in scope])
+    refused = F.raise_error(F.concat_ws(" ", F.lit(f"{OUTSIDE}:"), *[F.col(k).cast("string") for k in keys]))
+    checked = df.select(*[F.when(inside, F.col(c)).otherwise(refused.cast(df.schema[c].dataType)).alias(c) if c == first else c
+                          for c in df.columns])
+    try:
+        filled = _write_partitions(checked, path, keys)
+    except PySparkException as e:
+        if OUTSIDE in str(e):
+            raise ValueError(str(e)) from e
+        raise
+    _drop_partitions(df.sparkSession, path, keys, {tuple(map(str, values)) for values in scope} - filled)
 
 
 def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -92,13 +121,10 @@ class Warehouse:
             raise ValueError(f"a batch needs a plain name, not {batch!r}")
         rows = invoices.select("xf_nsrsbh", "gf_nsrsbh", F.col("je").cast("decimal(18,2)").alias("je"), "kprq",
                                F.coalesce(month_key("kprq"), F.lit(NO_MONTH)).alias("date_key"), F.lit(batch).alias("batch"))
-        held = {r[0] for r in self.invoices(side).where(F.col("batch") == batch).select("date_key").distinct().collect()}
-        scratch = Scratch(self.spark)
-        staged = scratch.store(rows)
-        months = held | {r[0] for r in staged.select("date_key").distinct().collect()}
-        replace_partitions(staged, self.path(side), ["date_key", "batch"], [(m, batch) for m in months])
-        scratch.drop(staged)
-        return sorted(months)
+        held = {(str(r[0]), r[1]) for r in self.invoices(side).where(F.col("batch") == batch).select("date_key", "batch").distinct().collect()}
+        filled = _write_partitions(rows, self.path(side), ["date_key", "batch"])
+        _drop_partitions(self.spark, self.path(side), ["date_key", "batch"], held - filled)
+        return sorted({int(month) for month, _ in held | filled})
 
     def load(self, batch: str, sales: DataFrame, purchases: DataFrame, registry: DataFrame) -> list[int]:
         """Store a batch of invoices and bring the touched months of all monthly tables up to date.

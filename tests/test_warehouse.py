@@ -155,3 +155,47 @@ def test_replaced_tags(spark):
         warehouse.replace_tags(both, path, ["1"], 201312)
     assert warehouse.read_tags(spark, path).where(F.col("bq_key") == "6").count() == 0
     assert warehouse.read_tags(spark, scratch_path(spark, "none")).count() == 0
+
+
+def test_rows_are_computed_once_and_not_staged(spark, monkeypatch):
+    """Each source row meets one task of one write, and nothing is written beside the table."""
+    from ledgerprofile.session import Scratch
+
+    def refused(*args, **kwargs):
+        raise AssertionError("staged")
+    monkeypatch.setattr(Scratch, "store", refused)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+    rows = spark.range(100).selectExpr("id", "cast(id % 3 as int) AS m").mapInArrow(counted, "id long, m int")
+    path = scratch_path(spark, "once")
+    warehouse.replace_partitions(rows, path, ["m"], [(0,), (1,), (2,), (3,)])
+    assert read.value == 100 and spark.read.parquet(path).count() == 100
+    with pytest.raises(ValueError, match="outside"):
+        warehouse.replace_partitions(rows.selectExpr("id", "cast(null as int) AS m"), path, ["m"], [(0,)])
+    assert spark.read.parquet(path).count() == 100
+
+
+def test_invoice_lines_are_joined_once_for_the_warehouse(spark, sf001, monkeypatch):
+    from ledgerprofile.plans.catalog import Inputs
+    calls, plain = [], testdata.invoice_lines
+    monkeypatch.setattr(testdata, "invoice_lines", lambda *a: calls.append(a) or plain(*a))
+    inputs = Inputs(spark, sf001, stored=True)
+    stored = inputs.warehouse()
+    assert len(calls) == 1 and stored.monthly("trade_pairs").count() > 0
+    stored.drop()
+
+
+def test_monthly_tables_compute_the_invoices_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+    sales = _invoices(spark, FIRST).mapInArrow(counted, INVOICE)
+    months, _ = summary.monthly_tables(sales, _invoices(spark, FIRST), _registry(spark))
+    assert months.count() > 0 and read.value == len(FIRST)
