@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 from sys import getsizeof
 
 import numpy as np
@@ -67,6 +68,7 @@ class WordEncoder:
         byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.byte_chars = {c: byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
         self.table_bytes = table_bytes
+        self.marks: dict[str, list[int]] = {}
         self._forget()
 
     def _forget(self) -> None:
@@ -83,21 +85,37 @@ class WordEncoder:
     def _whole(self, word: str) -> list[int]:
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """Row of each word in the table, -1 where it is not there."""
+        return np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+
+    def _marks(self, part: str) -> list[int]:
+        ids = self.marks.get(part)
+        if ids is None:
+            ids = self._whole(part)
+            if len(part) <= 2:                      # a bounded number of them
+                self.marks[part] = ids
+        return ids
+
     def _learn(self, words: list[str]) -> None:
         """Add words without spaces; letters and marks apart where that is how the library splits."""
         new: dict[str, list[int]] = {}
-
-        def ids_of(part: str, encode) -> list[int]:
-            row = self.index.get(part)
-            if row is not None:
-                return self.ids[self.first[row]: self.first[row + 1]].tolist()
-            if part not in new:
-                new[part] = encode(part)
-            return new[part]
-
+        known, first, ids, match = self.index.get, self.first, self.ids, _PLAIN.fullmatch
         for word in words:
-            plain = _PLAIN.fullmatch(word)
-            new[word] = (ids_of(plain[1].lower(), self._stem) + ids_of(plain[2], self._whole)) if plain else self._whole(word)
+            plain = match(word)
+            if not plain:
+                new[word] = self._whole(word)
+                continue
+            letters, marks = plain.groups()
+            letters = letters.lower()
+            stem = new.get(letters)
+            if stem is None:
+                row = known(letters)
+                if row is None:
+                    stem = new[letters] = self._stem(letters)
+                else:
+                    stem = ids[first[row]: first[row + 1]].tolist()
+            new[word] = stem + self._marks(marks) if marks else stem
         sizes = [len(row) for row in new.values()]
         n, k = sum(sizes), len(self.index)
         while self.n_ids + n > len(self.ids):
@@ -122,20 +140,20 @@ class WordEncoder:
         """The ids of each text, in order."""
         for text in texts:
             words = text.replace("\n", " ").split(" ")
-            get = self.index.get
-            rows, long = [get(w, -1) for w in words], []
-            if -1 in rows:
+            rows, long = self._rows(words), []
+            lacking = np.flatnonzero(rows < 0)
+            if len(lacking):
                 if self.held > self.table_bytes:
                     self._forget()
-                new = [w for w in dict.fromkeys(words) if w not in self.index]
+                    lacking = np.flatnonzero((rows := self._rows(words)) < 0)
+                unknown = [words[k] for k in lacking.tolist()]
+                new = list(dict.fromkeys(unknown))
                 long = [w for w in new if len(w) > KEPT_CHARS]
                 self._learn([w for w in new if len(w) <= KEPT_CHARS] if long else new)
                 kept, held = len(self.index), self.held
                 if long:
                     self._learn(long)
-                get = self.index.__getitem__
-                rows = [get(w) for w in words]
-            rows = np.array(rows, np.int64)
+                rows[lacking] = [*map(self.index.__getitem__, unknown)]
             begins = self.first[rows]
             sizes = self.first[rows + 1] - begins
             ends = np.cumsum(sizes)

@@ -135,3 +135,20 @@ def test_odd_and_empty(odd, odd_rows, library):
     long = [r for r in rows if r["doc_id"] == 5]
     assert sum(len(r["ids"]) // 4 for r in long) == long[0]["doc_tokens"] == len(library(odd_rows[4][1])) + 1
     assert packing.pack(odd.limit(0), VOCABULARY).collect() == []
+
+
+def test_a_new_word_does_not_look_up_the_known_ones_again():
+    class Counted(dict):
+        n = 0
+
+        def __getitem__(self, word):
+            self.n += 1
+            return super().__getitem__(word)
+
+    encode = packing.WordEncoder(VOCABULARY)
+    text = "eins zwei, drei " * 1000
+    before = list(encode([text]))[0]
+    encode.index = Counted(encode.index)
+    after = list(encode([text + "neuneu Neuneu, neuneu"]))[0]
+    assert encode.index.n <= 3 and (after[: len(before)] == before).all()
+    assert after.tolist() == encode.tokenizer.encode(text + "neuneu Neuneu, neuneu", add_special_tokens=False).ids
