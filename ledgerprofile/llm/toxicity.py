@@ -30,6 +30,7 @@ extra columns are carried along by :func:`score_column` whatever their names.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -235,9 +236,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 
 def train(docs: DataFrame, labels: DataFrame, **options) -> Crf | None:
-    """Fit on the bounded sample of ``labels`` (already restricted to rows that may be learned)."""
-    sample = labelled_sample(docs, labels, **options).toArrow()
-    return fit(sample.column("text").to_pylist(), sample.column("toxic").to_numpy())
+    """Fit on the bounded sample of ``labels`` (already restricted to rows that may be learned).
+
+    One task fits the model, so neither the sample nor the work arrays of the fit take the driver's
+    memory; the driver gets the weights.
+    """
+    ship(docs.sparkSession)
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, toxic = [], [np.zeros(0, np.int32)]
+        for batch in batches:
+            texts += batch.column(0).to_pylist()
+            toxic.append(batch.column(1).to_numpy())
+        model = fit(texts, np.concatenate(toxic))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    sample = labelled_sample(docs, labels, **options).repartition(1)
+    row = sample.mapInArrow(fitted, "model binary").first()
+    return pickle.loads(row["model"]) if row else None
 
 
 class Tagger:

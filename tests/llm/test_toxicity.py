@@ -86,3 +86,21 @@ def test_odd_and_empty(spark, odd):
     assert tx.train(odd, labels.limit(0)) is None
     assert {r["t"]["score"] for r in odd.select(tx.score_column(odd, None).alias("t")).collect()} == {0.0}
     assert odd.limit(0).select(tx.score_column(odd, model).alias("t")).collect() == []
+
+
+def test_the_sample_is_fitted_in_a_task(spark, monkeypatch):
+    """Neither texts nor the fit's arrays come to the driver; the model is that of a fit on the same texts."""
+    from pyspark.sql import DataFrame
+    rows = [(i, f"schönes haus nummer {i % 7}" + (" blödmann zorgelt" if i % 3 == 0 else "")) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    sample = tx.labelled_sample(docs, labels).collect()
+
+    def refused(self):
+        raise AssertionError("brought to the driver")
+    monkeypatch.setattr(DataFrame, "toArrow", refused)
+    model = tx.train(docs, labels)
+    want = tx.fit([r.text for r in sample], np.array([r.toxic for r in sample]))
+    assert np.allclose(model.emission, want.emission, atol=1e-6) and np.allclose(model.curve, want.curve, atol=1e-4)
+    assert tx.train(docs, labels.where("toxic = 1")) is None
+    assert tx.train(docs, labels.where("toxic = 5")) is None
