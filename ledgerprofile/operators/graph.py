@@ -75,15 +75,42 @@ EDGES_PER_BUCKET = 2_000_000     # edge-layout sizing (~100 MB per bucket)
 
 # U1 -------------------------------------------------------------------------------------
 def symmetric_edges(pair_totals: DataFrame, amount: str = "zje") -> DataFrame:
-    """The edge list together with its reverse (a union, so a self-loop appears twice).
+    """The edge list together with its reverse (all rows of both, so a self-loop appears twice).
 
-    Pairs with a NULL id on either side are dropped.
+    Pairs with a NULL id on either side are dropped.  Each pair gives its two rows where it is
+    read, so what makes the pairs runs once and both rows meet in one map-side sum.
     """
-    e = (pair_totals.where(F.col("xf_nsrsbh").isNotNull() & F.col("gf_nsrsbh").isNotNull())
-         .select("hy_dm", "xf_nsrsbh", "gf_nsrsbh", amount))
-    rev = e.select("hy_dm", F.col("gf_nsrsbh").alias("xf_nsrsbh"),
-                   F.col("xf_nsrsbh").alias("gf_nsrsbh"), amount)
-    return e.unionByName(rev)
+    x, y = F.col("xf_nsrsbh"), F.col("gf_nsrsbh")
+    both = F.array(F.struct(x.alias("xf_nsrsbh"), y.alias("gf_nsrsbh")), F.struct(y.alias("xf_nsrsbh"), x.alias("gf_nsrsbh")))
+    return (pair_totals.where(x.isNotNull() & y.isNotNull())
+            .select("hy_dm", F.explode(both).alias("e"), amount)
+            .select("hy_dm", "e.xf_nsrsbh", "e.gf_nsrsbh", amount))
+
+
+def _folded(edges: DataFrame, amount: str = "w") -> DataFrame:
+    """(hy_dm, lo, hi, there, back, n_there, n_back): one row per unordered pair of nodes, with the
+    sum and the number of the rows lo -> hi (self-loops too) and hi -> lo.
+
+    Both directions of an edge that lie in one partition are one row of the shuffle.  A NULL id
+    makes its own pairs.
+    """
+    x, y = F.col("xf_nsrsbh"), F.col("gf_nsrsbh")
+    is_back = F.coalesce(x > y, F.lit(False))
+    return (edges.select("hy_dm", F.when(is_back, y).otherwise(x).alias("lo"), F.when(is_back, x).otherwise(y).alias("hi"),
+                         F.when(~is_back, F.col(amount)).alias("there"), F.when(is_back, F.col(amount)).alias("back"),
+                         is_back.alias("is_back"))
+            .groupBy("hy_dm", "lo", "hi")
+            .agg(F.sum("there").alias("there"), F.sum("back").alias("back"),
+                 F.count_if(~F.col("is_back")).alias("n_there"), F.count_if("is_back").alias("n_back")))
+
+
+def _unfolded(folded: DataFrame) -> DataFrame:
+    """(hy_dm, xf_nsrsbh, gf_nsrsbh, w): the directed edges of ``_folded``, one row per direction that is there."""
+    rows = F.array(
+        F.struct(F.col("lo").alias("xf_nsrsbh"), F.col("hi").alias("gf_nsrsbh"), F.col("there").alias("w"), F.col("n_there").alias("n")),
+        F.struct(F.col("hi").alias("xf_nsrsbh"), F.col("lo").alias("gf_nsrsbh"), F.col("back").alias("w"), F.col("n_back").alias("n")))
+    return (folded.select("hy_dm", F.explode(rows).alias("e")).where("e.n > 0")
+            .select("hy_dm", "e.xf_nsrsbh", "e.gf_nsrsbh", "e.w"))
 
 
 # A8 -------------------------------------------------------------------------------------
@@ -93,8 +120,9 @@ def adjacency(sym_edges: DataFrame, amount: str = "zje", diag_eps: float = 0.0)
 
     ``diag_eps > 0`` puts that weight on the diagonal cell of every node without a
     self-loop (an anti join against the self-loops, one extra row per such node).
+    The sums of a pair of nodes are shuffled as one row, whatever the direction.
     """
-    adj = sym_edges.groupBy("hy_dm", "xf_nsrsbh", "gf_nsrsbh").agg(F.sum(amount).alias("w"))
+    adj = _unfolded(_folded(sym_edges, amount))
     if diag_eps:
         loops = adj.where(F.col("xf_nsrsbh") == F.col("gf_nsrsbh")).select("hy_dm", "xf_nsrsbh")
         fill = (adj.select("hy_dm", "xf_nsrsbh").distinct()
@@ -243,12 +271,12 @@ def _multiply(layout: EdgeLayout, v: DataFrame, absolute: bool = False) -> DataF
 
 def asymmetric_industries(adj: DataFrame, tol: float = SYMMETRY_TOL) -> DataFrame:
     """(hy_dm): industries in which some edge differs from its reverse."""
-    x, y = F.col("xf_nsrsbh"), F.col("gf_nsrsbh")
-    both = (adj.where(x != y)
-            .groupBy("hy_dm", F.least(x, y).alias("lo"), F.greatest(x, y).alias("hi"))
-            .agg(F.sum(F.when(x < y, F.col("w")).otherwise(0.0)).alias("there"),
-                 F.sum(F.when(x > y, F.col("w")).otherwise(0.0)).alias("back")))
-    return (both.where(F.abs(F.col("there") - F.col("back")) > tol * F.greatest(F.abs("there"), F.abs("back")))
+    return _asymmetric(_folded(adj), tol)
+
+
+def _asymmetric(folded: DataFrame, tol: float = SYMMETRY_TOL) -> DataFrame:
+    there, back = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("there", "back"))
+    return (folded.where((F.col("lo") != F.col("hi")) & (F.abs(there - back) > tol * F.greatest(F.abs(there), F.abs(back))))
             .select("hy_dm").distinct())
 
 
@@ -359,21 +387,34 @@ def _lanczos(layouts: list[EdgeLayout], k: int, tol: float, max_steps: int) -> D
 
 
 class _Industries:
-    """The adjacency, stored, cut into industries that one task solves and larger ones."""
+    """The adjacency, stored, cut into industries that one task solves and larger ones.
+
+    A symmetric adjacency is stored as one row per unordered pair (``_folded``), from which the sizes, the
+    test of the symmetry and the edges of every kind of industry are read without another shuffle of the edges.
+    """
 
     def __init__(self, adj: DataFrame, min_nodes_exclusive: int, local_nodes: int, symmetric: bool):
         self.scratch = Scratch(adj.sparkSession)
+        self.symmetric = symmetric
         ship(adj.sparkSession)
-        self.edges = self.scratch.store(adj.select("hy_dm", "xf_nsrsbh", "gf_nsrsbh", "w"))
-        ends = F.col("xf_nsrsbh") if symmetric else F.explode(F.array("xf_nsrsbh", "gf_nsrsbh"))
-        n_nodes = (self.edges.select("hy_dm", ends.alias("node")).distinct()
-                   .groupBy("hy_dm").agg(F.count(F.lit(1)).alias("n_nodes")).where(F.col("n_nodes") > min_nodes_exclusive))
-        n_edges = self.edges.groupBy("hy_dm").agg(F.count(F.lit(1)).alias("n_edges"))
+        edges = adj.select("hy_dm", "xf_nsrsbh", "gf_nsrsbh", "w")
+        self.edges = self.scratch.store(_folded(edges) if symmetric else edges)
+        if symmetric:                                          # each node with the edges that begin there
+            ends = F.array(F.struct(F.col("lo").alias("node"), F.col("n_there").alias("n")),
+                           F.struct(F.col("hi").alias("node"), F.col("n_back").alias("n")))
+            begun = self.edges.select("hy_dm", F.explode(ends).alias("e")).where("e.n > 0").select("hy_dm", "e.node", "e.n")
+        else:
+            ends = F.array(F.struct(F.col("xf_nsrsbh").alias("node"), F.lit(1).alias("n")),
+                           F.struct(F.col("gf_nsrsbh").alias("node"), F.lit(0).alias("n")))
+            begun = self.edges.select("hy_dm", F.explode(ends).alias("e")).select("hy_dm", "e.node", "e.n")
+        sizes = (begun.groupBy("hy_dm", "node").agg(F.sum("n").alias("n"))
+                 .groupBy("hy_dm").agg(F.count(F.lit(1)).alias("n_nodes"), F.sum("n").alias("n_edges"))
+                 .where((F.col("n_nodes") > min_nodes_exclusive) & F.col("hy_dm").isNotNull()))
         is_local = (F.col("n_nodes") <= min(local_nodes, LOCAL_NODES)) & (F.col("n_edges") <= LOCAL_EDGES)
         entries = F.col("n_edges") if symmetric else 2 * F.col("n_edges")
         is_sparse = (F.col("n_nodes") <= local_nodes) & (entries <= SPARSE_EDGES)
         kind = F.when(is_local, "local").when(is_sparse, "sparse").otherwise("large")
-        self.sizes = self.scratch.store(n_nodes.join(n_edges, "hy_dm").withColumn("kind", kind))
+        self.sizes = self.scratch.store(sizes.withColumn("kind", kind))
         counts = dict(tuple(r) for r in self.sizes.groupBy("kind").count().collect())
         # one row per industry code, counted before any broadcast
         self.small = F.broadcast if sum(counts.values()) <= INDUSTRY_BROADCAST_ROWS else (lambda df: df)
@@ -381,7 +422,12 @@ class _Industries:
         self.local, self.sparse, self.large = (self._edges_of(k) if counts.get(k) else None for k in ("local", "sparse", "large"))
 
     def _edges_of(self, kind: str) -> DataFrame:
-        return self.edges.join(self.small(self.sizes.where(F.col("kind") == kind).select("hy_dm")), "hy_dm")
+        """The directed edges; of sparse symmetric industries as they are stored."""
+        edges = self.edges.join(self.small(self.sizes.where(F.col("kind") == kind).select("hy_dm")), "hy_dm")
+        return _unfolded(edges) if self.symmetric and kind != "sparse" else edges
+
+    def asymmetric(self) -> DataFrame:
+        return _asymmetric(self.edges)
 
     def local_pairs(self, k: int, gramian: bool) -> DataFrame:
         def solve(edges: pd.DataFrame) -> pd.DataFrame:
@@ -392,16 +438,20 @@ class _Industries:
 
     def sparse_pairs(self, k: int, gramian: bool, tol: float, max_steps: int) -> DataFrame:
         """The rows of spectral.SPARSE_PAIRS: each industry is one task's, largest edge lists apart as far as they go."""
-        x, y = F.col("xf_nsrsbh"), F.col("gf_nsrsbh")
-        edges = self.sparse.select("hy_dm", x.alias("src"), y.alias("dst"), "w")
-        if not gramian:                                        # both directions of an edge once, with their mean
-            edges = (self.sparse.groupBy("hy_dm", F.least(x, y).alias("src"), F.greatest(x, y).alias("dst"))
-                     .agg((F.sum("w") / F.when(F.first(x == y), 1).otherwise(2)).alias("w")))
+        if gramian:
+            edges = self.sparse.select("hy_dm", F.col("xf_nsrsbh").alias("src"), F.col("gf_nsrsbh").alias("dst"), "w")
+        else:                                                  # both directions of an edge once, with their mean
+            there, back = F.col("there"), F.col("back")
+            total = F.coalesce(there + back, there, back)
+            edges = self.sparse.select("hy_dm", F.col("lo").alias("src"), F.col("hi").alias("dst"),
+                                       (total / F.when(F.col("lo") == F.col("hi"), 1).otherwise(2)).alias("w"))
         tasks = min(self.n_sparse, MAX_SPARSE_TASKS)
         nth = F.row_number().over(Window.orderBy(F.desc("n_edges"), "hy_dm")) - 1     # one row per industry
         places = self.sizes.where("kind = 'sparse'").select("hy_dm", F.pmod(nth, F.lit(tasks)).alias("task"))
         dealt = (edges.join(self.small(places), "hy_dm").repartitionById(tasks, F.col("task"))
-                 .select("hy_dm", "src", "dst", "w").sortWithinPartitions("hy_dm"))
+                 .select("hy_dm", "src", "dst", "w"))
+        if tasks < self.n_sparse:                              # otherwise a task's rows are one industry's
+            dealt = dealt.sortWithinPartitions("hy_dm")
         return self.scratch.store(dealt.mapInArrow(
             lambda b: spectral.sparse_pairs(b, k, gramian, tol, max_steps), spectral.SPARSE_PAIRS))
 
@@ -420,7 +470,7 @@ def _eigenpairs(adj: DataFrame, k: int, gramian: bool, tol: float, max_steps: in
                 hot_degree: int, partitions: int | None, local_nodes: int, check_symmetry: bool = False) -> DataFrame:
     industries = _Industries(adj, min_nodes_exclusive, local_nodes, not gramian)
     if check_symmetry:
-        names = [r[0] for r in asymmetric_industries(industries.edges).limit(10).collect()]
+        names = [r[0] for r in industries.asymmetric().limit(10).collect()]
         if names:
             industries.drop()
             raise ValueError(f"the adjacency is not symmetric in industries such as {names}: use gramian_eigenpairs")

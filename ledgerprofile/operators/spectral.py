@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 
 TIE = 1e-9           # values that differ less, relatively, count as one eigenvalue
 LOST = 1e-6          # estimated residual at which a pair that had converged is taken up again
@@ -19,6 +20,7 @@ NOISE = 1e-14        # length, relative to the largest value, below which a new
 CHUNK = 1 << 19      # matrix entries multiplied at a time
 BASIS_BYTES = 192 << 20      # bound on the basis of a sparse industry
 LEAST_BASIS, MOST_BASIS = 48, 160
+WAITING_BYTES = 32 << 20     # edges with names that wait to be numbered together
 
 PAIRS = ("hy_dm string, rank int, node string, v double, eigenvalue double, residual double, centrality double")
 SOLVED = ("hy_dm string, n long, found int, done boolean, before double, scale double, residuals array<double>, "
@@ -208,16 +210,23 @@ _SPARSE_NAMES = [f.split()[0] for f in SPARSE_PAIRS.split(", ")]
 def sparse_pairs(batches: Iterator[pa.RecordBatch], k: int, gramian: bool, tol: float, max_steps: int) -> Iterator[pa.RecordBatch]:
     """The rows of SPARSE_PAIRS of the industries of a task, given their edges (hy_dm, src, dst, w) industry by industry.
 
-    Node names become numbers as they come, so a task holds 16 bytes per edge and each name once.
+    Node names become numbers as they come, ``WAITING_BYTES`` of edges at a time, so a task holds 16 bytes
+    per edge and each name once.
     """
-    industry, numbers, parts = None, {}, []
+    industry, numbers, parts, waiting, size = None, {}, [], [], 0
 
-    def numbered(column: pa.Array) -> np.ndarray:
-        coded = column.dictionary_encode()
-        known = [numbers.setdefault(name, len(numbers)) for name in coded.dictionary.to_pylist()]
-        return np.array(known, np.int32)[coded.indices.to_numpy()]
+    def numbered(column: pa.ChunkedArray) -> np.ndarray:
+        coded = column.dictionary_encode()                      # its chunks share one dictionary
+        known = [numbers.setdefault(name, len(numbers)) for name in coded.chunk(0).dictionary.to_pylist()]
+        return np.array(known, np.int32)[np.concatenate([c.indices.to_numpy() for c in coded.chunks])]
+
+    def number() -> None:
+        edges = pa.Table.from_batches(waiting)
+        waiting.clear()
+        parts.append((numbered(edges.column(1)), numbered(edges.column(2)), edges.column(3).to_numpy()))
 
     def solve() -> Iterator[pa.RecordBatch]:
+        number()
         rows, cols, w = (np.concatenate(p) for p in zip(*parts))
         parts.clear()
         names = sorted(numbers)
@@ -227,16 +236,18 @@ def sparse_pairs(batches: Iterator[pa.RecordBatch], k: int, gramian: bool, tol:
         return _solve_entries(industry, names, place[rows], place[cols], w, k, gramian, tol, max_steps)
 
     for batch in batches:
-        names = batch.column(0).to_pylist()
-        cuts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
-        for lo, hi in zip(cuts, cuts[1:]):
-            if lo == hi:
-                continue
-            if parts and names[lo] != industry:
+        runs, lo = pc.run_end_encode(batch.column(0)), 0
+        for name, hi in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+            if waiting and name != industry:
                 yield from solve()
-            industry, part = names[lo], batch.slice(lo, hi - lo)
-            parts.append((numbered(part.column(1)), numbered(part.column(2)), part.column(3).to_numpy(zero_copy_only=False)))
-    if parts:
+                size = 0
+            elif size > WAITING_BYTES:
+                number()
+                size = 0
+            industry, part, lo = name, batch.slice(lo, hi - lo), hi
+            waiting.append(part)
+            size += part.nbytes
+    if waiting:
         yield from solve()
 
 

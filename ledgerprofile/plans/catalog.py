@@ -69,11 +69,12 @@ class Inputs:
         self._stored_lines: DataFrame | None = None
         self._tables: tuple[DataFrame, DataFrame] | None = None
 
-    def lines(self) -> DataFrame:
+    def lines(self, period: tuple[int, int] | None = None) -> DataFrame:
+        """The invoices, or those of a period, which a range of ship times picks in the scan."""
         if not self.stored:
-            return testdata.invoice_lines(self.spark, self.sf_dir)
+            return testdata.invoice_lines(self.spark, self.sf_dir, period)
         if self._stored_lines is None:
-            lines = testdata.invoice_lines(self.spark, self.sf_dir)
+            lines = testdata.invoice_lines(self.spark, self.sf_dir, self.period)
             self._stored_lines = self.scratch.store(
                 lines.where(scalars.time_text_between("kprq", *self.period)) if self.period else lines)
         return self._stored_lines
@@ -82,11 +83,11 @@ class Inputs:
         self.scratch.drop(self._stored_lines)
         self._stored_lines = None
 
-    def sales(self) -> DataFrame:
-        return loaders.sales_invoices(self.lines())
+    def sales(self, period: tuple[int, int] | None = None) -> DataFrame:
+        return loaders.sales_invoices(self.lines(period))
 
-    def purchases(self) -> DataFrame:
-        return loaders.purchase_invoices(self.lines().where(F.col("rf") != F.lit(testdata.RETURNED_FLAG)))
+    def purchases(self, period: tuple[int, int] | None = None) -> DataFrame:
+        return loaders.purchase_invoices(self.lines(period).where(F.col("rf") != F.lit(testdata.RETURNED_FLAG)))
 
     def registry(self) -> DataFrame:
         return loaders.registry(testdata.registry_table(self.spark, self.sf_dir))
@@ -98,7 +99,7 @@ class Inputs:
         """Taxpayer and industry months from one materialised A1 pass, read back through
         the warehouse column names (S8, S9)."""
         if self._tables is None:
-            t, h = summary.monthly_tables(self.sales(), self.purchases(), self.registry(),
+            t, h = summary.monthly_tables(self.sales(self.period), self.purchases(self.period), self.registry(),
                                           period=self.period)
             tw = t.select(F.col("hy_dm").alias("hy_key"), F.col("nsrsbh").alias("nsr_key"),
                           F.col("ny").alias("date_key"), "lr", "jxje", "xxje")
@@ -116,7 +117,7 @@ class Inputs:
         return self._monthly()[1]
 
     def pair_months(self) -> DataFrame:
-        p = summary.pair_monthly_for_tags(self.sales(), self.registry(), self.period)
+        p = summary.pair_monthly_for_tags(self.sales(self.period), self.registry(), self.period)
         warehouse = p.select(F.col("hy_dm").alias("hy_key"), F.col("xf_nsrsbh").alias("nsr_key"),
                              F.col("gf_nsrsbh").alias("jy_nsrsbh"), F.col("ny").alias("date_key"), "je")
         return loaders.trade_pairs_monthly_table(warehouse)

@@ -17,6 +17,8 @@ under the broadcast threshold and sort-merge-joins (with skew splitting) otherwi
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,10 +80,22 @@ def write_registry_maps(spark: SparkSession, sf_dir: str, path: str) -> None:
              F.when(key % 11 != 0, export).alias("ckts")).write.parquet(path)
 
 
-def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All invoices with the return flag: (xf_nsrsbh, gf_nsrsbh, je, kprq, rf)."""
+def _first_day(month: int) -> date:
+    return date(month // 100, month % 100, 1)
+
+
+def invoice_lines(spark: SparkSession, sf_dir: str, period: tuple[int, int] | None = None) -> DataFrame:
+    """All invoices with the return flag: (xf_nsrsbh, gf_nsrsbh, je, kprq, rf).
+
+    With ``period`` (first and last month, ``yyyyMM``) those of its months: a range of ship times, which the
+    scan applies before any time becomes text.
+    """
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_extendedprice", "l_discount", "l_shipdate", "l_returnflag")
+    if period:
+        first, last = period
+        following = last + (89 if last % 100 == 12 else 1)
+        li = li.where((F.col("l_shipdate") >= F.lit(_first_day(first))) & (F.col("l_shipdate") < F.lit(_first_day(following))))
     supplier = _read(spark, sf_dir, "supplier")
     # one number from the Parquet footers; as a literal it keeps the sales and purchase
     # branches identical, so their broadcast exchanges are shared

@@ -1,8 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerprofile.operators import graph
+from ledgerprofile.operators import graph, spectral
 
 
 ITERATED = 0        # local_nodes: no industry is solved in one task
@@ -410,3 +411,60 @@ def test_krylov_restarts_and_repeated_values(n):
     values, vectors, residuals = spectral.krylov(lambda x: d[:, None] * x, n, 3, 1e-11, 500)
     assert values == pytest.approx([1.5, 1.5, -1.4999], rel=1e-12) and (residuals <= 1e-11).all()
     assert np.abs(vectors[0, 2]) == pytest.approx(1.0) and vectors[:-2, :2] == pytest.approx(np.zeros((n - 2, 2)), abs=1e-8)
+
+
+def test_an_edge_list_and_its_reverse_read_the_pairs_once(spark, tmp_path):
+    _pairs(spark, [("A", "B", 2.0), ("B", "A", 0.5), ("C", "C", 1.0)]).write.parquet(str(tmp_path / "pairs"))
+    sym = graph.symmetric_edges(spark.read.parquet(str(tmp_path / "pairs")))
+    assert sorted(tuple(r)[1:] for r in sym.collect()) == [
+        ("A", "B", 0.5), ("A", "B", 2.0), ("B", "A", 0.5), ("B", "A", 2.0), ("C", "C", 1.0), ("C", "C", 1.0)]
+    adj = graph.adjacency(sym)
+    assert sorted(tuple(r)[1:] for r in adj.collect()) == [("A", "B", 2.5), ("B", "A", 2.5), ("C", "C", 2.0)]
+    assert adj._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 2      # initial and final plan
+
+
+def test_adjacency_keeps_single_directions_nulls_and_repeated_rows(spark):
+    rows = [("H1", "A", "B", 1.0), ("H1", "A", "B", 2.0), ("H1", "B", "A", None), ("H1", "D", "C", 4.0), ("H1", None, "A", 7.0),
+            ("H1", "A", None, 8.0), (None, "A", "B", 5.0)]
+    adj = graph.adjacency(spark.createDataFrame(rows, "hy_dm string, xf_nsrsbh string, gf_nsrsbh string, zje double"))
+    assert {tuple(r)[:3]: r.w for r in adj.collect()} == {
+        ("H1", "A", "B"): 3.0, ("H1", "B", "A"): None, ("H1", "D", "C"): 4.0, ("H1", None, "A"): 7.0, ("H1", "A", None): 8.0,
+        (None, "A", "B"): 5.0}
+
+
+def test_a_symmetric_adjacency_is_stored_once_per_pair_of_nodes(spark, monkeypatch):
+    monkeypatch.setattr(graph, "LOCAL_NODES", 0)
+    rows = []
+    store = graph.Scratch.store
+
+    def counted(self, df, *args):
+        out = store(self, df, *args)
+        rows.append((out.columns, out.count(), "Exchange hashpartitioning" in df._jdf.queryExecution().executedPlan().toString()))
+        return out
+
+    monkeypatch.setattr(graph.Scratch, "store", counted)
+    edges = [(f"N{i}", f"N{(i + 1) % 12}", float(i + 1)) for i in range(12)] + [("N3", "N3", 2.0)]
+    got = {r.nsrsbh: r.v for r in graph.leading_eigenvector(_adj(spark, edges), 1e-12).collect()}
+    want = _numpy_centrality(edges)[1]
+    sign = np.sign(sum(want.values()))
+    assert max(abs(got[n] - sign * want[n]) for n in want) < 1e-9
+    assert rows[0][1] == 13                                     # not 25: both directions are one row
+    assert not rows[-1][2]                                      # the solver's edges are dealt without another sum per pair
+
+
+def test_names_are_numbered_together_and_across_flushes(monkeypatch):
+    edges = [("H1", f"N{i}", f"N{i + 1}", float(i % 5 + 1)) for i in range(40)] + \
+            [("H2", f"N{i}", f"M{i}", float(i + 1)) for i in range(9)]
+    schema = ["hy_dm", "src", "dst", "w"]
+    table = pa.table(dict(zip(schema, zip(*edges))))
+
+    def solve():
+        out = pa.Table.from_batches(spectral.sparse_pairs(iter(table.to_batches(max_chunksize=7)), 1, False, 1e-12, 500))
+        return {(r["hy_dm"], r["node"]): r["centrality"] for r in out.to_pylist()}
+
+    whole = solve()
+    monkeypatch.setattr(spectral, "WAITING_BYTES", 100)
+    assert solve() == pytest.approx(whole)
+    for industry in ("H1", "H2"):
+        want = _numpy_centrality([e[1:] for e in edges if e[0] == industry])[0]
+        assert {n: c for (h, n), c in whole.items() if h == industry} == pytest.approx(want, rel=1e-9, abs=1e-9)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerprofile.operators import graph, series
+from ledgerprofile.plans.catalog import Inputs
 from tests.conftest import months_frame
 
 
@@ -109,3 +110,12 @@ def test_ranked_rows_are_not_shuffled_by_partition(spark, stored_months):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning(_part") == 1         # the counts, one row per partition
     assert "SortMergeJoin" not in plan
+
+
+def test_a_period_reaches_the_scan_of_the_invoices_and_keeps_its_rows(spark, sf001):
+    dated = Inputs(spark, sf001, (199502, 199512))
+    plan = _plan(dated.pair_months())
+    assert "GreaterThanOrEqual(l_shipdate,1995-02-01" in plan and "LessThan(l_shipdate,1996" in plan
+    whole = Inputs(spark, sf001).pair_months().where("ny between 199502 and 199512")
+    assert whole.count() > 0 and sorted(whole.collect()) == sorted(dated.pair_months().collect())
+    assert dated.sales().count() == Inputs(spark, sf001).sales().count()       # only the monthly tables are cut
